@@ -30,7 +30,9 @@ from eventlens.sources.sinks import lookback_start
 EVENTS_AS_OF = dt.date(2024, 1, 30)
 ORDERS_AS_OF = dt.date(2001, 8, 1)
 EVENTS_CFG = Config(source_name=td.EVENTS_SOURCE, as_of_date=EVENTS_AS_OF)
-ORDERS_CFG = Config(source_name=td.ORDERS_SOURCE, as_of_date=ORDERS_AS_OF)
+ORDERS_START = dt.date(1995, 1, 1)
+# orders predate the default 2010 lower bound, so the run sets its own start
+ORDERS_CFG = Config(source_name=td.ORDERS_SOURCE, as_of_date=ORDERS_AS_OF, date_range_start=ORDERS_START)
 FUNNEL_STEPS = ["view", "click", "purchase", "signup"]
 DEV_FILTER = "name != 'error'"
 LONG_TIMEOUT = 360

@@ -85,7 +85,8 @@ def events_base(p="", where=None, custom="", as_of=C.EVENTS_AS_OF, start=None, p
 
 
 def orders_base(p=""):
-    return stg_ctes(p, RAW_ORDERS, RAW_ORDERS_COLS, td.ORDERS_SOURCE) + ev_ctes(p, C.ORDERS_AS_OF)
+    return (stg_ctes(p, RAW_ORDERS, RAW_ORDERS_COLS, td.ORDERS_SOURCE)
+            + ev_ctes(p, C.ORDERS_AS_OF, start=str(C.ORDERS_START)))
 
 
 def first_cte(p):
@@ -95,8 +96,9 @@ def first_cte(p):
 
 # ---- spine / daily ----------------------------------------------------------
 
-def spine_ctes(p, as_of, horizon=6):
-    days = (f"SELECT CAST(unnest(generate_series(CAST((SELECT min(first_event_day) FROM {p}first_ev) AS TIMESTAMP), "
+def spine_ctes(p, as_of, horizon=6, start=None):
+    lo = f"DATE '{start}'" if start else f"(SELECT min(first_event_day) FROM {p}first_ev)"
+    days = (f"SELECT CAST(unnest(generate_series(CAST({lo} AS TIMESTAMP), "
             f"CAST(DATE '{as_of}' + INTERVAL {horizon} DAY AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day")
     spine = (f"SELECT f.source_relation, s.date_day, f.people_id, f.event_type, "
              f"CASE WHEN s.date_day = f.first_event_day THEN 1 ELSE 0 END AS is_first_event_day, "
@@ -133,8 +135,8 @@ def daily_ctes(p, as_of):
             (f"{p}agg_days", agg_days), (f"{p}daily", final)]
 
 
-def daily_full(p, base, as_of):
-    return base + first_cte(p) + spine_ctes(p, as_of) + daily_ctes(p, as_of)
+def daily_full(p, base, as_of, start=None):
+    return base + first_cte(p) + spine_ctes(p, as_of, start=start) + daily_ctes(p, as_of)
 
 
 # ---- monthly ----------------------------------------------------------------
@@ -296,7 +298,7 @@ def oracle_queries() -> dict[str, str]:
     q["repeat_users"] = with_(daily, "SELECT source_relation, date_day, people_id, event_type, number_of_events, "
                                      "is_repeat_user FROM trailing_events")
     q["daily_events"] = with_(daily, "SELECT * FROM daily")
-    q["daily_events_sweep"] = with_(daily_full("", orders_base(), C.ORDERS_AS_OF), "SELECT * FROM daily")
+    q["daily_events_sweep"] = with_(daily_full("", orders_base(), C.ORDERS_AS_OF, start=C.ORDERS_START), "SELECT * FROM daily")
     monthly = orders_base() + monthly_ctes("", C.ORDERS_AS_OF)
     q["month_totals_mau"] = with_(monthly, "SELECT * FROM month_totals")
     q["first_month_window"] = with_(monthly, "SELECT source_relation, people_id, event_type, date_month, "
