@@ -140,10 +140,11 @@ def sessionized_events(ev: DataFrame, cfg: Config) -> DataFrame:
                          "total_number_of_events", "session_started_at", F.explode("types").alias("t"))
                  .select("*", F.col("t.event_type").alias("event_type"))
                  .drop("t"))
-    per_type = per_type.join(
-        session_type_counts(m).select(*PART, "session_number", "event_type",
-                                      F.col("number_of_events").alias("number_of_this_event_type")),
-        [*PART, "session_number", "event_type"], "left")
+    counts = session_type_counts(m).select(*PART, "session_number", "event_type",
+                                           F.col("number_of_events").alias("number_of_this_event_type"))
+    keys = [*PART, "session_number", "event_type"]
+    per_type = per_type.join(counts, [per_type[k].eqNullSafe(counts[k]) for k in keys], "left").select(
+        *[per_type[c] for c in per_type.columns], counts["number_of_this_event_type"])
     wm = Window.partitionBy(*PART, "minute").orderBy("occurred_at", "unique_event_id")
     ee = e.select("*", F.lag("occurred_at").over(wm).alias("prev_in_minute"),
                   F.row_number().over(wm).alias("rank_in_minute")).alias("e")
