@@ -33,6 +33,8 @@ from eventlens.functions.timeutil import lit_date
 from eventlens.operators.spine import days_between, user_event_spine
 
 PERSON_KEYS = ["source_relation", "people_id", "event_type"]
+# event-table columns the daily metrics read (for a narrow dedupe)
+EVENT_COLUMNS = ["source_relation", "people_id", "event_type", "date_day", "unique_event_id"]
 OUT_KEYS = ["source_relation", "date_day", "event_type"]
 
 
@@ -106,9 +108,11 @@ def active_days(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
              .select(*PERSON_KEYS, "date_day",
                      F.when(F.col("unique_event_id").isNotNull(), 1).otherwise(0).alias("n"),
                      F.lit(0).alias("f")))
-    marks = (first.where(F.col("people_id").isNotNull())
-                  .select(*PERSON_KEYS, F.col("first_event_day").alias("date_day"),
-                          F.lit(0).alias("n"), F.lit(1).alias("f")))
+    # NULL-person markers carry no events and fall out below; not filtering
+    # them keeps this scan of ``first`` identical to the calendar's, so the
+    # exchange is computed once and reused
+    marks = first.select(*PERSON_KEYS, F.col("first_event_day").alias("date_day"),
+                         F.lit(0).alias("n"), F.lit(1).alias("f"))
     return (act.unionByName(marks).where(in_range)
                .groupBy(*PERSON_KEYS, "date_day")
                .agg(F.sum("n").cast("long").alias("number_of_events"), F.max("f").alias("is_first_event_day"))

@@ -50,8 +50,20 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
               .select(*keys, *[F.col(f"_w.row.`{c}`").alias(c) for c in payload]))
 
 
-def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True) -> DataFrame:
+def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
+                  columns: list[str] | None = None) -> DataFrame:
+    """De-duplicated events.  ``columns`` narrows the payload to what the
+    caller needs (keys, ``unique_event_id`` and run columns always come out):
+    the winner struct is opaque to column pruning, so selecting first keeps
+    the shuffle narrow when only metrics are derived."""
     src = date_range_filtered(stg, cfg) if apply_date_range else stg
+    if columns is not None:
+        order_cols = ["mp_processing_time_ms", "_fivetran_id", "occurred_at"]
+        keep = list(dict.fromkeys([*DEDUPE_KEYS, *order_cols, *columns]))
+        if cfg.properties_to_pivot:
+            keep.append("event_properties")
+        stg = stg.select(*[c for c in stg.columns if c in keep])
+        src = src.select(*stg.columns)
     src = with_unique_event_id(src)
     order = [
         F.col("mp_processing_time_ms").isNull(),
@@ -68,7 +80,11 @@ def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True) ->
     leading = ["unique_event_id"]
     rest = [c for c in stg.columns]
     tail = ["nth_event_record", "run_date"] + [p.output_name for p in cfg.properties_to_pivot]
-    return out.select(*leading, *rest, *tail)
+    out = out.select(*leading, *rest, *tail)
+    if columns is not None:
+        out = out.select(*[c for c in out.columns if c in set(columns) | set(DEDUPE_KEYS) | set(tail)
+                           | {"unique_event_id"}])
+    return out
 
 
 def dedupe_events_window(stg: DataFrame, cfg: Config) -> DataFrame:

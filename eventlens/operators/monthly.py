@@ -9,8 +9,9 @@ distinct persons over all types.  NULL persons add events, never users (N5).
 Plan: one partial aggregation to person x type x month, one window per
 person-type (rows bounded by the number of months, so a hot person is cheap),
 one aggregation to type x month, and a window per type over months.  MAU is
-a second small aggregation joined on (connection, month); it holds one row
-per connection and month, so AQE turns the join into a broadcast at runtime.
+a second aggregation of the same person-month rows (the events are read and
+de-duplicated once), joined on (connection, month); it holds one row per
+connection and month, so AQE turns the join into a broadcast at runtime.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from eventlens.functions.keys import concat_key
 from eventlens.functions.timeutil import lit_date, month_diff
 
 KEYS = ["source_relation", "people_id", "event_type"]
+# event-table columns the monthly metrics read (for a narrow dedupe)
+EVENT_COLUMNS = ["source_relation", "people_id", "event_type", "occurred_at", "unique_event_id"]
 
 
 def with_month(ev: DataFrame) -> DataFrame:
@@ -35,12 +38,17 @@ def month_totals(ev: DataFrame) -> DataFrame:
             .agg(F.count_distinct("people_id").alias("total_monthly_active_users")))
 
 
-def user_monthly_events(ev: DataFrame, first: DataFrame | None = None) -> DataFrame:
+def person_months(ev: DataFrame) -> DataFrame:
+    """Events per connection, person, type and month (A5)."""
+    return (with_month(ev).groupBy("source_relation", "people_id", "event_type", "date_month")
+            .agg(F.count("unique_event_id").alias("number_of_events")))
+
+
+def user_monthly_events(ev: DataFrame, first: DataFrame | None = None, sub: DataFrame | None = None) -> DataFrame:
     """Person x type x month counts with first month and previous active month
-    (A5, W5, W6).  With ``first`` (all-time first events) the first month is
-    the true first month instead of the first month of ``ev`` (N8)."""
-    sub = (with_month(ev).groupBy("source_relation", "people_id", "event_type", "date_month")
-           .agg(F.count("unique_event_id").alias("number_of_events")))
+    (W5, W6).  With ``first`` (all-time first events) the first month is the
+    true first month instead of the first month of ``ev`` (N8)."""
+    sub = sub if sub is not None else person_months(ev)
     w = Window.partitionBy(*KEYS)
     out = sub.select(
         "*",
@@ -71,9 +79,12 @@ def monthly_metrics(ume: DataFrame) -> DataFrame:
 
 
 def monthly_events(ev: DataFrame, cfg: Config, first: DataFrame | None = None) -> DataFrame:
-    ume = user_monthly_events(ev, first if cfg.true_new_users else None)
+    sub = person_months(ev)
+    ume = user_monthly_events(ev, first if cfg.true_new_users else None, sub=sub)
     metrics = monthly_metrics(ume)
-    mau = month_totals(ev)
+    # MAU from the person x type x month rows: the event table is read once
+    mau = (sub.groupBy("source_relation", "date_month")
+              .agg(F.count_distinct("people_id").alias("total_monthly_active_users")))
     joined = metrics.join(mau, ["source_relation", "date_month"], "left")
     w = Window.partitionBy("source_relation", "event_type").orderBy("date_month")
     return joined.select(

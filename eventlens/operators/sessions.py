@@ -15,8 +15,9 @@ combined) to (actor, day, minute, type) rows, then to minute rows; the
 session window runs over minute rows, which are at most 1,440 per actor and
 day whatever the data volume, so a hot actor (say every anonymous event of a
 day) cannot overload a task.  Frequencies and totals are sums over those
-rows; no per-event window, no join, one repartition by (actor, day) that all
-later aggregates reuse.
+rows; no per-event window and no join.  Exchanges: (actor, day, minute, type)
+and (actor, day, minute), both after map-side combining, then (actor, day)
+for the window, which every later aggregate reuses.
 
 ``sessionized_events`` gives the per-event view (previous event time,
 is_new_session, session number and counts, W8-W12) for inspection.
@@ -35,6 +36,13 @@ from eventlens.schema import TOO_MANY_EVENT_TYPES
 PART = ["source_relation", "user_id", "date_day"]
 
 
+def session_columns(cfg: Config, extra: list[str] = ()) -> list[str]:
+    """Event-table columns sessions read (for a narrow dedupe); ``extra``
+    adds columns referenced by ``session_filter``."""
+    return ["source_relation", "event_type", "occurred_at", "unique_event_id", "people_id", "date_day",
+            "device_id", *cfg.session_passthrough, *extra]
+
+
 def session_events(ev: DataFrame, cfg: Config) -> DataFrame:
     """Events eligible for sessions (P13) with actor and minute bucket."""
     cond = sql_filter(cfg.session_filter)
@@ -63,8 +71,7 @@ def minute_type_counts(e: DataFrame, cfg: Config) -> DataFrame:
 
 def minute_sessions(mt: DataFrame, cfg: Config) -> DataFrame:
     """Minute rows with the session decision (W8, W9 at minute grain)."""
-    m = (mt.repartition(*PART)
-           .groupBy(*PART, "minute")
+    m = (mt.groupBy(*PART, "minute")
            .agg(F.min("first").alias("first"), F.max("last_at").alias("last_at"),
                 F.sum("n").alias("n"),
                 F.collect_list(F.struct("event_type", "n")).alias("types")))

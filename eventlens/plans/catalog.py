@@ -20,7 +20,7 @@ from eventlens.operators import monthly as monthly_ops
 from eventlens.operators import quality
 from eventlens.operators.dedupe import dedupe_events, with_unique_event_id
 from eventlens.operators.funnel import analyze_funnel
-from eventlens.operators.sessions import recent_actor_events, sessionized_events, sessions
+from eventlens.operators.sessions import recent_actor_events, session_columns, sessionized_events, sessions
 from eventlens.operators.spine import date_spine, spine_start, user_event_spine
 from eventlens.operators.staging import stage_events, user_first_events
 from eventlens.sources import testdata as td
@@ -45,16 +45,16 @@ def _events_stg(spark, sf, cfg=EVENTS_CFG):
     return stage_events(td.raw_from_events(spark, sf), cfg)
 
 
-def _events_ev(spark, sf, cfg=EVENTS_CFG):
-    return dedupe_events(_events_stg(spark, sf, cfg), cfg)
+def _events_ev(spark, sf, cfg=EVENTS_CFG, columns=None):
+    return dedupe_events(_events_stg(spark, sf, cfg), cfg, columns=columns)
 
 
 def _orders_stg(spark, sf, cfg=ORDERS_CFG):
     return stage_events(td.raw_from_orders(spark, sf), cfg)
 
 
-def _orders_ev(spark, sf, cfg=ORDERS_CFG):
-    return dedupe_events(_orders_stg(spark, sf, cfg), cfg)
+def _orders_ev(spark, sf, cfg=ORDERS_CFG, columns=None):
+    return dedupe_events(_orders_stg(spark, sf, cfg), cfg, columns=columns)
 
 
 # ---- staging ---------------------------------------------------------------
@@ -117,7 +117,7 @@ def q_user_event_spine(spark, sf):
 
 
 def q_daily_user_counts(spark, sf):
-    return daily_ops.daily_user_counts(_events_ev(spark, sf))
+    return daily_ops.daily_user_counts(_events_ev(spark, sf, columns=daily_ops.EVENT_COLUMNS))
 
 
 def q_spine_left_join(spark, sf):
@@ -143,36 +143,38 @@ def q_repeat_users(spark, sf):
 
 def q_daily_events(spark, sf):
     stg = _events_stg(spark, sf)
-    return daily_ops.daily_events(dedupe_events(stg, EVENTS_CFG), user_first_events(stg), EVENTS_CFG)
+    ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
+    return daily_ops.daily_events(ev, user_first_events(stg), EVENTS_CFG)
 
 
 def q_daily_events_sweep(spark, sf):
     stg = _orders_stg(spark, sf)
-    return daily_ops.daily_events(dedupe_events(stg, ORDERS_CFG), user_first_events(stg), ORDERS_CFG)
+    ev = dedupe_events(stg, ORDERS_CFG, columns=daily_ops.EVENT_COLUMNS)
+    return daily_ops.daily_events(ev, user_first_events(stg), ORDERS_CFG)
 
 
 # ---- monthly ---------------------------------------------------------------
 
 def q_month_totals_mau(spark, sf):
-    return monthly_ops.month_totals(_orders_ev(spark, sf))
+    return monthly_ops.month_totals(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS))
 
 
 def q_first_month_window(spark, sf):
-    return monthly_ops.user_monthly_events(_orders_ev(spark, sf)).select(
+    return monthly_ops.user_monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS)).select(
         "source_relation", "people_id", "event_type", "date_month", "number_of_events", "first_month")
 
 
 def q_previous_month_lag(spark, sf):
-    return monthly_ops.user_monthly_events(_orders_ev(spark, sf)).select(
+    return monthly_ops.user_monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS)).select(
         "source_relation", "people_id", "event_type", "date_month", "previous_month_with_event")
 
 
 def q_monthly_events(spark, sf):
-    return monthly_ops.monthly_events(_orders_ev(spark, sf), ORDERS_CFG)
+    return monthly_ops.monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG)
 
 
 def q_churn_lag(spark, sf):
-    return monthly_ops.monthly_events(_orders_ev(spark, sf), ORDERS_CFG).select(
+    return monthly_ops.monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG).select(
         "source_relation", "date_month", "event_type", "number_of_users", "number_of_repeat_users",
         "number_of_churn_users")
 
@@ -180,7 +182,7 @@ def q_churn_lag(spark, sf):
 # ---- sessions --------------------------------------------------------------
 
 def _sessionized(spark, sf):
-    return sessionized_events(_events_ev(spark, sf), EVENTS_CFG)
+    return sessionized_events(_events_ev(spark, sf, columns=session_columns(EVENTS_CFG)), EVENTS_CFG)
 
 
 def q_previous_event_lag(spark, sf):
@@ -198,22 +200,23 @@ def q_session_event_counts(spark, sf):
 
 def q_event_frequencies(spark, sf):
     cfg = EVENTS_CFG.with_(session_timeout_minutes=LONG_TIMEOUT)
-    return sessions(_events_ev(spark, sf), cfg).select("session_id", "total_number_of_events", "event_frequencies")
+    return sessions(_events_ev(spark, sf, columns=session_columns(cfg)), cfg).select(
+        "session_id", "total_number_of_events", "event_frequencies")
 
 
 def q_event_frequencies_capped(spark, sf):
     cfg = EVENTS_CFG.with_(session_timeout_minutes=LONG_TIMEOUT, event_frequency_limit=2)
-    return sessions(_events_ev(spark, sf), cfg).select("session_id", "event_frequencies")
+    return sessions(_events_ev(spark, sf, columns=session_columns(cfg)), cfg).select("session_id", "event_frequencies")
 
 
 def q_sessions(spark, sf):
-    return sessions(_events_ev(spark, sf), EVENTS_CFG)
+    return sessions(_events_ev(spark, sf, columns=session_columns(EVENTS_CFG)), EVENTS_CFG)
 
 
 def q_sessions_passthrough(spark, sf):
     cfg = EVENTS_CFG.with_(session_passthrough=("insert_id", "event_properties"),
                            session_filter="event_type != 'error'")
-    return sessions(_events_ev(spark, sf), cfg)
+    return sessions(_events_ev(spark, sf, columns=session_columns(cfg)), cfg)
 
 
 def q_recent_users_semi_join(spark, sf):
@@ -223,17 +226,21 @@ def q_recent_users_semi_join(spark, sf):
 
 # ---- funnel ----------------------------------------------------------------
 
+FUNNEL_COLUMNS = ["event_type", "people_id", "device_id", "date_day", "source_relation"]
+
+
 def q_funnel(spark, sf):
-    return analyze_funnel(_events_ev(spark, sf), FUNNEL_STEPS)
+    return analyze_funnel(_events_ev(spark, sf, columns=FUNNEL_COLUMNS), FUNNEL_STEPS)
 
 
 def q_funnel_segmented(spark, sf):
-    ev = dedupe_events(stage_events(td.raw_from_events_two_sources(spark, sf), EVENTS_CFG), EVENTS_CFG)
+    ev = dedupe_events(stage_events(td.raw_from_events_two_sources(spark, sf), EVENTS_CFG), EVENTS_CFG,
+                       columns=FUNNEL_COLUMNS)
     return analyze_funnel(ev, ["VIEW", "Click", "purchase", "signup"], group_by_column="source_relation")
 
 
 def q_funnel_criteria(spark, sf):
-    return analyze_funnel(_events_ev(spark, sf), FUNNEL_STEPS,
+    return analyze_funnel(_events_ev(spark, sf, columns=FUNNEL_COLUMNS), FUNNEL_STEPS,
                           conversion_criteria="device_id is not null and date_day >= date '2024-01-15'")
 
 
@@ -246,7 +253,7 @@ def _key_models(spark, sf):
     return [
         ("event", ev, "unique_event_id"),
         ("daily_events", daily_ops.daily_events(ev, first, EVENTS_CFG), "unique_key"),
-        ("monthly_events", monthly_ops.monthly_events(_orders_ev(spark, sf), ORDERS_CFG), "unique_key"),
+        ("monthly_events", monthly_ops.monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG), "unique_key"),
         ("sessions", sessions(ev, EVENTS_CFG), "session_id"),
         ("user_event_date_spine", user_event_spine(first, EVENTS_CFG), "unique_key"),
     ]

@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from eventlens.config import Config
 from eventlens.functions.timeutil import lit_date, shift_date
+from eventlens.operators.daily import EVENT_COLUMNS as DAILY_COLUMNS
 from eventlens.operators.daily import daily_events
 from eventlens.operators.dedupe import dedupe_events
+from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events
-from eventlens.operators.sessions import sessions
+from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
 from eventlens.sources.sinks import high_water_mark, overwrite_partitions, table_exists, write_full
 
@@ -58,14 +60,25 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
     """All models as lazy DataFrames (nothing runs until written/collected)."""
     stg = stage_events(raw, cfg)
     first = user_first_events(stg)
-    ev = events if events is not None else dedupe_events(stg, cfg)
+    if events is not None:
+        ev = events
+        narrow = {"daily": ev, "monthly": ev, "sessions": ev}
+    else:
+        # without a materialised event table every model selects its own
+        # columns before the dedupe, keeping each shuffle narrow
+        ev = dedupe_events(stg, cfg)
+        narrow = {
+            "daily": dedupe_events(stg, cfg, columns=DAILY_COLUMNS),
+            "monthly": dedupe_events(stg, cfg, columns=MONTHLY_COLUMNS),
+            "sessions": dedupe_events(stg, cfg, columns=session_columns(cfg)),
+        }
     return Models(
         staged=stg,
         first_events=first,
         events=ev,
-        daily=daily_events(ev, first, cfg),
-        monthly=monthly_events(ev, cfg, first),
-        sessions=sessions(ev, cfg),
+        daily=daily_events(narrow["daily"], first, cfg),
+        monthly=monthly_events(narrow["monthly"], cfg, first),
+        sessions=sessions(narrow["sessions"], cfg),
     )
 
 
