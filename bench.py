@@ -42,7 +42,7 @@ def main() -> None:
     from eventlens.plans.oracle import oracle_queries
     from eventlens.session import local_session
 
-    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2) if cpus.isdigit() else 16)))
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8"))
     spark = local_session(cpus, shuffle_partitions=shuffle, app_name="eventlens-bench")
 
     def run(name: str) -> float:
