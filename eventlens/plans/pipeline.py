@@ -97,11 +97,15 @@ def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str)
         write_full(df, _path(target_root, name), part, cluster)
 
 
-def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> dt.date:
+def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,
+                    earliest_touched: dt.date | None = None) -> dt.date:
     """Recompute the lookback window and overwrite touched partitions.
 
-    Returns the first rewritten day.  Falls back to a full refresh when the
-    event table does not exist yet.
+    The window starts at the high-water mark minus ``lookback_days``, or
+    earlier when the caller knows an older day received data
+    (``earliest_touched``, e.g. from a streaming micro-batch).  Returns the
+    first rewritten day.  Falls back to a full refresh when the event table
+    does not exist yet.
     """
     event_path = _path(target_root, "event")
     if not table_exists(spark, event_path):
@@ -109,6 +113,8 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
         return dt.date.fromisoformat("2010-01-01")
     hwm = high_water_mark(spark, event_path, "date_day", cfg.as_of_date)
     start = shift_date(hwm, days=-cfg.lookback_days)
+    if earliest_touched is not None and earliest_touched < start:
+        start = earliest_touched
     stg = stage_events(raw, cfg)
     fresh = dedupe_events(stg.where(F.col("date_day") >= lit_date(start)), cfg)
     part, cluster = TABLES["event"]

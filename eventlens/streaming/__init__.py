@@ -1 +1,5 @@
 """Streaming entry points (micro-batch ingestion feeding the incremental run)."""
+
+from eventlens.streaming.ingest import earliest_day, start_ingest
+
+__all__ = ["earliest_day", "start_ingest"]
