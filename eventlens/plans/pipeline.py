@@ -35,7 +35,13 @@ from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
-from eventlens.sources.sinks import high_water_mark, overwrite_partitions, table_exists, write_full
+from eventlens.sources.sinks import (
+    high_water_mark,
+    overwrite_partitions,
+    overwrite_window,
+    table_exists,
+    write_full,
+)
 
 # (table, partition column, clustering keys)
 TABLES = {
@@ -118,7 +124,7 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     stg = stage_events(raw, cfg)
     fresh = dedupe_events(stg.where(F.col("date_day") >= lit_date(start)), cfg)
     part, cluster = TABLES["event"]
-    overwrite_partitions(fresh, event_path, part, cluster)
+    overwrite_window(spark, fresh, event_path, part, start, cluster)
 
     ev = spark.read.parquet(event_path)
     first = user_first_events(stg)
@@ -137,5 +143,5 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
 
     sess = sessions(ev.where(F.col("date_day") >= lit_date(start)), cfg)
     part, cluster = TABLES["sessions"]
-    overwrite_partitions(sess, _path(target_root, "sessions"), part, cluster)
+    overwrite_window(spark, sess, _path(target_root, "sessions"), part, start, cluster)
     return start

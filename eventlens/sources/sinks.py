@@ -56,6 +56,41 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, cluster_b
      .partitionBy(partition_col).save(path))
 
 
+def _partition_values(spark: SparkSession, path: str, partition_col: str) -> set[str]:
+    """Partition values present under ``path`` (a directory listing, no job)."""
+    fs, jpath = _jvm_path(spark, path)
+    if not fs.exists(jpath):
+        return set()
+    prefix = f"{partition_col}="
+    return {st.getPath().getName()[len(prefix):] for st in fs.listStatus(jpath)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)}
+
+
+def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
+                     start: dt.date, cluster_by: list[str] | None = None, fmt: str = "parquet",
+                     staging_root: str | None = None) -> None:
+    """Replace every partition from ``start`` on with ``df``.
+
+    A dynamic overwrite cannot delete a date that now has no rows (say a
+    filter excluded all of it), so the slice is first written to a staging
+    table under the checkpoint directory (this also cuts its lineage), its
+    partitions are listed, swapped in, and partitions of the window that the
+    slice no longer has are deleted.
+    """
+    root = staging_root or spark.conf.get("spark.checkpoint.dir")
+    staging = f"{root.rstrip('/')}/eventlens-slice-{uuid.uuid4().hex}"
+    clustered(df, partition_col, cluster_by).write.format(fmt).mode("overwrite").partitionBy(
+        partition_col).save(staging)
+    fresh = _partition_values(spark, staging, partition_col)
+    if fresh:
+        overwrite_partitions(spark.read.format(fmt).load(staging), path, partition_col, fmt=fmt)
+    fs, _ = _jvm_path(spark, path)
+    for value in _partition_values(spark, path, partition_col) - fresh:
+        if value >= start.isoformat():
+            fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
+    fs.delete(_jvm_path(spark, staging)[1], True)
+
+
 def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, partition_col: str,
                   staging_root: str | None = None, fmt: str = "parquet") -> None:
     """Incremental ``delete+insert`` by unique key.

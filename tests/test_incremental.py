@@ -41,3 +41,16 @@ def test_delete_insert_replaces_keys_only(spark, tmp_path):
     delete_insert(spark, new, path, "k", "date_day")
     got = {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()}
     assert got == {("a", 2), ("b", 1), ("c", 1), ("d", 2)}
+
+
+def test_incremental_clears_days_that_became_empty(spark, tmp_path):
+    raw = td.raw_from_events(spark, SF_SMALL)
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    run_full(spark, raw, EVENTS_CFG, inc)
+    cfg = EVENTS_CFG.with_(event_filter="cast(time as date) != date'2024-01-27'")
+    run_incremental(spark, raw, cfg, inc)
+    run_full(spark, raw, cfg, full)
+    ev = spark.read.parquet(f"{inc}/event")
+    assert ev.where("date_day = date'2024-01-27'").count() == 0
+    for table in ("event", "sessions"):
+        assert_frames_equal(spark.read.parquet(f"{inc}/{table}"), spark.read.parquet(f"{full}/{table}"))
