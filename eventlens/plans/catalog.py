@@ -39,6 +39,8 @@ LONG_TIMEOUT = 360
 LATE_CUT = dt.datetime(2024, 1, 25)
 FRESHNESS_AT = dt.datetime(2024, 2, 2, 12, 0, 0)
 RECENT_SINCE = dt.date(2024, 1, 23)
+RANGE_START = dt.date(2024, 1, 10)
+ORDERS_CUT = dt.date(1998, 1, 1)
 
 
 def _events_stg(spark, sf, cfg=EVENTS_CFG):
@@ -153,6 +155,24 @@ def q_daily_events_sweep(spark, sf):
     return daily_ops.daily_events(ev, user_first_events(stg), ORDERS_CFG)
 
 
+def q_daily_events_two_sources(spark, sf):
+    stg = stage_events(td.raw_from_events_two_sources(spark, sf), EVENTS_CFG)
+    ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
+    return daily_ops.daily_events(ev, user_first_events(stg), EVENTS_CFG)
+
+
+def q_daily_events_date_range(spark, sf):
+    cfg = EVENTS_CFG.with_(date_range_start=RANGE_START)
+    stg = _events_stg(spark, sf, cfg)
+    ev = dedupe_events(stg, cfg, columns=daily_ops.EVENT_COLUMNS)
+    return daily_ops.daily_events(ev, user_first_events(stg), cfg)
+
+
+def q_user_event_spine_date_range(spark, sf):
+    cfg = EVENTS_CFG.with_(date_range_start=RANGE_START)
+    return user_event_spine(user_first_events(_events_stg(spark, sf, cfg)), cfg)
+
+
 # ---- monthly ---------------------------------------------------------------
 
 def q_month_totals_mau(spark, sf):
@@ -179,6 +199,13 @@ def q_churn_lag(spark, sf):
         "number_of_churn_users")
 
 
+def q_monthly_true_new_users(spark, sf):
+    cfg = ORDERS_CFG.with_(date_range_start=ORDERS_CUT, true_new_users=True)
+    stg = _orders_stg(spark, sf, cfg)
+    ev = dedupe_events(stg, cfg, columns=monthly_ops.EVENT_COLUMNS)
+    return monthly_ops.monthly_events(ev, cfg, user_first_events(stg))
+
+
 # ---- sessions --------------------------------------------------------------
 
 def _sessionized(spark, sf):
@@ -219,6 +246,11 @@ def q_sessions_passthrough(spark, sf):
     return sessions(_events_ev(spark, sf, columns=session_columns(cfg)), cfg)
 
 
+def q_sessions_two_sources(spark, sf):
+    stg = stage_events(td.raw_from_events_two_sources(spark, sf), EVENTS_CFG)
+    return sessions(dedupe_events(stg, EVENTS_CFG, columns=session_columns(EVENTS_CFG)), EVENTS_CFG)
+
+
 def q_recent_users_semi_join(spark, sf):
     return recent_actor_events(_events_ev(spark, sf), RECENT_SINCE).select(
         "unique_event_id", "source_relation", "user_id", "occurred_at")
@@ -333,11 +365,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repeat_users": q_repeat_users,
     "daily_events": q_daily_events,
     "daily_events_sweep": q_daily_events_sweep,
+    "daily_events_two_sources": q_daily_events_two_sources,
+    "daily_events_date_range": q_daily_events_date_range,
+    "user_event_spine_date_range": q_user_event_spine_date_range,
     "month_totals_mau": q_month_totals_mau,
     "first_month_window": q_first_month_window,
     "previous_month_lag": q_previous_month_lag,
     "monthly_events": q_monthly_events,
     "churn_lag": q_churn_lag,
+    "monthly_true_new_users": q_monthly_true_new_users,
     "previous_event_lag": q_previous_event_lag,
     "session_numbers": q_session_numbers,
     "session_event_counts": q_session_event_counts,
@@ -345,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_frequencies_capped": q_event_frequencies_capped,
     "sessions": q_sessions,
     "sessions_passthrough": q_sessions_passthrough,
+    "sessions_two_sources": q_sessions_two_sources,
     "recent_users_semi_join": q_recent_users_semi_join,
     "funnel": q_funnel,
     "funnel_segmented": q_funnel_segmented,

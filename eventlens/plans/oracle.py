@@ -141,8 +141,18 @@ def daily_full(p, base, as_of, start=None):
 
 # ---- monthly ----------------------------------------------------------------
 
-def monthly_ctes(p, as_of):
+def monthly_ctes(p, as_of, true_first=False):
     part = "PARTITION BY people_id, event_type, source_relation"
+    ume = (f"SELECT *, min(date_month) OVER ({part}) AS first_month, "
+           f"lag(date_month, 1) OVER ({part} ORDER BY date_month) AS previous_month_with_event FROM {p}sub")
+    if true_first:
+        # first month from the all-time first event (needs {p}first_ev)
+        sp = "PARTITION BY s.people_id, s.event_type, s.source_relation"
+        ume = (f"SELECT s.*, coalesce(CAST(date_trunc('month', f.first_event_day) AS DATE), "
+               f"min(s.date_month) OVER ({sp})) AS first_month, "
+               f"lag(s.date_month, 1) OVER ({sp} ORDER BY s.date_month) AS previous_month_with_event "
+               f"FROM {p}sub s LEFT JOIN {p}first_ev f ON f.people_id IS NOT DISTINCT FROM s.people_id "
+               f"AND f.source_relation = s.source_relation AND f.event_type IS NOT DISTINCT FROM s.event_type")
     ctes = [
         (f"{p}mev", f"SELECT source_relation, event_type, occurred_at, unique_event_id, people_id, "
                     f"CAST(date_trunc('month', occurred_at) AS DATE) AS date_month FROM {p}ev"),
@@ -150,8 +160,7 @@ def monthly_ctes(p, as_of):
                              f"FROM {p}mev GROUP BY 1, 2"),
         (f"{p}sub", f"SELECT source_relation, people_id, event_type, date_month, count(unique_event_id) AS number_of_events "
                     f"FROM {p}mev GROUP BY 1, 2, 3, 4"),
-        (f"{p}ume", f"SELECT *, min(date_month) OVER ({part}) AS first_month, "
-                    f"lag(date_month, 1) OVER ({part} ORDER BY date_month) AS previous_month_with_event FROM {p}sub"),
+        (f"{p}ume", ume),
         (f"{p}metrics",
          f"SELECT u.source_relation, u.date_month, u.event_type, t.total_monthly_active_users, "
          f"count(DISTINCT u.people_id) AS number_of_users, "
@@ -299,6 +308,15 @@ def oracle_queries() -> dict[str, str]:
                                      "is_repeat_user FROM trailing_events")
     q["daily_events"] = with_(daily, "SELECT * FROM daily")
     q["daily_events_sweep"] = with_(daily_full("", orders_base(), C.ORDERS_AS_OF, start=C.ORDERS_START), "SELECT * FROM daily")
+    two = stg_ctes("", RAW_TWO_SOURCES, RAW_EVENTS_COLS, None) + ev_ctes("", as_of)
+    q["daily_events_two_sources"] = with_(daily_full("", two, as_of), "SELECT * FROM daily")
+    ranged = events_base(start=str(C.RANGE_START)) + first_cte("") + spine_ctes("", as_of, start=C.RANGE_START)
+    q["daily_events_date_range"] = with_(ranged + daily_ctes("", as_of), "SELECT * FROM daily")
+    q["user_event_spine_date_range"] = with_(ranged, "SELECT * FROM spine")
+    q["monthly_true_new_users"] = with_(
+        stg_ctes("", RAW_ORDERS, RAW_ORDERS_COLS, td.ORDERS_SOURCE) + ev_ctes("", C.ORDERS_AS_OF, start=str(C.ORDERS_CUT))
+        + first_cte("") + monthly_ctes("", C.ORDERS_AS_OF, true_first=True), "SELECT * FROM monthly")
+    q["sessions_two_sources"] = with_(two + session_ctes("", as_of), "SELECT * FROM sessions")
     monthly = orders_base() + monthly_ctes("", C.ORDERS_AS_OF)
     q["month_totals_mau"] = with_(monthly, "SELECT * FROM month_totals")
     q["first_month_window"] = with_(monthly, "SELECT source_relation, people_id, event_type, date_month, "
