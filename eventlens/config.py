@@ -66,6 +66,8 @@ class Config:
     session_timeout_minutes: int = 30
     session_passthrough: tuple[str, ...] = ()
     event_frequency_limit: int | None = None
+    # also return event counts per type as a map<string, bigint> column
+    event_frequency_map: bool = False
     lookback_days: int = 7
     # explicit "today" for determinism
     as_of_date: dt.date | str = field(default_factory=dt.date.today)

@@ -126,6 +126,8 @@ def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
         _frequencies(pairs, cfg).alias("event_frequencies"),
         lit_date(cfg.as_of_date).alias("run_date"),
         *[F.col(f"first.{c}").alias(c) for c in cfg.session_passthrough],
+        *([F.map_from_entries(F.filter(pairs, lambda x: x["event_type"].isNotNull())).alias("event_frequency_map")]
+          if cfg.event_frequency_map else []),
     )
 
 

@@ -35,6 +35,7 @@ from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
+from eventlens.plans.docs import with_descriptions
 from eventlens.sources.sinks import (
     high_water_mark,
     overwrite_partitions,
@@ -95,12 +96,12 @@ def _path(root: str, table: str) -> str:
 def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> None:
     stg = stage_events(raw, cfg)
     part, cluster = TABLES["event"]
-    write_full(dedupe_events(stg, cfg), _path(target_root, "event"), part, cluster)
+    write_full(with_descriptions(dedupe_events(stg, cfg), "event"), _path(target_root, "event"), part, cluster)
     ev = spark.read.parquet(_path(target_root, "event"))
     m = build(raw, cfg, events=ev)
     for name, df in (("daily_events", m.daily), ("monthly_events", m.monthly), ("sessions", m.sessions)):
         part, cluster = TABLES[name]
-        write_full(df, _path(target_root, name), part, cluster)
+        write_full(with_descriptions(df, name), _path(target_root, name), part, cluster)
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,

@@ -142,3 +142,32 @@ def test_funnel_zero_users_gives_null(spark, models):
     only_anon = models["ev"].where("people_id is null")
     f = analyze_funnel(only_anon, ["view"]).first()
     assert f["number_of_users"] == 0 and f["overall_user_pct_conversion"] is None
+
+
+def test_event_frequency_map(models):
+    s = sessions(models["ev"], CFG.with_(event_frequency_map=True))
+    p3 = s.where("people_id = 'p3'").first()
+    assert p3["event_frequency_map"] == {"click": 1, "view": 1}
+
+
+def test_true_new_users_uses_all_time_first_event(spark):
+    cfg = CFG.with_(date_range_start="2024-05-01", true_new_users=True)
+    stg = stage_events(raw_fixture(spark), cfg)
+    ev, first = dedupe_events(stg, cfg), user_first_events(stg)
+    cut = monthly_events(ev, cfg.with_(true_new_users=False))
+    true = monthly_events(ev, cfg, first)
+    q = "event_type = 'buy' and date_month = date'2024-05-01'"
+    assert cut.where(q).first()["number_of_new_users"] == 1   # first month of the cut table
+    assert true.where(q).first()["number_of_new_users"] == 0  # p6 first bought in March
+
+
+def test_descriptions_persist(spark, tmp_path):
+    from eventlens.plans.docs import register_views, with_descriptions
+
+    df = with_descriptions(spark.createDataFrame([(1, 2)], "number_of_users long, x long"), "daily_events")
+    df.write.parquet(str(tmp_path / "d"))
+    back = spark.read.parquet(str(tmp_path / "d"))
+    assert "first event" not in back.schema["number_of_users"].metadata.get("comment", "")
+    assert back.schema["number_of_users"].metadata["comment"].startswith("Persons with at least one")
+    assert register_views(spark, {"d": back}, prefix="t_") == ["t_d"]
+    assert spark.sql("select count(*) c from t_d").first()["c"] == 1
