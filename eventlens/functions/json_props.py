@@ -12,3 +12,9 @@ def json_property(json_col, name: str) -> Column:
     json_col = F.col(json_col) if isinstance(json_col, str) else json_col
     escaped = name.replace("'", "\\'")
     return F.replace(F.get_json_object(json_col, f"$['{escaped}']"), F.lit('"'), F.lit(""))
+
+
+def json_property_sql(json_col: str, name: str) -> str:
+    """SQL text of ``json_property`` (for wide projections)."""
+    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"replace(get_json_object(`{json_col}`, '$[\\'{escaped}\\']'), '\"', '')"

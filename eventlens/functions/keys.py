@@ -22,6 +22,12 @@ def surrogate_key(*parts) -> Column:
     return F.md5(F.concat_ws("-", *[F.coalesce(_col(p).cast("string"), F.lit(SURROGATE_NULL)) for p in parts]))
 
 
+def surrogate_key_sql(*parts: str) -> str:
+    """SQL text of ``surrogate_key`` over column names (for wide projections)."""
+    inner = ", ".join(f"coalesce(cast(`{p}` as string), '{SURROGATE_NULL}')" for p in parts)
+    return f"md5(concat_ws('-', {inner}))"
+
+
 def concat_key(*parts) -> Column:
     out = []
     for i, p in enumerate(parts):

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.config import Config, PivotProperty
-from eventlens.functions.json_props import json_property
-from eventlens.functions.keys import surrogate_key
+from eventlens.functions.json_props import json_property_sql
+from eventlens.functions.keys import surrogate_key_sql
 from eventlens.functions.timeutil import lit_date
 from eventlens.schema import SAFETY_START_DATE
 
@@ -28,7 +28,7 @@ DEDUPE_KEYS = ["insert_id", "people_id", "event_type", "date_day", "source_relat
 
 
 def with_unique_event_id(stg: DataFrame) -> DataFrame:
-    return stg.withColumn("unique_event_id", surrogate_key(*DEDUPE_KEYS))
+    return stg.selectExpr(f"{surrogate_key_sql(*DEDUPE_KEYS)} AS unique_event_id", "*")
 
 
 def date_range_filtered(stg: DataFrame, cfg: Config) -> DataFrame:
@@ -37,17 +37,24 @@ def date_range_filtered(stg: DataFrame, cfg: Config) -> DataFrame:
     return stg.where(F.col("occurred_at") >= lit_date(start).cast("timestamp_ntz"))
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order`` tuple.
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    ``order`` items are Columns; the remaining columns break any tie, so the
-    result is deterministic.
-    """
+
+# order of the winning row: smallest processing time (NULL last), then the
+# loader row id, then the event time; the rest of the row breaks full ties
+ORDER_SQL = ["isnull(mp_processing_time_ms)", "mp_processing_time_ms", "_fivetran_id", "occurred_at"]
+
+
+def keep_first(df: DataFrame, keys: list[str], order_sql: list[str]) -> DataFrame:
+    """One row per ``keys``: the row with the smallest ``order_sql`` tuple,
+    as ``min(named_struct(order..., row))`` (combines map-side)."""
     payload = [c for c in df.columns if c not in keys]
-    ordered = [o.alias(f"_o{i}") for i, o in enumerate(order)]
-    winner = F.min(F.struct(*ordered, F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row")))
-    return (df.groupBy(*keys).agg(winner.alias("_w"))
-              .select(*keys, *[F.col(f"_w.row.`{c}`").alias(c) for c in payload]))
+    fields = ", ".join(f"'_o{i}', {o}" for i, o in enumerate(order_sql))
+    row = ", ".join(f"'{c}', {_q(c)}" for c in payload)
+    winner = F.expr(f"min(named_struct({fields}, 'row', named_struct({row})))").alias("_w")
+    return (df.groupBy(*keys).agg(winner)
+              .selectExpr(*[_q(k) for k in keys], *[f"_w.row.{_q(c)} AS {_q(c)}" for c in payload]))
 
 
 def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
@@ -57,34 +64,20 @@ def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
     the winner struct is opaque to column pruning, so selecting first keeps
     the shuffle narrow when only metrics are derived."""
     src = date_range_filtered(stg, cfg) if apply_date_range else stg
+    pivots = [p if isinstance(p, PivotProperty) else PivotProperty(p) for p in cfg.properties_to_pivot]
+    out_cols = list(stg.columns)
     if columns is not None:
-        order_cols = ["mp_processing_time_ms", "_fivetran_id", "occurred_at"]
-        keep = list(dict.fromkeys([*DEDUPE_KEYS, *order_cols, *columns]))
-        if cfg.properties_to_pivot:
-            keep.append("event_properties")
-        stg = stg.select(*[c for c in stg.columns if c in keep])
-        src = src.select(*stg.columns)
-    src = with_unique_event_id(src)
-    order = [
-        F.col("mp_processing_time_ms").isNull(),
-        F.col("mp_processing_time_ms"),
-        F.col("_fivetran_id"),
-        F.col("occurred_at"),
-    ]
-    first = keep_first(src, DEDUPE_KEYS, order)
-    out = (first.withColumn("nth_event_record", F.lit(1).cast("long"))
-                .withColumn("run_date", lit_date(cfg.as_of_date)))
-    for prop in cfg.properties_to_pivot:
-        prop = prop if isinstance(prop, PivotProperty) else PivotProperty(prop)
-        out = out.withColumn(prop.output_name, json_property("event_properties", prop.name))
-    leading = ["unique_event_id"]
-    rest = [c for c in stg.columns]
-    tail = ["nth_event_record", "run_date"] + [p.output_name for p in cfg.properties_to_pivot]
-    out = out.select(*leading, *rest, *tail)
-    if columns is not None:
-        out = out.select(*[c for c in out.columns if c in set(columns) | set(DEDUPE_KEYS) | set(tail)
-                           | {"unique_event_id"}])
-    return out
+        keep = set(DEDUPE_KEYS) | set(columns) | {"mp_processing_time_ms", "_fivetran_id", "occurred_at"}
+        if pivots:
+            keep.add("event_properties")
+        src = src.select(*[c for c in stg.columns if c in keep])
+        out_cols = [c for c in stg.columns if c in set(columns) | set(DEDUPE_KEYS)]
+    first = keep_first(with_unique_event_id(src), DEDUPE_KEYS, ORDER_SQL)
+    pivot_sql = [f"{json_property_sql('event_properties', p.name)} AS {_q(p.output_name)}" for p in pivots]
+    return first.selectExpr(
+        "unique_event_id", *[_q(c) for c in out_cols],
+        "CAST(1 AS BIGINT) AS nth_event_record", f"DATE'{cfg.as_of_date.isoformat()}' AS run_date",
+        *pivot_sql)
 
 
 def dedupe_events_window(stg: DataFrame, cfg: Config) -> DataFrame:

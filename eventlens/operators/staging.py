@@ -17,18 +17,25 @@ from eventlens.functions.timeutil import sql_filter
 from eventlens.schema import EVENT_COLUMNS
 
 
-def conformed_columns(raw: DataFrame) -> list:
-    present = {c.lower(): c for c in raw.columns}
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def conformed_columns(raw: DataFrame) -> list[str]:
+    """SQL projections onto the catalogue: present columns cast when their
+    type differs (``try_cast``: dirty values become NULL), missing ones typed
+    NULLs.  Text, so a 44-column projection is one call into the JVM."""
+    present = {f.name.lower(): f for f in raw.schema.fields}
     out = []
     for name, dtype, alias in EVENT_COLUMNS:
-        target = alias or name
-        if name in present:
-            src = F.col(f"`{present[name]}`")
-            field = raw.schema[present[name]]
-            expr = src if field.dataType == dtype else src.try_cast(dtype)
+        target = _q(alias or name)
+        field = present.get(name)
+        if field is None:
+            out.append(f"CAST(NULL AS {dtype.simpleString()}) AS {target}")
+        elif field.dataType == dtype:
+            out.append(f"{_q(field.name)} AS {target}")
         else:
-            expr = F.lit(None).cast(dtype)
-        out.append(expr.alias(target))
+            out.append(f"try_cast({_q(field.name)} AS {dtype.simpleString()}) AS {target}")
     return out
 
 
@@ -36,17 +43,17 @@ def stage_events(raw: DataFrame, cfg: Config) -> DataFrame:
     cond = sql_filter(cfg.event_filter)
     if cond is not None:
         raw = raw.where(cond)
-    if "source_relation" in raw.columns:
-        rel = F.col("source_relation").cast("string")
-    else:
-        rel = F.lit(cfg.source_name)
+    rel = "CAST(source_relation AS STRING)" if "source_relation" in raw.columns else _lit(cfg.source_name)
     if not cfg.preserve_source_case:
-        rel = F.lower(rel)
-    custom = [F.expr(c.transform_sql or f"`{c.name}`").alias(c.output_name) for c in cfg.custom_columns]
-    fields = raw.select(*conformed_columns(raw), rel.alias("source_relation"), *custom)
-    return (fields
-            .withColumn("date_day", F.to_date("occurred_at"))
-            .withColumn("event_type", F.lower("event_type_original_casing")))
+        rel = f"lower({rel})"
+    custom = [f"{c.transform_sql or _q(c.name)} AS {_q(c.output_name)}" for c in cfg.custom_columns]
+    fields = raw.selectExpr(*conformed_columns(raw), f"{rel} AS source_relation", *custom)
+    return fields.selectExpr("*", "to_date(occurred_at) AS date_day",
+                             "lower(event_type_original_casing) AS event_type")
+
+
+def _lit(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def user_first_events(stg: DataFrame) -> DataFrame:
