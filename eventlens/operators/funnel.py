@@ -33,7 +33,7 @@ def analyze_funnel(ev: DataFrame, event_funnel: list[str], group_by_column: str
         cond = cond & extra
     seg = [group_by_column] if group_by_column else []
     grouped = (ev.where(cond).groupBy(*seg, "event_type")
-                 .agg(F.count("unique_event_id").alias("number_of_events"),
+                 .agg(F.count(F.lit(1)).alias("number_of_events"),  # the hash key is never NULL
                       F.count_distinct("people_id").alias("number_of_users")))
     part = Window.partitionBy(*seg) if seg else Window.partitionBy()
     n_ev, n_us = F.col("number_of_events"), F.col("number_of_users")

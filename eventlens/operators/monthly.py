@@ -25,7 +25,7 @@ from eventlens.functions.timeutil import lit_date, month_diff
 
 KEYS = ["source_relation", "people_id", "event_type"]
 # event-table columns the monthly metrics read (for a narrow dedupe)
-EVENT_COLUMNS = ["source_relation", "people_id", "event_type", "occurred_at", "unique_event_id"]
+EVENT_COLUMNS = ["source_relation", "people_id", "event_type", "occurred_at"]
 
 
 def with_month(ev: DataFrame) -> DataFrame:
@@ -40,8 +40,9 @@ def month_totals(ev: DataFrame) -> DataFrame:
 
 def person_months(ev: DataFrame) -> DataFrame:
     """Events per connection, person, type and month (A5)."""
+    # unique_event_id is a hash, never NULL: count rows (no key column read)
     return (with_month(ev).groupBy("source_relation", "people_id", "event_type", "date_month")
-            .agg(F.count("unique_event_id").alias("number_of_events")))
+            .agg(F.count(F.lit(1)).alias("number_of_events")))
 
 
 def user_monthly_events(ev: DataFrame, first: DataFrame | None = None, sub: DataFrame | None = None) -> DataFrame:

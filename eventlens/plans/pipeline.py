@@ -21,6 +21,7 @@ incremental run gives exactly the full-refresh result (N6, N7):
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,8 +94,29 @@ def _path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+FIRST_EVENTS = "user_first_event"
+
+
+def since(stg: DataFrame, start: dt.date) -> DataFrame:
+    """Staged rows on or after ``start``, written on ``occurred_at`` so the
+    bound reaches the raw scan as ``time >= ts`` (pushed down to Parquet row
+    groups / partition pruning), which ``to_date(time) >= d`` would not."""
+    return stg.where(F.col("occurred_at") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
+
+
+def _replace_small_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Rewrite a table that is also an input of ``df``: stage under the
+    checkpoint directory first (cuts the lineage), then overwrite."""
+    root = spark.conf.get("spark.checkpoint.dir")
+    staging = f"{root.rstrip('/')}/eventlens-first-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> None:
     stg = stage_events(raw, cfg)
+    user_first_events(stg).write.mode("overwrite").parquet(_path(target_root, FIRST_EVENTS))
     part, cluster = TABLES["event"]
     write_full(with_descriptions(dedupe_events(stg, cfg), "event"), _path(target_root, "event"), part, cluster)
     ev = spark.read.parquet(_path(target_root, "event"))
@@ -123,12 +145,23 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     if earliest_touched is not None and earliest_touched < start:
         start = earliest_touched
     stg = stage_events(raw, cfg)
-    fresh = dedupe_events(stg.where(F.col("date_day") >= lit_date(start)), cfg)
+    recent = since(stg, start)
+    fresh = dedupe_events(recent, cfg)
     part, cluster = TABLES["event"]
     overwrite_window(spark, fresh, event_path, part, start, cluster)
 
+    # all-time first events: raw is append-only and the first day is a min, so
+    # merging the stored table with the slice equals a rescan of all history
+    first_path = _path(target_root, FIRST_EVENTS)
+    if table_exists(spark, first_path):
+        keys = ["people_id", "source_relation", "event_type"]
+        merged = (spark.read.parquet(first_path).unionByName(user_first_events(recent))
+                  .groupBy(*keys).agg(F.min("first_event_day").alias("first_event_day")))
+        first = _replace_small_table(spark, merged, first_path)
+    else:
+        first = user_first_events(stg)
+
     ev = spark.read.parquet(event_path)
-    first = user_first_events(stg)
     read_from = lit_date(shift_date(start, days=-27))
     daily = daily_events(ev.where(F.col("date_day") >= read_from), first, cfg)
     part, cluster = TABLES["daily_events"]
@@ -136,8 +169,7 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
                          _path(target_root, "daily_events"), part, cluster)
 
     month_start = lit_date(start.replace(day=1))
-    monthly = monthly_events(ev.select("source_relation", "people_id", "event_type", "occurred_at",
-                                       "unique_event_id", "date_day"), cfg, first)
+    monthly = monthly_events(ev.select(*MONTHLY_COLUMNS), cfg, first)
     part, cluster = TABLES["monthly_events"]
     overwrite_partitions(monthly.where(F.col("date_month") >= month_start),
                          _path(target_root, "monthly_events"), part, cluster)
