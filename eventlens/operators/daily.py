@@ -97,47 +97,46 @@ def daily_events_dense(ev: DataFrame, first: DataFrame, cfg: Config, start=None)
 
 
 def active_days(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
-    """One row per person-type-day with activity: ``number_of_events`` and
-    whether the day is the all-time first day.  First days are merged in as
-    marker rows of the same aggregation, so no join is needed."""
+    """Person-type-day rows: ``number_of_events`` (0 on marker-only rows) and
+    whether the day is the all-time first day.
+
+    First events join in as marker rows of the same aggregation (no join).
+    Every key, NULL persons included, gets one marker at its first spine day
+    (its first event day, or the spine start when earlier); it anchors the
+    type's calendar, and since it is the key's smallest day it always sorts
+    first in the key's window."""
     end = lit_date(cfg.spine_end)
-    in_range = F.col("date_day") <= end
+    act = (ev.where(F.col("people_id").isNotNull() & (F.col("date_day") <= end))
+             .select(*PERSON_KEYS, "date_day", F.lit(1).alias("n"), F.lit(0).alias("f")))
     if cfg.date_range_start is not None:
-        in_range = in_range & (F.col("date_day") >= lit_date(cfg.date_range_start))
+        lo = lit_date(cfg.date_range_start)
+        act = act.where(F.col("date_day") >= lo)
+        day = F.greatest(F.col("first_event_day"), lo)
+    else:
+        day = F.col("first_event_day")
+    marks = (first.select(*PERSON_KEYS, day.alias("date_day"), F.lit(0).alias("n"),
+                          (F.col("first_event_day") == day).cast("int").alias("f"))
+                  .where(F.col("date_day") <= end))
     # unique_event_id is a hash, never NULL: counting rows equals counting it
     # and spares reading the key column from a stored event table
-    act = (ev.where(F.col("people_id").isNotNull())
-             .select(*PERSON_KEYS, "date_day", F.lit(1).alias("n"), F.lit(0).alias("f")))
-    # NULL-person markers carry no events and fall out below; not filtering
-    # them keeps this scan of ``first`` identical to the calendar's, so the
-    # exchange is computed once and reused
-    marks = first.select(*PERSON_KEYS, F.col("first_event_day").alias("date_day"),
-                         F.lit(0).alias("n"), F.lit(1).alias("f"))
-    return (act.unionByName(marks).where(in_range)
+    return (act.unionByName(marks)
                .groupBy(*PERSON_KEYS, "date_day")
-               .agg(F.sum("n").cast("long").alias("number_of_events"), F.max("f").alias("is_first_event_day"))
-               .where(F.col("number_of_events") > 0))
-
-
-def calendar(first: DataFrame, cfg: Config) -> DataFrame:
-    """Type x day calendar: from the first event day of the type (or the
-    spine start) to the last spine day.  Small: types x days."""
-    lo = F.col("lo")
-    if cfg.date_range_start is not None:
-        lo = F.greatest(lo, lit_date(cfg.date_range_start))
-    return (first.groupBy("source_relation", "event_type").agg(F.min("first_event_day").alias("lo"))
-                 .select("source_relation", "event_type",
-                         F.explode(days_between(lo, lit_date(cfg.spine_end))).alias("date_day")))
+               .agg(F.sum("n").cast("long").alias("number_of_events"), F.max("f").alias("is_first_event_day")))
 
 
 def daily_events(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
-    act = active_days(ev, first, cfg)
+    rows = active_days(ev, first, cfg)
     w = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
     d = F.col("date_day")
-    prev_day, next_day = F.lag(d).over(w), F.lead(d).over(w)
-    swept = act.select(
+    active = F.col("number_of_events") > 0
+    # marker-only rows are first in their key, so a lag of the active day
+    # never sees them and a lead never lands on them
+    prev_day = F.lag(F.when(active, d)).over(w)
+    next_day = F.lead(d).over(w)
+    swept = rows.select(
         "source_relation", "event_type", "date_day", "number_of_events", "is_first_event_day",
-        F.coalesce(F.datediff(d, prev_day) <= 27, F.lit(False)).cast("int").alias("is_repeat"),
+        active.alias("active"),
+        F.coalesce(F.datediff(d, prev_day) <= 27, F.lit(False)).cast("long").alias("is_repeat"),
         F.least(F.date_add(d, 28), F.coalesce(next_day, F.date_add(d, 28))).alias("end28"),
         F.least(F.date_add(d, 7), F.coalesce(next_day, F.date_add(d, 7))).alias("end7"),
     )
@@ -146,32 +145,38 @@ def daily_events(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
 
     def delta(day, events, users, new, rep, d28, d7):
         return F.struct(day.alias("date_day"), events.alias("e"), users.alias("u"), new.alias("nw"),
-                        rep.alias("rp"), d28.alias("d28"), d7.alias("d7"), zero.alias("cal"))
+                        rep.alias("rp"), d28.alias("d28"), d7.alias("d7"))
 
+    on_day = delta(d, F.col("number_of_events"), one, F.col("is_first_event_day").cast("long"),
+                   F.col("is_repeat"), one, one)
+    anchor = delta(d, zero, zero, zero, zero, zero, zero)
     deltas = swept.select(
         "source_relation", "event_type",
-        F.explode(F.array(
-            delta(d, F.col("number_of_events"), one, F.col("is_first_event_day").cast("long"),
-                  F.col("is_repeat").cast("long"), one, one),
+        F.explode(F.when(F.col("active"), F.array(
+            on_day,
             delta(F.col("end28"), zero, zero, zero, zero, -one, zero),
             delta(F.col("end7"), zero, zero, zero, zero, zero, -one),
-        )).alias("x")).select("source_relation", "event_type", "x.*")
-    cal = calendar(first, cfg).select(
-        "source_relation", "event_type", "date_day", *[zero.alias(c) for c in ["e", "u", "nw", "rp", "d28", "d7"]],
-        one.alias("cal"))
-    per_day = (deltas.unionByName(cal)
+        )).otherwise(F.array(anchor))).alias("x")).select("source_relation", "event_type", "x.*")
+    per_day = (deltas.where(F.col("date_day") <= lit_date(cfg.spine_end))
                .groupBy(*OUT_KEYS)
-               .agg(*[F.sum(c).alias(c) for c in ["e", "u", "nw", "rp", "d28", "d7", "cal"]])
-               .where(F.col("cal") > 0))
-    run = Window.partitionBy("source_relation", "event_type").orderBy("date_day").rowsBetween(
-        Window.unboundedPreceding, 0)
-    agg = per_day.select(
+               .agg(*[F.sum(c).alias(c) for c in ["e", "u", "nw", "rp", "d28", "d7"]]))
+    cal = Window.partitionBy("source_relation", "event_type").orderBy("date_day")
+    run = cal.rowsBetween(Window.unboundedPreceding, 0)
+    stepped = per_day.select(
+        "*", F.sum("d28").over(run).alias("t28"), F.sum("d7").over(run).alias("t7"),
+        F.coalesce(F.date_sub(F.lead("date_day").over(cal), 1), lit_date(cfg.spine_end)).alias("until"))
+    # each row stands for its day and the idle days up to the next row
+    filled = stepped.select(
+        "source_relation", "event_type", "e", "u", "nw", "rp", "t28", "t7", F.col("date_day").alias("from_day"),
+        F.explode(days_between(F.col("date_day"), F.col("until"))).alias("date_day"))
+    same = F.col("date_day") == F.col("from_day")
+    agg = filled.select(
         *OUT_KEYS,
-        F.col("e").alias("number_of_events"),
-        F.col("u").alias("number_of_users"),
-        F.col("nw").alias("number_of_new_users"),
-        F.col("rp").alias("number_of_repeat_users"),
-        F.sum("d28").over(run).alias("trailing_users_28d"),
-        F.sum("d7").over(run).alias("trailing_users_7d"),
+        F.when(same, F.col("e")).otherwise(zero).alias("number_of_events"),
+        F.when(same, F.col("u")).otherwise(zero).alias("number_of_users"),
+        F.when(same, F.col("nw")).otherwise(zero).alias("number_of_new_users"),
+        F.when(same, F.col("rp")).otherwise(zero).alias("number_of_repeat_users"),
+        F.col("t28").alias("trailing_users_28d"),
+        F.col("t7").alias("trailing_users_7d"),
     )
     return _finish(agg, cfg)

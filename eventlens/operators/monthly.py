@@ -6,12 +6,13 @@ month back; *churn* = previous row's users minus this month's repeat users
 (NULL -> 0; compares with the previous *existing* row, N10); MAU counts
 distinct persons over all types.  NULL persons add events, never users (N5).
 
-Plan: one partial aggregation to person x type x month, one window per
-person-type (rows bounded by the number of months, so a hot person is cheap),
-one aggregation to type x month, and a window per type over months.  MAU is
-a second aggregation of the same person-month rows (the events are read and
-de-duplicated once), joined on (connection, month); it holds one row per
-connection and month, so AQE turns the join into a broadcast at runtime.
+Plan: a single chain with no fan-out (so the events are scanned and
+de-duplicated once): one partial aggregation to person x type x month; a
+window per person and month over types flags the person's first type (MAU
+share); a window per person-type gives first and previous month (rows
+bounded by the number of months, so a hot person is cheap); one aggregation
+to type x month; windows per month (MAU = sum of shares) and per type over
+months (churn).  Every window partition is bounded by types or months.
 """
 
 from __future__ import annotations
@@ -66,11 +67,14 @@ def user_monthly_events(ev: DataFrame, first: DataFrame | None = None, sub: Data
 
 def monthly_metrics(ume: DataFrame) -> DataFrame:
     """Per connection, month and type counts (A6); input has one row per
-    person, type and month, so ``count_if`` equals the distinct count."""
+    person, type and month, so ``count_if`` equals the distinct count.
+    ``mau_part`` counts persons whose first type in the month is this type;
+    its sum over the month's types is the month's active users."""
     has_person = F.col("people_id").isNotNull()
     gap = month_diff("previous_month_with_event", "date_month")
     prev = F.col("previous_month_with_event").isNotNull()
     return ume.groupBy("source_relation", "date_month", "event_type").agg(
+        F.count_if(has_person & F.col("is_first_type_in_month")).alias("mau_part"),
         F.count_if(has_person).alias("number_of_users"),
         F.count_if(has_person & (F.col("first_month") == F.col("date_month"))).alias("number_of_new_users"),
         F.count_if(has_person & prev & (gap == 1)).alias("number_of_repeat_users"),
@@ -80,13 +84,17 @@ def monthly_metrics(ume: DataFrame) -> DataFrame:
 
 
 def monthly_events(ev: DataFrame, cfg: Config, first: DataFrame | None = None) -> DataFrame:
+    # one chain, no second branch over the events (a fan-out would scan and
+    # de-duplicate twice): flag each person's first type of the month (window
+    # over the person's types of one month, bounded by the number of types),
+    # count the flags per type, and sum them over the month's types
     sub = person_months(ev)
+    pm = Window.partitionBy("source_relation", "date_month", "people_id").orderBy("event_type")
+    sub = sub.withColumn("is_first_type_in_month", F.row_number().over(pm) == 1)
     ume = user_monthly_events(ev, first if cfg.true_new_users else None, sub=sub)
     metrics = monthly_metrics(ume)
-    # MAU from the person x type x month rows: the event table is read once
-    mau = (sub.groupBy("source_relation", "date_month")
-              .agg(F.count_distinct("people_id").alias("total_monthly_active_users")))
-    joined = metrics.join(mau, ["source_relation", "date_month"], "left")
+    month = Window.partitionBy("source_relation", "date_month")
+    joined = metrics.withColumn("total_monthly_active_users", F.sum("mau_part").over(month))
     w = Window.partitionBy("source_relation", "event_type").orderBy("date_month")
     return joined.select(
         "source_relation", "date_month", "event_type", "total_monthly_active_users",
