@@ -36,7 +36,7 @@ CFG = Config(source_name="test.events", as_of_date="2024-01-30")
 def hot_raw(spark, sf_dir: str, copies: int) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     # narrow replication (no join): every row is exploded into ``copies`` copies
-    x = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("long"))
+    x = ev.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
     hot = (x.event_id % 3) == 0
     eid = x.event_id + x.copy * F.lit(10**9)
     return x.select(
