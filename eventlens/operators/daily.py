@@ -106,7 +106,9 @@ def active_days(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
     type's calendar, and since it is the key's smallest day it always sorts
     first in the key's window."""
     end = lit_date(cfg.spine_end)
-    act = (ev.where(F.col("people_id").isNotNull() & (F.col("date_day") <= end))
+    # the spine joins counts on equality, so NULL persons and NULL event types
+    # never count (their calendar rows still exist, with zeros)
+    act = (ev.where(F.col("people_id").isNotNull() & F.col("event_type").isNotNull() & (F.col("date_day") <= end))
              .select(*PERSON_KEYS, "date_day", F.lit(1).alias("n"), F.lit(0).alias("f")))
     if cfg.date_range_start is not None:
         lo = lit_date(cfg.date_range_start)

@@ -49,6 +49,8 @@ ROWS = [
     # p2: late arrival (synced 10 days later) and a future-dated event
     (A, "view", t("2024-05-25 09:00:00"), "p2", "b2", 1, "f20", None, t("2024-06-04 09:00:00")),
     (A, "view", t("2024-06-30 09:00:00"), "p2", "b3", 1, "f21", None, None),
+    # NULL event name
+    (A, None, t("2024-03-05 10:00:00"), "p2", "z1", 1, "f23", None, None),
     # a second connection sharing a person id
     (B, "play", t("2024-03-01 10:00:00"), "p1", "a1", 10, "f22", None, None),
 ]

@@ -56,7 +56,7 @@ def test_dedupe_golden(models):
     assert "f06" in kept and "f05" not in kept  # NULL insert ids collapse, smallest processing time wins
     assert "f08" in kept and "f07" not in kept  # NULL processing time sorts last
     assert "f22" in kept                   # other connection is never merged
-    assert models["ev"].count() == len(kept) == 19
+    assert models["ev"].count() == len(kept) == 20
 
 
 def test_dedupe_matches_window_form(models):

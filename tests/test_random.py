@@ -37,7 +37,7 @@ def random_rows(seed: int, n: int = 3000):
         insert = None if hot and rng.random() < 0.5 else f"i{rng.integers(0, n // 2)}"
         proc = None if rng.random() < 0.05 else int(rng.integers(0, 100))
         device = f"d{rng.integers(0, 5)}" if not hot and rng.random() < 0.2 else None
-        name = ["View", "click", "buy", "Signup"][int(rng.integers(0, 4))]
+        name = ["View", "click", "buy", "Signup", None][int(rng.integers(0, 5))] if rng.random() < 0.9 else None
         src = "conn_a" if rng.random() < 0.7 else "conn_b"
         rows.append((src, name, when, person, insert, proc, f"f{i}", device, None))
     return rows
