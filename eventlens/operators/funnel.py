@@ -32,6 +32,9 @@ def analyze_funnel(ev: DataFrame, event_funnel: list[str], group_by_column: str
     if extra is not None:
         cond = cond & extra
     seg = [group_by_column] if group_by_column else []
+    if group_by_column and group_by_column not in ev.columns:
+        # an expression segment (e.g. "date_trunc('month', occurred_at)"), named by its text
+        ev = ev.withColumn(group_by_column, F.expr(group_by_column))
     grouped = (ev.where(cond).groupBy(*seg, "event_type")
                  .agg(F.count(F.lit(1)).alias("number_of_events"),  # the hash key is never NULL
                       F.count_distinct("people_id").alias("number_of_users")))

@@ -171,3 +171,11 @@ def test_descriptions_persist(spark, tmp_path):
     assert back.schema["number_of_users"].metadata["comment"].startswith("Persons with at least one")
     assert register_views(spark, {"d": back}, prefix="t_") == ["t_d"]
     assert spark.sql("select count(*) c from t_d").first()["c"] == 1
+
+
+def test_funnel_expression_segment(models):
+    seg = "cast(date_trunc('month', occurred_at) as date)"
+    f = analyze_funnel(models["ev"], ["view", "buy"], group_by_column=seg)
+    assert seg in f.columns
+    may = {r["event_type"]: r["number_of_events"] for r in f.collect() if r[seg] == dt.date(2024, 5, 1)}
+    assert may == {"view": 1, "buy": 1}
