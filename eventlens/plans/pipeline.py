@@ -37,6 +37,7 @@ from eventlens.operators.monthly import monthly_events
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
 from eventlens.plans.docs import with_descriptions
+from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources.sinks import (
     high_water_mark,
     overwrite_partitions,
@@ -107,7 +108,7 @@ def since(stg: DataFrame, start: dt.date) -> DataFrame:
 def _replace_small_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Rewrite a table that is also an input of ``df``: stage under the
     checkpoint directory first (cuts the lineage), then overwrite."""
-    root = spark.conf.get("spark.checkpoint.dir")
+    root = ensure_checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/eventlens-first-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(staging)
     spark.read.parquet(staging).write.mode("overwrite").parquet(path)

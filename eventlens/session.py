@@ -40,13 +40,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only
-    when the cluster did not configure ``spark.checkpoint.dir``."""
+    """Return the session's checkpoint directory (``spark.checkpoint.dir``).
+
+    When it is unset, a temporary folder is created only on a ``local[...]``
+    master (tests, laptops); on a cluster a machine-local folder would not be
+    shared by the executors, so an error asks for a shared location instead.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        configured = jdir.get() if jdir.isDefined() else None
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (staged writes go there)")
     local = tempfile.mkdtemp(prefix="eventlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from eventlens.functions.timeutil import shift_date
 from eventlens.schema import SAFETY_START_DATE
+from eventlens.session import ensure_checkpoint_dir
 
 
 def _jvm_path(spark: SparkSession, path: str):
@@ -77,7 +78,7 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
     partitions are listed, swapped in, and partitions of the window that the
     slice no longer has are deleted.
     """
-    root = staging_root or spark.conf.get("spark.checkpoint.dir")
+    root = staging_root or ensure_checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/eventlens-slice-{uuid.uuid4().hex}"
     clustered(df, partition_col, cluster_by).write.format(fmt).mode("overwrite").partitionBy(
         partition_col).save(staging)
@@ -107,7 +108,7 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
     kept = (existing.join(touched, partition_col, "left_semi")
             .join(df.select(key), key, "left_anti"))
     merged = kept.unionByName(df.select(*existing.columns), allowMissingColumns=True)
-    root = staging_root or spark.conf.get("spark.checkpoint.dir")
+    root = staging_root or ensure_checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/eventlens-merge-{uuid.uuid4().hex}"
     merged.write.format(fmt).mode("overwrite").partitionBy(partition_col).save(staging)
     overwrite_partitions(spark.read.format(fmt).load(staging), path, partition_col, fmt=fmt)
