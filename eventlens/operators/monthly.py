@@ -88,7 +88,10 @@ def monthly_events(ev: DataFrame, cfg: Config, first: DataFrame | None = None) -
     # de-duplicate twice): flag each person's first type of the month (window
     # over the person's types of one month, bounded by the number of types),
     # count the flags per type, and sum them over the month's types
-    sub = person_months(ev)
+    # one exchange by person serves both person windows below (their
+    # partitioning is a superset of it); rows per person are bounded by
+    # types x months, so a hot person stays small
+    sub = person_months(ev).repartition("people_id")
     pm = Window.partitionBy("source_relation", "date_month", "people_id").orderBy("event_type")
     sub = sub.withColumn("is_first_type_in_month", F.row_number().over(pm) == 1)
     ume = user_monthly_events(ev, first if cfg.true_new_users else None, sub=sub)

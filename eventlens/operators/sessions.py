@@ -71,7 +71,11 @@ def minute_type_counts(e: DataFrame, cfg: Config) -> DataFrame:
 
 def minute_sessions(mt: DataFrame, cfg: Config) -> DataFrame:
     """Minute rows with the session decision (W8, W9 at minute grain)."""
-    m = (mt.groupBy(*PART, "minute")
+    # one exchange by actor serves the minute aggregate, the session window
+    # and every later aggregate (all partition by supersets of it); after the
+    # minute-type pre-aggregation an actor holds at most minutes x types rows
+    m = (mt.repartition("user_id")
+           .groupBy(*PART, "minute")
            .agg(F.min("first").alias("first"), F.max("last_at").alias("last_at"),
                 F.sum("n").alias("n"),
                 F.collect_list(F.struct("event_type", "n")).alias("types")))
