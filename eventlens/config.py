@@ -86,6 +86,10 @@ class Config:
             p if isinstance(p, PivotProperty) else PivotProperty(**p) if isinstance(p, dict) else PivotProperty(p)
             for p in self.properties_to_pivot))
         object.__setattr__(self, "session_passthrough", tuple(self.session_passthrough))
+        if self.session_timeout_minutes < 0 or self.lookback_days < 0 or self.spine_horizon_days < 0:
+            raise ValueError("session_timeout_minutes, lookback_days and spine_horizon_days must be >= 0")
+        if self.event_frequency_limit is not None and self.event_frequency_limit < 0:
+            raise ValueError("event_frequency_limit must be >= 0")
 
     @property
     def spine_end(self) -> dt.date:

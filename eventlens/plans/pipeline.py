@@ -39,6 +39,7 @@ from eventlens.operators.staging import stage_events, user_first_events
 from eventlens.plans.docs import with_descriptions
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources.sinks import (
+    delete_insert,
     high_water_mark,
     overwrite_partitions,
     overwrite_window,
@@ -128,7 +129,7 @@ def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str)
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,
-                    earliest_touched: dt.date | None = None) -> dt.date:
+                    earliest_touched: dt.date | None = None, strategy: str = "insert_overwrite") -> dt.date:
     """Recompute the lookback window and overwrite touched partitions.
 
     The window starts at the high-water mark minus ``lookback_days``, or
@@ -136,7 +137,14 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     (``earliest_touched``, e.g. from a streaming micro-batch).  Returns the
     first rewritten day.  Falls back to a full refresh when the event table
     does not exist yet.
+
+    ``strategy`` is how the event table takes the recomputed rows:
+    ``insert_overwrite`` replaces the window's date partitions (rows that
+    vanished upstream go too); ``delete+insert`` replaces rows by
+    ``unique_event_id`` and keeps the others.
     """
+    if strategy not in ("insert_overwrite", "delete+insert"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     event_path = _path(target_root, "event")
     if not table_exists(spark, event_path):
         run_full(spark, raw, cfg, target_root)
@@ -149,7 +157,10 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     recent = since(stg, start)
     fresh = dedupe_events(recent, cfg)
     part, cluster = TABLES["event"]
-    overwrite_window(spark, fresh, event_path, part, start, cluster)
+    if strategy == "delete+insert":
+        delete_insert(spark, with_descriptions(fresh, "event"), event_path, "unique_event_id", part)
+    else:
+        overwrite_window(spark, with_descriptions(fresh, "event"), event_path, part, start, cluster)
 
     # all-time first events: raw is append-only and the first day is a min, so
     # merging the stored table with the slice equals a rescan of all history

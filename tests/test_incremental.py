@@ -54,3 +54,22 @@ def test_incremental_clears_days_that_became_empty(spark, tmp_path):
     assert ev.where("date_day = date'2024-01-27'").count() == 0
     for table in ("event", "sessions"):
         assert_frames_equal(spark.read.parquet(f"{inc}/{table}"), spark.read.parquet(f"{full}/{table}"))
+
+
+def test_delete_insert_strategy_equals_full(spark, tmp_path):
+    raw = td.raw_from_events(spark, SF_SMALL)
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    run_full(spark, raw.where(F.col("_fivetran_synced") < F.lit(LATE_CUT)), EVENTS_CFG, inc)
+    run_incremental(spark, raw, EVENTS_CFG, inc, strategy="delete+insert")
+    run_full(spark, raw, EVENTS_CFG, full)
+    for table in TABLES:
+        assert_frames_equal(spark.read.parquet(f"{inc}/{table}"), spark.read.parquet(f"{full}/{table}"))
+
+
+def test_config_validation():
+    import pytest
+
+    from eventlens.config import Config
+
+    with pytest.raises(ValueError):
+        Config(session_timeout_minutes=-1)
