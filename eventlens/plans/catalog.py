@@ -279,14 +279,17 @@ def q_funnel_criteria(spark, sf):
 # ---- data quality ----------------------------------------------------------
 
 def _key_models(spark, sf):
+    # each check reads one key column, so every model gets only the columns it needs
     stg = _events_stg(spark, sf)
-    ev = dedupe_events(stg, EVENTS_CFG)
     first = user_first_events(stg)
     return [
-        ("event", ev, "unique_event_id"),
-        ("daily_events", daily_ops.daily_events(ev, first, EVENTS_CFG), "unique_key"),
-        ("monthly_events", monthly_ops.monthly_events(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG), "unique_key"),
-        ("sessions", sessions(ev, EVENTS_CFG), "session_id"),
+        ("event", dedupe_events(stg, EVENTS_CFG, columns=[]), "unique_event_id"),
+        ("daily_events", daily_ops.daily_events(dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS),
+                                                first, EVENTS_CFG), "unique_key"),
+        ("monthly_events", monthly_ops.monthly_events(
+            _orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG), "unique_key"),
+        ("sessions", sessions(dedupe_events(stg, EVENTS_CFG, columns=session_columns(EVENTS_CFG)), EVENTS_CFG),
+         "session_id"),
         ("user_event_date_spine", user_event_spine(first, EVENTS_CFG), "unique_key"),
     ]
 
@@ -309,13 +312,14 @@ def _prod_dev(spark, sf):
     out = {}
     for label, cfg in (("prod", EVENTS_CFG), ("dev", EVENTS_CFG.with_(event_filter=DEV_FILTER))):
         stg = stage_events(raw, cfg)
-        ev = dedupe_events(stg, cfg)
         first = user_first_events(stg)
         out[label] = {
-            "event": ev,
-            "daily_events": daily_ops.daily_events(ev, first, cfg),
-            "monthly_events": monthly_ops.monthly_events(ev, cfg),
-            "sessions": sessions(ev, cfg),
+            "event": dedupe_events(stg, cfg),
+            "daily_events": daily_ops.daily_events(dedupe_events(stg, cfg, columns=daily_ops.EVENT_COLUMNS),
+                                                   first, cfg),
+            "monthly_events": monthly_ops.monthly_events(
+                dedupe_events(stg, cfg, columns=monthly_ops.EVENT_COLUMNS), cfg),
+            "sessions": sessions(dedupe_events(stg, cfg, columns=session_columns(cfg)), cfg),
         }
     return out
 
