@@ -84,6 +84,12 @@ def monthly_metrics(ume: DataFrame) -> DataFrame:
 
 
 def monthly_events(ev: DataFrame, cfg: Config, first: DataFrame | None = None) -> DataFrame:
+    return monthly_from_person_months(person_months(ev), cfg, first)
+
+
+def monthly_from_person_months(sub: DataFrame, cfg: Config, first: DataFrame | None = None) -> DataFrame:
+    """Monthly metrics from person x type x month counts (``person_months``),
+    e.g. a stored table that incremental runs update month by month."""
     # one chain, no second branch over the events (a fan-out would scan and
     # de-duplicate twice): flag each person's first type of the month (window
     # over the person's types of one month, bounded by the number of types),
@@ -91,10 +97,10 @@ def monthly_events(ev: DataFrame, cfg: Config, first: DataFrame | None = None) -
     # one exchange by person serves both person windows below (their
     # partitioning is a superset of it); rows per person are bounded by
     # types x months, so a hot person stays small
-    sub = person_months(ev).repartition("people_id")
+    sub = sub.repartition("people_id")
     pm = Window.partitionBy("source_relation", "date_month", "people_id").orderBy("event_type")
     sub = sub.withColumn("is_first_type_in_month", F.row_number().over(pm) == 1)
-    ume = user_monthly_events(ev, first if cfg.true_new_users else None, sub=sub)
+    ume = user_monthly_events(None, first if cfg.true_new_users else None, sub=sub)
     metrics = monthly_metrics(ume)
     month = Window.partitionBy("source_relation", "date_month")
     joined = metrics.withColumn("total_monthly_active_users", F.sum("mau_part").over(month))

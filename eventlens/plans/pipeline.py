@@ -33,7 +33,7 @@ from eventlens.operators.daily import EVENT_COLUMNS as DAILY_COLUMNS
 from eventlens.operators.daily import daily_events
 from eventlens.operators.dedupe import dedupe_events
 from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
-from eventlens.operators.monthly import monthly_events
+from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
 from eventlens.plans.docs import with_descriptions
@@ -47,6 +47,9 @@ from eventlens.sources.sinks import (
     write_full,
 )
 
+# stored person x type x month counts, updated month by month (monthly input)
+PERSON_MONTHS = "person_months"
+
 # (table, partition column, clustering keys)
 TABLES = {
     "event": ("date_day", ["event_type", "people_id", "source_relation"]),
@@ -122,8 +125,12 @@ def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str)
     part, cluster = TABLES["event"]
     write_full(with_descriptions(dedupe_events(stg, cfg), "event"), _path(target_root, "event"), part, cluster)
     ev = spark.read.parquet(_path(target_root, "event"))
+    person_months(ev.select(*MONTHLY_COLUMNS)).write.mode("overwrite").partitionBy("date_month").parquet(
+        _path(target_root, PERSON_MONTHS))
     m = build(raw, cfg, events=ev)
-    for name, df in (("daily_events", m.daily), ("monthly_events", m.monthly), ("sessions", m.sessions)):
+    monthly = monthly_from_person_months(spark.read.parquet(_path(target_root, PERSON_MONTHS)), cfg,
+                                         spark.read.parquet(_path(target_root, FIRST_EVENTS)))
+    for name, df in (("daily_events", m.daily), ("monthly_events", monthly), ("sessions", m.sessions)):
         part, cluster = TABLES[name]
         write_full(with_descriptions(df, name), _path(target_root, name), part, cluster)
 
@@ -180,8 +187,18 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     overwrite_partitions(daily.where(F.col("date_day") >= lit_date(start)),
                          _path(target_root, "daily_events"), part, cluster)
 
-    month_start = lit_date(start.replace(day=1))
-    monthly = monthly_events(ev.select(*MONTHLY_COLUMNS), cfg, first)
+    # person-months of the touched months from the pruned event slice; the
+    # metrics then read the stored person-months (full history, far smaller
+    # than the events) so first and previous months stay exact
+    month_first_day = start.replace(day=1)
+    month_start = lit_date(month_first_day)
+    pm_path = _path(target_root, PERSON_MONTHS)
+    fresh_pm = person_months(ev.where(F.col("date_day") >= month_start).select(*MONTHLY_COLUMNS))
+    if table_exists(spark, pm_path):
+        overwrite_window(spark, fresh_pm, pm_path, "date_month", month_first_day)
+        monthly = monthly_from_person_months(spark.read.parquet(pm_path), cfg, first)
+    else:
+        monthly = monthly_events(ev.select(*MONTHLY_COLUMNS), cfg, first)
     part, cluster = TABLES["monthly_events"]
     overwrite_partitions(monthly.where(F.col("date_month") >= month_start),
                          _path(target_root, "monthly_events"), part, cluster)
