@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.config import Config
-from eventlens.functions.timeutil import lit_date, shift_date
+from eventlens.functions.timeutil import lit_date, shift_date, sql_filter
 from eventlens.operators.daily import EVENT_COLUMNS as DAILY_COLUMNS
 from eventlens.operators.daily import daily_events
-from eventlens.operators.dedupe import dedupe_events
+from eventlens.operators.dedupe import date_range_filtered, dedupe_events
 from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
 from eventlens.operators.sessions import session_columns, sessions
@@ -109,6 +109,12 @@ def since(stg: DataFrame, start: dt.date) -> DataFrame:
     return stg.where(F.col("occurred_at") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
 
 
+def window_days(df: DataFrame) -> list[dt.date]:
+    """Distinct ``date_day`` values of an incremental slice: bounded by the
+    number of days in the window, so collecting them is safe."""
+    return [r["date_day"] for r in df.select("date_day").distinct().collect() if r["date_day"] is not None]
+
+
 def _replace_small_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Rewrite a table that is also an input of ``df``: stage under the
     checkpoint directory first (cuts the lineage), then overwrite."""
@@ -167,7 +173,10 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     if strategy == "delete+insert":
         delete_insert(spark, with_descriptions(fresh, "event"), event_path, "unique_event_id", part)
     else:
-        overwrite_window(spark, with_descriptions(fresh, "event"), event_path, part, start, cluster)
+        # the slice's days (at most the window's length) from a narrow pushed-down
+        # scan, so the slice itself is written once
+        days = window_days(date_range_filtered(recent, cfg))
+        overwrite_window(spark, with_descriptions(fresh, "event"), event_path, part, start, cluster, present=days)
 
     # all-time first events: raw is append-only and the first day is a min, so
     # merging the stored table with the slice equals a rescan of all history
@@ -203,7 +212,10 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     overwrite_partitions(monthly.where(F.col("date_month") >= month_start),
                          _path(target_root, "monthly_events"), part, cluster)
 
-    sess = sessions(ev.where(F.col("date_day") >= lit_date(start)), cfg)
+    recent_ev = ev.where(F.col("date_day") >= lit_date(start))
+    sess = sessions(recent_ev, cfg)
     part, cluster = TABLES["sessions"]
-    overwrite_window(spark, sess, _path(target_root, "sessions"), part, start, cluster)
+    cond = sql_filter(cfg.session_filter)
+    days = window_days(recent_ev.where(cond) if cond is not None else recent_ev)
+    overwrite_window(spark, sess, _path(target_root, "sessions"), part, start, cluster, present=days)
     return start

@@ -72,15 +72,25 @@ def _partition_values(spark: SparkSession, path: str, partition_col: str) -> set
 
 def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
                      start: dt.date, cluster_by: list[str] | None = None, fmt: str = "parquet",
-                     staging_root: str | None = None) -> None:
+                     staging_root: str | None = None, present: list | None = None) -> None:
     """Replace every partition from ``start`` on with ``df``.
 
     A dynamic overwrite cannot delete a date that now has no rows (say a
-    filter excluded all of it), so the slice is first written to a staging
-    table under the checkpoint directory (this also cuts its lineage), its
-    partitions are listed, swapped in, and partitions of the window that the
-    slice no longer has are deleted.
+    filter excluded all of it).  When the caller knows the slice's dates
+    (``present``: a bounded list, the days of the window, e.g. from a narrow
+    distinct over the input), partitions of the window missing from it are
+    deleted first and the slice is written once.  Otherwise the slice is
+    written to a staging table under the checkpoint directory, its partitions
+    are listed, swapped in, and the missing ones deleted.
     """
+    if present is not None:
+        keep = {str(v)[:10] for v in present}
+        fs, _ = _jvm_path(spark, path)
+        for value in _partition_values(spark, path, partition_col) - keep:
+            if value >= start.isoformat():
+                fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
+        overwrite_partitions(df, path, partition_col, cluster_by, fmt=fmt)
+        return
     root = staging_root or ensure_checkpoint_dir(spark)
     staging = f"{root.rstrip('/')}/eventlens-slice-{uuid.uuid4().hex}"
     clustered(df, partition_col, cluster_by).write.format(fmt).mode("overwrite").partitionBy(
