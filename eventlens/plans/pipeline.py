@@ -83,7 +83,8 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
         narrow = {
             "daily": dedupe_events(stg, cfg, columns=DAILY_COLUMNS),
             "monthly": dedupe_events(stg, cfg, columns=MONTHLY_COLUMNS),
-            "sessions": dedupe_events(stg, cfg, columns=session_columns(cfg)),
+            # a session filter is free SQL over any column: keep the full row then
+            "sessions": dedupe_events(stg, cfg, columns=None if cfg.session_filter else session_columns(cfg)),
         }
     return Models(
         staged=stg,

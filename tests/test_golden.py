@@ -179,3 +179,13 @@ def test_funnel_expression_segment(models):
     assert seg in f.columns
     may = {r["event_type"]: r["number_of_events"] for r in f.collect() if r[seg] == dt.date(2024, 5, 1)}
     assert may == {"view": 1, "buy": 1}
+
+
+def test_build_with_session_filter_on_other_columns(spark):
+    from eventlens.plans.pipeline import build
+
+    cfg = CFG.with_(session_filter="insert_id is not null and _fivetran_id != 'f11'")
+    m = build(raw_fixture(spark), cfg)
+    direct = sessions(dedupe_events(stage_events(raw_fixture(spark), cfg), cfg), cfg)
+    assert_frames_equal(m.sessions, direct)
+    assert m.daily.count() > 0 and m.monthly.count() > 0
