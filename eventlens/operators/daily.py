@@ -24,6 +24,8 @@ Two plans with identical output:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from eventlens.config import Config
 from eventlens.functions.keys import concat_key
 from eventlens.functions.timeutil import lit_date
 from eventlens.operators.spine import days_between, user_event_spine
+from eventlens.schema import SAFETY_START_DATE
 
 PERSON_KEYS = ["source_relation", "people_id", "event_type"]
 # event-table columns the daily metrics read (for a narrow dedupe)
@@ -127,38 +130,93 @@ def active_days(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
 
 
 def daily_events(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
+    """Daily metrics from a de-duplicated event table and all-time first events."""
     rows = active_days(ev, first, cfg)
     w = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
     d = F.col("date_day")
     active = F.col("number_of_events") > 0
     # marker-only rows are first in their key, so a lag of the active day
     # never sees them and a lead never lands on them
-    prev_day = F.lag(F.when(active, d)).over(w)
-    next_day = F.lead(d).over(w)
     swept = rows.select(
-        "source_relation", "event_type", "date_day", "number_of_events", "is_first_event_day",
+        "source_relation", "event_type", "date_day", "number_of_events",
+        F.col("is_first_event_day").cast("long").alias("is_first"),
+        active.alias("active"),
+        F.when(~active, d).alias("anchor_day"),
+        F.lag(F.when(active, d)).over(w).alias("prev_day"),
+        F.lead(d).over(w).alias("next_day"),
+    )
+    return _sweep_tail(swept, cfg)
+
+
+def daily_events_from_staged(stg: DataFrame, cfg: Config) -> DataFrame:
+    """Daily metrics straight from staged events in one scan.
+
+    The dedupe groups are the distinct (connection, person, type, day,
+    insert id) tuples, so a person-day's event count is its number of groups
+    (a map-side-combined distinct, then a count).  The window over a person's
+    days also gives the all-time first day (``min``, days before
+    ``date_range_start`` included), so no separate first-event pass is needed.
+    Equal to ``daily_events(dedupe_events(stg), user_first_events(stg))``.
+    """
+    end = lit_date(cfg.spine_end)
+    # the bound on occurred_at (not date_day) reaches the raw scan as `time < ..`
+    after_end = F.lit(cfg.spine_end + dt.timedelta(days=1)).cast("timestamp_ntz")
+    groups = (stg.where(F.col("occurred_at") < after_end)
+                 .select(*PERSON_KEYS, "date_day", "insert_id")
+                 .distinct())
+    per_day = groups.groupBy(*PERSON_KEYS, "date_day").agg(F.count(F.lit(1)).alias("groups"))
+    w = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
+    d = F.col("date_day")
+    # counted days follow the event table's lower bound (the safety date when
+    # no range is set); the calendar starts at the first day, clamped only by
+    # an explicit range start, as the spine does
+    active = (F.col("people_id").isNotNull() & F.col("event_type").isNotNull()
+              & (d >= lit_date(cfg.date_range_start or SAFETY_START_DATE)))
+    anchor = F.col("first_event_day")
+    if cfg.date_range_start is not None:
+        anchor = F.greatest(anchor, lit_date(cfg.date_range_start))
+    first_row = F.row_number().over(w) == 1
+    rows = per_day.select("*", F.min(d).over(Window.partitionBy(*PERSON_KEYS)).alias("first_event_day"))
+    swept = rows.select(
+        "source_relation", "event_type", "date_day",
+        F.when(active, F.col("groups")).otherwise(F.lit(0)).cast("long").alias("number_of_events"),
+        (d == F.col("first_event_day")).cast("long").alias("is_first"),
         active.alias("active"),
-        F.coalesce(F.datediff(d, prev_day) <= 27, F.lit(False)).cast("long").alias("is_repeat"),
-        F.least(F.date_add(d, 28), F.coalesce(next_day, F.date_add(d, 28))).alias("end28"),
-        F.least(F.date_add(d, 7), F.coalesce(next_day, F.date_add(d, 7))).alias("end7"),
+        F.when(first_row, anchor).alias("anchor_day"),
+        # rows before the range start come first in a key and are inactive,
+        # so the lag of the active day skips them
+        F.lag(F.when(active, d)).over(w).alias("prev_day"),
+        F.lead(d).over(w).alias("next_day"),
     )
+    return _sweep_tail(swept, cfg)
+
+
+def _sweep_tail(swept: DataFrame, cfg: Config) -> DataFrame:
+    """From per person-day rows (``active`` ones carry events; ``anchor_day``
+    marks a calendar start) to the daily table: +1/-1 deltas, per-type sums,
+    running trailing counts, idle days filled by ``sequence``."""
+    d = F.col("date_day")
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
-
-    def delta(day, events, users, new, rep, d28, d7):
-        return F.struct(day.alias("date_day"), events.alias("e"), users.alias("u"), new.alias("nw"),
-                        rep.alias("rp"), d28.alias("d28"), d7.alias("d7"))
-
-    on_day = delta(d, F.col("number_of_events"), one, F.col("is_first_event_day").cast("long"),
-                   F.col("is_repeat"), one, one)
-    anchor = delta(d, zero, zero, zero, zero, zero, zero)
-    deltas = swept.select(
-        "source_relation", "event_type",
-        F.explode(F.when(F.col("active"), F.array(
-            on_day,
-            delta(F.col("end28"), zero, zero, zero, zero, -one, zero),
-            delta(F.col("end7"), zero, zero, zero, zero, zero, -one),
-        )).otherwise(F.array(anchor))).alias("x")).select("source_relation", "event_type", "x.*")
+    prev_day, next_day = F.col("prev_day"), F.col("next_day")
+    is_repeat = F.coalesce(F.datediff(d, prev_day) <= 27, F.lit(False)).cast("long")
+    end28 = F.least(F.date_add(d, 28), F.coalesce(next_day, F.date_add(d, 28)))
+    end7 = F.least(F.date_add(d, 7), F.coalesce(next_day, F.date_add(d, 7)))
+
+    def delta(keep, day, events, users, new, rep, d28, d7):
+        return F.struct(keep.alias("k"), day.alias("date_day"), events.alias("e"), users.alias("u"),
+                        new.alias("nw"), rep.alias("rp"), d28.alias("d28"), d7.alias("d7"))
+
+    act = F.col("active")
+    items = F.array(
+        delta(act, d, F.col("number_of_events"), one, F.col("is_first"), is_repeat, one, one),
+        delta(act, end28, zero, zero, zero, zero, -one, zero),
+        delta(act, end7, zero, zero, zero, zero, zero, -one),
+        delta(F.col("anchor_day").isNotNull(), F.col("anchor_day"), zero, zero, zero, zero, zero, zero),
+    )
+    deltas = (swept.select("source_relation", "event_type", F.explode(F.filter(items, lambda x: x["k"])).alias("x"))
+                   .select("source_relation", "event_type", "x.date_day", "x.e", "x.u", "x.nw", "x.rp", "x.d28",
+                           "x.d7"))
     per_day = (deltas.where(F.col("date_day") <= lit_date(cfg.spine_end))
                .groupBy(*OUT_KEYS)
                .agg(*[F.sum(c).alias(c) for c in ["e", "u", "nw", "rp", "d28", "d7"]]))

@@ -144,18 +144,15 @@ def q_repeat_users(spark, sf):
 
 
 def q_daily_events(spark, sf):
-    stg = _events_stg(spark, sf)
-    ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
-    return daily_ops.daily_events(ev, user_first_events(stg), EVENTS_CFG)
+    return daily_ops.daily_events_from_staged(_events_stg(spark, sf), EVENTS_CFG)
 
 
 def q_daily_events_sweep(spark, sf):
-    stg = _orders_stg(spark, sf)
-    ev = dedupe_events(stg, ORDERS_CFG, columns=daily_ops.EVENT_COLUMNS)
-    return daily_ops.daily_events(ev, user_first_events(stg), ORDERS_CFG)
+    return daily_ops.daily_events_from_staged(_orders_stg(spark, sf), ORDERS_CFG)
 
 
 def q_daily_events_two_sources(spark, sf):
+    # the two-input form (stored event table + first events), as run_full uses it
     stg = stage_events(td.raw_from_events_two_sources(spark, sf), EVENTS_CFG)
     ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
     return daily_ops.daily_events(ev, user_first_events(stg), EVENTS_CFG)
@@ -163,9 +160,7 @@ def q_daily_events_two_sources(spark, sf):
 
 def q_daily_events_date_range(spark, sf):
     cfg = EVENTS_CFG.with_(date_range_start=RANGE_START)
-    stg = _events_stg(spark, sf, cfg)
-    ev = dedupe_events(stg, cfg, columns=daily_ops.EVENT_COLUMNS)
-    return daily_ops.daily_events(ev, user_first_events(stg), cfg)
+    return daily_ops.daily_events_from_staged(_events_stg(spark, sf, cfg), cfg)
 
 
 def q_user_event_spine_date_range(spark, sf):

@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from eventlens.config import Config
 from eventlens.functions.timeutil import lit_date, shift_date, sql_filter
-from eventlens.operators.daily import EVENT_COLUMNS as DAILY_COLUMNS
-from eventlens.operators.daily import daily_events
+from eventlens.operators.daily import daily_events, daily_events_from_staged
 from eventlens.operators.dedupe import date_range_filtered, dedupe_events
 from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
@@ -81,7 +80,6 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
         # columns before the dedupe, keeping each shuffle narrow
         ev = dedupe_events(stg, cfg)
         narrow = {
-            "daily": dedupe_events(stg, cfg, columns=DAILY_COLUMNS),
             "monthly": dedupe_events(stg, cfg, columns=MONTHLY_COLUMNS),
             # a session filter is free SQL over any column: keep the full row then
             "sessions": dedupe_events(stg, cfg, columns=None if cfg.session_filter else session_columns(cfg)),
@@ -90,7 +88,7 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
         staged=stg,
         first_events=first,
         events=ev,
-        daily=daily_events(narrow["daily"], first, cfg),
+        daily=daily_events(narrow["daily"], first, cfg) if events is not None else daily_events_from_staged(stg, cfg),
         monthly=monthly_events(narrow["monthly"], cfg, first),
         sessions=sessions(narrow["sessions"], cfg),
     )

@@ -189,3 +189,22 @@ def test_build_with_session_filter_on_other_columns(spark):
     direct = sessions(dedupe_events(stage_events(raw_fixture(spark), cfg), cfg), cfg)
     assert_frames_equal(m.sessions, direct)
     assert m.daily.count() > 0 and m.monthly.count() > 0
+
+
+@pytest.mark.parametrize("start", [None, "2024-03-06"])
+def test_daily_from_staged_equals_two_input_form(spark, start):
+    cfg = CFG.with_(date_range_start=start)
+    stg = stage_events(raw_fixture(spark), cfg)
+    two = daily_ops.daily_events(dedupe_events(stg, cfg), user_first_events(stg), cfg)
+    assert_frames_equal(daily_ops.daily_events_from_staged(stg, cfg), two)
+
+
+@pytest.mark.parametrize("start", [None, "1999-06-01"])
+def test_daily_from_staged_respects_safety_bound(spark, start):
+    from eventlens.sources import testdata as td
+    from tests.conftest import SF_SMALL
+
+    cfg = Config(source_name="test.orders", as_of_date="2001-08-01", date_range_start=start)
+    stg = stage_events(td.raw_from_orders(spark, SF_SMALL), cfg)
+    two = daily_ops.daily_events(dedupe_events(stg, cfg), user_first_events(stg), cfg)
+    assert_frames_equal(daily_ops.daily_events_from_staged(stg, cfg), two)

@@ -70,6 +70,12 @@ def test_random_daily(data):
     assert_same(got, con.sql(O.with_(q, "SELECT * FROM daily")))
 
 
+def test_random_daily_single_scan(data):
+    stg, con = data
+    q = ctes() + O.first_cte("") + O.spine_ctes("", AS_OF) + O.daily_ctes("", AS_OF)
+    assert_same(daily_ops.daily_events_from_staged(stg, CFG), con.sql(O.with_(q, "SELECT * FROM daily")))
+
+
 def test_random_monthly(data):
     stg, con = data
     assert_same(monthly_events(dedupe_events(stg, CFG), CFG),
