@@ -175,8 +175,11 @@ def daily_events_from_staged(stg: DataFrame, cfg: Config) -> DataFrame:
     anchor = F.col("first_event_day")
     if cfg.date_range_start is not None:
         anchor = F.greatest(anchor, lit_date(cfg.date_range_start))
-    first_row = F.row_number().over(w) == 1
-    rows = per_day.select("*", F.min(d).over(Window.partitionBy(*PERSON_KEYS)).alias("first_event_day"))
+    # rows are ordered by day and days are unique per key: the running first
+    # value is the key's first day, and the first row is the one on that day
+    # (one window operator for first, lag and lead)
+    rows = per_day.select("*", F.first(d).over(w).alias("first_event_day"))
+    first_row = d == F.col("first_event_day")
     swept = rows.select(
         "source_relation", "event_type", "date_day",
         F.when(active, F.col("groups")).otherwise(F.lit(0)).cast("long").alias("number_of_events"),
@@ -203,20 +206,21 @@ def _sweep_tail(swept: DataFrame, cfg: Config) -> DataFrame:
     end28 = F.least(F.date_add(d, 28), F.coalesce(next_day, F.date_add(d, 28)))
     end7 = F.least(F.date_add(d, 7), F.coalesce(next_day, F.date_add(d, 7)))
 
-    def delta(keep, day, events, users, new, rep, d28, d7):
-        return F.struct(keep.alias("k"), day.alias("date_day"), events.alias("e"), users.alias("u"),
-                        new.alias("nw"), rep.alias("rp"), d28.alias("d28"), d7.alias("d7"))
-
-    act = F.col("active")
-    items = F.array(
-        delta(act, d, F.col("number_of_events"), one, F.col("is_first"), is_repeat, one, one),
-        delta(act, end28, zero, zero, zero, zero, -one, zero),
-        delta(act, end7, zero, zero, zero, zero, zero, -one),
-        delta(F.col("anchor_day").isNotNull(), F.col("anchor_day"), zero, zero, zero, zero, zero, zero),
-    )
-    deltas = (swept.select("source_relation", "event_type", F.explode(F.filter(items, lambda x: x["k"])).alias("x"))
-                   .select("source_relation", "event_type", "x.date_day", "x.e", "x.u", "x.nw", "x.rp", "x.d28",
-                           "x.d7"))
+    def delta(day, events, users, new, rep, d28, d7):
+        return F.struct(day.alias("date_day"), events.alias("e"), users.alias("u"), new.alias("nw"),
+                        rep.alias("rp"), d28.alias("d28"), d7.alias("d7"))
+
+    on_day = [delta(d, F.col("number_of_events"), one, F.col("is_first"), is_repeat, one, one),
+              delta(end28, zero, zero, zero, zero, -one, zero),
+              delta(end7, zero, zero, zero, zero, zero, -one)]
+    anchor = delta(F.col("anchor_day"), zero, zero, zero, zero, zero, zero)
+    act, anc = F.col("active"), F.col("anchor_day").isNotNull()
+    # CASE over fixed arrays (NULL explodes to no rows) keeps the projection in
+    # whole-stage codegen; a lambda filter would not
+    items = (F.when(act & anc, F.array(*on_day, anchor)).when(act, F.array(*on_day))
+              .when(anc, F.array(anchor)))
+    deltas = (swept.select("source_relation", "event_type", F.explode(items).alias("x"))
+                   .select("source_relation", "event_type", "x.*"))
     per_day = (deltas.where(F.col("date_day") <= lit_date(cfg.spine_end))
                .groupBy(*OUT_KEYS)
                .agg(*[F.sum(c).alias(c) for c in ["e", "u", "nw", "rp", "d28", "d7"]]))
