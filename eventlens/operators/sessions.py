@@ -89,13 +89,12 @@ def minute_sessions(mt: DataFrame, cfg: Config) -> DataFrame:
         w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def _frequencies(pairs, cfg: Config):
-    rendered = F.transform(F.array_sort(pairs),
-                           lambda x: F.concat(x["event_type"], F.lit(": "), x["n"].cast("string")))
-    text = F.when(F.exists(rendered, lambda s: s.isNotNull()),
-                  F.concat(F.lit("{"), F.array_join(rendered, ", "), F.lit("}")))
+def _frequencies(rendered, n_types, cfg: Config):
+    """``{type: n, ...}`` from the sorted ``type: n`` texts (NULL types render
+    NULL and are skipped by ``array_join``); NULL when no type is known.
+    Built-in array functions only, so it stays in whole-stage codegen."""
+    text = F.when(n_types > 0, F.concat(F.lit("{"), F.array_join(rendered, ", "), F.lit("}")))
     if cfg.event_frequency_limit is not None:
-        n_types = F.size(F.filter(pairs, lambda x: x["event_type"].isNotNull()))
         text = F.when(n_types <= F.lit(cfg.event_frequency_limit), text).otherwise(F.lit(TOO_MANY_EVENT_TYPES))
     return text
 
@@ -111,13 +110,18 @@ def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
     e = session_events(ev, cfg)
     m = minute_sessions(minute_type_counts(e, cfg), cfg)
     st = session_type_counts(m)
-    s = st.groupBy(*PART, "session_number").agg(
+    per_type = F.struct("event_type", F.concat("event_type", F.lit(": "), F.col("number_of_events").cast("string"))
+                        .alias("text"))
+    aggs = [
         F.min("first").alias("first"),
         F.sum("number_of_events").alias("total_number_of_events"),
-        F.collect_list(F.struct("event_type", "number_of_events")).alias("pairs"),
-    )
-    pairs = F.transform("pairs", lambda x: F.struct(x["event_type"].alias("event_type"),
-                                                      x["number_of_events"].alias("n")))
+        F.sort_array(F.collect_list(per_type)).alias("pairs"),
+        F.count("event_type").alias("n_types"),
+    ]
+    if cfg.event_frequency_map:
+        known = F.when(F.col("event_type").isNotNull(), F.struct("event_type", "number_of_events"))
+        aggs.append(F.map_from_entries(F.collect_list(known)).alias("event_frequency_map"))
+    s = st.groupBy(*PART, "session_number").agg(*aggs)
     return s.select(
         "source_relation",
         surrogate_key("user_id", "session_number", "date_day", "source_relation").alias("session_id"),
@@ -127,11 +131,10 @@ def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
         "user_id",
         F.col("first.device_id").alias("device_id"),
         F.col("total_number_of_events").cast("long").alias("total_number_of_events"),
-        _frequencies(pairs, cfg).alias("event_frequencies"),
+        _frequencies(F.col("pairs.text"), F.col("n_types"), cfg).alias("event_frequencies"),
         lit_date(cfg.as_of_date).alias("run_date"),
         *[F.col(f"first.{c}").alias(c) for c in cfg.session_passthrough],
-        *([F.map_from_entries(F.filter(pairs, lambda x: x["event_type"].isNotNull())).alias("event_frequency_map")]
-          if cfg.event_frequency_map else []),
+        *(["event_frequency_map"] if cfg.event_frequency_map else []),
     )
 
 
