@@ -22,6 +22,7 @@ from eventlens.config import Config, PivotProperty
 from eventlens.functions.json_props import json_property_sql
 from eventlens.functions.keys import surrogate_key_sql
 from eventlens.functions.timeutil import lit_date
+from eventlens.operators.staging import always_null_columns
 from eventlens.schema import SAFETY_START_DATE
 
 DEDUPE_KEYS = ["insert_id", "people_id", "event_type", "date_day", "source_relation"]
@@ -72,10 +73,18 @@ def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
             keep.add("event_properties")
         src = src.select(*[c for c in stg.columns if c in keep])
         out_cols = [c for c in stg.columns if c in set(columns) | set(DEDUPE_KEYS)]
-    first = keep_first(with_unique_event_id(src), DEDUPE_KEYS, ORDER_SQL)
+    # columns absent from the source are NULL on every row: keep them out of
+    # the winner struct (a narrower sort and shuffle) and re-create them
+    nulls = always_null_columns(src) - set(DEDUPE_KEYS) - {"mp_processing_time_ms", "_fivetran_id", "occurred_at"}
+    if pivots:
+        nulls.discard("event_properties")
+    types = {f.name: f.dataType.simpleString() for f in src.schema.fields}
+    carried = with_unique_event_id(src).select(*[c for c in ["unique_event_id", *src.columns] if c not in nulls])
+    first = keep_first(carried, DEDUPE_KEYS, ORDER_SQL)
     pivot_sql = [f"{json_property_sql('event_properties', p.name)} AS {_q(p.output_name)}" for p in pivots]
     return first.selectExpr(
-        "unique_event_id", *[_q(c) for c in out_cols],
+        "unique_event_id",
+        *[f"CAST(NULL AS {types[c]}) AS {_q(c)}" if c in nulls else _q(c) for c in out_cols],
         "CAST(1 AS BIGINT) AS nth_event_record", f"DATE'{cfg.as_of_date.isoformat()}' AS run_date",
         *pivot_sql)
 
