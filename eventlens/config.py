@@ -75,6 +75,9 @@ class Config:
     spine_horizon_days: int = 6
     # monthly new users from the all-time first event instead of the cut table
     true_new_users: bool = False
+    # churn against the previous existing row ("previous_row", as the reference)
+    # or against the calendar's previous month, 0 when it had no row
+    churn_mode: str = "previous_row"
 
     def __post_init__(self):
         object.__setattr__(self, "as_of_date", _as_date(self.as_of_date))
@@ -88,6 +91,8 @@ class Config:
         object.__setattr__(self, "session_passthrough", tuple(self.session_passthrough))
         if self.session_timeout_minutes < 0 or self.lookback_days < 0 or self.spine_horizon_days < 0:
             raise ValueError("session_timeout_minutes, lookback_days and spine_horizon_days must be >= 0")
+        if self.churn_mode not in ("previous_row", "previous_month"):
+            raise ValueError("churn_mode must be 'previous_row' or 'previous_month'")
         if self.event_frequency_limit is not None and self.event_frequency_limit < 0:
             raise ValueError("event_frequency_limit must be >= 0")
 

@@ -105,12 +105,16 @@ def monthly_from_person_months(sub: DataFrame, cfg: Config, first: DataFrame | N
     month = Window.partitionBy("source_relation", "date_month")
     joined = metrics.withColumn("total_monthly_active_users", F.sum("mau_part").over(month))
     w = Window.partitionBy("source_relation", "event_type").orderBy("date_month")
+    prev_users = F.lag("number_of_users").over(w)
+    if cfg.churn_mode == "previous_month":
+        # an idle previous month has no row: its users are 0
+        prev_users = F.when(month_diff(F.lag("date_month").over(w), F.col("date_month")) == 1, prev_users)\
+                      .otherwise(F.lit(0).cast("long"))
     return joined.select(
         "source_relation", "date_month", "event_type", "total_monthly_active_users",
         "number_of_users", "number_of_new_users", "number_of_repeat_users", "number_of_return_users",
         "number_of_events",
-        F.coalesce(F.lag("number_of_users").over(w) - F.col("number_of_repeat_users"), F.lit(0))
-        .alias("number_of_churn_users"),
+        F.coalesce(prev_users - F.col("number_of_repeat_users"), F.lit(0)).alias("number_of_churn_users"),
         concat_key("date_month", "event_type", "source_relation").alias("unique_key"),
         lit_date(cfg.as_of_date).alias("run_date"),
     )

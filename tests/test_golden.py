@@ -208,3 +208,11 @@ def test_daily_from_staged_respects_safety_bound(spark, start):
     stg = stage_events(td.raw_from_orders(spark, SF_SMALL), cfg)
     two = daily_ops.daily_events(dedupe_events(stg, cfg), user_first_events(stg), cfg)
     assert_frames_equal(daily_ops.daily_events_from_staged(stg, cfg), two)
+
+
+def test_churn_modes(models):
+    q = "event_type = 'buy' and date_month = date'2024-05-01'"
+    row = monthly_events(models["ev"], CFG).where(q).first()
+    cal = monthly_events(models["ev"], CFG.with_(churn_mode="previous_month")).where(q).first()
+    assert row["number_of_churn_users"] == 1   # compares with March, the previous existing row
+    assert cal["number_of_churn_users"] == 0   # April had no buyers
