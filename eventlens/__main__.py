@@ -19,7 +19,7 @@ import json
 from pyspark.sql import SparkSession
 
 from eventlens.config import Config
-from eventlens.plans.pipeline import run_full, run_incremental
+from eventlens.plans.pipeline import run_checks, run_full, run_incremental
 from eventlens.sources.events import read_events, read_events_csv, union_connections
 
 
@@ -32,6 +32,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--mode", choices=["full", "incremental"], default="incremental")
     p.add_argument("--strategy", choices=["insert_overwrite", "delete+insert"], default="insert_overwrite")
     p.add_argument("--config", help="JSON file with Config fields")
+    p.add_argument("--check", action="store_true", help="run key checks on the tables; exit 1 on failures")
     return p.parse_args(argv)
 
 
@@ -60,6 +61,12 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         run_full(spark, raw, cfg, args.target)
     else:
         run_incremental(spark, raw, cfg, args.target, strategy=args.strategy)
+    if args.check:
+        failed = [r for r in run_checks(spark, args.target).collect() if r["failures"]]
+        for r in failed:
+            print(f"check failed: {r['model']}.{r['column_name']} {r['test']}: {r['failures']}")
+        if failed:
+            raise SystemExit(1)
 
 
 if __name__ == "__main__":

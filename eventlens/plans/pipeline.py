@@ -35,6 +35,7 @@ from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import stage_events, user_first_events
+from eventlens.operators.quality import not_null_check, union_all, unique_check
 from eventlens.plans.docs import with_descriptions
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources.sinks import (
@@ -218,3 +219,18 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     days = window_days(recent_ev.where(cond) if cond is not None else recent_ev)
     overwrite_window(spark, sess, _path(target_root, "sessions"), part, start, cluster, present=days)
     return start
+
+
+# key of every stored table, as the reference tests them (unique + not_null)
+TABLE_KEYS = {"event": "unique_event_id", "daily_events": "unique_key", "monthly_events": "unique_key",
+              "sessions": "session_id"}
+
+
+def run_checks(spark: SparkSession, target_root: str) -> DataFrame:
+    """Unique and not-null checks of every stored table's key (Q1, Q2): one
+    summary row per check, each a scan of the key column only."""
+    frames = []
+    for table, key in TABLE_KEYS.items():
+        df = spark.read.parquet(_path(target_root, table)).select(key)
+        frames += [unique_check(df, key, table), not_null_check(df, key, table)]
+    return union_all(frames)

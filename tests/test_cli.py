@@ -19,8 +19,17 @@ def test_cli_full_then_incremental(spark, tmp_path):
     target = str(tmp_path / "out")
     args = ["--source", landing, "--target", target, "--as-of", "2024-01-30", "--config", str(cfg)]
     main(args + ["--mode", "full"], spark=spark)
-    main(args + ["--mode", "incremental"], spark=spark)
+    main(args + ["--mode", "incremental", "--check"], spark=spark)
     expected = str(tmp_path / "expected")
     run_full(spark, raw, EVENTS_CFG, expected)
     for table in TABLES:
         assert_frames_equal(spark.read.parquet(f"{target}/{table}"), spark.read.parquet(f"{expected}/{table}"))
+
+
+def test_run_checks_summary(spark, tmp_path):
+    from eventlens.plans.pipeline import run_checks
+
+    target = str(tmp_path / "t")
+    run_full(spark, td.raw_from_events(spark, SF_SMALL), EVENTS_CFG, target)
+    rows = run_checks(spark, target).collect()
+    assert len(rows) == 8 and all(r["failures"] == 0 for r in rows)
