@@ -33,3 +33,16 @@ def test_run_checks_summary(spark, tmp_path):
     run_full(spark, td.raw_from_events(spark, SF_SMALL), EVENTS_CFG, target)
     rows = run_checks(spark, target).collect()
     assert len(rows) == 8 and all(r["failures"] == 0 for r in rows)
+
+
+def test_cli_several_named_sources(spark, tmp_path):
+    raw = td.raw_from_events(spark, SF_SMALL)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    raw.where("event_id % 2 = 0").write.parquet(a)
+    raw.where("event_id % 2 = 1").write.parquet(b)
+    target = str(tmp_path / "out")
+    main(["--source", f"Conn.A={a}", "--source", f"conn.b={b}", "--target", target, "--as-of", "2024-01-30",
+          "--mode", "full"], spark=spark)
+    ev = spark.read.parquet(f"{target}/event")
+    got = {r["source_relation"]: r["count"] for r in ev.groupBy("source_relation").count().collect()}
+    assert set(got) == {"conn.a", "conn.b"} and sum(got.values()) == raw.count()

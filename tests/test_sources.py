@@ -53,3 +53,11 @@ def test_global_filter_uses_raw_names(spark):
     raw = spark.createDataFrame([("x", "u1"), ("y", "u2")], "name string, distinct_id string")
     stg = stage_events(raw, Config(event_filter="distinct_id != 'u2'"))
     assert [r["people_id"] for r in stg.collect()] == ["u1"]
+
+
+def test_read_events_from_catalog_table(spark):
+    from eventlens.sources.events import read_events
+
+    raw = spark.createDataFrame([("x", "u1")], "name string, distinct_id string")
+    raw.createOrReplaceTempView("raw_events_view")
+    assert read_events(spark, "raw_events_view", fmt="table").count() == 1
