@@ -37,7 +37,7 @@ def test_no_forbidden_operators(spark, name):
 EXCHANGE_BUDGET = {
     "dedupe_events": 1,
     "sessions": 3,
-    "daily_events": 6,
+    "daily_events": 5,
     "monthly_events": 6,
     "funnel": 4,
     "lookback_incremental_events": 1,
