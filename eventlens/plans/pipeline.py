@@ -131,8 +131,9 @@ def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str)
     part, cluster = TABLES["event"]
     write_full(with_descriptions(dedupe_events(stg, cfg), "event"), _path(target_root, "event"), part, cluster)
     ev = spark.read.parquet(_path(target_root, "event"))
-    person_months(ev.select(*MONTHLY_COLUMNS)).write.mode("overwrite").partitionBy("date_month").parquet(
-        _path(target_root, PERSON_MONTHS))
+    # static overwrite (write_full): the stored table gets its _SUCCESS marker,
+    # which incremental runs check before merging into it
+    write_full(person_months(ev.select(*MONTHLY_COLUMNS)), _path(target_root, PERSON_MONTHS), "date_month")
     m = build(raw, cfg, events=ev)
     monthly = monthly_from_person_months(spark.read.parquet(_path(target_root, PERSON_MONTHS)), cfg,
                                          spark.read.parquet(_path(target_root, FIRST_EVENTS)))

@@ -84,7 +84,7 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
     are listed, swapped in, and the missing ones deleted.
     """
     if present is not None:
-        keep = {str(v)[:10] for v in present}
+        keep = {v if isinstance(v, str) else v.isoformat() for v in present}
         fs, _ = _jvm_path(spark, path)
         for value in _partition_values(spark, path, partition_col) - keep:
             if value >= start.isoformat():
