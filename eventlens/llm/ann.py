@@ -8,10 +8,11 @@ its next best axes.  Candidates are ranked by exact cosine on the original
 vectors, in double precision.
 
 Vectors of equal components are stored once, with as many of their smallest
-ids as a result can hold, so a very common vector is one candidate.  A bucket
-fed by few distinct vectors stays small; one that is large is still met by the
-query set only, which is split by salt.  Queries for which the tables give
-fewer candidates than asked for are held against all vectors, in blocks.
+ids as a result can hold, so a very common vector is one candidate.  The query
+set meets the stored vectors in blocks: each pair of a query block and a part
+of the index looks up its buckets and keeps the best ``k + 1`` per query, so no
+candidate pair leaves its task.  Queries for which the tables give fewer
+candidates than asked for are held against all vectors, in the same blocks.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Stored vectors of a bucket are dealt to so many parts, each of which meets the bucket's queries.
-SALTS = 8
+#: Queries, and stored vectors, that one task holds against each other.
+QUERY_BLOCK, INDEX_PART = 1024, 8192
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -93,40 +94,70 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda v: v != 0)
 
 
-def _keys(df: DataFrame, signs: np.ndarray, probes: int) -> DataFrame:
-    """``df`` (``node``, ``vector``) with a row for each bucket: ``node, vector, key``."""
+def _with_keys(df: DataFrame, tables: int, hashes: int, probes: int, seed: int) -> DataFrame:
+    """``node, vector, least`` with ``keys``: ``probes`` buckets of each table, table after table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        signs: dict[int, np.ndarray] = {}
         for pdf in batches:
-            for a in range(0, len(pdf), 1000):
-                part = pdf.iloc[a : a + 1000]
-                x = np.stack([np.asarray(v, dtype=float) for v in part["vector"]])
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
-                got = buckets(x, signs, probes).reshape(len(x), -1)
-                yield pd.DataFrame({"node": part["node"].to_numpy(), "keys": [np.unique(k) for k in got]})
-
-    keyed = df.mapInPandas(run, "node long, keys array<long>")
-    return keyed.select("node", F.explode("keys").alias("key"))
-
-
-def _scored(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Exact cosine of (``q``, ``node``) pairs, by the vectors of both."""
-    wide = pairs.join(queries.select(F.col("node").alias("q"), F.col("vector").alias("q_vector")), "q").join(classes.select("node", "vector"), "node")
-
-    @F.pandas_udf("double")
-    def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([cos(np.asarray(x, dtype=float), np.asarray(y, dtype=float)) for x, y in zip(a, b, strict=True)], dtype=float)
-
-    return wide.select("q", "node", cosine("q_vector", "vector").alias("score"))
-
-
-def cos(x: np.ndarray, y: np.ndarray) -> float:
-    """Cosine in double precision; scaled first where squares could overflow or vanish."""
-    top, bottom = np.abs(x).max(), np.abs(y).max()
-    if not (1e-100 < top < 1e100 and 1e-100 < bottom < 1e100):
-        x, y = x / top, y / bottom
-    return float(np.dot(x, y) / math.sqrt(np.dot(x, x) * np.dot(y, y)))
+            for dim, same in pdf.groupby(pdf["vector"].map(len)):
+                if dim not in signs:
+                    signs[dim] = rotations(dim, tables, hashes, seed)
+                for a in range(0, len(same), 1000):
+                    part = same.iloc[a : a + 1000]
+                    x = np.stack([np.asarray(v, dtype=float) for v in part["vector"]])
+                    x = x / np.abs(x).max(axis=1, keepdims=True)
+                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    yield part.assign(keys=list(buckets(x, signs[dim], probes).reshape(len(x), -1)))
+
+    return df.select("node", "vector", "least").mapInPandas(run, "node long, vector array<double>, least long, keys array<long>")
+
+
+def cosines(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Cosine of ``x`` with each row, in double precision; scaled first where squares could overflow or vanish."""
+
+    def tame(v: np.ndarray) -> np.ndarray:
+        top = np.abs(v).max(axis=-1, keepdims=True)
+        return np.where((top > 1e100) | (top < 1e-100), v / top, v)
+
+    x, rows = tame(x), tame(rows)
+    return (rows @ x) / np.sqrt((rows * rows).sum(axis=1) * (x @ x))
+
+
+def _best(asked: DataFrame, index: DataFrame, tables: int, k: int, everything: bool) -> DataFrame:
+    """The best ``k + 1`` candidate classes of each query in each index part: ``q, node, least, score``."""
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    parts = max(1, -(-index.count() // INDEX_PART))
+    left = asked.select(F.col("node").alias("q"), "vector", "keys", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    right = index.select("node", "vector", "least", "keys", F.pmod(F.xxhash64("node", F.lit("part")), F.lit(parts)).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+    def run(_key, ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for dim, rows in own.groupby(own["vector"].map(len)):
+            x = np.stack([np.asarray(v, dtype=float) for v in rows["vector"]])
+            keys = np.stack([np.asarray(v) for v in rows["keys"]])
+            order = np.argsort(keys, axis=0, kind="stable")
+            ranked = np.take_along_axis(keys, order, axis=0)
+            node, least = rows["node"].to_numpy(), rows["least"].to_numpy()
+            for q, vec, probes in zip(ask["q"], ask["vector"], ask["keys"], strict=True):
+                if len(vec) != dim:
+                    continue
+                if everything:
+                    near = np.arange(len(x))
+                else:
+                    hits = []
+                    for t, wanted in enumerate(np.asarray(probes).reshape(tables, -1)):
+                        low, high = np.searchsorted(ranked[:, t], wanted, "left"), np.searchsorted(ranked[:, t], wanted, "right")
+                        hits += [order[a:b, t] for a, b in zip(low, high, strict=True) if a < b]
+                    if not hits:
+                        continue
+                    near = np.unique(np.concatenate(hits))
+                score = cosines(np.asarray(vec, dtype=float), x[near])
+                top = np.lexsort((least[near], -score))[: k + 1]
+                out += [(q, node[near[i]], least[near[i]], score[i]) for i in top]
+        return pd.DataFrame(out, columns=["q", "node", "least", "score"])
+
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(run, "q long, node long, least long, score double")
 
 
 def nearest(
@@ -135,9 +166,9 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 5,
-    tables: int = 24,
-    hashes: int = 1,
-    probes: int = 8,
+    tables: int = 40,
+    hashes: int = 2,
+    probes: int = 32,
     seed: int = 3,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query row: ``query_id, rank, id, score``.
@@ -158,60 +189,24 @@ def nearest(
     few = few.withColumn("nth", F.row_number().over(Window.partitionBy("node", F.pmod("id", F.lit(64))).orderBy("id"))).where(F.col("nth") <= k + 1)
     few = few.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("id"))).where(F.col("nth") <= k + 1).select("node", F.col("id").alias("member"), "nth")
     few = stored(few, "ann-members")
-    classes = stored(rows.groupBy("node").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks")), "ann-classes")
-    asking = classes.where("asks")
-    out = "query_id long, rank int, id long, score double"
-    dims = [r[0] for r in classes.select(F.size("vector")).distinct().collect()]
-    if not dims:
-        return vectors.sparkSession.createDataFrame([], out).withColumnRenamed("id", id_col)
-    pairs = None
-    for dim in sorted(dims):  # almost always one
-        signs = rotations(dim, tables, hashes, seed)
-        in_dim = F.size("vector") == dim
-        stored_at = _keys(classes.where(in_dim).select("node", "vector"), signs, 1).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-        probed_at = _keys(asking.where(in_dim).select("node", "vector"), signs, probes).select(F.col("node").alias("q"), "key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        got = probed_at.join(stored_at, ["key", "salt"]).select("q", "node").distinct()
-        pairs = got if pairs is None else pairs.unionByName(got)
-    scored = stored(_scored(pairs, asking, classes), "ann-scored")
+    classes = rows.groupBy("node").agg(F.first("vector").alias("vector"), F.min("id").alias("least"), F.max("asks").alias("asks"))
+    classes = stored(classes, "ann-classes")
+    index = stored(_with_keys(classes, tables, hashes, 1, seed), "ann-index")
+    asking = stored(_with_keys(classes.where("asks"), tables, hashes, probes, seed), "ann-queries")
 
     def top(df: DataFrame) -> DataFrame:
         """(q, member, score) of each query class, ``k + 1`` at most."""
-        order = Window.partitionBy("q").orderBy(F.desc("score"), "member")
         near = Window.partitionBy("q").orderBy(F.desc("score"), "least")
-        least = few.where("nth = 1").select("node", F.col("member").alias("least"))
-        df = df.join(least, "node").withColumn("place", F.dense_rank().over(near)).where(F.col("place") <= k + 1)
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "member")
+        df = df.withColumn("place", F.row_number().over(near)).where(F.col("place") <= k + 1)
         return df.join(few, "node").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1).select("q", "member", "score")
 
-    found = stored(top(scored), "ann-found")
-    counts = found.groupBy("q").agg(F.count("*").alias("n")).where(F.col("n") <= k).select("q")
-    without = asking.select(F.col("node").alias("q")).join(found.select("q").distinct(), "q", "left_anti")
-    short = stored(counts.unionByName(without), "ann-short")
+    found = stored(top(_best(asking, index, tables, k, False)), "ann-found")
+    enough = found.groupBy("q").agg(F.count("*").alias("n")).where(F.col("n") > k).select(F.col("q").alias("node"))
+    short = stored(asking.join(enough, "node", "left_anti"), "ann-short")
     if not short.isEmpty():
-        found = found.join(short, "q", "left_anti").unionByName(top(_against_all(short, asking, classes, k)))
+        found = found.join(short.select(F.col("node").alias("q")), "q", "left_anti").unionByName(top(_best(short, index, tables, k, True)))
     asked = ids.where("asks").select(F.col("id").alias("query_id"), F.col("node").alias("q")).distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "member")
     ranked = asked.join(found, "q").where("member != query_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("member").alias(id_col), "score")
-
-
-def _against_all(short: DataFrame, asking: DataFrame, classes: DataFrame, k: int, block: int = 256) -> DataFrame:
-    """Exact best ``k + 1`` classes of the queries in ``short``: blocks of
-    queries against parts of the stored vectors, each of which keeps its best."""
-    asked = short.join(asking.select(F.col("node").alias("q"), F.col("vector").alias("q_vector")), "q")
-    blocks = max(1, -(-asked.count() // block))
-    parts = max(1, -(-classes.count() // 20_000))
-    left = asked.select("q", "q_vector", F.pmod(F.xxhash64("q"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    right = classes.select("node", "vector", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(parts)).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-
-    def best(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        by_dim = {}
-        for node, vec in zip(b["node"], b["vector"], strict=True):
-            by_dim.setdefault(len(vec), []).append((node, np.asarray(vec, dtype=float)))
-        for q, vec in zip(a["q"], a["q_vector"], strict=True):
-            x = np.asarray(vec, dtype=float)
-            scores = sorted(((-cos(x, y), node) for node, y in by_dim.get(len(x), [])))[: k + 1]
-            rows += [(q, node, -s) for s, node in scores]
-        return pd.DataFrame(rows, columns=["q", "node", "score"])
-
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(best, "q long, node long, score double")

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pii, toxicity
+from .ann import nearest
 from .common import read_table
 from .fingerprint import fingerprints_with_next
+from .licenses import scan_licenses
+from .lm_score import stupid_backoff
 from .mixing import mix
 from .near_dup import near_duplicates
 from .pieces import encode_documents, load_model
@@ -93,14 +96,31 @@ def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints_with_next(read_table(spark, sf_dir, "documents"))
 
 
+def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stupid_backoff(read_table(spark, sf_dir, "documents"))
+
+
+def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.array_max(F.transform("licenses", lambda x: F.struct(x["coverage"], x["license"])))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), best["license"].alias("license"), F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"), "licenses")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_bbit_minhash": op2_bbit_minhash,
     "op3_budget_mix": op3_budget_mix,
     "op4_splitter_shards": op4_splitter_shards,
     "op5_crf_toxicity": op5_crf_toxicity,
+    "op6_stupid_backoff": op6_stupid_backoff,
     "op7_weighted_fingerprints": op7_weighted_fingerprints,
     "op8_streaming_viterbi": op8_streaming_viterbi,
+    "op9_cross_polytope": op9_cross_polytope,
+    "op10_patience_licenses": op10_patience_licenses,
 }
 
 #: DuckDB statements of the queries that SQL can express.
