@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[Span]:
         if m:
             out.append((start, done, "email"))
         at = text.find("@", done)
-    out += [(m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = _NOT_DIGIT.sub("", m[0])
@@ -136,7 +136,7 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
     key = _KEY.search(text[max(0, a - 25) : a].rstrip("\"' =:") )
     shape = {
         "email": 1,
-        "ip": int(len(groups) == 4 and all(int(g) <= 255 for g in groups)),
+        "ip": int(len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)),
         "card": int(len(digits) == 16 and [len(g) for g in groups] in ([16], [4] * 4)),
         "phone": int(s[0] in "+(" and 9 <= len(digits) <= 15),
         "secret": int(bool(re.fullmatch(r"[0-9a-fA-F]{32,64}|[A-Za-z0-9+/_-]{20,}", s))),
