@@ -128,8 +128,8 @@ def _best(asked: DataFrame, index: DataFrame, tables: int, k: int, everything: b
     """The best ``k + 1`` candidate classes of each query in each index part: ``q, node, least, score``."""
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     parts = max(1, -(-index.count() // INDEX_PART))
-    left = asked.select(F.col("node").alias("q"), "vector", "keys", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    right = index.select("node", "vector", "least", "keys", F.pmod(F.xxhash64("node", F.lit("part")), F.lit(parts)).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    left = asked.select(F.col("node").alias("q"), "vector", "keys", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    right = index.select("node", "vector", "least", "keys", F.pmod(F.xxhash64("node", F.lit("part")), F.lit(parts)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def run(_key, ask: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -166,13 +166,16 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 5,
-    tables: int = 40,
+    tables: int = 48,
     hashes: int = 2,
-    probes: int = 32,
+    probes: int | None = None,
     seed: int = 3,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query row: ``query_id, rank, id, score``.
 
+    ``probes`` buckets of each table are looked up.  Neighbours are the nearer
+    the more vectors there are, so by default it falls from 128 with the square
+    root of their number, to 32 for 256,000 vectors and more.
     Queries are the rows that ``is_query`` accepts, candidates all other rows.
     Null vectors, empty or zero ones and those with a null or non-finite
     component take no part, nor do null ids; vectors of different lengths are
@@ -191,6 +194,8 @@ def nearest(
     few = stored(few, "ann-members")
     classes = rows.groupBy("node").agg(F.first("vector").alias("vector"), F.min("id").alias("least"), F.max("asks").alias("asks"))
     classes = stored(classes, "ann-classes")
+    if probes is None:
+        probes = int(min(128, max(32, 128 * math.sqrt(16_000 / max(1, classes.count())))))
     index = stored(_with_keys(classes, tables, hashes, 1, seed), "ann-index")
     asking = stored(_with_keys(classes.where("asks"), tables, hashes, probes, seed), "ann-queries")
 
