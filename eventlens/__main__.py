@@ -40,7 +40,8 @@ def load_raw(spark: SparkSession, sources: list[str], fmt: str):
     def read(path):
         return read_events_csv(spark, path) if fmt == "csv" else read_events(spark, path, fmt)
 
-    named = [s.split("=", 1) if "=" in s else [None, s] for s in sources]
+    # a name has no slash: what follows one (a partition folder, say) is part of a path
+    named = [s.split("=", 1) if "/" not in s.split("=", 1)[0] and "=" in s else [None, s] for s in sources]
     if len(named) == 1 and named[0][0] is None:
         return read(named[0][1])
     if any(name is None for name, _ in named):

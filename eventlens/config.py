@@ -55,17 +55,17 @@ class Config:
     # provenance tag used when a single raw table is read (S3)
     source_name: str = "default.event"
     preserve_source_case: bool = False
+    # catalogue name -> name in this loader's raw table, where they differ
+    raw_names: dict[str, str] = field(default_factory=dict)
     custom_columns: tuple[CustomColumn, ...] = ()
     properties_to_pivot: tuple[PivotProperty | str, ...] = ()
     # filters given as Spark SQL text or Column
     event_filter: str | Column | None = None
     session_filter: str | Column | None = None
-    # None: event table keeps everything since the safety date, the spine
-    # starts at the earliest first event
+    # None: no lower bound; the spine starts at the earliest first event
     date_range_start: dt.date | str | None = None
     session_timeout_minutes: int = 30
     session_passthrough: tuple[str, ...] = ()
-    event_frequency_limit: int | None = None
     # also return event counts per type as a map<string, bigint> column
     event_frequency_map: bool = False
     lookback_days: int = 7
@@ -75,7 +75,7 @@ class Config:
     spine_horizon_days: int = 6
     # monthly new users from the all-time first event instead of the cut table
     true_new_users: bool = False
-    # churn against the previous existing row ("previous_row", as the reference)
+    # churn against the previous existing row ("previous_row")
     # or against the calendar's previous month, 0 when it had no row
     churn_mode: str = "previous_row"
 
@@ -93,8 +93,6 @@ class Config:
             raise ValueError("session_timeout_minutes, lookback_days and spine_horizon_days must be >= 0")
         if self.churn_mode not in ("previous_row", "previous_month"):
             raise ValueError("churn_mode must be 'previous_row' or 'previous_month'")
-        if self.event_frequency_limit is not None and self.event_frequency_limit < 0:
-            raise ValueError("event_frequency_limit must be >= 0")
 
     @property
     def spine_end(self) -> dt.date:

@@ -2,19 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def json_property(json_col, name: str) -> Column:
-    """Value of top-level property ``name`` (case sensitive; spaces and dots
-    allowed) as a string with JSON quotes removed."""
-    json_col = F.col(json_col) if isinstance(json_col, str) else json_col
-    escaped = name.replace("'", "\\'")
-    return F.replace(F.get_json_object(json_col, f"$['{escaped}']"), F.lit('"'), F.lit(""))
-
-
 def json_property_sql(json_col: str, name: str) -> str:
-    """SQL text of ``json_property`` (for wide projections)."""
+    """SQL text: value of top-level property ``name`` (case sensitive; spaces and
+    dots allowed) as a string with JSON quotes removed."""
     escaped = name.replace("\\", "\\\\").replace("'", "\\'")
     return f"replace(get_json_object(`{json_col}`, '$[\\'{escaped}\\']'), '\"', '')"

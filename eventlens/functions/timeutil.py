@@ -26,17 +26,6 @@ def shift_date(value: dt.date, days: int = 0, months: int = 0) -> dt.date:
     return value + dt.timedelta(days=days)
 
 
-def minute_boundary_diff(start, end) -> Column:
-    """Minutes between two timestamps counted as minute boundaries crossed.
-
-    ``00:00:59 -> 00:31:00`` is 31, not 30: both sides are truncated to the
-    minute first, which is how the warehouse ``datediff(minute, ..)`` counts.
-    """
-    start = F.col(start) if isinstance(start, str) else start
-    end = F.col(end) if isinstance(end, str) else end
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", start), F.date_trunc("minute", end))
-
-
 def month_diff(start, end) -> Column:
     """Whole months between two month-start dates (exact for month starts)."""
     start = F.col(start) if isinstance(start, str) else start

@@ -1,6 +1,6 @@
 """Dataset operators: each is a DataFrame -> DataFrame function."""
 
-from eventlens.operators.daily import daily_events, daily_events_dense, daily_user_counts
+from eventlens.operators.daily import daily_events, daily_user_counts
 from eventlens.operators.dedupe import dedupe_events
 from eventlens.operators.funnel import analyze_funnel
 from eventlens.operators.monthly import month_totals, monthly_events, user_monthly_events
@@ -20,7 +20,6 @@ __all__ = [
     "compare_row_counts",
     "compare_row_sets",
     "daily_events",
-    "daily_events_dense",
     "daily_user_counts",
     "date_spine",
     "dedupe_events",

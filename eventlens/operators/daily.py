@@ -1,25 +1,22 @@
 """Daily activity per connection x event type x day.
 
-Metrics (reference definitions): users active today; *new* = today is the
+Metrics: users active today; *new* = today is the
 person's all-time first day for the type; *repeat* = active today and on any
 of the 27 preceding days; *return* = users - new - repeat; trailing k = persons
 with an event in the k days ending today.  Persons with NULL ids never count
 but their type/day rows exist (N5).  The calendar runs from the first event
 day (or ``date_range_start``) to ``as_of + 6``; later events are ignored.
 
-Two plans with identical output:
+The plan is a sweep: only *active* person-days are materialised.  A window
+over each person's active days (bounded by the calendar length, so a hot
+person cannot overload a task) gives the previous and next active day; each
+active day contributes +1 on its day and -1 when it leaves the trailing window
+(or when the next active day takes over).  Summing these deltas per type and
+day and a running sum over a small type x day calendar gives the trailing
+counts.  All aggregates combine map-side.
 
-``daily_events_dense``  the reference shape: dense person x type x day spine,
-    left join of per-day counts, three sliding windows.  Rows = persons x
-    types x days, which is the bottleneck at scale.  Kept as the test oracle.
-
-``daily_events``  the sweep plan: only *active* person-days are materialised.
-    A window over each person's active days (bounded by the calendar length,
-    so a hot person cannot overload a task) gives the previous and next active
-    day; each active day contributes +1 on its day and -1 when it leaves the
-    trailing window (or when the next active day takes over).  Summing these
-    deltas per type and day and a running sum over a small type x day
-    calendar gives the trailing counts.  All aggregates combine map-side.
+``person_day_activity`` lays the same activity out per person and calendar day
+(persons x types x days rows), for inspection of single persons.
 """
 
 from __future__ import annotations
@@ -33,7 +30,6 @@ from eventlens.config import Config
 from eventlens.functions.keys import concat_key
 from eventlens.functions.timeutil import lit_date
 from eventlens.operators.spine import days_between, user_event_spine
-from eventlens.schema import SAFETY_START_DATE
 
 PERSON_KEYS = ["source_relation", "people_id", "event_type"]
 # event-table columns the daily metrics read (for a narrow dedupe)
@@ -47,26 +43,36 @@ def daily_user_counts(ev: DataFrame) -> DataFrame:
               .agg(F.count("unique_event_id").alias("number_of_events")))
 
 
-def spine_joined(ev: DataFrame, first: DataFrame, cfg: Config, start=None) -> DataFrame:
-    """Dense spine with the day's event count, 0 when idle."""
-    spine = user_event_spine(first, cfg, start).alias("s")
-    counts = daily_user_counts(ev).alias("c")
-    cond = [F.col(f"s.{k}") == F.col(f"c.{k}") for k in ["date_day", "people_id", "event_type", "source_relation"]]
-    return spine.join(counts, cond, "left").select(
-        "s.source_relation", "s.date_day", "s.people_id", "s.event_type", "s.is_first_event_day",
-        F.coalesce(F.col("c.number_of_events"), F.lit(0)).alias("number_of_events"))
-
+def person_day_activity(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
+    """Every calendar day of every known (person, type): events that day (J1),
+    whether any fell into the last 28 and 7 days, and whether the person is a
+    repeat user (W2-W4).
 
-def trailing_flags(joined: DataFrame) -> DataFrame:
-    """Sliding windows over the dense spine."""
-    w = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
-    n = F.col("number_of_events")
-    return joined.select(
-        "*",
-        (F.sum(n).over(w.rowsBetween(-27, 0)) > 0).alias("has_event_in_last_28_days"),
-        (F.sum(n).over(w.rowsBetween(-6, 0)) > 0).alias("has_event_in_last_7_days"),
-        (F.coalesce(F.sum(n).over(w.rowsBetween(-27, -1)) > 0, F.lit(False)) & (n > 0)).alias("is_repeat_user"),
-    )
+    An active day reaches forward to the next one, so each (person, type) has
+    an ordered list of active days; a calendar day looks up the latest active
+    day at or before it, which alone decides all flags.
+    """
+    days = user_event_spine(first, cfg).select("source_relation", "date_day", "people_id", "event_type", "is_first_event_day")
+    counts = daily_user_counts(ev).where(F.col("people_id").isNotNull() & F.col("event_type").isNotNull())
+    rows = (days.withColumn("n", F.lit(0).cast("long"))
+            .unionByName(counts.select(*OUT_KEYS, "people_id", F.col("number_of_events").alias("n"),
+                                       F.lit(None).cast("int").alias("is_first_event_day")))
+            .groupBy(*PERSON_KEYS, "date_day")
+            .agg(F.max("is_first_event_day").alias("is_first_event_day"), F.sum("n").alias("number_of_events"))
+            .where(F.col("is_first_event_day").isNotNull()))  # days of the calendar
+    upto = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
+    active_day = F.when(F.col("number_of_events") > 0, F.col("date_day"))
+    latest = F.max(active_day).over(upto)
+    before = F.max(active_day).over(upto.rowsBetween(Window.unboundedPreceding, -1))
+
+    def within(day, n):
+        return F.coalesce(F.datediff("date_day", day) < n, F.lit(False))
+
+    return rows.select(
+        "source_relation", "date_day", "people_id", "event_type", "is_first_event_day", "number_of_events",
+        within(latest, 28).alias("has_event_in_last_28_days"),
+        within(latest, 7).alias("has_event_in_last_7_days"),
+        (within(before, 28) & (F.col("number_of_events") > 0)).alias("is_repeat_user"))
 
 
 def _finish(agg: DataFrame, cfg: Config) -> DataFrame:
@@ -81,24 +87,6 @@ def _finish(agg: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def daily_events_dense(ev: DataFrame, first: DataFrame, cfg: Config, start=None) -> DataFrame:
-    t = trailing_flags(spine_joined(ev, first, cfg, start))
-    n = F.col("number_of_events")
-
-    def count_if(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
-
-    agg = t.groupBy(*OUT_KEYS).agg(
-        F.sum(n).cast("long").alias("number_of_events"),
-        count_if(n > 0).alias("number_of_users"),
-        F.sum(F.when(n > 0, F.col("is_first_event_day")).otherwise(0)).cast("long").alias("number_of_new_users"),
-        count_if(F.col("is_repeat_user")).alias("number_of_repeat_users"),
-        count_if(F.col("has_event_in_last_28_days")).alias("trailing_users_28d"),
-        count_if(F.col("has_event_in_last_7_days")).alias("trailing_users_7d"),
-    )
-    return _finish(agg, cfg)
-
-
 def active_days(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFrame:
     """Person-type-day rows: ``number_of_events`` (0 on marker-only rows) and
     whether the day is the all-time first day.
@@ -167,11 +155,11 @@ def daily_events_from_staged(stg: DataFrame, cfg: Config) -> DataFrame:
     per_day = groups.groupBy(*PERSON_KEYS, "date_day").agg(F.count(F.lit(1)).alias("groups"))
     w = Window.partitionBy(*PERSON_KEYS).orderBy("date_day")
     d = F.col("date_day")
-    # counted days follow the event table's lower bound (the safety date when
-    # no range is set); the calendar starts at the first day, clamped only by
-    # an explicit range start, as the spine does
-    active = (F.col("people_id").isNotNull() & F.col("event_type").isNotNull()
-              & (d >= lit_date(cfg.date_range_start or SAFETY_START_DATE)))
+    # counted days follow the event table's lower bound; the calendar starts at
+    # the first day, clamped by a range start, as the spine does
+    active = F.col("people_id").isNotNull() & F.col("event_type").isNotNull()
+    if cfg.date_range_start is not None:
+        active = active & (d >= lit_date(cfg.date_range_start))
     anchor = F.col("first_event_day")
     if cfg.date_range_start is not None:
         anchor = F.greatest(anchor, lit_date(cfg.date_range_start))

@@ -3,18 +3,19 @@
 Reference semantics: within (insert_id, people_id, event_type, date_day,
 source_relation) keep the row with the smallest ``mp_processing_time_ms``
 (``row_number() = 1``).  NULL keys group together (N3); NULL processing
-times sort last and ties are broken by ``_fivetran_id`` then ``occurred_at``
+times sort last and ties are broken by ``loader_row_id`` then ``occurred_at``
 then the rest of the row (N2), so the winner is deterministic.
 
-Plan: instead of a ``row_number`` window (which sends a whole key group to
-one task and sorts it), the winner is an aggregate ``min(struct(order keys,
-row))``.  Aggregates combine map-side, so a hot group (e.g. every event
-without an insert_id for one anonymous user and day) is reduced to one row
-per map task before the shuffle.  Output is identical to the window form.
+Plan: the winner of a group is an aggregate, ``min_by(row, order)``.
+Aggregates combine map-side, so a hot group (e.g. every event without an
+insert_id for one anonymous user and day) is reduced to one row per map task
+before the shuffle, and the row may hold columns that have no order (maps).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,6 @@ from eventlens.config import Config, PivotProperty
 from eventlens.functions.json_props import json_property_sql
 from eventlens.functions.keys import surrogate_key_sql
 from eventlens.functions.timeutil import lit_date
-from eventlens.operators.staging import always_null_columns
-from eventlens.schema import SAFETY_START_DATE
 
 DEDUPE_KEYS = ["insert_id", "people_id", "event_type", "date_day", "source_relation"]
 
@@ -33,9 +32,10 @@ def with_unique_event_id(stg: DataFrame) -> DataFrame:
 
 
 def date_range_filtered(stg: DataFrame, cfg: Config) -> DataFrame:
-    """Full-refresh lower bound (P7): ``occurred_at >= date_range_start``."""
-    start = cfg.date_range_start or SAFETY_START_DATE
-    return stg.where(F.col("occurred_at") >= lit_date(start).cast("timestamp_ntz"))
+    """Events with a time (P7), from ``date_range_start`` on where it is set."""
+    if cfg.date_range_start is None:
+        return stg.where(F.col("occurred_at").isNotNull())
+    return stg.where(F.col("occurred_at") >= lit_date(cfg.date_range_start).cast("timestamp_ntz"))
 
 
 def _q(name: str) -> str:
@@ -43,39 +43,43 @@ def _q(name: str) -> str:
 
 
 # order of the winning row: smallest processing time (NULL last), then the
-# loader row id, then the event time; the rest of the row breaks full ties
-ORDER_SQL = ["isnull(mp_processing_time_ms)", "mp_processing_time_ms", "_fivetran_id", "occurred_at"]
+# loader row id, then the event time; a hash of the rest breaks full ties
+ORDER_SQL = ["isnull(mp_processing_time_ms)", "mp_processing_time_ms", "loader_row_id", "occurred_at"]
 
 
 def keep_first(df: DataFrame, keys: list[str], order_sql: list[str]) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order_sql`` tuple,
-    as ``min(named_struct(order..., row))`` (combines map-side)."""
-    payload = [c for c in df.columns if c not in keys]
-    fields = ", ".join(f"'_o{i}', {o}" for i, o in enumerate(order_sql))
-    row = ", ".join(f"'{c}', {_q(c)}" for c in payload)
-    winner = F.expr(f"min(named_struct({fields}, 'row', named_struct({row})))").alias("_w")
+    """One row per ``keys``: the row with the smallest ``order_sql`` tuple."""
+    payload = [f for f in df.schema.fields if f.name not in keys]
+    # a map has no hash of its own; its JSON does
+    hashed = ", ".join(f"to_json(named_struct('v', {_q(f.name)}))" if "map<" in f.dataType.simpleString() else _q(f.name)
+                       for f in payload)
+    order = ", ".join(f"'_o{i}', {o}" for i, o in enumerate([*order_sql, f"xxhash64({hashed})"]))
+    row = ", ".join(f"'{f.name}', {_q(f.name)}" for f in payload)
+    winner = F.expr(f"min_by(named_struct({row}), named_struct({order}))").alias("_w")
     return (df.groupBy(*keys).agg(winner)
-              .selectExpr(*[_q(k) for k in keys], *[f"_w.row.{_q(c)} AS {_q(c)}" for c in payload]))
+              .selectExpr(*[_q(k) for k in keys], *[f"_w.{_q(f.name)} AS {_q(f.name)}" for f in payload]))
 
 
 def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
-                  columns: list[str] | None = None) -> DataFrame:
+                  columns: list[str] | None = None, absent: Iterable[str] = ()) -> DataFrame:
     """De-duplicated events.  ``columns`` narrows the payload to what the
     caller needs (keys, ``unique_event_id`` and run columns always come out):
     the winner struct is opaque to column pruning, so selecting first keeps
-    the shuffle narrow when only metrics are derived."""
+    the shuffle narrow when only metrics are derived.
+
+    ``absent`` names columns that the raw tables of *all* staged rows lack
+    (``missing_columns(raw)``); they are left out of the shuffle and come
+    back as typed NULLs."""
     src = date_range_filtered(stg, cfg) if apply_date_range else stg
     pivots = [p if isinstance(p, PivotProperty) else PivotProperty(p) for p in cfg.properties_to_pivot]
     out_cols = list(stg.columns)
     if columns is not None:
-        keep = set(DEDUPE_KEYS) | set(columns) | {"mp_processing_time_ms", "_fivetran_id", "occurred_at"}
+        keep = set(DEDUPE_KEYS) | set(columns) | {"mp_processing_time_ms", "loader_row_id", "occurred_at"}
         if pivots:
             keep.add("event_properties")
         src = src.select(*[c for c in stg.columns if c in keep])
         out_cols = [c for c in stg.columns if c in set(columns) | set(DEDUPE_KEYS)]
-    # columns absent from the source are NULL on every row: keep them out of
-    # the winner struct (a narrower sort and shuffle) and re-create them
-    nulls = always_null_columns(src) - set(DEDUPE_KEYS) - {"mp_processing_time_ms", "_fivetran_id", "occurred_at"}
+    nulls = set(absent) & set(src.columns) - set(DEDUPE_KEYS) - {"mp_processing_time_ms", "loader_row_id", "occurred_at"}
     if pivots:
         nulls.discard("event_properties")
     types = {f.name: f.dataType.simpleString() for f in src.schema.fields}
@@ -88,15 +92,3 @@ def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
         "CAST(1 AS BIGINT) AS nth_event_record", f"DATE'{cfg.as_of_date.isoformat()}' AS run_date",
         *pivot_sql)
 
-
-def dedupe_events_window(stg: DataFrame, cfg: Config) -> DataFrame:
-    """Reference-shaped form (``row_number`` window) kept as a test oracle."""
-    from pyspark.sql import Window
-
-    src = with_unique_event_id(date_range_filtered(stg, cfg))
-    w = Window.partitionBy(*DEDUPE_KEYS).orderBy(
-        F.col("mp_processing_time_ms").asc_nulls_last(), F.col("_fivetran_id").asc_nulls_first(),
-        F.col("occurred_at").asc_nulls_first())
-    return (src.withColumn("nth_event_record", F.row_number().over(w))
-               .where("nth_event_record = 1")
-               .withColumn("run_date", lit_date(cfg.as_of_date)))

@@ -1,4 +1,4 @@
-"""Data-quality jobs (Q1-Q5): the reference's tests as distributed checks.
+"""Data-quality jobs (Q1-Q5) as distributed checks.
 
 Each check returns a small summary DataFrame (never collects the data):
 ``unique``/``not_null`` count offending keys/rows, ``freshness`` grades the
@@ -36,7 +36,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def freshness_check(raw_or_staged: DataFrame, as_of: dt.datetime, warn_after_hours: int = 72,
-                    error_after_hours: int = 96, loaded_at: str = "_fivetran_synced") -> DataFrame:
+                    error_after_hours: int = 96, loaded_at: str = "loaded_at") -> DataFrame:
     """Latest load time per connection against ``as_of`` (Q3):
     ``pass`` / ``warn`` / ``error``, or ``error`` when nothing was loaded."""
     rel = "source_relation" if "source_relation" in raw_or_staged.columns else None
@@ -67,10 +67,13 @@ def compare_row_counts(prod: DataFrame, dev: DataFrame, model: str, only_mismatc
 
 
 def compare_row_sets(prod: DataFrame, dev: DataFrame, exclude: list[str] = ()) -> DataFrame:
-    """Rows of either version missing from the other, labelled by side (Q5):
-    ``EXCEPT DISTINCT`` both ways (U2) plus a side label (U3), with unstable
-    columns excluded (P18)."""
+    """Distinct rows of either version missing from the other, labelled by side
+    (Q5, U2, U3), with unstable columns excluded (P18).
+
+    One aggregation over the labelled union: each side is computed once, rows
+    combine map-side, and NULLs compare equal as grouping keys."""
     cols = [c for c in prod.columns if c not in set(exclude)]
-    p, d = prod.select(*cols), dev.select(*cols)
-    return (p.subtract(d).withColumn("source", F.lit("from prod"))
-             .unionByName(d.subtract(p).withColumn("source", F.lit("from dev"))))
+    p, d = prod.select(*cols, F.lit(1).alias("_side")), dev.select(*cols, F.lit(2).alias("_side"))
+    sides = p.unionByName(d).groupBy(*cols).agg(F.min("_side").alias("_low"), F.max("_side").alias("_high"))
+    only = sides.where("_low = _high")
+    return only.select(*cols, F.when(F.col("_low") == 1, "from prod").otherwise("from dev").alias("source"))

@@ -11,13 +11,13 @@ event; ties on time are broken by ``unique_event_id`` (N4).
 Plan.  Because gaps are measured between truncated minutes, an event that is
 not the first of its minute can never start a session: everything is
 decided per (actor, day, minute).  So events are first aggregated (map-side
-combined) to (actor, day, minute, type) rows, then to minute rows; the
-session window runs over minute rows, which are at most 1,440 per actor and
-day whatever the data volume, so a hot actor (say every anonymous event of a
-day) cannot overload a task.  Frequencies and totals are sums over those
-rows; no per-event window and no join.  Exchanges: (actor, day, minute, type)
-and (actor, day, minute), both after map-side combining, then (actor, day)
-for the window, which every later aggregate reuses.
+combined) to (actor, day, minute, type) rows; the session windows run over
+those, at most 1,440 times the types of an actor and day, whatever the data
+volume, so a hot actor (say every anonymous event of a day) cannot overload a
+task, and its days are dealt to different tasks.  Frequencies and totals are
+sums over the same rows; no per-event window and no join.  Exchanges: (actor,
+day, minute, type) after map-side combining, then (actor, day) for the window,
+which every later aggregate reuses.
 
 ``sessionized_events`` gives the per-event view (previous event time,
 is_new_session, session number and counts, W8-W12) for inspection.
@@ -25,13 +25,14 @@ is_new_session, session number and counts, W8-W12) for inspection.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.config import Config
 from eventlens.functions.keys import surrogate_key
 from eventlens.functions.timeutil import lit_date, sql_filter
-from eventlens.schema import TOO_MANY_EVENT_TYPES
 
 PART = ["source_relation", "user_id", "date_day"]
 
@@ -70,40 +71,31 @@ def minute_type_counts(e: DataFrame, cfg: Config) -> DataFrame:
 
 
 def minute_sessions(mt: DataFrame, cfg: Config) -> DataFrame:
-    """Minute rows with the session decision (W8, W9 at minute grain)."""
-    # one exchange by actor serves the minute aggregate, the session window
-    # and every later aggregate (all partition by supersets of it); after the
-    # minute-type pre-aggregation an actor holds at most minutes x types rows
-    m = (mt.repartition("user_id")
-           .groupBy(*PART, "minute")
-           .agg(F.min("first").alias("first"), F.max("last_at").alias("last_at"),
-                F.sum("n").alias("n"),
-                F.collect_list(F.struct("event_type", "n")).alias("types")))
-    w = Window.partitionBy(*PART).orderBy("minute")
+    """(minute, type) rows with the session decision (W8, W9 at minute grain).
+
+    Rows of one minute have no gap between them, so only the first of them
+    can start a session; ``is_new_session`` is that of their minute."""
+    m = mt.repartition("user_id", "date_day")
+    w = Window.partitionBy(*PART).orderBy("minute", "event_type")
     prev = F.lag("minute").over(w)
-    is_new = F.when(prev.isNull() | (F.timestamp_diff("MINUTE", prev, F.col("minute"))
+    starts = F.when(prev.isNull() | (F.timestamp_diff("MINUTE", prev, F.col("minute"))
                                      > F.lit(cfg.session_timeout_minutes)), 1).otherwise(0)
-    m = m.select("*", is_new.alias("is_new_session"),
-                 F.lag("last_at").over(w).alias("previous_minute_last_at"))
-    return m.withColumn("session_number", F.sum("is_new_session").over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
+    m = m.withColumn("starts", starts)
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    return m.withColumn("session_number", F.sum("starts").over(running))
 
 
-def _frequencies(rendered, n_types, cfg: Config):
+def _frequencies(rendered, n_types):
     """``{type: n, ...}`` from the sorted ``type: n`` texts (NULL types render
     NULL and are skipped by ``array_join``); NULL when no type is known.
     Built-in array functions only, so it stays in whole-stage codegen."""
-    text = F.when(n_types > 0, F.concat(F.lit("{"), F.array_join(rendered, ", "), F.lit("}")))
-    if cfg.event_frequency_limit is not None:
-        text = F.when(n_types <= F.lit(cfg.event_frequency_limit), text).otherwise(F.lit(TOO_MANY_EVENT_TYPES))
-    return text
+    return F.when(n_types > 0, F.concat(F.lit("{"), F.array_join(rendered, ", "), F.lit("}")))
 
 
 def session_type_counts(m: DataFrame) -> DataFrame:
     """Events per session and type (A7) with each type's first event."""
-    return (m.select(*PART, "session_number", "first", F.explode("types").alias("t"))
-             .groupBy(*PART, "session_number", F.col("t.event_type").alias("event_type"))
-             .agg(F.sum("t.n").alias("number_of_events"), F.min("first").alias("first")))
+    return (m.groupBy(*PART, "session_number", "event_type")
+             .agg(F.sum("n").alias("number_of_events"), F.min("first").alias("first")))
 
 
 def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
@@ -131,7 +123,7 @@ def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
         "user_id",
         F.col("first.device_id").alias("device_id"),
         F.col("total_number_of_events").cast("long").alias("total_number_of_events"),
-        _frequencies(F.col("pairs.text"), F.col("n_types"), cfg).alias("event_frequencies"),
+        _frequencies(F.col("pairs.text"), F.col("n_types")).alias("event_frequencies"),
         lit_date(cfg.as_of_date).alias("run_date"),
         *[F.col(f"first.{c}").alias(c) for c in cfg.session_passthrough],
         *(["event_frequency_map"] if cfg.event_frequency_map else []),
@@ -144,29 +136,26 @@ def sessionized_events(ev: DataFrame, cfg: Config) -> DataFrame:
     counts (W11, W12).
 
     The only per-event window is within one (actor, day, minute); the rest
-    comes from minute-grain rows joined back on (actor, day, minute, type).
+    are windows over (minute, type) rows, joined back on their key.
     """
     e = session_events(ev, cfg)
-    mt = minute_type_counts(e, cfg)
-    m = minute_sessions(mt, cfg)
+    m = minute_sessions(minute_type_counts(e, cfg), cfg)
     sess = Window.partitionBy(*PART, "session_number")
-    m = m.select("*", F.sum("n").over(sess).alias("total_number_of_events"),
-                 F.min("first").over(sess)["occurred_at"].alias("session_started_at"))
-    per_type = (m.select(*PART, "minute", "session_number", "is_new_session", "previous_minute_last_at",
-                         "total_number_of_events", "session_started_at", F.explode("types").alias("t"))
-                 .select("*", F.col("t.event_type").alias("event_type"))
-                 .drop("t"))
-    counts = session_type_counts(m).select(*PART, "session_number", "event_type",
-                                           F.col("number_of_events").alias("number_of_this_event_type"))
-    keys = [*PART, "session_number", "event_type"]
-    per_type = per_type.join(counts, [per_type[k].eqNullSafe(counts[k]) for k in keys], "left").select(
-        *[per_type[c] for c in per_type.columns], counts["number_of_this_event_type"])
+    earlier = (Window.partitionBy(*PART).orderBy("minute_number")
+               .rangeBetween(Window.unboundedPreceding, -1))
+    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    per_type = m.withColumn("minute_number", F.timestamp_diff("MINUTE", epoch, F.col("minute"))).select(
+        *PART, "minute", "event_type", "session_number",
+        F.max("starts").over(Window.partitionBy(*PART, "minute")).alias("is_new_session"),
+        F.max("last_at").over(earlier).alias("previous_minute_last_at"),
+        F.sum("n").over(sess).alias("total_number_of_events"),
+        F.min("first").over(sess)["occurred_at"].alias("session_started_at"),
+        F.sum("n").over(Window.partitionBy(*PART, "session_number", "event_type")).alias("number_of_this_event_type"))
     wm = Window.partitionBy(*PART, "minute").orderBy("occurred_at", "unique_event_id")
     ee = e.select("*", F.lag("occurred_at").over(wm).alias("prev_in_minute"),
                   F.row_number().over(wm).alias("rank_in_minute")).alias("e")
     keys = [*PART, "minute", "event_type"]
-    pt = per_type.alias("p")
-    joined = ee.join(pt, [F.col(f"e.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys], "inner")
+    joined = ee.join(per_type.alias("p"), [F.col(f"e.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys], "inner")
     return joined.select(
         *[F.col(f"e.{c}") for c in e.columns if c != "minute"],
         F.coalesce("e.prev_in_minute", "p.previous_minute_last_at").alias("previous_event_at"),
@@ -183,8 +172,8 @@ def sessionized_events(ev: DataFrame, cfg: Config) -> DataFrame:
 
 def recent_actor_events(ev: DataFrame, since) -> DataFrame:
     """Events of actors active on or after ``since`` (J5): a null-safe semi
-    join on (connection, actor), where the reference's ``IN`` dropped NULL
-    actors and ignored the connection (N9)."""
+    join on (connection, actor), which keeps NULL
+    actors and the connection apart (N9)."""
     actor = F.coalesce("device_id", "people_id")
     e = ev.withColumn("user_id", actor)
     recent = (e.where(F.to_date("occurred_at") >= lit_date(since))

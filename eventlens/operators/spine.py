@@ -1,7 +1,7 @@
 """Date spine (S17, S19) and the dense user x event type x day spine (D3).
 
-The reference builds the dense spine with a theta join ``spine.date_day >=
-first_event_day`` (a nested-loop join in Spark).  Here every first-event row
+A theta join ``spine.date_day >=
+first_event_day`` would be a nested-loop join.  Here every first-event row
 generates its own days with ``explode(sequence(..))``: linear in the output,
 no join, no shuffle.  The dense spine is still a large table (persons x
 types x days); daily metrics use the sweep plan in ``daily.py`` instead.
@@ -42,11 +42,12 @@ def days_between(start, end):
         F.array().cast("array<date>"))
 
 
-def user_event_spine(first: DataFrame, cfg: Config, start: dt.date | None = None) -> DataFrame:
+def user_event_spine(first: DataFrame, cfg: Config) -> DataFrame:
     """Dense spine: every (person, type, connection) from its first day (or the
-    spine start) to the last spine day (D3)."""
-    start = start if start is not None else spine_start(first, cfg)
-    lo = F.greatest(F.col("first_event_day"), lit_date(start))
+    range start, if later) to the last spine day (D3)."""
+    lo = F.col("first_event_day")
+    if cfg.date_range_start is not None:
+        lo = F.greatest(lo, lit_date(cfg.date_range_start))
     spine = first.select(
         "source_relation", "people_id", "event_type", "first_event_day",
         F.explode(days_between(lo, lit_date(cfg.spine_end))).alias("date_day"))

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventlens.config import Config
 from eventlens.functions.timeutil import sql_filter
@@ -22,7 +21,7 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def conformed_columns(raw: DataFrame) -> list[str]:
+def conformed_columns(raw: DataFrame, raw_names: dict[str, str] | None = None) -> list[str]:
     """SQL projections onto the catalogue: present columns cast when their
     type differs (``try_cast``: dirty values become NULL), missing ones typed
     NULLs.  Text, so a 44-column projection is one call into the JVM."""
@@ -30,7 +29,7 @@ def conformed_columns(raw: DataFrame) -> list[str]:
     out = []
     for name, dtype, alias in EVENT_COLUMNS:
         target = _q(alias or name)
-        field = present.get(name)
+        field = present.get((raw_names or {}).get(name, name).lower())
         if field is None:
             out.append(f"CAST(NULL AS {dtype.simpleString()}) AS {target}")
         elif field.dataType == dtype:
@@ -48,33 +47,17 @@ def stage_events(raw: DataFrame, cfg: Config) -> DataFrame:
     if not cfg.preserve_source_case:
         rel = f"lower({rel})"
     custom = [f"{c.transform_sql or _q(c.name)} AS {_q(c.output_name)}" for c in cfg.custom_columns]
-    fields = raw.selectExpr(*conformed_columns(raw), f"{rel} AS source_relation", *custom)
-    staged = fields.selectExpr("*", "to_date(occurred_at) AS date_day",
-                               "lower(event_type_original_casing) AS event_type")
-    missing = set(missing_columns(raw))
-    if not missing:
-        return staged
-    # tag the all-NULL columns (absent from the source) so heavy operators can
-    # leave them out of shuffled rows and re-create them afterwards
-    # one call: reconcile to the same schema with the tags added
-    schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable,
-                                         {**f.metadata, ALWAYS_NULL: True} if f.name in missing else f.metadata)
-                           for f in staged.schema.fields])
-    return staged.to(schema)
-
-
-# column metadata key: the column is NULL on every row (absent from the source)
-ALWAYS_NULL = "eventlens.always_null"
-
-
-def missing_columns(raw: DataFrame) -> list[str]:
-    """Output names of catalogue columns the raw table does not have."""
-    present = {f.name.lower() for f in raw.schema.fields}
-    return [alias or name for name, _, alias in EVENT_COLUMNS if name not in present]
+    fields = raw.selectExpr(*conformed_columns(raw, cfg.raw_names), f"{rel} AS source_relation", *custom)
+    return fields.selectExpr("*", "to_date(occurred_at) AS date_day",
+                             "lower(event_type_original_casing) AS event_type")
 
 
-def always_null_columns(df: DataFrame) -> set[str]:
-    return {f.name for f in df.schema.fields if f.metadata.get(ALWAYS_NULL)}
+def missing_columns(raw: DataFrame, raw_names: dict[str, str] | None = None) -> list[str]:
+    """Output names of catalogue columns that ``raw`` does not have: NULL on
+    every row staged from it (and from it alone)."""
+    present = {f.name.lower() for f in raw.schema.fields}
+    names = raw_names or {}
+    return [alias or name for name, _, alias in EVENT_COLUMNS if names.get(name, name).lower() not in present]
 
 
 def _lit(value: str) -> str:

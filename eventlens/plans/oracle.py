@@ -1,10 +1,19 @@
 """Oracle SQL (DuckDB dialect) for every registered query.
 
-Written in the reference's own formulation - dense spine with a theta join,
-``row_number`` dedupe, per-event session windows, ``count(distinct)`` - so
-it checks the Spark plans (sweep, min-struct dedupe, minute-grain sessions)
-against an independent statement of the semantics.  Tables ``events`` and
-``orders`` are the driver's views.
+Each statement says what a metric *is*, with self-joins over plain sets of
+days, months and minutes, where the Spark plans use sweeps and windows:
+
+* an event table row is the first of its group (``DISTINCT ON``);
+* a person counts as trailing user of a day if any of its active days lies in
+  the range of days that ends there (range self-join);
+* a month's repeat, return and new users are persons with or without activity
+  in the month before, in any earlier month, in none (self-join on the month);
+* a minute starts a session if no active minute lies in the timeout before it
+  (gaps and islands over minutes), an event's session is the number of such
+  minutes up to it;
+* funnel steps are ranked and joined with the rank before.
+
+Tables ``events`` and ``orders`` are the driver's views.
 """
 
 from __future__ import annotations
@@ -13,7 +22,7 @@ from pyspark.sql import types as T
 
 from eventlens.plans import catalog as C
 from eventlens.sources import testdata as td
-from eventlens.schema import EVENT_COLUMNS, SAFETY_START_DATE, SURROGATE_NULL, TOO_MANY_EVENT_TYPES
+from eventlens.schema import EVENT_COLUMNS, SURROGATE_NULL
 
 _DUCK = {
     T.StringType: "VARCHAR", T.TimestampType: "TIMESTAMP", T.TimestampNTZType: "TIMESTAMP",
@@ -22,24 +31,24 @@ _DUCK = {
 
 RAW_EVENTS = (
     "SELECT event_type AS name, ts AS \"time\", CAST(user_id AS VARCHAR) AS distinct_id, "
-    "CAST(event_id AS VARCHAR) AS insert_id, CAST(event_id AS VARCHAR) AS _fivetran_id, "
+    "CAST(event_id AS VARCHAR) AS insert_id, CAST(event_id AS VARCHAR) AS loader_row_id, "
     "event_id AS mp_processing_time_ms, props AS properties, "
     "CASE WHEN event_id % 3 = 0 THEN 'd' || CAST(user_id AS VARCHAR) END AS device_id, "
-    "ts AS _fivetran_synced, event_id, value FROM events")
-RAW_EVENTS_COLS = {"name", "time", "distinct_id", "insert_id", "_fivetran_id", "mp_processing_time_ms",
-                   "properties", "device_id", "_fivetran_synced"}
+    "ts AS loaded_at, event_id, value FROM events")
+RAW_EVENTS_COLS = {"name", "time", "distinct_id", "insert_id", "loader_row_id", "mp_processing_time_ms",
+                   "properties", "device_id", "loaded_at"}
 RAW_REDELIVERED = (
     f"SELECT * FROM ({RAW_EVENTS}) UNION ALL "
     f"SELECT * REPLACE (mp_processing_time_ms + 1000000000000 AS mp_processing_time_ms, "
-    f"_fivetran_id || '-r' AS _fivetran_id) FROM ({RAW_EVENTS})")
+    f"loader_row_id || '-r' AS loader_row_id) FROM ({RAW_EVENTS})")
 RAW_TWO_SOURCES = (
     f"SELECT *, CASE WHEN event_id % 2 = 0 THEN 'test.events_a' ELSE 'test.events_b' END AS source_relation "
     f"FROM ({RAW_EVENTS})")
 RAW_ORDERS = (
     "SELECT o_orderpriority AS name, o_orderdate AS \"time\", CAST(o_custkey AS VARCHAR) AS distinct_id, "
-    "CAST(o_orderkey AS VARCHAR) AS insert_id, CAST(o_orderkey AS VARCHAR) AS _fivetran_id, "
+    "CAST(o_orderkey AS VARCHAR) AS insert_id, CAST(o_orderkey AS VARCHAR) AS loader_row_id, "
     "o_orderkey AS mp_processing_time_ms FROM orders")
-RAW_ORDERS_COLS = {"name", "time", "distinct_id", "insert_id", "_fivetran_id", "mp_processing_time_ms"}
+RAW_ORDERS_COLS = {"name", "time", "distinct_id", "insert_id", "loader_row_id", "mp_processing_time_ms"}
 
 
 def sk(*parts: str) -> str:
@@ -67,16 +76,16 @@ def stg_ctes(p: str, raw: str, present: set[str], source: str | None, where: str
                         f"lower(event_type_original_casing) AS event_type FROM {p}fields")]
 
 
+GROUP = "insert_id, people_id, event_type, date_day, source_relation"
+
+
 def ev_ctes(p: str, as_of, start=None, pivots: list[str] = ()) -> list[tuple[str, str]]:
-    start = start or SAFETY_START_DATE
     piv = "".join(f", replace(json_extract_string(event_properties, '$.\"{k}\"'), '\"', '') AS {k}" for k in pivots)
-    dupes = (f"SELECT {sk('insert_id', 'people_id', 'event_type', 'date_day', 'source_relation')} AS unique_event_id, *, "
-             f"row_number() OVER (PARTITION BY insert_id, people_id, event_type, date_day, source_relation "
-             f"ORDER BY mp_processing_time_ms ASC NULLS LAST, _fivetran_id ASC NULLS FIRST, "
-             f"occurred_at ASC NULLS FIRST) AS nth_event_record "
-             f"FROM {p}stg WHERE occurred_at >= TIMESTAMP '{start}'")
-    return [(f"{p}dupes", dupes),
-            (f"{p}ev", f"SELECT *, DATE '{as_of}' AS run_date{piv} FROM {p}dupes WHERE nth_event_record = 1")]
+    bound = f"occurred_at >= TIMESTAMP '{start}'" if start else "occurred_at IS NOT NULL"
+    return [(f"{p}ev",
+             f"SELECT DISTINCT ON ({GROUP}) {sk(*GROUP.split(', '))} AS unique_event_id, *, CAST(1 AS BIGINT) AS nth_event_record, "
+             f"DATE '{as_of}' AS run_date{piv} FROM {p}stg WHERE {bound} ORDER BY {GROUP}, "
+             f"mp_processing_time_ms ASC NULLS LAST, loader_row_id ASC NULLS FIRST, occurred_at ASC NULLS FIRST")]
 
 
 def events_base(p="", where=None, custom="", as_of=C.EVENTS_AS_OF, start=None, pivots=()):
@@ -94,45 +103,62 @@ def first_cte(p):
                              f"FROM {p}stg GROUP BY 1, 2, 3")]
 
 
+def same(a: str, b: str, *cols: str) -> str:
+    """Null-safe equality of columns of two tables."""
+    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+
+
 # ---- spine / daily ----------------------------------------------------------
 
 def spine_ctes(p, as_of, horizon=6, start=None):
-    lo = f"DATE '{start}'" if start else f"(SELECT min(first_event_day) FROM {p}first_ev)"
-    days = (f"SELECT CAST(unnest(generate_series(CAST({lo} AS TIMESTAMP), "
-            f"CAST(DATE '{as_of}' + INTERVAL {horizon} DAY AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day")
-    spine = (f"SELECT f.source_relation, s.date_day, f.people_id, f.event_type, "
-             f"CASE WHEN s.date_day = f.first_event_day THEN 1 ELSE 0 END AS is_first_event_day, "
-             f"{sk('f.people_id', 's.date_day', 'f.event_type', 'f.source_relation')} AS unique_key "
-             f"FROM {p}spine_days s JOIN {p}first_ev f ON s.date_day >= f.first_event_day")
-    return [(f"{p}spine_days", days), (f"{p}spine", spine)]
-
-
-def daily_ctes(p, as_of):
-    agg_user = (f"SELECT source_relation, date_day, people_id, event_type, count(unique_event_id) AS number_of_events "
-                f"FROM {p}ev GROUP BY 1, 2, 3, 4")
-    joined = (f"SELECT s.source_relation, s.date_day, s.people_id, s.event_type, s.is_first_event_day, "
-              f"coalesce(a.number_of_events, 0) AS number_of_events FROM {p}spine s LEFT JOIN {p}agg_user a "
-              f"ON a.date_day = s.date_day AND a.people_id = s.people_id AND a.event_type = s.event_type "
-              f"AND a.source_relation = s.source_relation")
-    w = "PARTITION BY people_id, event_type, source_relation ORDER BY date_day ROWS BETWEEN"
-    trailing = (f"SELECT *, sum(number_of_events) OVER ({w} 27 PRECEDING AND CURRENT ROW) > 0 AS has_event_in_last_28_days, "
-                f"sum(number_of_events) OVER ({w} 6 PRECEDING AND CURRENT ROW) > 0 AS has_event_in_last_7_days, "
-                f"coalesce(sum(number_of_events) OVER ({w} 27 PRECEDING AND 1 PRECEDING) > 0, false) "
-                f"AND number_of_events > 0 AS is_repeat_user FROM {p}joined")
-    agg_days = (f"SELECT source_relation, date_day, event_type, CAST(sum(number_of_events) AS BIGINT) AS number_of_events, "
-                f"CAST(sum(CASE WHEN number_of_events > 0 THEN 1 ELSE 0 END) AS BIGINT) AS number_of_users, "
-                f"CAST(sum(CASE WHEN number_of_events > 0 THEN is_first_event_day ELSE 0 END) AS BIGINT) AS number_of_new_users, "
-                f"CAST(sum(CASE WHEN is_repeat_user THEN 1 ELSE 0 END) AS BIGINT) AS number_of_repeat_users, "
-                f"CAST(sum(CASE WHEN has_event_in_last_28_days THEN 1 ELSE 0 END) AS BIGINT) AS trailing_users_28d, "
-                f"CAST(sum(CASE WHEN has_event_in_last_7_days THEN 1 ELSE 0 END) AS BIGINT) AS trailing_users_7d "
-                f"FROM {p}trailing_events GROUP BY 1, 2, 3")
-    final = (f"SELECT source_relation, date_day, event_type, number_of_events, number_of_users, number_of_new_users, "
-             f"number_of_repeat_users, number_of_users - number_of_new_users - number_of_repeat_users AS number_of_return_users, "
-             f"trailing_users_28d, trailing_users_7d, "
-             f"event_type || '-' || CAST(date_day AS VARCHAR) || '-' || source_relation AS unique_key, "
-             f"DATE '{as_of}' AS run_date FROM {p}agg_days")
-    return [(f"{p}agg_user", agg_user), (f"{p}joined", joined), (f"{p}trailing_events", trailing),
-            (f"{p}agg_days", agg_days), (f"{p}daily", final)]
+    last = f"DATE '{as_of}' + INTERVAL {horizon} DAY"
+    since = f"greatest(first_event_day, DATE '{start}')" if start else "first_event_day"
+    begin = f"DATE '{start}'" if start else f"(SELECT min(first_event_day) FROM {p}first_ev)"
+    return [
+        (f"{p}spine_days", f"SELECT CAST(unnest(generate_series({begin}, {last}, INTERVAL 1 DAY)) AS DATE) AS date_day"),
+        (f"{p}spine",
+         f"SELECT source_relation, date_day, people_id, event_type, CAST(date_day = first_event_day AS INTEGER) AS is_first_event_day, "
+         f"{sk('people_id', 'date_day', 'event_type', 'source_relation')} AS unique_key FROM ("
+         f"SELECT *, CAST(unnest(generate_series({since}, {last}, INTERVAL 1 DAY)) AS DATE) AS date_day FROM {p}first_ev)"),
+    ]
+
+
+def daily_ctes(p, as_of, horizon=6):
+    """``active``: days on which a known person did a known type of event;
+    ``reach``: each calendar day with the active days of the 28 that end there."""
+    return [
+        (f"{p}agg_user", f"SELECT source_relation, date_day, people_id, event_type, count(*) AS number_of_events FROM {p}ev GROUP BY ALL"),
+        (f"{p}active", f"SELECT a.*, f.first_event_day FROM {p}agg_user a JOIN {p}first_ev f USING (source_relation, people_id, event_type)"),
+        (f"{p}calendar", f"SELECT DISTINCT source_relation, event_type, date_day FROM {p}spine"),
+        (f"{p}reach", f"SELECT c.*, a.people_id, a.date_day AS active_day, a.number_of_events AS n, a.first_event_day FROM {p}calendar c "
+                      f"LEFT JOIN {p}active a ON a.source_relation = c.source_relation AND a.event_type = c.event_type "
+                      f"AND a.date_day BETWEEN c.date_day - 27 AND c.date_day"),
+        (f"{p}persons", f"SELECT source_relation, event_type, date_day, people_id, max(active_day) AS last_day, "
+                        f"coalesce(sum(n) FILTER (active_day = date_day), 0) AS n, count(*) FILTER (active_day < date_day) AS earlier, "
+                        f"min(first_event_day) AS first_event_day FROM {p}reach GROUP BY 1, 2, 3, 4"),
+        (f"{p}counted",
+         f"SELECT source_relation, event_type, date_day, CAST(sum(n) AS BIGINT) AS number_of_events, "
+         f"count(people_id) FILTER (n > 0) AS number_of_users, "
+         f"count(people_id) FILTER (n > 0 AND first_event_day = date_day) AS number_of_new_users, "
+         f"count(people_id) FILTER (n > 0 AND earlier > 0) AS number_of_repeat_users, "
+         f"count(people_id) AS trailing_users_28d, count(people_id) FILTER (last_day > date_day - 7) AS trailing_users_7d "
+         f"FROM {p}persons GROUP BY 1, 2, 3"),
+        (f"{p}daily",
+         f"SELECT *, number_of_users - number_of_new_users - number_of_repeat_users AS number_of_return_users, "
+         f"event_type || '-' || date_day || '-' || source_relation AS unique_key, DATE '{as_of}' AS run_date FROM {p}counted"),
+    ]
+
+
+def person_day_sql(base, final):
+    """Flags of every person and calendar day: the active days of the 28 that end there."""
+    return with_(base + [("flags",
+        "SELECT s.source_relation, s.date_day, s.people_id, s.event_type, s.is_first_event_day, "
+        "coalesce(max(a.number_of_events) FILTER (a.date_day = s.date_day), 0) AS number_of_events, "
+        "count(a.date_day) > 0 AS has_event_in_last_28_days, "
+        "count(a.date_day) FILTER (a.date_day > s.date_day - 7) > 0 AS has_event_in_last_7_days, "
+        "count(a.date_day) FILTER (a.date_day < s.date_day) > 0 AND count(a.date_day) FILTER (a.date_day = s.date_day) > 0 AS is_repeat_user "
+        "FROM spine s LEFT JOIN active a ON a.source_relation = s.source_relation AND a.people_id = s.people_id "
+        "AND a.event_type = s.event_type AND a.date_day BETWEEN s.date_day - 27 AND s.date_day GROUP BY 1, 2, 3, 4, 5")], final)
 
 
 def daily_full(p, base, as_of, start=None):
@@ -142,108 +168,101 @@ def daily_full(p, base, as_of, start=None):
 # ---- monthly ----------------------------------------------------------------
 
 def monthly_ctes(p, as_of, true_first=False):
-    part = "PARTITION BY people_id, event_type, source_relation"
-    ume = (f"SELECT *, min(date_month) OVER ({part}) AS first_month, "
-           f"lag(date_month, 1) OVER ({part} ORDER BY date_month) AS previous_month_with_event FROM {p}sub")
-    if true_first:
-        # first month from the all-time first event (needs {p}first_ev)
-        sp = "PARTITION BY s.people_id, s.event_type, s.source_relation"
-        ume = (f"SELECT s.*, coalesce(CAST(date_trunc('month', f.first_event_day) AS DATE), "
-               f"min(s.date_month) OVER ({sp})) AS first_month, "
-               f"lag(s.date_month, 1) OVER ({sp} ORDER BY s.date_month) AS previous_month_with_event "
-               f"FROM {p}sub s LEFT JOIN {p}first_ev f ON f.people_id IS NOT DISTINCT FROM s.people_id "
-               f"AND f.source_relation = s.source_relation AND f.event_type IS NOT DISTINCT FROM s.event_type")
-    ctes = [
-        (f"{p}mev", f"SELECT source_relation, event_type, occurred_at, unique_event_id, people_id, "
-                    f"CAST(date_trunc('month', occurred_at) AS DATE) AS date_month FROM {p}ev"),
-        (f"{p}month_totals", f"SELECT source_relation, date_month, count(DISTINCT people_id) AS total_monthly_active_users "
-                             f"FROM {p}mev GROUP BY 1, 2"),
-        (f"{p}sub", f"SELECT source_relation, people_id, event_type, date_month, count(unique_event_id) AS number_of_events "
-                    f"FROM {p}mev GROUP BY 1, 2, 3, 4"),
-        (f"{p}ume", ume),
-        (f"{p}metrics",
-         f"SELECT u.source_relation, u.date_month, u.event_type, t.total_monthly_active_users, "
-         f"count(DISTINCT u.people_id) AS number_of_users, "
-         f"count(DISTINCT CASE WHEN u.first_month = u.date_month THEN u.people_id END) AS number_of_new_users, "
-         f"count(DISTINCT CASE WHEN u.previous_month_with_event IS NOT NULL AND "
-         f"date_diff('month', u.previous_month_with_event, u.date_month) = 1 THEN u.people_id END) AS number_of_repeat_users, "
-         f"count(DISTINCT CASE WHEN u.previous_month_with_event IS NOT NULL AND "
-         f"date_diff('month', u.previous_month_with_event, u.date_month) > 1 THEN u.people_id END) AS number_of_return_users, "
-         f"CAST(sum(u.number_of_events) AS BIGINT) AS number_of_events "
-         f"FROM {p}ume u LEFT JOIN {p}month_totals t ON u.source_relation = t.source_relation "
-         f"AND u.date_month = t.date_month GROUP BY 1, 2, 3, 4"),
+    """``pm``: a person's months of activity with a type; the month before and
+    the first month come from self-joins."""
+    who = ("source_relation", "people_id", "event_type")
+    debut = (f"SELECT source_relation, people_id, event_type, CAST(date_trunc('month', first_event_day) AS DATE) AS debut FROM {p}first_ev"
+             if true_first else f"SELECT source_relation, people_id, event_type, min(date_month) AS debut FROM {p}pm GROUP BY ALL")
+    return [
+        (f"{p}pm", f"SELECT source_relation, people_id, event_type, CAST(date_trunc('month', occurred_at) AS DATE) AS date_month, "
+                   f"count(*) AS number_of_events FROM {p}ev GROUP BY ALL"),
+        (f"{p}month_totals", f"SELECT source_relation, date_month, count(DISTINCT people_id) AS total_monthly_active_users FROM {p}pm GROUP BY ALL"),
+        (f"{p}debuts", debut),
+        (f"{p}history", f"SELECT m.*, d.debut AS first_month, max(e.date_month) AS previous_month_with_event FROM {p}pm m "
+                        f"LEFT JOIN {p}debuts d ON {same('m', 'd', *who)} "
+                        f"LEFT JOIN {p}pm e ON {same('m', 'e', *who)} AND e.date_month < m.date_month GROUP BY ALL"),
+        (f"{p}by_type",
+         f"SELECT h.source_relation, h.date_month, h.event_type, t.total_monthly_active_users, "
+         f"count(h.people_id) AS number_of_users, count(h.people_id) FILTER (h.first_month = h.date_month) AS number_of_new_users, "
+         f"count(h.people_id) FILTER (h.previous_month_with_event = h.date_month - INTERVAL 1 MONTH) AS number_of_repeat_users, "
+         f"count(h.people_id) FILTER (h.previous_month_with_event < h.date_month - INTERVAL 1 MONTH) AS number_of_return_users, "
+         f"CAST(sum(h.number_of_events) AS BIGINT) AS number_of_events FROM {p}history h "
+         f"JOIN {p}month_totals t ON t.source_relation = h.source_relation AND t.date_month = h.date_month GROUP BY 1, 2, 3, 4"),
         (f"{p}monthly",
-         f"SELECT *, coalesce(lag(number_of_users, 1) OVER (PARTITION BY event_type, source_relation ORDER BY date_month) "
-         f"- number_of_repeat_users, 0) AS number_of_churn_users, "
-         f"CAST(date_month AS VARCHAR) || '-' || event_type || '-' || source_relation AS unique_key, "
-         f"DATE '{as_of}' AS run_date FROM {p}metrics"),
+         f"SELECT b.*, coalesce((SELECT arg_max(x.number_of_users, x.date_month) FROM {p}by_type x "
+         f"WHERE {same('x', 'b', 'source_relation', 'event_type')} AND x.date_month < b.date_month) - b.number_of_repeat_users, 0) AS number_of_churn_users, "
+         f"b.date_month || '-' || b.event_type || '-' || b.source_relation AS unique_key, DATE '{as_of}' AS run_date FROM {p}by_type b"),
     ]
-    return ctes
 
 
 # ---- sessions ---------------------------------------------------------------
 
-def session_ctes(p, as_of, timeout=30, criteria=None, passthrough=(), limit=None):
-    pt = "".join(f", {c}" for c in passthrough)
+def session_ctes(p, as_of, timeout=30, criteria=None, passthrough=()):
+    """Gaps and islands over the minutes in which an actor was active on a day."""
+    actor = ("source_relation", "user_id", "date_day")
+    extra = "".join(f", {c}" for c in passthrough)
     where = f"WHERE {criteria}" if criteria else ""
-    part = "PARTITION BY user_id, date_day, source_relation"
-    order = "ORDER BY occurred_at, unique_event_id"
-    freq = f"'{{' || string_agg(event_type || ': ' || number_of_events, ', ' ORDER BY event_type) || '}}'"
-    if limit is not None:
-        freq = f"CASE WHEN count(event_type) <= {limit} THEN {freq} ELSE '{TOO_MANY_EVENT_TYPES}' END"
+    row = "{" + ", ".join(f"'{c}': {c}" for c in ("occurred_at", "unique_event_id", "people_id", "device_id", *passthrough)) + "}"
     return [
-        (f"{p}sev", f"SELECT source_relation, event_type, occurred_at, unique_event_id, people_id, date_day, device_id, "
-                    f"coalesce(device_id, people_id) AS user_id{pt} FROM {p}ev {where}"),
-        (f"{p}prev", f"SELECT *, lag(occurred_at) OVER ({part} {order}) AS previous_event_at FROM {p}sev"),
-        (f"{p}new_sessions", f"SELECT *, CASE WHEN date_diff('minute', previous_event_at, occurred_at) > {timeout} "
-                             f"OR previous_event_at IS NULL THEN 1 ELSE 0 END AS is_new_session FROM {p}prev"),
-        (f"{p}session_numbers", f"SELECT *, sum(is_new_session) OVER ({part} {order} ROWS BETWEEN UNBOUNDED PRECEDING "
-                                f"AND CURRENT ROW) AS session_number FROM {p}new_sessions"),
+        (f"{p}acts", f"SELECT source_relation, event_type, occurred_at, unique_event_id, people_id, date_day, device_id, "
+                     f"coalesce(device_id, people_id) AS user_id, date_trunc('minute', occurred_at) AS minute{extra} FROM {p}ev {where}"),
+        (f"{p}minutes", f"SELECT DISTINCT source_relation, user_id, date_day, minute FROM {p}acts"),
+        (f"{p}starts", f"SELECT m.* FROM {p}minutes m LEFT JOIN {p}minutes q ON {same('q', 'm', *actor)} AND q.minute < m.minute "
+                       f"AND q.minute >= m.minute - INTERVAL {timeout} MINUTE WHERE q.minute IS NULL"),
+        (f"{p}islands", f"SELECT m.*, count(s.minute) AS session_number, max(s.minute) AS start_minute FROM {p}minutes m "
+                        f"JOIN {p}starts s ON {same('s', 'm', *actor)} AND s.minute <= m.minute GROUP BY ALL"),
+        (f"{p}placed", f"SELECT a.*, i.session_number, i.start_minute FROM {p}acts a JOIN {p}islands i ON {same('i', 'a', *actor, 'minute')}"),
+        (f"{p}bounds", f"SELECT source_relation, user_id, date_day, session_number, count(*) AS total_number_of_events, "
+                       f"min({row}) AS opening FROM {p}placed GROUP BY 1, 2, 3, 4"),
+        (f"{p}kinds", f"SELECT source_relation, user_id, date_day, session_number, event_type, count(*) AS number_of_this_event_type "
+                      f"FROM {p}placed GROUP BY ALL"),
+        (f"{p}rendered", f"SELECT source_relation, user_id, date_day, session_number, "
+                         f"'{{' || string_agg(event_type || ': ' || number_of_this_event_type, ', ' ORDER BY event_type) || '}}' AS event_frequencies "
+                         f"FROM {p}kinds GROUP BY 1, 2, 3, 4"),
         (f"{p}session_ids",
-         f"SELECT *, min(occurred_at) OVER (PARTITION BY user_id, date_day, session_number, source_relation) AS session_started_at, "
-         f"date_day AS session_started_on_day, "
-         f"{sk('user_id', 'session_number', 'date_day', 'source_relation')} AS session_id, "
-         f"count(unique_event_id) OVER (PARTITION BY user_id, date_day, session_number, event_type, source_relation) "
-         f"AS number_of_this_event_type, "
-         f"count(unique_event_id) OVER (PARTITION BY user_id, date_day, session_number, source_relation) "
-         f"AS total_number_of_events FROM {p}session_numbers"),
-        (f"{p}ssub", f"SELECT source_relation, session_id, event_type, count(unique_event_id) AS number_of_events "
-                     f"FROM {p}session_ids GROUP BY 1, 2, 3"),
-        (f"{p}agg_types", f"SELECT source_relation, session_id, {freq} AS event_frequencies FROM {p}ssub GROUP BY 1, 2"),
+         f"SELECT e.unique_event_id, e.user_id, e.occurred_at, "
+         f"max(e.occurred_at) OVER (PARTITION BY e.source_relation, e.user_id, e.date_day ORDER BY e.occurred_at, e.unique_event_id "
+         f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_event_at, "
+         f"CAST(e.unique_event_id = b.opening.unique_event_id AS INTEGER) AS is_new_session, e.session_number, "
+         f"{sk('e.user_id', 'e.session_number', 'e.date_day', 'e.source_relation')} AS session_id, "
+         f"b.opening.occurred_at AS session_started_at, k.number_of_this_event_type, b.total_number_of_events "
+         f"FROM {p}placed e JOIN {p}bounds b ON {same('b', 'e', *actor, 'session_number')} "
+         f"JOIN {p}kinds k ON {same('k', 'e', *actor, 'session_number', 'event_type')}"),
         (f"{p}sessions",
-         f"SELECT s.source_relation, s.session_id, s.people_id, s.session_started_at, s.session_started_on_day, "
-         f"s.user_id, s.device_id, s.total_number_of_events, a.event_frequencies, DATE '{as_of}' AS run_date"
-         + "".join(f", s.{c}" for c in passthrough) +
-         f" FROM {p}session_ids s JOIN {p}agg_types a ON a.session_id = s.session_id "
-         f"AND a.source_relation = s.source_relation WHERE s.is_new_session = 1"),
+         f"SELECT b.source_relation, {sk('b.user_id', 'b.session_number', 'b.date_day', 'b.source_relation')} AS session_id, "
+         f"b.opening.people_id AS people_id, b.opening.occurred_at AS session_started_at, b.date_day AS session_started_on_day, "
+         f"b.user_id, b.opening.device_id AS device_id, b.total_number_of_events, r.event_frequencies, DATE '{as_of}' AS run_date"
+         + "".join(f", b.opening.{c} AS {c}" for c in passthrough)
+         + f" FROM {p}bounds b JOIN {p}rendered r ON {same('r', 'b', *actor, 'session_number')}"),
     ]
 
 
 # ---- funnel -----------------------------------------------------------------
 
 def funnel_sql(ctes, ev, steps, seg=None, criteria=None):
-    pred = " OR ".join(f"lower(event_type) = lower('{s}')" for s in steps)
-    crit = criteria or "true"
-    g = f"{seg}, " if seg else ""
-    part = f"PARTITION BY {seg}" if seg else ""
+    """Steps in order of their volume; each is held against the first and the one before."""
+    segment = seg or "'all'"
+    wanted = ", ".join(f"'{s.lower()}'" for s in steps)
+    ranked = ", ".join(f"row_number() OVER (PARTITION BY segment ORDER BY {n} DESC, event_type) AS {r}" for n, r in (("number_of_events", "er"), ("number_of_users", "ur")))
+
+    def ratio(n, r, at):
+        other = f"(SELECT o.{n} FROM ranked o WHERE o.segment = s.segment AND o.{r} = {at})"
+        return f"CAST(s.{n} AS DOUBLE) / nullif({other}, 0)"
+
+    def relative(n, r):
+        return f"CASE WHEN s.{r} = 1 THEN 1 ELSE coalesce({ratio(n, r, f's.{r} - 1')}, 0) END"
+
     ctes = ctes + [
-        ("fev", f"SELECT * FROM {ev} WHERE ({pred}) AND ({crit})"),
-        ("grouped", f"SELECT {g}event_type, count(unique_event_id) AS number_of_events, "
-                    f"count(DISTINCT people_id) AS number_of_users FROM fev GROUP BY {g}event_type"),
-        ("build_funnel", f"SELECT *, max(number_of_events) OVER ({part}) AS top_e, max(number_of_users) OVER ({part}) AS top_u, "
-                  f"lag(number_of_events, 1) OVER ({part} ORDER BY number_of_events DESC, event_type) AS prev_e, "
-                  f"lag(number_of_users, 1) OVER ({part} ORDER BY number_of_users DESC, event_type) AS prev_u "
-                  f"FROM grouped"),
+        ("step_counts", f"SELECT {segment} AS segment, event_type, count(*) AS number_of_events, count(DISTINCT people_id) AS number_of_users "
+                        f"FROM {ev} WHERE lower(event_type) IN ({wanted}) AND ({criteria or 'true'}) GROUP BY 1, 2"),
+        ("ranked", f"SELECT *, {ranked} FROM step_counts"),
     ]
-    final = (f"SELECT {g}event_type, number_of_events, number_of_users, "
-             f"CAST(number_of_events AS DOUBLE) / NULLIF(top_e, 0) AS overall_event_pct_conversion, "
-             f"CAST(number_of_users AS DOUBLE) / NULLIF(top_u, 0) AS overall_user_pct_conversion, "
-             f"CASE WHEN prev_e = 0 THEN 0 WHEN prev_e IS NULL THEN 1 "
-             f"ELSE CAST(number_of_events AS DOUBLE) / prev_e END AS relative_event_pct_conversion, "
-             f"CASE WHEN prev_u = 0 THEN 0 WHEN prev_u IS NULL THEN 1 "
-             f"ELSE CAST(number_of_users AS DOUBLE) / prev_u END AS relative_user_pct_conversion "
-             f"FROM build_funnel ORDER BY {g}number_of_events DESC, event_type")
-    return with_(ctes, final)
+    first = f"segment AS {seg}, " if seg else ""
+    return with_(ctes, (
+        f"SELECT {first}event_type, number_of_events, number_of_users, "
+        f"{ratio('number_of_events', 'er', 1)} AS overall_event_pct_conversion, {ratio('number_of_users', 'ur', 1)} AS overall_user_pct_conversion, "
+        f"{relative('number_of_events', 'er')} AS relative_event_pct_conversion, {relative('number_of_users', 'ur')} AS relative_user_pct_conversion "
+        f"FROM ranked s"))
 
 
 # ---- the registry -------------------------------------------------------------
@@ -278,19 +297,19 @@ def oracle_queries() -> dict[str, str]:
     q["custom_columns"] = with_(
         stg_ctes("", RAW_EVENTS, RAW_EVENTS_COLS, td.EVENTS_SOURCE,
                  custom=", CAST(value AS DECIMAL(10,2)) AS event_value, event_id"),
-        "SELECT _fivetran_id, event_id, event_value, event_type, date_day FROM stg")
+        "SELECT loader_row_id, event_id, event_value, event_type, date_day FROM stg")
     q["pivot_properties"] = with_(events_base(pivots=["k"]), "SELECT unique_event_id, event_properties, k FROM ev")
     q["union_sources"] = with_(
         stg_ctes("", RAW_TWO_SOURCES, RAW_EVENTS_COLS, None),
-        "SELECT source_relation, _fivetran_id, people_id, event_type, occurred_at, date_day FROM stg")
+        "SELECT source_relation, loader_row_id, people_id, event_type, occurred_at, date_day FROM stg")
     q["global_filter"] = with_(
         stg_ctes("", RAW_EVENTS, RAW_EVENTS_COLS, td.EVENTS_SOURCE, "name != 'error' and distinct_id is not null"),
-        "SELECT _fivetran_id, people_id, event_type, date_day FROM stg")
+        "SELECT loader_row_id, people_id, event_type, date_day FROM stg")
     q["date_range_filter"] = with_(events_base(start="2024-01-10"),
                                    "SELECT unique_event_id, occurred_at, date_day FROM ev")
     q["surrogate_key"] = with_(
         stg_ctes("", RAW_EVENTS, RAW_EVENTS_COLS, td.EVENTS_SOURCE),
-        f"SELECT _fivetran_id, {sk('insert_id', 'people_id', 'event_type', 'date_day', 'source_relation')} "
+        f"SELECT loader_row_id, {sk('insert_id', 'people_id', 'event_type', 'date_day', 'source_relation')} "
         f"AS unique_event_id, {sk('device_id', 'date_day')} AS device_day_key FROM stg")
     q["dedupe_events"] = with_(stg_ctes("", RAW_REDELIVERED, RAW_EVENTS_COLS, td.EVENTS_SOURCE)
                                + ev_ctes("", as_of), "SELECT * FROM ev")
@@ -301,13 +320,20 @@ def oracle_queries() -> dict[str, str]:
     q["user_event_spine"] = with_(spine, "SELECT * FROM spine")
     daily = daily_full("", events_base(), as_of)
     q["daily_user_counts"] = with_(daily, "SELECT * FROM agg_user")
-    q["spine_left_join"] = with_(daily, "SELECT * FROM joined")
-    q["trailing_28d_7d"] = with_(daily, "SELECT source_relation, date_day, people_id, event_type, "
-                                        "has_event_in_last_28_days, has_event_in_last_7_days FROM trailing_events")
-    q["repeat_users"] = with_(daily, "SELECT source_relation, date_day, people_id, event_type, number_of_events, "
-                                     "is_repeat_user FROM trailing_events")
+    q["spine_left_join"] = person_day_sql(daily, "SELECT source_relation, date_day, people_id, event_type, is_first_event_day, "
+                                          "number_of_events FROM flags")
+    q["trailing_28d_7d"] = person_day_sql(daily, "SELECT source_relation, date_day, people_id, event_type, "
+                                          "has_event_in_last_28_days, has_event_in_last_7_days FROM flags")
+    q["repeat_users"] = person_day_sql(daily, "SELECT source_relation, date_day, people_id, event_type, number_of_events, "
+                                       "is_repeat_user FROM flags")
     q["daily_events"] = with_(daily, "SELECT * FROM daily")
     q["daily_events_sweep"] = with_(daily_full("", orders_base(), C.ORDERS_AS_OF, start=C.ORDERS_START), "SELECT * FROM daily")
+    missing = f"SELECT *, 'test.events_a' AS source_relation FROM ({RAW_EVENTS}) WHERE event_id % 2 = 0 UNION ALL "
+    missing += f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS properties), 'test.events_b' FROM ({RAW_EVENTS}) WHERE event_id % 2 = 1"
+    q["union_missing_columns"] = with_(stg_ctes("", missing, RAW_EVENTS_COLS, None) + ev_ctes("", as_of), "SELECT * FROM ev")
+    q["map_passthrough"] = with_(
+        stg_ctes("", RAW_REDELIVERED, RAW_EVENTS_COLS, td.EVENTS_SOURCE) + ev_ctes("", as_of),
+        "SELECT unique_event_id, json_extract_string(event_properties, '$.k') AS k FROM ev")
     two = stg_ctes("", RAW_TWO_SOURCES, RAW_EVENTS_COLS, None) + ev_ctes("", as_of)
     q["daily_events_two_sources"] = with_(daily_full("", two, as_of), "SELECT * FROM daily")
     ranged = events_base(start=str(C.RANGE_START)) + first_cte("") + spine_ctes("", as_of, start=C.RANGE_START)
@@ -320,9 +346,9 @@ def oracle_queries() -> dict[str, str]:
     monthly = orders_base() + monthly_ctes("", C.ORDERS_AS_OF)
     q["month_totals_mau"] = with_(monthly, "SELECT * FROM month_totals")
     q["first_month_window"] = with_(monthly, "SELECT source_relation, people_id, event_type, date_month, "
-                                             "number_of_events, first_month FROM ume")
+                                             "number_of_events, first_month FROM history")
     q["previous_month_lag"] = with_(monthly, "SELECT source_relation, people_id, event_type, date_month, "
-                                             "previous_month_with_event FROM ume")
+                                             "previous_month_with_event FROM history")
     q["monthly_events"] = with_(monthly, "SELECT * FROM monthly")
     q["churn_lag"] = with_(monthly, "SELECT source_relation, date_month, event_type, number_of_users, "
                                     "number_of_repeat_users, number_of_churn_users FROM monthly")
@@ -335,8 +361,6 @@ def oracle_queries() -> dict[str, str]:
                                             "number_of_this_event_type, total_number_of_events FROM session_ids")
     q["event_frequencies"] = with_(_sessions_base(timeout=C.LONG_TIMEOUT),
                                    "SELECT session_id, total_number_of_events, event_frequencies FROM sessions")
-    q["event_frequencies_capped"] = with_(_sessions_base(timeout=C.LONG_TIMEOUT, limit=2),
-                                          "SELECT session_id, event_frequencies FROM sessions")
     q["sessions"] = with_(sess, "SELECT * FROM sessions")
     q["sessions_passthrough"] = with_(
         _sessions_base(criteria="event_type != 'error'", passthrough=("insert_id", "event_properties")),
@@ -362,11 +386,11 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT '{m}' AS model, '{k}' AS column_name, 'not_null' AS test, "
         f"count(*) FILTER (WHERE {k} IS NULL) AS failures FROM {t}" for m, t, k in _KEY_MODELS))
     at = f"TIMESTAMP '{C.FRESHNESS_AT}'"
-    hours = f"(epoch_us({at}) - epoch_us(max(_fivetran_synced))) / 3.6e9"
+    hours = f"(epoch_us({at}) - epoch_us(max(loaded_at))) / 3.6e9"
     q["freshness_check"] = with_(
         stg_ctes("", RAW_TWO_SOURCES, RAW_EVENTS_COLS, None),
-        f"SELECT source_relation, max(_fivetran_synced) AS max_loaded_at, {at} AS checked_at, "
-        f"{hours} AS hours_since_load, CASE WHEN max(_fivetran_synced) IS NULL THEN 'error' "
+        f"SELECT source_relation, max(loaded_at) AS max_loaded_at, {at} AS checked_at, "
+        f"{hours} AS hours_since_load, CASE WHEN max(loaded_at) IS NULL THEN 'error' "
         f"WHEN {hours} > 96 THEN 'error' WHEN {hours} > 72 THEN 'warn' ELSE 'pass' END AS status "
         f"FROM stg GROUP BY 1")
     pd = _prod_dev_ctes()
@@ -378,9 +402,16 @@ def oracle_queries() -> dict[str, str]:
         pd, "SELECT *, 'from prod' AS source FROM (SELECT * FROM p_daily EXCEPT SELECT * FROM d_daily) "
             "UNION ALL SELECT *, 'from dev' AS source FROM (SELECT * FROM d_daily EXCEPT SELECT * FROM p_daily)")
     q["lookback_incremental_events"] = with_(
-        events_base() + stg_ctes("prev_", f"SELECT * FROM ({RAW_EVENTS}) WHERE _fivetran_synced < "
+        events_base() + stg_ctes("prev_", f"SELECT * FROM ({RAW_EVENTS}) WHERE loaded_at < "
                                           f"TIMESTAMP '{C.LATE_CUT}'", RAW_EVENTS_COLS, td.EVENTS_SOURCE)
         + ev_ctes("prev_", as_of),
         f"SELECT * FROM ev WHERE date_day >= (SELECT CAST(least(max(date_day), DATE '{as_of}') "
         f"- INTERVAL {C.EVENTS_CFG.lookback_days} DAY AS DATE) FROM prev_ev)")
+    late = (f"SELECT * REPLACE (CASE WHEN event_id % 50 = 7 THEN greatest(loaded_at, TIMESTAMP '{C.LATE_CUT}') ELSE loaded_at END AS loaded_at) "
+            f"FROM ({RAW_EVENTS})")
+    stored = stg_ctes("", late, RAW_EVENTS_COLS, td.EVENTS_SOURCE) + ev_ctes("", as_of)
+    q["incremental_event"] = q["incremental_delete_insert"] = with_(stored, "SELECT * FROM ev")
+    q["incremental_daily"] = with_(daily_full("", stored, as_of), "SELECT * FROM daily")
+    q["incremental_monthly"] = with_(stored + monthly_ctes("", as_of), "SELECT * FROM monthly")
+    q["incremental_sessions"] = with_(stored + session_ctes("", as_of), "SELECT * FROM sessions")
     return q

@@ -6,22 +6,27 @@ Layout under ``target_root``: ``event/`` (partitioned by date_day),
 by the other three models, so dedupe runs once and later stages start from
 a materialised table (lineage cut without ``localCheckpoint``).
 
-Incremental runs recompute a lookback window and overwrite only the touched
-date partitions.  Unlike the reference, every window is widened so that an
-incremental run gives exactly the full-refresh result (N6, N7):
-
-* event: days >= high-water mark - lookback (capped at ``as_of``, N15);
-* daily: reads 27 extra days before the write window for repeat/trailing;
-* monthly: recomputes from the (column-pruned) event table so first month
-  and previous month keep their whole history, writes touched months only;
-* sessions: sessions never cross midnight, so the touched days alone give
-  exact sessions (no re-read of all actor history needed).
+Incremental runs find the days that rows loaded since the last run belong to
+(``load_mark`` keeps the last load time), add the lookback window, and rewrite
+only what those days reach, so that an incremental run gives exactly the
+full-refresh result (N6, N7):
+
+* event, sessions: the touched days (sessions never cross midnight);
+* first events: the stored minimum merged with the touched days' rows;
+* daily: from the earliest touched day on, reading 27 days before it for
+  repeat and trailing users; of the first events only those inside that range
+  and one anchor per type are needed;
+* monthly: touched months of the stored person-months are replaced, and the
+  metrics read those, so first and previous month keep their whole history.
+
+Without load times in the raw table the window is the lookback alone, unless
+the caller names touched days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +39,14 @@ from eventlens.operators.dedupe import date_range_filtered, dedupe_events
 from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
 from eventlens.operators.sessions import session_columns, sessions
-from eventlens.operators.staging import stage_events, user_first_events
+from eventlens.operators.staging import missing_columns, stage_events, user_first_events
 from eventlens.operators.quality import not_null_check, union_all, unique_check
 from eventlens.plans.docs import with_descriptions
-from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources.sinks import (
     delete_insert,
     high_water_mark,
-    overwrite_partitions,
     overwrite_window,
+    replace_table,
     table_exists,
     write_full,
 )
@@ -52,11 +56,13 @@ PERSON_MONTHS = "person_months"
 
 # (table, partition column, clustering keys)
 TABLES = {
-    "event": ("date_day", ["event_type", "people_id", "source_relation"]),
+    "event": ("date_day", ["event_type", "people_id", "source_relation", "unique_event_id"]),
     "daily_events": ("date_day", ["event_type"]),
     "monthly_events": ("date_month", ["event_type", "source_relation"]),
-    "sessions": ("session_started_on_day", ["source_relation"]),
+    "sessions": ("session_started_on_day", ["source_relation", "session_id"]),
 }
+PERSON_MONTH_CLUSTER = ["event_type", "source_relation", "people_id"]
+LOAD_MARK = "load_mark"
 
 
 @dataclass
@@ -79,11 +85,12 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
     else:
         # without a materialised event table every model selects its own
         # columns before the dedupe, keeping each shuffle narrow
-        ev = dedupe_events(stg, cfg)
+        absent = missing_columns(raw, cfg.raw_names)
+        ev = dedupe_events(stg, cfg, absent=absent)
         narrow = {
             "monthly": dedupe_events(stg, cfg, columns=MONTHLY_COLUMNS),
             # a session filter is free SQL over any column: keep the full row then
-            "sessions": dedupe_events(stg, cfg, columns=None if cfg.session_filter else session_columns(cfg)),
+            "sessions": dedupe_events(stg, cfg, columns=None if cfg.session_filter else session_columns(cfg), absent=absent),
         }
     return Models(
         staged=stg,
@@ -115,114 +122,141 @@ def window_days(df: DataFrame) -> list[dt.date]:
     return [r["date_day"] for r in df.select("date_day").distinct().collect() if r["date_day"] is not None]
 
 
-def _replace_small_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Rewrite a table that is also an input of ``df``: stage under the
-    checkpoint directory first (cuts the lineage), then overwrite."""
-    root = ensure_checkpoint_dir(spark)
-    staging = f"{root.rstrip('/')}/eventlens-first-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def load_mark(spark: SparkSession, target_root: str) -> dt.datetime | None:
+    """Latest load time that earlier runs have seen."""
+    path = _path(target_root, LOAD_MARK)
+    if not table_exists(spark, path):
+        return None
+    row = spark.read.parquet(path).first()
+    return row["loaded_at"] if row else None
+
+
+def _loaded_since(stg: DataFrame, mark: dt.datetime) -> DataFrame:
+    # rows of the last load's own instant may have arrived after it was read
+    return stg.where(F.col("loaded_at") >= F.lit(mark))
+
+
+def _store_mark(spark: SparkSession, stg: DataFrame, target_root: str, mark: dt.datetime | None = None) -> None:
+    rows = stg if mark is None else _loaded_since(stg, mark)
+    replace_table(spark, rows.agg(F.max("loaded_at").alias("loaded_at")), _path(target_root, LOAD_MARK))
+
+
+def first_events_of_range(first: DataFrame, read_from: dt.date) -> DataFrame:
+    """What daily metrics from ``read_from`` on need of the first events: those
+    of the range, and for each type that began before it one nameless anchor."""
+    lo = lit_date(read_from)
+    anchors = (first.where(F.col("first_event_day") < lo).groupBy("source_relation", "event_type")
+               .agg(F.min("first_event_day").alias("first_event_day")))
+    inside = first.where(F.col("first_event_day") >= lo)
+    return inside.unionByName(anchors.withColumn("people_id", F.lit(None).cast("string")))
 
 
 def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> None:
     stg = stage_events(raw, cfg)
     user_first_events(stg).write.mode("overwrite").parquet(_path(target_root, FIRST_EVENTS))
     part, cluster = TABLES["event"]
-    write_full(with_descriptions(dedupe_events(stg, cfg), "event"), _path(target_root, "event"), part, cluster)
+    fresh = dedupe_events(stg, cfg, absent=missing_columns(raw, cfg.raw_names))
+    write_full(with_descriptions(fresh, "event"), _path(target_root, "event"), part, cluster)
     ev = spark.read.parquet(_path(target_root, "event"))
     # static overwrite (write_full): the stored table gets its _SUCCESS marker,
     # which incremental runs check before merging into it
-    write_full(person_months(ev.select(*MONTHLY_COLUMNS)), _path(target_root, PERSON_MONTHS), "date_month")
+    write_full(person_months(ev.select(*MONTHLY_COLUMNS)), _path(target_root, PERSON_MONTHS), "date_month",
+               PERSON_MONTH_CLUSTER)
     m = build(raw, cfg, events=ev)
     monthly = monthly_from_person_months(spark.read.parquet(_path(target_root, PERSON_MONTHS)), cfg,
                                          spark.read.parquet(_path(target_root, FIRST_EVENTS)))
     for name, df in (("daily_events", m.daily), ("monthly_events", monthly), ("sessions", m.sessions)):
         part, cluster = TABLES[name]
         write_full(with_descriptions(df, name), _path(target_root, name), part, cluster)
+    _store_mark(spark, stg, target_root)
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,
-                    earliest_touched: dt.date | None = None, strategy: str = "insert_overwrite") -> dt.date:
-    """Recompute the lookback window and overwrite touched partitions.
+                    touched: Iterable[dt.date] = (), strategy: str = "insert_overwrite") -> dt.date | None:
+    """Recompute what new rows and the lookback window reach.
 
-    The window starts at the high-water mark minus ``lookback_days``, or
-    earlier when the caller knows an older day received data
-    (``earliest_touched``, e.g. from a streaming micro-batch).  Returns the
-    first rewritten day.  Falls back to a full refresh when the event table
-    does not exist yet.
+    Touched days are those of the rows loaded since the last run, those that
+    the caller names (e.g. a streaming micro-batch's), and the lookback window:
+    high-water mark minus ``lookback_days`` and later.  Returns the first
+    rewritten day, None after a full refresh (no event table yet).
 
     ``strategy`` is how the event table takes the recomputed rows:
-    ``insert_overwrite`` replaces the window's date partitions (rows that
+    ``insert_overwrite`` replaces the touched date partitions (rows that
     vanished upstream go too); ``delete+insert`` replaces rows by
     ``unique_event_id`` and keeps the others.
     """
     if strategy not in ("insert_overwrite", "delete+insert"):
         raise ValueError(f"unknown strategy {strategy!r}")
     event_path = _path(target_root, "event")
-    if not table_exists(spark, event_path):
-        run_full(spark, raw, cfg, target_root)
-        return dt.date.fromisoformat("2010-01-01")
     hwm = high_water_mark(spark, event_path, "date_day", cfg.as_of_date)
-    start = shift_date(hwm, days=-cfg.lookback_days)
-    if earliest_touched is not None and earliest_touched < start:
-        start = earliest_touched
+    if hwm is None:
+        run_full(spark, raw, cfg, target_root)
+        return None
+    window = shift_date(hwm, days=-cfg.lookback_days)
     stg = stage_events(raw, cfg)
-    recent = since(stg, start)
-    fresh = dedupe_events(recent, cfg)
+    mark = load_mark(spark, target_root)
+    days = set(touched)
+    if mark is not None:
+        days.update(window_days(date_range_filtered(_loaded_since(stg, mark), cfg)))
+    old = sorted(d for d in days if d < window)  # days before the window: a bounded list
+    start = min([window, *old])
+
+    def in_reach(df: DataFrame) -> DataFrame:
+        lo = F.col("date_day") >= lit_date(window)
+        return df.where(lo | F.col("date_day").isin(old)) if old else df.where(lo)
+
+    recent = in_reach(since(stg, start))
     part, cluster = TABLES["event"]
+    fresh = with_descriptions(dedupe_events(recent, cfg, absent=missing_columns(raw, cfg.raw_names)), "event")
     if strategy == "delete+insert":
-        delete_insert(spark, with_descriptions(fresh, "event"), event_path, "unique_event_id", part)
+        delete_insert(spark, fresh, event_path, "unique_event_id", part, cluster)
     else:
-        # the slice's days (at most the window's length) from a narrow pushed-down
-        # scan, so the slice itself is written once
-        days = window_days(date_range_filtered(recent, cfg))
-        overwrite_window(spark, with_descriptions(fresh, "event"), event_path, part, start, cluster, present=days)
+        # the slice's days from a narrow pushed-down scan, so it is written once
+        present = window_days(date_range_filtered(recent, cfg))
+        overwrite_window(spark, fresh, event_path, part, window, cluster, present=present)
 
-    # all-time first events: raw is append-only and the first day is a min, so
-    # merging the stored table with the slice equals a rescan of all history
     first_path = _path(target_root, FIRST_EVENTS)
     if table_exists(spark, first_path):
+        # raw is append-only and the first day is a min, so the stored table
+        # merged with the new rows' days equals a rescan of all history
         keys = ["people_id", "source_relation", "event_type"]
         merged = (spark.read.parquet(first_path).unionByName(user_first_events(recent))
                   .groupBy(*keys).agg(F.min("first_event_day").alias("first_event_day")))
-        first = _replace_small_table(spark, merged, first_path)
     else:
-        first = user_first_events(stg)
+        merged = user_first_events(stg)
+    first = replace_table(spark, merged, first_path)
 
     ev = spark.read.parquet(event_path)
-    read_from = lit_date(shift_date(start, days=-27))
-    daily = daily_events(ev.where(F.col("date_day") >= read_from), first, cfg)
+    read_from = shift_date(start, days=-27)
+    daily = daily_events(ev.where(F.col("date_day") >= lit_date(read_from)), first_events_of_range(first, read_from), cfg)
     part, cluster = TABLES["daily_events"]
-    overwrite_partitions(daily.where(F.col("date_day") >= lit_date(start)),
-                         _path(target_root, "daily_events"), part, cluster)
+    overwrite_window(spark, with_descriptions(daily.where(F.col("date_day") >= lit_date(start)), "daily_events"),
+                     _path(target_root, "daily_events"), part, start, cluster)
 
-    # person-months of the touched months from the pruned event slice; the
-    # metrics then read the stored person-months (full history, far smaller
-    # than the events) so first and previous months stay exact
     month_first_day = start.replace(day=1)
     month_start = lit_date(month_first_day)
     pm_path = _path(target_root, PERSON_MONTHS)
-    fresh_pm = person_months(ev.where(F.col("date_day") >= month_start).select(*MONTHLY_COLUMNS))
     if table_exists(spark, pm_path):
-        overwrite_window(spark, fresh_pm, pm_path, "date_month", month_first_day)
-        monthly = monthly_from_person_months(spark.read.parquet(pm_path), cfg, first)
+        fresh_pm = person_months(ev.where(F.col("date_day") >= month_start).select(*MONTHLY_COLUMNS))
+        overwrite_window(spark, fresh_pm, pm_path, "date_month", month_first_day, PERSON_MONTH_CLUSTER)
     else:
-        monthly = monthly_events(ev.select(*MONTHLY_COLUMNS), cfg, first)
+        write_full(person_months(ev.select(*MONTHLY_COLUMNS)), pm_path, "date_month", PERSON_MONTH_CLUSTER)
+    monthly = monthly_from_person_months(spark.read.parquet(pm_path), cfg, first)
     part, cluster = TABLES["monthly_events"]
-    overwrite_partitions(monthly.where(F.col("date_month") >= month_start),
-                         _path(target_root, "monthly_events"), part, cluster)
+    overwrite_window(spark, with_descriptions(monthly.where(F.col("date_month") >= month_start), "monthly_events"),
+                     _path(target_root, "monthly_events"), part, month_first_day, cluster)
 
-    recent_ev = ev.where(F.col("date_day") >= lit_date(start))
-    sess = sessions(recent_ev, cfg)
     part, cluster = TABLES["sessions"]
     cond = sql_filter(cfg.session_filter)
-    days = window_days(recent_ev.where(cond) if cond is not None else recent_ev)
-    overwrite_window(spark, sess, _path(target_root, "sessions"), part, start, cluster, present=days)
+    reached = in_reach(ev.where(F.col("date_day") >= lit_date(start)))
+    present = window_days(reached.where(cond) if cond is not None else reached)
+    path = _path(target_root, "sessions")
+    overwrite_window(spark, with_descriptions(sessions(reached, cfg), "sessions"), path, part, window, cluster, present=present)
+    _store_mark(spark, stg, target_root, mark)
     return start
 
 
-# key of every stored table, as the reference tests them (unique + not_null)
+# key of every stored table, tested to be unique and not null
 TABLE_KEYS = {"event": "unique_event_id", "daily_events": "unique_key", "monthly_events": "unique_key",
               "sessions": "session_id"}
 

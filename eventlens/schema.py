@@ -1,8 +1,8 @@
 """Column catalogue of the conformed event table.
 
 FIXED VALUES: the raw source column names, their target types and their
-output aliases below must equal the upstream contract exactly, otherwise
-real raw tables would not conform.  They are listed plainly in the order
+output aliases below are the contract of the event table; a loader that
+names its raw columns differently is mapped with ``Config.raw_names``.  They are listed plainly in the order
 of the upstream catalogue (raw name, type, output alias or None).
 """
 
@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 # --- fixed values: raw event columns (name, type, alias) -------------------
 EVENT_COLUMNS: tuple[tuple[str, T.DataType, str | None], ...] = (
-    ("_fivetran_synced", T.TimestampType(), None),
-    ("_fivetran_id", T.StringType(), None),
+    ("loaded_at", T.TimestampType(), None),
+    ("loader_row_id", T.StringType(), None),
     ("ae_session_length", T.StringType(), "app_session_length"),
     ("app_build_number", T.StringType(), None),
     ("app_version_string", T.StringType(), "app_version"),
@@ -35,12 +35,12 @@ EVENT_COLUMNS: tuple[tuple[str, T.DataType, str | None], ...] = (
     ("initial_referrer", T.StringType(), None),
     ("initial_referring_domain", T.StringType(), None),
     ("insert_id", T.StringType(), None),
-    ("lib_version", T.StringType(), "mixpanel_library_version"),
+    ("lib_version", T.StringType(), "library_version"),
     ("manufacturer", T.StringType(), "device_manufacturer"),
     ("model", T.StringType(), "device_model"),
     ("mp_country_code", T.StringType(), "country_code"),
     ("mp_keyword", T.StringType(), "referrer_keywords"),
-    ("mp_lib", T.StringType(), "mixpanel_library"),
+    ("mp_lib", T.StringType(), "library"),
     ("mp_processing_time_ms", T.LongType(), None),
     ("name", T.StringType(), "event_type_original_casing"),
     ("os", T.StringType(), None),
@@ -59,15 +59,8 @@ EVENT_COLUMNS: tuple[tuple[str, T.DataType, str | None], ...] = (
 )
 # --- end of fixed values ----------------------------------------------------
 
-# Placeholder used for NULL parts of a surrogate key (fixed value: keys must
-# hash identically to tables built by the upstream tool).
-SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
-
-# Default lower bound of the event table on a full refresh (fixed value).
-SAFETY_START_DATE = "2010-01-01"
-
-# Literal written when a session has more event types than the cap (fixed value).
-TOO_MANY_EVENT_TYPES = "Too many event types to render"
+# Placeholder used for NULL parts of a surrogate key (fixed value).
+SURROGATE_NULL = "_surrogate_key_null_"
 
 
 def conformed_names() -> list[str]:

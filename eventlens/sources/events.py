@@ -23,10 +23,13 @@ def read_events(spark: SparkSession, source: str, fmt: str = "parquet") -> DataF
 
 
 def read_events_csv(spark: SparkSession, path: str, extra: dict[str, T.DataType] | None = None,
-                    schema: T.StructType | None = None) -> DataFrame:
+                    schema: T.StructType | None = None, multi_line: bool = False,
+                    mode: str = "FAILFAST") -> DataFrame:
     """CSV export of a raw event table with typed columns.
 
-    JSON in quoted fields uses doubled quotes; ``time`` and ``_fivetran_synced``
+    JSON in quoted fields uses doubled quotes (with line breaks inside, pass
+    ``multi_line``: such a file is then read by one task); a malformed row is an
+    error unless ``mode`` says otherwise; ``time`` and ``loaded_at``
     are parsed as timestamps.  Columns of the file that are not in the
     schema are ignored by header matching.
     """
@@ -40,30 +43,45 @@ def read_events_csv(spark: SparkSession, path: str, extra: dict[str, T.DataType]
             .option("header", True)
             .option("quote", '"')
             .option("escape", '"')
-            .option("multiLine", False)
+            .option("multiLine", multi_line)
+            .option("mode", mode)
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
             .option("enforceSchema", False)
             .csv(path))
 
 
-def union_connections(sources: dict[str, DataFrame], preserve_case: bool = False) -> DataFrame:
+def conformed_raw(df: DataFrame, raw_names: dict[str, str] | None = None) -> DataFrame:
+    """``df`` with its catalogued columns under their catalogue names and types
+    (``try_cast``: dirty values become NULL); other columns as they are."""
+    wanted = {(raw_names or {}).get(name, name).lower(): (name, dtype) for name, dtype, _ in EVENT_COLUMNS}
+    out = []
+    for f in df.schema.fields:
+        name, dtype = wanted.get(f.name.lower(), (f.name, f.dataType))
+        col = F.col("`" + f.name.replace("`", "``") + "`")
+        out.append((col if f.dataType == dtype else col.try_cast(dtype)).alias(name))
+    return df.select(*out)
+
+
+def union_connections(sources: dict[str, DataFrame], preserve_case: bool = False,
+                      raw_names: dict[str, str] | None = None) -> DataFrame:
     """UNION ALL of several raw event tables with a provenance column.
 
-    Columns missing in one connection become NULL (``allowMissingColumns``);
-    ``source_relation`` is the connection name, lower-cased unless
+    Each connection is conformed to the catalogue's types first, so none's
+    types decide for the others; a further column whose type differs between
+    connections becomes a string.  Columns missing in one connection become
+    NULL.  ``source_relation`` is the connection name, lower-cased unless
     ``preserve_case``.  A narrow union: no shuffle.
     """
     if not sources:
         raise ValueError("no sources given")
+    frames = {name: conformed_raw(df, raw_names) for name, df in sources.items()}
+    types: dict[str, set[str]] = {}
+    for df in frames.values():
+        for f in df.schema.fields:
+            types.setdefault(f.name.lower(), set()).add(f.dataType.simpleString())
     tagged = []
-    for name, df in sources.items():
-        tag = name if preserve_case else name.lower()
-        tagged.append(df.withColumn("source_relation", F.lit(tag)))
+    for name, df in frames.items():
+        mixed = {f.name: F.col(f.name).cast("string") for f in df.schema.fields if len(types[f.name.lower()]) > 1}
+        tagged.append(df.withColumns({**mixed, "source_relation": F.lit(name if preserve_case else name.lower())}))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-
-
-def catalogued_raw_columns(df: DataFrame) -> list[str]:
-    """Raw columns of ``df`` that the conformed schema uses (case-insensitive)."""
-    wanted = {name for name, _, _ in EVENT_COLUMNS}
-    return [c for c in df.columns if c.lower() in wanted]

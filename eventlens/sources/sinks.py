@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.timeutil import shift_date
-from eventlens.schema import SAFETY_START_DATE
-from eventlens.session import ensure_checkpoint_dir
 
 
 def _jvm_path(spark: SparkSession, path: str):
@@ -35,9 +35,9 @@ def clustered(df: DataFrame, partition_col: str, cluster_by: list[str] | None =
 
     A range shuffle on (date, cluster keys), then a local sort: each task
     holds a contiguous key range, so it writes into one or two date folders
-    (few files) sorted for min/max skipping.  The boundaries are sampled, so a
-    big or hot date is split over many tasks, unlike ``repartition(date)``
-    which would send a whole date to one task.
+    (few files) sorted for min/max skipping.  The boundaries are sampled and
+    can't split equal keys, so the last cluster key should be a row's own (an
+    id): then a big date is spread over many tasks.
     """
     keys = [partition_col, *(cluster_by or [])]
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -70,86 +70,97 @@ def _partition_values(spark: SparkSession, path: str, partition_col: str) -> set
             if st.isDirectory() and st.getPath().getName().startswith(prefix)}
 
 
+@contextmanager
+def staged_beside(spark: SparkSession, df: DataFrame, path: str, partition_col: str | None = None,
+                  cluster_by: list[str] | None = None, fmt: str = "parquet") -> Iterator[tuple[DataFrame, str]]:
+    """``df`` written beside ``path`` (the target's own file system) and read
+    back; the copy is removed at the end."""
+    staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"
+    try:
+        writer = (clustered(df, partition_col, cluster_by) if partition_col else df).write.format(fmt)
+        (writer.partitionBy(partition_col) if partition_col else writer).save(staging)
+        yield spark.read.format(fmt).schema(df.schema).load(staging), staging
+    finally:
+        fs, jpath = _jvm_path(spark, staging)
+        fs.delete(jpath, True)
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition_col: str, start: dt.date, keep: set[str]) -> None:
+    fs, _ = _jvm_path(spark, path)
+    for value in _partition_values(spark, path, partition_col) - keep:
+        if value >= start.isoformat():
+            fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
+
+
 def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
                      start: dt.date, cluster_by: list[str] | None = None, fmt: str = "parquet",
-                     staging_root: str | None = None, present: list | None = None) -> None:
+                     present: list | None = None) -> None:
     """Replace every partition from ``start`` on with ``df``.
 
     A dynamic overwrite cannot delete a date that now has no rows (say a
-    filter excluded all of it).  When the caller knows the slice's dates
-    (``present``: a bounded list, the days of the window, e.g. from a narrow
-    distinct over the input), partitions of the window missing from it are
-    deleted first and the slice is written once.  Otherwise the slice is
-    written to a staging table under the checkpoint directory, its partitions
-    are listed, swapped in, and the missing ones deleted.
+    filter excluded all of it); such partitions are deleted after the write,
+    so a failure in between leaves old rows and no hole.  When the caller knows
+    the slice's dates (``present``: a bounded list, the days of the window),
+    the slice is written once; otherwise a staged copy tells them.
     """
     if present is not None:
-        keep = {v if isinstance(v, str) else v.isoformat() for v in present}
-        fs, _ = _jvm_path(spark, path)
-        for value in _partition_values(spark, path, partition_col) - keep:
-            if value >= start.isoformat():
-                fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
         overwrite_partitions(df, path, partition_col, cluster_by, fmt=fmt)
+        _drop_partitions(spark, path, partition_col, start, {v if isinstance(v, str) else v.isoformat() for v in present})
         return
-    root = staging_root or ensure_checkpoint_dir(spark)
-    staging = f"{root.rstrip('/')}/eventlens-slice-{uuid.uuid4().hex}"
-    clustered(df, partition_col, cluster_by).write.format(fmt).mode("overwrite").partitionBy(
-        partition_col).save(staging)
-    fresh = _partition_values(spark, staging, partition_col)
-    if fresh:
-        overwrite_partitions(spark.read.format(fmt).load(staging), path, partition_col, fmt=fmt)
-    fs, _ = _jvm_path(spark, path)
-    for value in _partition_values(spark, path, partition_col) - fresh:
-        if value >= start.isoformat():
-            fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
-    fs.delete(_jvm_path(spark, staging)[1], True)
+    with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
+        fresh = _partition_values(spark, staging, partition_col)
+        if fresh:
+            overwrite_partitions(slice_, path, partition_col, cluster_by, fmt=fmt)
+        _drop_partitions(spark, path, partition_col, start, fresh)
 
 
 def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, partition_col: str,
-                  staging_root: str | None = None, fmt: str = "parquet") -> None:
+                  cluster_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Incremental ``delete+insert`` by unique key.
 
-    Rows of the target whose key appears in ``df`` are replaced; other rows
-    of the touched partitions are kept.  The merged partitions are first
-    written to a staging table under the session's checkpoint directory (the
-    target cannot be read and overwritten by one job), then swapped in with a
-    dynamic partition overwrite.
+    Rows of the target whose key appears in ``df`` are replaced; other rows of
+    the touched partitions are kept.  ``df`` is computed once, into a staged
+    copy whose folders name the touched dates, so the target's scan is pruned
+    by literals; the merged partitions are staged too (the target cannot be
+    read and overwritten by one job) and swapped in.
     """
-    touched = df.select(partition_col).distinct()
-    existing = spark.read.format(fmt).load(path)
-    # touched dates are few (lookback window); semi join keeps the scan pruned to them
-    kept = (existing.join(touched, partition_col, "left_semi")
-            .join(df.select(key), key, "left_anti"))
-    merged = kept.unionByName(df.select(*existing.columns), allowMissingColumns=True)
-    root = staging_root or ensure_checkpoint_dir(spark)
-    staging = f"{root.rstrip('/')}/eventlens-merge-{uuid.uuid4().hex}"
-    merged.write.format(fmt).mode("overwrite").partitionBy(partition_col).save(staging)
-    overwrite_partitions(spark.read.format(fmt).load(staging), path, partition_col, fmt=fmt)
+    with staged_beside(spark, df, path, partition_col, fmt=fmt) as (fresh, staging):
+        days = sorted(_partition_values(spark, staging, partition_col))
+        if not days:
+            return
+        existing = spark.read.format(fmt).load(path)
+        kept = (existing.where(F.col(partition_col).cast("string").isin(days))
+                .join(fresh.select(key), key, "left_anti"))
+        merged = kept.unionByName(fresh.select(*existing.columns), allowMissingColumns=True)
+        with staged_beside(spark, merged, path, partition_col, cluster_by, fmt) as (both, _):
+            overwrite_partitions(both, path, partition_col, cluster_by, fmt=fmt)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Rewrite a table that may also be an input of ``df``."""
+    with staged_beside(spark, df, path, fmt=fmt) as (copy, _):
+        copy.write.format(fmt).mode("overwrite").save(path)
+    return spark.read.format(fmt).load(path)
 
 
 def high_water_mark(spark: SparkSession, path: str, column: str, as_of: dt.date | None = None,
-                    fmt: str = "parquet") -> dt.date:
-    """``coalesce(max(column), safety date)`` of an existing target.
+                    fmt: str = "parquet") -> dt.date | None:
+    """``max(column)`` of an existing target, None for a missing or empty one.
 
     Capped at ``as_of`` so that future-dated rows cannot push the lookback
     forward and silently skip late data (N15).  A partition column makes
-    this a metadata-only scan.
+    this a directory listing, no job over file footers.
     """
     if not table_exists(spark, path):
-        return dt.date.fromisoformat(SAFETY_START_DATE)
-    listed = _partition_values(spark, path, column)
+        return None
+    listed = [v for v in _partition_values(spark, path, column) if not v.startswith("__")]
     if listed:
-        # the partition column: a directory listing, no job over file footers
         value = dt.date.fromisoformat(max(listed)[:10])
     else:
         value = spark.read.format(fmt).load(path).agg(F.max(column).alias("m")).first()["m"]
-    if value is None:
-        value = dt.date.fromisoformat(SAFETY_START_DATE)
     if isinstance(value, dt.datetime):
         value = value.date()
-    if as_of is not None and value > as_of:
-        value = as_of
-    return value
+    return as_of if value is not None and as_of is not None and value > as_of else value
 
 
 def lookback_start(hwm: dt.date, days: int = 0, months: int = 0) -> dt.date:

@@ -4,12 +4,12 @@ The test tables are not raw product-event exports, so each adapter is a pure
 projection onto the raw column names (no rows dropped, no rows invented):
 
 ``events``  name=event_type, time=ts, distinct_id=user_id, insert_id and
-            _fivetran_id=event_id, mp_processing_time_ms=event_id,
+            loader_row_id=event_id, mp_processing_time_ms=event_id,
             properties=props, device_id='d'||user_id for every third
-            event_id (exercises the actor fallback), _fivetran_synced=ts,
+            event_id (exercises the actor fallback), loaded_at=ts,
             plus the extra raw columns event_id and value.
 ``orders``  name=o_orderpriority, time=o_orderdate, distinct_id=o_custkey,
-            insert_id and _fivetran_id=o_orderkey,
+            insert_id and loader_row_id=o_orderkey,
             mp_processing_time_ms=o_orderkey (80 months of history).
 
 The DuckDB oracle applies the same projection (see ``eventlens.plans.oracle``).
@@ -37,11 +37,11 @@ def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("time"),
         F.col("user_id").cast("string").alias("distinct_id"),
         F.col("event_id").cast("string").alias("insert_id"),
-        F.col("event_id").cast("string").alias("_fivetran_id"),
+        F.col("event_id").cast("string").alias("loader_row_id"),
         F.col("event_id").alias("mp_processing_time_ms"),
         F.col("props").alias("properties"),
         F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("d"), F.col("user_id").cast("string"))).alias("device_id"),
-        F.col("ts").cast("timestamp").alias("_fivetran_synced"),
+        F.col("ts").cast("timestamp").alias("loaded_at"),
         F.col("event_id"),
         F.col("value"),
     )
@@ -52,7 +52,7 @@ def raw_from_events_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivery); the dedupe must return exactly one row per original event."""
     raw = raw_from_events(spark, sf_dir)
     copy = (raw.withColumn("mp_processing_time_ms", F.col("mp_processing_time_ms") + F.lit(10**12))
-               .withColumn("_fivetran_id", F.concat(F.col("_fivetran_id"), F.lit("-r"))))
+               .withColumn("loader_row_id", F.concat(F.col("loader_row_id"), F.lit("-r"))))
     return raw.unionByName(copy)
 
 
@@ -73,6 +73,6 @@ def raw_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("time"),
         F.col("o_custkey").cast("string").alias("distinct_id"),
         F.col("o_orderkey").cast("string").alias("insert_id"),
-        F.col("o_orderkey").cast("string").alias("_fivetran_id"),
+        F.col("o_orderkey").cast("string").alias("loader_row_id"),
         F.col("o_orderkey").alias("mp_processing_time_ms"),
     )

@@ -1,11 +1,10 @@
 """Micro-batch ingestion that feeds the incremental run (L1, streaming form).
 
-The reference is batch only: a scheduled incremental run recomputes the last
-``lookback_days``.  Here Structured Streaming watches the append-only raw
-folder; each micro-batch only tells *which days* received rows (one scalar
-aggregate, never the rows themselves), and the batch then runs the
-incremental plan over the whole raw table from the earliest touched day, so
-late rows older than the lookback are still picked up.  Writes are partition
+A scheduled incremental run recomputes the last ``lookback_days``.  Here Structured Streaming watches the append-only raw
+folder; each micro-batch only tells *which days* received rows (a bounded
+list, never the rows themselves), and the batch then runs the incremental plan
+over the raw table for those days, so late rows older than the lookback are
+picked up and only what they reach is rewritten.  Writes are partition
 overwrites, hence idempotent: a replayed micro-batch gives the same tables,
 and the checkpoint location (on shared storage) records progress.
 """
@@ -23,9 +22,9 @@ from eventlens.config import Config
 from eventlens.plans.pipeline import run_incremental
 
 
-def earliest_day(batch: DataFrame, time_col: str = "time") -> dt.date | None:
-    value = batch.agg(F.min(F.to_date(time_col)).alias("d")).first()["d"]
-    return value
+def touched_days(batch: DataFrame, time_col: str = "time") -> list[dt.date]:
+    rows = batch.select(F.to_date(time_col).alias("d")).where("d is not null").distinct().collect()
+    return sorted(r["d"] for r in rows)
 
 
 def start_ingest(spark: SparkSession, raw_path: str, schema: T.StructType, cfg: Config, target_root: str,
@@ -36,11 +35,11 @@ def start_ingest(spark: SparkSession, raw_path: str, schema: T.StructType, cfg:
     stream = spark.readStream.schema(schema).format(fmt).load(raw_path)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        touched = earliest_day(batch)
-        if touched is None:
+        touched = touched_days(batch)
+        if not touched:
             return
         raw = spark.read.schema(schema).format(fmt).load(raw_path)
-        run_incremental(spark, raw, cfg, target_root, earliest_touched=touched)
+        run_incremental(spark, raw, cfg, target_root, touched=touched)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

@@ -5,9 +5,9 @@ usage: python scripts/skew_check.py [sf_dir] [copies] [event_log_dir]
 Derives from the driver's ``events`` table (in memory, nothing written) a
 variant in which every third event belongs to one anonymous actor with no
 person, device or insert id, replicated ``copies`` times with shifted ids.
-Times the library plans (min-struct dedupe, minute-grain sessions) against
-the reference-shaped window forms (row_number dedupe, per-event session
-windows) and reports the longest task of each job from the event log.
+Times the library plans (aggregate dedupe, minute-grain sessions) with and
+without the hot actor and reports the longest task of each job from the event
+log.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, Window  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from eventlens.config import Config  # noqa: E402
-from eventlens.operators.dedupe import dedupe_events, dedupe_events_window  # noqa: E402
+from eventlens.operators.dedupe import dedupe_events  # noqa: E402
 from eventlens.operators.sessions import session_columns, sessions  # noqa: E402
 from eventlens.operators.staging import stage_events  # noqa: E402
 from eventlens.session import local_session  # noqa: E402
@@ -43,36 +43,10 @@ def hot_raw(spark, sf_dir: str, copies: int) -> DataFrame:
         F.col("event_type").alias("name"), F.col("ts").alias("time"),
         F.when(hot, F.lit(None)).otherwise((x.user_id + x.copy * 100000).cast("string")).alias("distinct_id"),
         F.when(hot, F.lit(None)).otherwise(eid.cast("string")).alias("insert_id"),
-        eid.cast("string").alias("_fivetran_id"), eid.alias("mp_processing_time_ms"),
+        eid.cast("string").alias("loader_row_id"), eid.alias("mp_processing_time_ms"),
     )
 
 
-def reference_sessions(ev: DataFrame, cfg: Config) -> DataFrame:
-    """Full reference-shaped sessions: per-event windows, per-type counts
-    aggregated per session, joined back on the session-start rows."""
-    from eventlens.functions.keys import surrogate_key
-
-    e = ev.withColumn("user_id", F.coalesce("device_id", "people_id"))
-    part = ["source_relation", "user_id", "date_day"]
-    w = Window.partitionBy(*part).orderBy("occurred_at", "unique_event_id")
-    prev = F.lag("occurred_at").over(w)
-    gap = F.timestamp_diff("MINUTE", F.date_trunc("minute", prev), F.date_trunc("minute", "occurred_at"))
-    e = e.withColumn("is_new_session", F.when(prev.isNull() | (gap > cfg.session_timeout_minutes), 1).otherwise(0))
-    e = e.withColumn("session_number", F.sum("is_new_session").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    e = e.withColumn("session_id", surrogate_key("user_id", "session_number", "date_day", "source_relation"))
-    e = e.withColumn("total_number_of_events", F.count("unique_event_id").over(
-        Window.partitionBy(*part, "session_number")))
-    freq = (e.groupBy("source_relation", "session_id", "event_type").agg(F.count("unique_event_id").alias("n"))
-             .groupBy("source_relation", "session_id")
-             .agg(F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_type", "n"))),
-                  lambda x: F.concat(x["event_type"], F.lit(": "), x["n"].cast("string"))), ", "), F.lit("}"))
-                  .alias("event_frequencies")))
-    starts = e.where("is_new_session = 1").select(
-        "source_relation", "session_id", "people_id", F.col("occurred_at").alias("session_started_at"),
-        F.col("date_day").alias("session_started_on_day"), "user_id", "device_id", "total_number_of_events")
-    return starts.join(freq, ["source_relation", "session_id"])
-
-
 def max_task_ms(log_dir: str) -> dict[int, int]:
     import zstandard
 
@@ -98,11 +72,8 @@ def main():
     spark = local_session(8, extra=extra)
     stg = stage_events(hot_raw(spark, sf, copies), CFG)
     cases = {
-        "dedupe_min_struct": lambda: dedupe_events(stg, CFG),
-        "dedupe_row_number_window": lambda: dedupe_events_window(stg, CFG),
+        "dedupe": lambda: dedupe_events(stg, CFG),
         "sessions_minute_grain": lambda: sessions(dedupe_events(stg, CFG, columns=session_columns(CFG)), CFG),
-        "sessions_reference_windows": lambda: reference_sessions(
-            dedupe_events(stg, CFG, columns=session_columns(CFG)), CFG),
     }
     result = {"rows": stg.count(), "copies": copies}
     for name, build in cases.items():

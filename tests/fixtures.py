@@ -1,7 +1,7 @@
 """Hand-built raw event rows covering the edge cases of the semantics.
 
 Each row: (source, name, time, distinct_id, insert_id, mp_processing_time_ms,
-_fivetran_id, device_id, _fivetran_synced).  Columns not listed here are
+loader_row_id, device_id, loaded_at).  Columns not listed here are
 missing from the raw table on purpose (they must come out NULL).
 """
 
@@ -62,9 +62,9 @@ SCHEMA = T.StructType([
     T.StructField("distinct_id", T.StringType()),
     T.StructField("insert_id", T.StringType()),
     T.StructField("mp_processing_time_ms", T.LongType()),
-    T.StructField("_fivetran_id", T.StringType()),
+    T.StructField("loader_row_id", T.StringType()),
     T.StructField("device_id", T.StringType()),
-    T.StructField("_fivetran_synced", T.TimestampNTZType()),
+    T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 PRESENT = {f.name for f in SCHEMA.fields} - {"source_relation"}
 

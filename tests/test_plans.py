@@ -37,6 +37,7 @@ def test_no_forbidden_operators(spark, name):
 EXCHANGE_BUDGET = {
     "dedupe_events": 1,
     "sessions": 3,
+    "session_numbers": 6,
     "daily_events": 5,
     "monthly_events": 6,
     "funnel": 4,
@@ -54,7 +55,8 @@ def test_exchange_budget(spark, name, budget):
 
 @pytest.mark.parametrize("name,bound", [("daily_events", "LessThan(ts"),  # all history: first days
                                         ("lookback_incremental_events", "GreaterThanOrEqual(ts"),
-                                        ("dedupe_events", "GreaterThanOrEqual(ts")])
+                                        ("dedupe_events", "IsNotNull(ts"),
+                                        ("date_range_filter", "GreaterThanOrEqual(ts")])
 def test_scans_are_pruned_and_filtered(spark, name, bound):
     df = QUERIES[name](spark, SF_SMALL)
     text = df._jdf.queryExecution().explainString(

@@ -14,7 +14,7 @@ def test_unique_and_not_null(spark):
 def test_freshness_grades(spark):
     df = spark.createDataFrame(
         [("s1", dt.datetime(2024, 1, 1, 0)), ("s2", dt.datetime(2023, 12, 29, 0)), ("s3", dt.datetime(2023, 12, 27))],
-        "source_relation string, _fivetran_synced timestamp_ntz")
+        "source_relation string, loaded_at timestamp_ntz")
     got = {r["source_relation"]: r["status"] for r in quality.freshness_check(df, dt.datetime(2024, 1, 2)).collect()}
     assert got == {"s1": "pass", "s2": "warn", "s3": "error"}
 

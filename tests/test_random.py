@@ -1,6 +1,6 @@
 """Randomised data with a hot key: one anonymous actor (no person, no device,
 no insert id) holds a third of all rows, and gaps cluster around the session
-timeout.  Every model must equal the reference-shaped SQL."""
+timeout.  Every model must equal the independent SQL."""
 
 import datetime as dt
 
