@@ -122,6 +122,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_cross_polytope": op9_cross_polytope,
     "op10_patience_licenses": op10_patience_licenses,
 }
-
-#: DuckDB statements of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}

@@ -40,3 +40,14 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
 
 def test_every_operator_has_its_query():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+
+
+def test_oracle_statements(spark, duck):
+    from eventlens.llm.oracle import ORACLE_SQL
+
+    sf = "/root/testdata/sf0.001"
+    duck.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    for name, sql in ORACLE_SQL.items():
+        got = QUERIES[name](spark, sf).toPandas()
+        want = duck.sql(sql).df()[list(got.columns)]
+        assert sorted(map(tuple, got.astype(object).values), key=str) == sorted(map(tuple, want.astype(object).values), key=str), name
