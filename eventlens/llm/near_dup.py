@@ -8,9 +8,10 @@
    found in three rounds, of which none emits a bucket's pairs:
    twice, every member is held against one leader of its bucket; what links
    is merged into components; then, in buckets that still span several
-   components, members of different components are compared by their packed
-   signatures, in blocks, and only pairs whose collision-corrected estimate
-   could reach the threshold go on.
+   components, members of different components are compared in blocks: by
+   their packed signatures, and where the collision-corrected estimate could
+   reach the threshold by their sets' elements cut to 31 bits, which can only
+   look more alike than they are.  Pairs that fall short never leave their task.
 3. Every candidate pair is confirmed by ``100 * |A & B| >= 80 * |A | B|`` on
    the full sets.  Confirmed links give the components.
 
@@ -33,7 +34,7 @@ from .common import chunks, mix64, shingle_hashes, stored, texts_of
 from .components import connected_components
 
 #: Members of a bucket that one task holds against another such block.
-BLOCK = 1000
+BLOCK = 512
 SIGMAS = 6.0
 
 
@@ -133,6 +134,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select("a", "b")
 
 
+def block_links(rows: pd.DataFrame, percent: int, need: float, k: int, bits: int) -> pd.DataFrame:
+    """Pairs of nodes of different components that may be linked: of one block
+    (all rows on side 0), or between the two sides."""
+    node, component, side = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["side"].to_numpy()
+    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if (side == 1).any() else (np.arange(len(rows)),) * 2
+    size = rows["n_shingles"].to_numpy()
+    mask = component[left][:, None] != component[right][None, :]
+    if left is right:
+        mask &= np.triu(np.ones(mask.shape, dtype=bool), 1)
+    x, y = size[left][:, None], size[right][None, :]
+    mask &= 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+    if mask.any():
+        planes = np.stack([np.asarray(p) for p in rows["planes"]]).view(np.uint64).reshape(len(rows), bits, -1)
+        differs = np.zeros(mask.shape, dtype=np.int64)
+        for w in range(planes.shape[2]):
+            either = np.zeros(mask.shape, dtype=np.uint64)
+            for b in range(bits):
+                either |= planes[left, b, w][:, None] ^ planes[right, b, w][None, :]
+            differs += np.bitwise_count(either)
+        mask &= k - differs >= need
+    at = np.argwhere(mask)
+    if not len(at):
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    a, b = left[at[:, 0]], right[at[:, 1]]
+    used = np.unique(np.r_[a, b])
+    place = np.zeros(len(rows), dtype=np.int64)
+    place[used] = np.arange(len(used))
+    items = [np.asarray(rows["items"].iloc[i]) for i in used]
+    _, index, held_by = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    number = np.where(held_by > 1, np.cumsum(held_by > 1) - 1, -1)[index]  # elements of one row alone match nothing
+    owner = np.repeat(np.arange(len(used)), [len(i) for i in items])
+    shared = np.zeros(len(a), dtype=np.int64)
+    width = int(number.max()) + 1
+    for lo in range(0, max(width, 1), 1 << 15):  # so many elements at a time
+        inside = (number >= lo) & (number < lo + (1 << 15))
+        table = np.zeros((len(used), min(1 << 15, width - lo)), dtype=bool)
+        table[owner[inside], number[inside] - lo] = True
+        packed = np.packbits(table, axis=1)
+        for s in range(0, len(a), 1 << 12):
+            part = slice(s, s + (1 << 12))
+            shared[part] += np.bitwise_count(packed[place[a[part]]] & packed[place[b[part]]]).sum(axis=1, dtype=np.int64)
+    ok = 100 * shared >= percent * (size[a] + size[b] - shared)
+    return pd.DataFrame({"a": np.minimum(node[a], node[b])[ok], "b": np.maximum(node[a], node[b])[ok]})
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -207,11 +253,28 @@ def near_duplicates(
 
     # what is left: members of different components, block by block
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    open_rows = placed.join(facts, "node").withColumn("own_block", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
-    a = open_rows.select("key", F.explode(F.sequence(F.lit(0), F.col("own_block"))).alias("block"), F.col("node").alias("a"), F.col("n_shingles").alias("a_n"), F.col("planes").alias("a_planes"), F.col("component").alias("a_component"), F.col("own_block").alias("a_block"))
-    b = open_rows.select("key", F.col("own_block").alias("block"), F.col("node").alias("b"), F.col("n_shingles").alias("b_n"), F.col("planes").alias("b_planes"), F.col("component").alias("b_component"))
-    apart = (F.col("a_component") != F.col("b_component")) & ((F.col("a_block") > F.col("block")) | (F.col("a") < F.col("b")))
-    rest = a.join(b, ["key", "block"]).where(apart & similar()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    short = F.transform("items", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    open_rows = placed.join(facts, "node").join(sets.select("node", short.alias("items")), "node")
+    open_rows = open_rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
+    facts_of = ["node", "component", "n_shingles", "planes", "items"]
+    low = open_rows.select("key", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), "own")).alias("j"), F.lit(0).alias("side"), *facts_of)
+    above = F.when(F.col("own") + 1 < blocks, F.sequence(F.col("own") + 1, blocks - 1))
+    high = open_rows.select("key", F.explode(above).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), *facts_of)
+    both = low.unionByName(high).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the rows of a group that may go on in the next batch
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            names = pdf[["key", "i", "j"]].to_numpy()
+            heads = np.r_[0, 1 + np.flatnonzero((names[1:] != names[:-1]).any(axis=1)), len(pdf)]
+            for start, stop in zip(heads[:-2], heads[1:-1], strict=True):
+                yield block_links(pdf.iloc[start:stop], percent, float(need), k, bits)
+            held = pdf.iloc[heads[-2] :]
+        if held is not None and len(held):
+            yield block_links(held, percent, float(need), k, bits)
+
+    rest = both.mapInPandas(compare, "a long, b long").distinct()
     edges = stored(edges.unionByName(_confirmed(rest, sets, percent)), "near-edges")
     labels = connected_components(edges)
 
