@@ -1,5 +1,5 @@
 """Streaming entry points (micro-batch ingestion feeding the incremental run)."""
 
-from eventlens.streaming.ingest import earliest_day, start_ingest
+from eventlens.streaming.ingest import start_ingest, touched_days
 
-__all__ = ["earliest_day", "start_ingest"]
+__all__ = ["start_ingest", "touched_days"]
