@@ -65,3 +65,57 @@ def test_clean_texts_have_none(spark):
     assert len(got) == len(data)
     assert {r["doc_id"] for r in got if r["licenses"]} == {700}
     assert scan_licenses(docs(spark, [])).collect() == []
+
+
+def names(t, templates=TEMPLATES):
+    return [x[0] for x in Scanner(templates).scan(t)]
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_inserted_words_do_not_split_a_notice(name):
+    r, notice = random.Random(5), TEMPLATES[name].split()
+    tells = {"BSD-2-Clause": 20}  # not where two clauses meet, which tells it from its sibling
+    at = tells.get(name, 3)
+    whole = f"{text(r, 40)} {' '.join(notice[:at])} (zq zr 123 src/zs.py {text(r, 25)}) {' '.join(notice[at:])} {text(r, 40)}"
+    if name in ("MIT", "CC-BY-NC-4.0"):  # inside the words that name the license
+        whole = f"{text(r, 40)} {notice[0]} (zq zr 123 src/zs.py {text(r, 25)}) {' '.join(notice[1:])} {text(r, 40)}"
+    found = {x[0]: x for x in Scanner(TEMPLATES).scan(whole)}
+    assert name in found and found[name][1] == 1.0
+    assert words_of(whole[found[name][2] : found[name][3]])[0] == words_of(TEMPLATES[name])[0]
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+@pytest.mark.parametrize("between", ["", "x", "x y z", "\n"])
+def test_adjacent_copies_are_all_found(name, between):
+    notice = TEMPLATES[name]
+    whole = f" {between} ".join([notice] * 4)
+    found = [x for x in Scanner(TEMPLATES).scan(whole) if x[0] == name]
+    assert len(found) == 4 and all(x[1] == 1.0 for x in found)
+    assert [words_of(whole[x[2] : x[3]]) for x in found] == [words_of(notice)] * 4
+
+
+def test_adjacent_changed_copies():
+    notice = words_of(TEMPLATES["GPL-3.0"])
+    for missing in range(4):
+        copy = notice[:missing] + notice[missing + 1 :]
+        whole = " ".join([*copy, *notice, *copy, *copy])
+        assert names(whole).count("GPL-3.0") == 4
+
+
+def test_siblings_are_not_taken_for_one_another():
+    for name, t in TEMPLATES.items():
+        inside = {"Apache-2.0-notice": {"Apache-2.0"}, "MIT-text": {"MIT-grant"}, "BSD-2-Clause": {"BSD"}, "BSD-3-Clause": {"BSD"}}.get(name, set())
+        assert set(names(t)) == {name} | inside
+    for other in (
+        "Licensed under the Apache License, Version 1.1", "Licensed under the Apache License, Version 1.1. See section 2.0", "Licensed under CC BY-NC-SA 4.0", "Licensed under CC BY-NC 3.0",
+        "Released under the MIT-0 License", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        "This work is licensed under a Creative Commons Attribution Share Alike 4.0 International License", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1",
+    ):
+        assert names(other) == []
+
+
+def test_other_templates_and_templates_without_anchors():
+    assert names("x a b a b y a b a b", {"z": "a b a b"}) == ["z", "z"]
+    assert names("a b", {"z": ""}) == []
+    far = "released " + "other " * 500 + TEMPLATES["MIT"] + " other" * 500 + " license"
+    assert [far[a:b] for _, _, a, b in Scanner(TEMPLATES).scan(far)] == [TEMPLATES["MIT"]]
