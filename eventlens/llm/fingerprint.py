@@ -2,14 +2,20 @@
 
 A text's weighted terms are its two-word shingles (of lower-cased words) with
 their counts; a text of one word has that word.  For each of ``samples``
-independent draws ``k`` and each term, three random numbers that depend on
+independent draws ``k`` and each term, random numbers that depend on
 (term, k) alone give the gamma(2, 1) variables r and c and the uniform b:
 
-    t = floor(ln w / r + b),   ln a = ln c - r * (t - b) - r
+    t = floor(ln w / r + b),   a = c * exp(-r * (t - b) - r)
 
-and the draw's sample is the (term, t) with the least ``ln a``.  Two texts
+They are made of four uniforms of 32 bits: c = -ln(u3 u4), r = -ln(u1 u2) and
+b = ln u2 / ln(u1 u2), which is uniform and independent of r, as the share of
+one of two exponential variables in their sum is.  Then r (1 - b) = -ln u1, so
+
+    a = c * u1 * exp(-r * t),
+
+and the draw's sample is the (term, t) with the least ``a``.  Two texts
 agree in a draw with probability sum(min(w, w')) / sum(max(w, w')), the
-generalised Jaccard similarity.  ``ln a`` is a function of (term, t) and no
+generalised Jaccard similarity.  ``a`` is a function of (term, t) and no
 other input, so its bits stand for the sample; 16 of them are kept.
 """
 
@@ -25,33 +31,39 @@ from pyspark.sql import functions as F
 
 from .common import chunks, mix64, shingle_hashes, stored
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
 #: Weighted terms looked at together.
 TERM_BLOCK = 1 << 16
+#: Of those, terms whose draws are made at once, so that they stay in the cache.
+DRAW_BLOCK = 1 << 9
 
 
-def _gamma_table(bits: int) -> np.ndarray:
-    """-ln(u1 u2), gamma(2, 1), for two uniforms of ``bits`` bits each."""
-    u = -np.log((np.arange(1 << bits) + 0.5) / (1 << bits))
-    return (u[:, None] + u[None, :]).ravel()
-
-
-_GAMMA = _gamma_table(8)
-_LOG_GAMMA = np.log(_GAMMA)
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two uniforms in (0, 1) of 32 bits each."""
+    parts = x.view(np.uint32)
+    return tuple((parts[:, i::2] + 0.5) * 2.0**-32 for i in (0, 1))
 
 
 def term_draws(terms: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
-    """``ln a`` of each (term, draw)."""
+    """``a`` of each (term, draw)."""
+    out = np.empty((len(terms), samples))
     with np.errstate(over="ignore"):
-        seeds = mix64(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        x = mix64(terms[:, None] ^ seeds[None, :])
-    r = _GAMMA[x & np.uint64(0xFFFF)]
-    out = (x >> np.uint64(32)) * 2.0**-32  # b; for weight 1, t is 0
-    heavy = np.flatnonzero(weights > 1)
-    if len(heavy):
-        out[heavy] -= np.floor(np.log(weights[heavy])[:, None] / r[heavy] + out[heavy])
-    out -= 1.0
-    out *= r
-    out += _LOG_GAMMA[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
+        seeds = mix64(np.arange(1, samples + 1, dtype=np.uint64) * _STEP)
+        for i in range(0, len(terms), DRAW_BLOCK):
+            x = mix64(terms[i : i + DRAW_BLOCK, None] ^ seeds[None, :])
+            u1, u2 = _halves(x)
+            u3, u4 = _halves(mix64(x + _STEP))
+            u3 *= u4
+            np.log(u3, out=u3)
+            np.multiply(u3, u1, out=out[i : i + DRAW_BLOCK])  # for weight 1, t is 0
+            w = weights[i : i + DRAW_BLOCK]
+            heavy = np.flatnonzero(w > 1)
+            if len(heavy):
+                e2 = -np.log(u2[heavy])
+                r = e2 - np.log(u1[heavy])
+                out[i + heavy] *= np.exp(-r * np.floor((np.log(w[heavy])[:, None] + e2) / r))
+    np.negative(out, out=out)
     return out
 
 

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from helpers_llm import docs, rows, text, with_clashes
 
-from eventlens.llm.fingerprint import edit_text, fingerprints_with_next, signatures
+from eventlens.llm.fingerprint import edit_text, fingerprints_with_next, signatures, term_draws
 
 
 def generalised_jaccard(a: str, b: str) -> float:
@@ -30,6 +30,22 @@ def test_collision_rate_is_generalised_jaccard():
             assert abs((s[0] == s[1]).mean() - generalised_jaccard(a, b)) < 0.06
 
 
+def test_collision_rate_of_long_texts_with_heavy_shingles():
+    for heavy, others in ((1000, 19_000), (200, 1_800)):
+        a, b = (" ".join(["a"] * (heavy + 1) + [f"{side}{i}" for i in range(others)]) for side in "xy")
+        want = generalised_jaccard(a, b)
+        s = signatures([a, b], 3000)
+        assert abs((s[0] == s[1]).mean() - want) < 4 * (want * (1 - want) / 3000) ** 0.5
+
+
+def test_draws_of_one_term_are_exponential():
+    terms = np.arange(1, 20_001, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+    a = term_draws(terms, np.ones(len(terms), dtype=np.int64), 256).ravel()
+    for y in (1e-1, 1e-3, 1e-4, 1e-5):
+        want = 1 - np.exp(-y)
+        assert abs((a < y).mean() / want - 1) < 5 / (want * len(a)) ** 0.5
+
+
 def test_blocks_do_not_change_signatures(monkeypatch):
     import random
 
