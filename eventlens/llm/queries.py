@@ -97,7 +97,7 @@ def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stupid_backoff(read_table(spark, sf_dir, "documents"))
+    return stupid_backoff(read_table(spark, sf_dir, "documents"), order=3)
 
 
 def op9_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

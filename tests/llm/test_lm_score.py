@@ -6,6 +6,7 @@ import pytest
 from helpers_llm import docs, rows, with_clashes
 
 from eventlens.llm.lm_score import pack, pack_counts, stupid_backoff, unpack, unpack_counts
+from eventlens.llm.queries import QUERIES
 
 
 def words(t):
@@ -58,3 +59,11 @@ def test_packing():
         assert np.array_equal(unpack(pack(values)), values)
     for counts in (np.array([1, 255]), np.array([1, 256]), np.array([1 << 40])):
         assert np.array_equal(unpack_counts(pack_counts(counts)), counts)
+
+
+def test_the_query_backs_off_from_trigrams(spark):
+    sf = "/root/testdata/sf0.001"
+    data = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r["log2_score"] for r in QUERIES["op6_stupid_backoff"](spark, sf).collect()}
+    for i, _, s in brute(data, 3, 0.4):
+        assert abs(got[i] - s) < 1e-6 * max(1, abs(s))
