@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from eventlens.llm import pii, toxicity
 from eventlens.llm.common import read_table, stored
 from eventlens.llm.near_dup import near_duplicates
-from eventlens.llm.pieces import encode_documents, load_model
+from eventlens.llm.pieces import load_model, round_trip
 from eventlens.llm.queries import PIECE_MODEL, TOXIC_AT, learnable, mix_documents
 
 
@@ -57,9 +57,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, lang, source, n_ids, ids`` of every row, by the vocabulary of ``PIECE_MODEL``."""
-    ids = encode_documents(docs, load_model(PIECE_MODEL), out_col="ids")
-    return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids")
+    """``doc_id, lang, source, n_ids, ids`` of every row, by the vocabulary of ``PIECE_MODEL``,
+    with the decoded text's ``decoded_sha256`` and ``round_trip``, whether it is the row's text."""
+    return round_trip(docs, load_model(PIECE_MODEL)).select("doc_id", "lang", "source", "n_ids", "ids", "decoded_sha256", "round_trip")
 
 
 STAGES = [

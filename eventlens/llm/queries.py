@@ -15,7 +15,7 @@ from .licenses import scan_licenses
 from .lm_score import stupid_backoff
 from .mixing import mix
 from .near_dup import near_duplicates
-from .pieces import encode_documents, load_model
+from .pieces import load_model, round_trip
 from .sharding import shard_records
 
 #: Vocabulary of op8 and of the pipeline's last stage.
@@ -84,7 +84,7 @@ def op5_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return encode_documents(docs.select("doc_id", "text"), load_model(PIECE_MODEL)).select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+    return round_trip(docs.select("doc_id", "text"), load_model(PIECE_MODEL)).select("doc_id", "n_ids", "ids", "decoded_sha256", "round_trip")
 
 
 def op4_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,14 @@
+import hashlib
 import random
 
+import corpus_pipeline
 import pytest
 import sentencepiece
 from helpers_llm import docs, rows, with_clashes
 from sentencepiece import sentencepiece_model_pb2
 
 from eventlens.llm.pieces import decode_documents, encode_documents, load_model
-from eventlens.llm.queries import PIECE_MODEL
+from eventlens.llm.queries import PIECE_MODEL, QUERIES
 
 TEXTS = ["Hello  world\n\tthis is 😀 a test  ", " ", "   ", "a", "▁x ▁", "日本語テキスト", "<unk> <s> </s>", "a" * 1000, "ab" * 777, " " * 100, "x" + " " * 50 + "y", "the,end.of\"it", "a\x00b", "²., x²."]
 
@@ -73,3 +75,12 @@ def test_documents(spark, model, library):
     for r in back:
         assert r["ids"] == (None if r["text"] is None else library.encode(r["text"])) and r["decoded"] == r["text"]
     assert encode_documents(docs(spark, []), model).collect() == []
+
+
+def test_query_and_last_stage_decode(spark, tmp_path, library):
+    data = rows(32, 60) + [(900 + i, t, "en", "s", 0) for i, t in enumerate(TEXTS)]
+    docs(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted(((d[0], None if d[1] is None else hashlib.sha256(library.decode(library.encode(d[1])).encode()).hexdigest(), d[1] is None or "▁" not in d[1]) for d in data), key=str)
+    for got in (QUERIES["op8_streaming_viterbi"](spark, str(tmp_path)), corpus_pipeline.encode(spark, frame, str(tmp_path))):
+        assert sorted(((r["doc_id"], r["decoded_sha256"], r["round_trip"]) for r in got.collect()), key=str) == want
