@@ -6,9 +6,11 @@ Layout under ``target_root``: ``event/`` (partitioned by date_day),
 by the other three models, so dedupe runs once and later stages start from
 a materialised table (lineage cut without ``localCheckpoint``).
 
-Incremental runs find the days that rows loaded since the last run belong to
-(``load_mark`` keeps the last load time), add the lookback window, and rewrite
-only what those days reach, so that an incremental run gives exactly the
+Incremental runs find the days that new rows belong to (``load_mark`` keeps,
+per connection and day, the number of rows and their last load time: a day with
+more rows than before is touched, and so is one of rows loaded since the
+connection's own last load time), add the lookback window, and rewrite only
+what those days reach, so that an incremental run gives exactly the
 full-refresh result (N6, N7):
 
 * event, sessions: the touched days (sessions never cross midnight);
@@ -19,8 +21,7 @@ full-refresh result (N6, N7):
 * monthly: touched months of the stored person-months are replaced, and the
   metrics read those, so first and previous month keep their whole history.
 
-Without load times in the raw table the window is the lookback alone, unless
-the caller names touched days.
+Rows that vanish upstream are noticed in the window only.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ from eventlens.sources.sinks import (
     high_water_mark,
     overwrite_window,
     replace_table,
+    staged_beside,
     table_exists,
     write_full,
 )
@@ -122,23 +124,41 @@ def window_days(df: DataFrame) -> list[dt.date]:
     return [r["date_day"] for r in df.select("date_day").distinct().collect() if r["date_day"] is not None]
 
 
-def load_mark(spark: SparkSession, target_root: str) -> dt.datetime | None:
-    """Latest load time that earlier runs have seen."""
+def load_state(stg: DataFrame, now: dt.datetime) -> DataFrame:
+    """Rows per connection and day, and their latest load time, capped at the
+    run's time so that a future-dated row can't hide later ones."""
+    seen = F.least(F.col("loaded_at").cast("timestamp"), F.lit(now).cast("timestamp"))
+    return (stg.groupBy("source_relation", "date_day")
+            .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("loaded_at").isNotNull(), seen)).alias("loaded_at")))
+
+
+def stored_state(spark: SparkSession, target_root: str) -> DataFrame | None:
+    """What earlier runs have seen; None if it was never stored in this form."""
     path = _path(target_root, LOAD_MARK)
     if not table_exists(spark, path):
         return None
-    row = spark.read.parquet(path).first()
-    return row["loaded_at"] if row else None
-
-
-def _loaded_since(stg: DataFrame, mark: dt.datetime) -> DataFrame:
-    # rows of the last load's own instant may have arrived after it was read
-    return stg.where(F.col("loaded_at") >= F.lit(mark))
-
-
-def _store_mark(spark: SparkSession, stg: DataFrame, target_root: str, mark: dt.datetime | None = None) -> None:
-    rows = stg if mark is None else _loaded_since(stg, mark)
-    replace_table(spark, rows.agg(F.max("loaded_at").alias("loaded_at")), _path(target_root, LOAD_MARK))
+    df = spark.read.parquet(path)
+    return df if {"source_relation", "date_day", "n", "loaded_at"} <= set(df.columns) else None
+
+
+def _new_days(stg: DataFrame, now: DataFrame, before: DataFrame | None, cfg: Config) -> set[dt.date]:
+    """Days of rows that earlier runs have not seen: days of a connection that
+    has more rows than before (whatever their load times, also null ones), and
+    those of rows loaded since the connection's own last load time.  Without a
+    stored state these are all days."""
+    if before is None:
+        return set(window_days(now))
+    was = before.select(F.col("source_relation").alias("s"), F.col("date_day").alias("d"), F.col("n").alias("n_before"))
+    same = F.col("source_relation").eqNullSafe(F.col("s")) & F.col("date_day").eqNullSafe(F.col("d"))
+    more = now.join(was, same, "left").where(F.col("n") > F.coalesce("n_before", F.lit(0)))
+    days = set(window_days(more))
+    marks = before.groupBy(F.col("source_relation").alias("s")).agg(F.max("loaded_at").alias("mark")).where("mark is not null")
+    least = marks.agg(F.min("mark")).first()[0]
+    if least is not None:
+        # rows of the last load's own instant may have arrived after it was read
+        late = stg.where(F.col("loaded_at") >= F.lit(least)).join(F.broadcast(marks), F.col("source_relation").eqNullSafe(F.col("s")))
+        days.update(window_days(date_range_filtered(late.where(F.col("loaded_at") >= F.col("mark")), cfg)))
+    return days
 
 
 def first_events_of_range(first: DataFrame, read_from: dt.date) -> DataFrame:
@@ -153,6 +173,13 @@ def first_events_of_range(first: DataFrame, read_from: dt.date) -> DataFrame:
 
 def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> None:
     stg = stage_events(raw, cfg)
+    # taken before the rows are read: those that arrive meanwhile count as new next time
+    with staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), _path(target_root, LOAD_MARK)) as (state, _):
+        _rebuild(spark, raw, stg, cfg, target_root)
+        replace_table(spark, state, _path(target_root, LOAD_MARK))
+
+
+def _rebuild(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target_root: str) -> None:
     user_first_events(stg).write.mode("overwrite").parquet(_path(target_root, FIRST_EVENTS))
     part, cluster = TABLES["event"]
     fresh = dedupe_events(stg, cfg, absent=missing_columns(raw, cfg.raw_names))
@@ -168,14 +195,13 @@ def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str)
     for name, df in (("daily_events", m.daily), ("monthly_events", monthly), ("sessions", m.sessions)):
         part, cluster = TABLES[name]
         write_full(with_descriptions(df, name), _path(target_root, name), part, cluster)
-    _store_mark(spark, stg, target_root)
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,
                     touched: Iterable[dt.date] = (), strategy: str = "insert_overwrite") -> dt.date | None:
     """Recompute what new rows and the lookback window reach.
 
-    Touched days are those of the rows loaded since the last run, those that
+    Touched days are those of the rows not seen by the last run, those that
     the caller names (e.g. a streaming micro-batch's), and the lookback window:
     high-water mark minus ``lookback_days`` and later.  Returns the first
     rewritten day, None after a full refresh (no event table yet).
@@ -194,10 +220,18 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
         return None
     window = shift_date(hwm, days=-cfg.lookback_days)
     stg = stage_events(raw, cfg)
-    mark = load_mark(spark, target_root)
-    days = set(touched)
-    if mark is not None:
-        days.update(window_days(date_range_filtered(_loaded_since(stg, mark), cfg)))
+    # taken before the rows are read: those that arrive meanwhile count as new next time
+    with staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), _path(target_root, LOAD_MARK)) as (state, _):
+        days = set(touched) | _new_days(stg, state, stored_state(spark, target_root), cfg)
+        start = _rewrite(spark, raw, stg, cfg, target_root, days, window, strategy)
+        replace_table(spark, state, _path(target_root, LOAD_MARK))
+    return start
+
+
+def _rewrite(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target_root: str,
+             days: set[dt.date], window: dt.date, strategy: str) -> dt.date:
+    """Recompute what ``days`` and the lookback window reach."""
+    event_path = _path(target_root, "event")
     old = sorted(d for d in days if d < window)  # days before the window: a bounded list
     start = min([window, *old])
 
@@ -252,7 +286,6 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     present = window_days(reached.where(cond) if cond is not None else reached)
     path = _path(target_root, "sessions")
     overwrite_window(spark, with_descriptions(sessions(reached, cfg), "sessions"), path, part, window, cluster, present=present)
-    _store_mark(spark, stg, target_root, mark)
     return start
 
 

@@ -167,3 +167,37 @@ def test_incremental_equals_full_on_long_history(spark, tmp_path):
     run_full(spark, raw, ORDERS_CFG, full)
     for table in [*TABLES, "user_first_event", "person_months"]:
         assert_frames_equal(spark.read.parquet(f"{inc}/{table}"), spark.read.parquet(f"{full}/{table}"))
+
+
+def two_connections(raw):
+    """One connection with load times, one that lags behind by years."""
+    lag = raw.withColumn("source_relation", F.lit("slow")).withColumn("loaded_at", F.col("loaded_at") - F.expr("interval 3 years"))
+    return raw.withColumn("source_relation", F.lit("fast")).unionByName(lag)
+
+
+def late_rows_arrive(spark, tmp_path, raw, unseen):
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    run_full(spark, raw.where(~unseen), EVENTS_CFG, inc)
+    assert run_incremental(spark, raw, EVENTS_CFG, inc) < dt.date(2024, 1, 10)
+    run_full(spark, raw, EVENTS_CFG, full)
+    all_equal(spark, inc, full)
+
+
+def old_rows():
+    return F.expr("event_id % 7 = 3 and cast(time as date) < date'2024-01-12'")
+
+
+def test_late_rows_of_a_connection_that_lags(spark, tmp_path):
+    late_rows_arrive(spark, tmp_path, two_connections(td.raw_from_events(spark, SF_SMALL)), old_rows() & (F.col("source_relation") == "slow"))
+
+
+def test_late_rows_without_load_time(spark, tmp_path):
+    raw = two_connections(td.raw_from_events(spark, SF_SMALL))
+    raw = raw.withColumn("loaded_at", F.when(F.col("source_relation") == "fast", F.col("loaded_at")))
+    late_rows_arrive(spark, tmp_path, raw, old_rows() & (F.col("source_relation") == "slow"))
+
+
+def test_late_rows_after_a_future_load_time(spark, tmp_path):
+    raw = td.raw_from_events(spark, SF_SMALL)
+    future = F.when(F.col("event_id") % 100 == 1, F.lit(dt.datetime(2999, 1, 1))).when(old_rows(), F.current_timestamp())
+    late_rows_arrive(spark, tmp_path, raw.withColumn("loaded_at", F.coalesce(future, "loaded_at")), old_rows())
