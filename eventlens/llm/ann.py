@@ -168,14 +168,12 @@ def nearest(
     k: int = 5,
     tables: int = 48,
     hashes: int = 2,
-    probes: int | None = None,
+    probes: int = 128,
     seed: int = 3,
 ) -> DataFrame:
     """The ``k`` nearest rows of each query row: ``query_id, rank, id, score``.
 
-    ``probes`` buckets of each table are looked up.  Neighbours are the nearer
-    the more vectors there are, so by default it falls from 128 with the square
-    root of their number, to 32 for 256,000 vectors and more.
+    ``probes`` buckets of each table are looked up, whatever the number of vectors.
     Queries are the rows that ``is_query`` accepts, candidates all other rows.
     Null vectors, empty or zero ones and those with a null or non-finite
     component take no part, nor do null ids; vectors of different lengths are
@@ -194,8 +192,6 @@ def nearest(
     few = stored(few, "ann-members")
     classes = rows.groupBy("node").agg(F.first("vector").alias("vector"), F.min("id").alias("least"), F.max("asks").alias("asks"))
     classes = stored(classes, "ann-classes")
-    if probes is None:
-        probes = int(min(128, max(32, 128 * math.sqrt(16_000 / max(1, classes.count())))))
     index = stored(_with_keys(classes, tables, hashes, 1, seed), "ann-index")
     asking = stored(_with_keys(classes.where("asks"), tables, hashes, probes, seed), "ann-queries")
 

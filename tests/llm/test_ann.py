@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 
@@ -90,3 +91,7 @@ def test_close_vectors_share_axes_more_often():
     own = axes(rotated(x, signs), 1)[0][:, 0]
     share = [(own == axes(rotated(y, signs), 1)[0][:, 0]).mean() for y in (near, far)]
     assert share[0] > 0.3 > 0.05 > share[1]
+
+
+def test_probes_do_not_depend_on_the_number_of_vectors():
+    assert inspect.signature(nearest).parameters["probes"].default == 128
