@@ -10,8 +10,7 @@
    is merged into components; then, in buckets that still span several
    components, members of different components are compared in blocks: by
    their packed signatures, and where the collision-corrected estimate could
-   reach the threshold by their sets' elements cut to 31 bits, which can only
-   look more alike than they are.  Pairs that fall short never leave their task.
+   reach the threshold by their sets' elements.  Pairs that fall short never leave their task.
 3. Every candidate pair is confirmed by ``100 * |A & B| >= 80 * |A | B|`` on
    the full sets.  Confirmed links give the components.
 
@@ -134,6 +133,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select("a", "b")
 
 
+def open_members(placed: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of open buckets with their sets, whole: a cut element could
+    coincide with another of its own set and be counted once for two."""
+    return placed.join(facts, "node").join(sets.select("node", "items"), "node")
+
+
 def block_links(rows: pd.DataFrame, percent: int, need: float, k: int, bits: int) -> pd.DataFrame:
     """Pairs of nodes of different components that may be linked: of one block
     (all rows on side 0), or between the two sides."""
@@ -253,8 +258,7 @@ def near_duplicates(
 
     # what is left: members of different components, block by block
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    short = F.transform("items", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    open_rows = placed.join(facts, "node").join(sets.select("node", short.alias("items")), "node")
+    open_rows = open_members(placed, facts, sets)
     open_rows = open_rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
     facts_of = ["node", "component", "n_shingles", "planes", "items"]
     low = open_rows.select("key", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), "own")).alias("j"), F.lit(0).alias("side"), *facts_of)

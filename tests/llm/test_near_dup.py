@@ -3,6 +3,7 @@ import random
 import pytest
 from helpers_llm import docs, rows, text, with_clashes
 
+from eventlens.llm import near_dup
 from eventlens.llm.components import connected_components
 from eventlens.llm.near_dup import band_keys, minima, near_duplicates, packed_bits
 
@@ -89,3 +90,12 @@ def test_components_of_a_long_path(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(docs(spark, [])).collect() == []
+
+
+def test_shared_elements_equal_in_31_bits_count_each(spark):
+    shared = [1, 1 + (1 << 31), 5, 6]  # two fall together when cut
+    sets = spark.createDataFrame([(1, [*shared, 7]), (2, shared)], "node long, items array<long>")
+    placed = spark.createDataFrame([(0, 1, 1), (0, 2, 2)], "key long, node long, component long")
+    facts = spark.createDataFrame([(1, 5, [0, 0]), (2, 4, [0, 0])], "node long, n_shingles int, planes array<long>")
+    rows = near_dup.open_members(placed, facts, sets).toPandas().assign(side=0)
+    assert near_dup.block_links(rows, 80, 0.0, 64, 2)[["a", "b"]].values.tolist() == [[1, 2]]
