@@ -199,5 +199,6 @@ def test_late_rows_without_load_time(spark, tmp_path):
 
 def test_late_rows_after_a_future_load_time(spark, tmp_path):
     raw = td.raw_from_events(spark, SF_SMALL)
-    future = F.when(F.col("event_id") % 100 == 1, F.lit(dt.datetime(2999, 1, 1))).when(old_rows(), F.current_timestamp())
+    later = dt.datetime.now() + dt.timedelta(minutes=30)  # one value for all runs, after the first
+    future = F.when(F.col("event_id") % 100 == 1, F.lit(dt.datetime(2999, 1, 1))).when(old_rows(), F.lit(later))
     late_rows_arrive(spark, tmp_path, raw.withColumn("loaded_at", F.coalesce(future, "loaded_at")), old_rows())
