@@ -62,4 +62,12 @@ placed AS (SELECT d.*, quota // q.tokens AS whole, quota % q.tokens AS rest, coa
 SELECT doc_id, lang, source, CAST(whole + CAST(begins < rest AS INTEGER) AS BIGINT) AS epochs FROM placed WHERE whole + CAST(begins < rest AS INTEGER) > 0
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_bbit_minhash": NEAR_DUPLICATES, "op3_budget_mix": BUDGET_MIX}
+#: Equal texts by a window over the texts themselves.
+EXACT_DUPLICATES = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+ranked AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) AS nth FROM texts)
+SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(t) AS text_sha256 FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_bbit_minhash": NEAR_DUPLICATES, "op3_budget_mix": BUDGET_MIX, "op13_chunk_recipes": EXACT_DUPLICATES}

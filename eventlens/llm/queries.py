@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import pii, toxicity
 from .ann import nearest
 from .common import read_table
+from .exact_dedup import exact_duplicates
 from .fingerprint import fingerprints_with_next
 from .licenses import scan_licenses
 from .lm_score import stupid_backoff
@@ -110,6 +111,10 @@ def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), best["license"].alias("license"), F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"), "licenses")
 
 
+def op13_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_supervision_pii": op1_weak_supervision_pii,
     "op2_bbit_minhash": op2_bbit_minhash,
@@ -121,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_streaming_viterbi": op8_streaming_viterbi,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_patience_licenses": op10_patience_licenses,
+    "op13_chunk_recipes": op13_chunk_recipes,
 }
