@@ -70,4 +70,46 @@ ranked AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count
 SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(t) AS text_sha256 FROM ranked
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_bbit_minhash": NEAR_DUPLICATES, "op3_budget_mix": BUDGET_MIX, "op13_chunk_recipes": EXACT_DUPLICATES}
+#: The checksum of a decimal id: each byte is mixed in, then eight single-bit steps.
+CRC32 = """xor(list_reduce([4294967295::UBIGINT] || flatten([[ascii(c)::UBIGINT] || [x::UBIGINT FOR x IN [256,256,256,256,256,256,256,256]] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  (acc, x) -> CASE WHEN x < 256 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384::UBIGINT * (acc & 1)) END), 4294967295::UBIGINT)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _tree(name: str, start: str) -> str:
+    """All nodes over the lowest level ``start`` (g, idx, n, h), level by level."""
+    return f"""{name}(g, lvl, idx, n, h) AS (SELECT g, 0, idx, n, h FROM ({start}) UNION ALL
+  SELECT g, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY g, lvl, idx // 2, n)"""
+
+
+#: A leaf's path is every node whose index differs from its own ancestor's in the last bit;
+#: folding goes up level by level.
+MERKLE = f"""
+WITH RECURSIVE raw AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+  {_leaf(f"n_chars + CAST({CRC32} % 7 = 0 AS INTEGER)")} AS claimed FROM documents),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+  count(*) OVER (PARTITION BY lang) AS n FROM raw),
+{_tree('nodes', 'SELECT g, idx, n, leaf AS h FROM ranked')},
+subroots AS (SELECT g, lvl AS top, h FROM nodes WHERE n = 1),
+{_tree('upper', 'SELECT 0 AS g, g AS idx, (SELECT count(*) FROM subroots) AS n, h FROM subroots')},
+root AS (SELECT h AS root, lvl AS height FROM upper WHERE n = 1),
+whole AS (SELECT g, lvl, idx, h FROM nodes),
+steps AS (SELECT r.doc_id, r.g, w.lvl AS lvl, (r.idx >> w.lvl) & 1 AS slot, w.h AS sib FROM ranked r JOIN whole w ON w.g = r.g AND w.idx = xor(r.idx >> w.lvl, 1)
+  UNION ALL SELECT r.doc_id, r.g, 1000 + u.lvl, (r.g >> u.lvl) & 1, u.h FROM ranked r JOIN upper u ON u.idx = xor(r.g >> u.lvl, 1)),
+proofs AS (SELECT doc_id, sha256(string_agg(sib, '' ORDER BY lvl)) AS proof_sha256 FROM steps GROUP BY 1),
+climbs AS (SELECT r.doc_id, s.top, s.top + root.height AS height, coalesce(r.claimed, r.leaf) AS h FROM ranked r JOIN subroots s USING (g) CROSS JOIN root),
+folds(doc_id, lvl, top, height, h) AS (SELECT doc_id, 0, top, height, h FROM climbs UNION ALL
+  SELECT f.doc_id, f.lvl + 1, f.top, f.height, sha256(CASE WHEN s.slot = 1 THEN s.sib || f.h ELSE f.h || coalesce(s.sib, '') END)
+  FROM folds f LEFT JOIN steps s ON s.doc_id = f.doc_id AND s.lvl = CASE WHEN f.lvl < f.top THEN f.lvl ELSE 1000 + f.lvl - f.top END WHERE f.lvl < f.height)
+SELECT r.doc_id, r.leaf, s.h AS subroot, root.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root.root AS verified
+FROM ranked r JOIN subroots s USING (g) CROSS JOIN root LEFT JOIN proofs p USING (doc_id) JOIN folds f ON f.doc_id = r.doc_id AND f.lvl = f.height
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_bbit_minhash": NEAR_DUPLICATES, "op3_budget_mix": BUDGET_MIX, "op11_merkle_manifest": MERKLE, "op13_chunk_recipes": EXACT_DUPLICATES}

@@ -14,10 +14,12 @@ from .exact_dedup import exact_duplicates
 from .fingerprint import fingerprints_with_next
 from .licenses import scan_licenses
 from .lm_score import stupid_backoff
+from .merkle import merkle_manifest, verified
 from .mixing import mix
 from .near_dup import near_duplicates
 from .pieces import load_model, round_trip
 from .sharding import shard_records
+from .whitening import fit_whitening, whiten
 
 #: Vocabulary of op8 and of the pipeline's last stage.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -111,6 +113,21 @@ def op10_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), best["license"].alias("license"), F.coalesce(best["coverage"], F.lit(0.0)).alias("coverage"), "licenses")
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return verified(merkle_manifest(docs, MANIFEST_FIELDS, "lang", "doc_id", claimed), "doc_id")
+
+
+def op12_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors))
+
+
 def op13_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -126,5 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_streaming_viterbi": op8_streaming_viterbi,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_patience_licenses": op10_patience_licenses,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_exact_whitening": op12_exact_whitening,
     "op13_chunk_recipes": op13_chunk_recipes,
 }
