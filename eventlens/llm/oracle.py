@@ -72,7 +72,7 @@ SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(t) AS text_sha256 FR
 
 #: The checksum of a decimal id: each byte is mixed in, then eight single-bit steps.
 CRC32 = """xor(list_reduce([4294967295::UBIGINT] || flatten([[ascii(c)::UBIGINT] || [x::UBIGINT FOR x IN [256,256,256,256,256,256,256,256]] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
-  (acc, x) -> CASE WHEN x < 256 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384::UBIGINT * (acc & 1)) END), 4294967295::UBIGINT)"""
+  lambda acc, x: CASE WHEN x < 256 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384::UBIGINT * (acc & 1)) END), 4294967295::UBIGINT)"""
 
 
 def _field(value: str) -> str:
