@@ -59,6 +59,9 @@ class Config:
     raw_names: dict[str, str] = field(default_factory=dict)
     custom_columns: tuple[CustomColumn, ...] = ()
     properties_to_pivot: tuple[PivotProperty | str, ...] = ()
+    # "json" looks each property up in the text; "variant" parses the text once,
+    # which pays from a handful of properties on
+    pivot_method: str = "json"
     # filters given as Spark SQL text or Column
     event_filter: str | Column | None = None
     session_filter: str | Column | None = None
@@ -91,6 +94,8 @@ class Config:
         object.__setattr__(self, "session_passthrough", tuple(self.session_passthrough))
         if self.session_timeout_minutes < 0 or self.lookback_days < 0 or self.spine_horizon_days < 0:
             raise ValueError("session_timeout_minutes, lookback_days and spine_horizon_days must be >= 0")
+        if self.pivot_method not in ("json", "variant"):
+            raise ValueError("pivot_method must be 'json' or 'variant'")
         if self.churn_mode not in ("previous_row", "previous_month"):
             raise ValueError("churn_mode must be 'previous_row' or 'previous_month'")
 

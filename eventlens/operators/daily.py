@@ -75,7 +75,7 @@ def person_day_activity(ev: DataFrame, first: DataFrame, cfg: Config) -> DataFra
         (within(before, 28) & (F.col("number_of_events") > 0)).alias("is_repeat_user"))
 
 
-def _finish(agg: DataFrame, cfg: Config) -> DataFrame:
+def finish(agg: DataFrame, cfg: Config) -> DataFrame:
     return agg.select(
         "source_relation", "date_day", "event_type",
         "number_of_events", "number_of_users", "number_of_new_users", "number_of_repeat_users",
@@ -231,4 +231,4 @@ def _sweep_tail(swept: DataFrame, cfg: Config) -> DataFrame:
         F.col("t28").alias("trailing_users_28d"),
         F.col("t7").alias("trailing_users_7d"),
     )
-    return _finish(agg, cfg)
+    return finish(agg, cfg)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.config import Config, PivotProperty
-from eventlens.functions.json_props import json_property_sql
+from eventlens.functions.json_props import json_property_sql, variant_property_sql
 from eventlens.functions.keys import surrogate_key_sql
 from eventlens.functions.timeutil import lit_date
 
@@ -85,10 +85,18 @@ def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
     types = {f.name: f.dataType.simpleString() for f in src.schema.fields}
     carried = with_unique_event_id(src).select(*[c for c in ["unique_event_id", *src.columns] if c not in nulls])
     first = keep_first(carried, DEDUPE_KEYS, ORDER_SQL)
-    pivot_sql = [f"{json_property_sql('event_properties', p.name)} AS {_q(p.output_name)}" for p in pivots]
-    return first.selectExpr(
-        "unique_event_id",
-        *[f"CAST(NULL AS {types[c]}) AS {_q(c)}" if c in nulls else _q(c) for c in out_cols],
-        "CAST(1 AS BIGINT) AS nth_event_record", f"DATE'{cfg.as_of_date.isoformat()}' AS run_date",
-        *pivot_sql)
+    return event_table(first, cfg, [f"CAST(NULL AS {types[c]}) AS {_q(c)}" if c in nulls else _q(c) for c in out_cols])
+
 
+def event_table(winners: DataFrame, cfg: Config, columns_sql: list[str]) -> DataFrame:
+    """The event table's columns from de-duplicated rows: ``columns_sql`` of the staged
+    ones, then the record's rank, the run date and the pivoted properties."""
+    pivots = [p if isinstance(p, PivotProperty) else PivotProperty(p) for p in cfg.properties_to_pivot]
+    source, value = "event_properties", json_property_sql
+    if pivots and cfg.pivot_method == "variant":
+        winners = winners.selectExpr("*", "try_parse_json(event_properties) AS _properties")
+        source, value = "_properties", variant_property_sql
+    return winners.selectExpr(
+        "unique_event_id", *columns_sql,
+        "CAST(1 AS BIGINT) AS nth_event_record", f"DATE'{cfg.as_of_date.isoformat()}' AS run_date",
+        *[f"{value(source, p.name)} AS {_q(p.output_name)}" for p in pivots])

@@ -103,7 +103,11 @@ def monthly_from_person_months(sub: DataFrame, cfg: Config, first: DataFrame | N
     ume = user_monthly_events(None, first if cfg.true_new_users else None, sub=sub)
     metrics = monthly_metrics(ume)
     month = Window.partitionBy("source_relation", "date_month")
-    joined = metrics.withColumn("total_monthly_active_users", F.sum("mau_part").over(month))
+    return with_churn(metrics.withColumn("total_monthly_active_users", F.sum("mau_part").over(month)), cfg)
+
+
+def with_churn(joined: DataFrame, cfg: Config) -> DataFrame:
+    """The monthly table's columns; churn compares with the type's row before."""
     w = Window.partitionBy("source_relation", "event_type").orderBy("date_month")
     prev_users = F.lag("number_of_users").over(w)
     if cfg.churn_mode == "previous_month":

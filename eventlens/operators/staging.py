@@ -39,17 +39,31 @@ def conformed_columns(raw: DataFrame, raw_names: dict[str, str] | None = None) -
     return out
 
 
-def stage_events(raw: DataFrame, cfg: Config) -> DataFrame:
-    cond = sql_filter(cfg.event_filter)
-    if cond is not None:
-        raw = raw.where(cond)
+def _projections(raw: DataFrame, cfg: Config) -> tuple[list[str], list[str]]:
+    """SQL of the staged columns: those of the raw row, and those made from them."""
     rel = "CAST(source_relation AS STRING)" if "source_relation" in raw.columns else _lit(cfg.source_name)
     if not cfg.preserve_source_case:
         rel = f"lower({rel})"
     custom = [f"{c.transform_sql or _q(c.name)} AS {_q(c.output_name)}" for c in cfg.custom_columns]
-    fields = raw.selectExpr(*conformed_columns(raw, cfg.raw_names), f"{rel} AS source_relation", *custom)
-    return fields.selectExpr("*", "to_date(occurred_at) AS date_day",
-                             "lower(event_type_original_casing) AS event_type")
+    made = ["to_date(occurred_at) AS date_day", "lower(event_type_original_casing) AS event_type"]
+    return [*conformed_columns(raw, cfg.raw_names), f"{rel} AS source_relation", *custom], made
+
+
+def stage_events(raw: DataFrame, cfg: Config) -> DataFrame:
+    cond = sql_filter(cfg.event_filter)
+    if cond is not None:
+        raw = raw.where(cond)
+    fields, made = _projections(raw, cfg)
+    return raw.selectExpr(*fields).selectExpr("*", *made)
+
+
+def stage_sql(raw: DataFrame, cfg: Config, relation: str) -> str:
+    """The staged rows as SQL over ``relation``, whose columns are those of ``raw``."""
+    if cfg.event_filter is not None and not isinstance(cfg.event_filter, str):
+        raise ValueError("a view needs event_filter as SQL text")
+    fields, made = _projections(raw, cfg)
+    where = f" WHERE {cfg.event_filter}" if cfg.event_filter else ""
+    return f"SELECT *, {', '.join(made)} FROM (SELECT {', '.join(fields)} FROM {relation}{where})"
 
 
 def missing_columns(raw: DataFrame, raw_names: dict[str, str] | None = None) -> list[str]:

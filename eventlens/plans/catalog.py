@@ -18,16 +18,22 @@ from eventlens.config import Config, CustomColumn
 from eventlens.functions.keys import surrogate_key
 from eventlens.operators import daily as daily_ops
 from eventlens.operators import monthly as monthly_ops
-from eventlens.operators import quality
+from eventlens.operators import distinct, quality
+from eventlens.operators.activity_state import advance, daily_from_state, state_at
 from eventlens.operators.dedupe import dedupe_events, with_unique_event_id
-from eventlens.operators.funnel import analyze_funnel
+from eventlens.operators.funnel import analyze_funnel, funnel_rates, register_funnel
+from eventlens.operators.month_state import advance_months, month_state, monthly_from_state
 from eventlens.operators.sessions import recent_actor_events, session_columns, sessionized_events, sessions
 from eventlens.operators.spine import date_spine, spine_start, user_event_spine
 from eventlens.operators.staging import missing_columns, stage_events, user_first_events
-from eventlens.plans.pipeline import run_full, run_incremental
+from eventlens.plans.pipeline import Target, run_full, run_incremental
+from eventlens.plans.publish import publish, publish_view, staged_view
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources import testdata as td
+from eventlens.sources.events import read_events_csv, union_connections
+from eventlens.sources.ledger import FileSource, RawFiles
 from eventlens.sources.sinks import lookback_start
+from eventlens.streaming import start_dedupe, start_ingest
 
 # Fixed run parameters of the test scenarios.
 EVENTS_AS_OF = dt.date(2024, 1, 30)
@@ -37,12 +43,15 @@ ORDERS_START = dt.date(1995, 1, 1)
 ORDERS_CFG = Config(source_name=td.ORDERS_SOURCE, as_of_date=ORDERS_AS_OF, date_range_start=ORDERS_START)
 FUNNEL_STEPS = ["view", "click", "purchase", "signup"]
 DEV_FILTER = "name != 'error'"
+LATE_FILTER = "name != 'error' or time < timestamp'2024-01-27 00:00:00'"
 LONG_TIMEOUT = 360
 LATE_CUT = dt.datetime(2024, 1, 25)
 FRESHNESS_AT = dt.datetime(2024, 2, 2, 12, 0, 0)
 RECENT_SINCE = dt.date(2024, 1, 23)
 RANGE_START = dt.date(2024, 1, 10)
 ORDERS_CUT = dt.date(1998, 1, 1)
+EARLY_STATE_DAY, STATE_DAY = dt.date(2024, 1, 8), dt.date(2024, 1, 17)
+EARLY_STATE_MONTH, STATE_MONTH = dt.date(1997, 2, 1), dt.date(1998, 7, 1)
 
 
 def _events_stg(spark, sf, cfg=EVENTS_CFG):
@@ -359,27 +368,24 @@ def q_lookback_incremental_events(spark, sf):
     return dedupe_events(stg.where(F.col("date_day") >= F.lit(start)), EVENTS_CFG)
 
 
-#: (application, input, strategy) -> folder of the stored tables of this scenario.
-_STORED: dict[tuple[str, str, str], str] = {}
-
-
 def _incremental(spark, sf, table, strategy="insert_overwrite"):
-    """A stored table after a full run and an incremental one, which the
-    queries of one application share.
-
-    The first run sees neither the rows after ``LATE_CUT`` nor every 50th
-    event; those are delivered with the second load, however old they are."""
-    key = (spark.sparkContext.applicationId, sf, strategy)
-    if key in _STORED:
-        return spark.read.parquet(f"{_STORED[key]}/{table}")
+    """A stored table after a full run over a first load of raw files and an
+    incremental one that finds a second load beside it.
+
+    The first load holds neither the rows after ``LATE_CUT`` nor every 50th
+    event; those come with the second, however old they are."""
     raw = td.raw_from_events(spark, sf)
     late = F.col("event_id") % 50 == 7
     raw = raw.withColumn("loaded_at", F.when(late, F.greatest(F.col("loaded_at"), F.lit(LATE_CUT))).otherwise(F.col("loaded_at")))
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
-    run_full(spark, raw.where(F.col("loaded_at") < F.lit(LATE_CUT)), EVENTS_CFG, root)
-    run_incremental(spark, raw, EVENTS_CFG, root, strategy=strategy)
-    _STORED[key] = root
-    return spark.read.parquet(f"{root}/{table}")
+    seen = F.coalesce(F.col("loaded_at") < F.lit(LATE_CUT), F.lit(False))
+    files = RawFiles({td.EVENTS_SOURCE: FileSource(f"{root}/raw")})
+    target = Target(f"{root}/out", models=() if table == "event" else (table,))
+    raw.where(seen).write.parquet(f"{root}/raw/first")
+    run_full(spark, files, EVENTS_CFG, target)
+    raw.where(~seen).write.parquet(f"{root}/raw/second")
+    run_incremental(spark, files, EVENTS_CFG, target, strategy=strategy)
+    return target.read(spark, table)
 
 
 def q_incremental_event(spark, sf):
@@ -402,6 +408,172 @@ def q_incremental_delete_insert(spark, sf):
     return _incremental(spark, sf, "event", strategy="delete+insert")
 
 
+def q_daily_from_masks(spark, sf):
+    """The daily table after ``STATE_DAY`` from the day masks of that day and later events."""
+    stg = _events_stg(spark, sf)
+    ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
+    first = user_first_events(stg)
+    known = first.where(F.col("first_event_day") <= F.lit(STATE_DAY)).select("source_relation", "event_type").distinct()
+    return daily_from_state(state_at(ev, STATE_DAY), ev.where(F.col("date_day") > F.lit(STATE_DAY)), first, known, STATE_DAY, EVENTS_CFG)
+
+
+def q_daily_masks_advanced(spark, sf):
+    """The same from masks of an earlier day, moved on."""
+    stg = _events_stg(spark, sf)
+    ev = dedupe_events(stg, EVENTS_CFG, columns=daily_ops.EVENT_COLUMNS)
+    state = advance(state_at(ev, EARLY_STATE_DAY), ev, EARLY_STATE_DAY, STATE_DAY)
+    return state.select(*daily_ops.PERSON_KEYS, F.col("mask"))
+
+
+def q_monthly_from_state(spark, sf):
+    """The monthly table from ``STATE_MONTH`` on, from the state of the months before
+    (itself moved on from an earlier one) and later person-months."""
+    pm = monthly_ops.person_months(_orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS))
+    state = advance_months(month_state(pm, EARLY_STATE_MONTH), pm, EARLY_STATE_MONTH, STATE_MONTH)
+    stored = monthly_ops.monthly_from_person_months(pm.where(F.col("date_month") < F.lit(STATE_MONTH)), ORDERS_CFG)
+    return monthly_from_state(state, pm, stored, STATE_MONTH, ORDERS_CFG)
+
+
+# ---- mergeable distinct counts ----------------------------------------------
+
+def _work(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _built(spark, raw, cfg, *models):
+    """A target with the event table and ``models`` of a raw frame."""
+    target = Target(_work(spark, "built"), models=models)
+    run_full(spark, raw, cfg, target)
+    return target
+
+
+def q_mau_sketches(spark, sf):
+    """Monthly active users estimated from day sketches, beside the exact number:
+    whether the estimate lies within four standard errors."""
+    target = _built(spark, td.raw_from_orders(spark, sf), ORDERS_CFG, "user_sketches")
+    month = F.trunc("date_day", "month").alias("date_month")
+    approx = distinct.sketched_users(target.read(spark, "user_sketches"), "source_relation", month)
+    exact = monthly_ops.month_totals(target.read(spark, "event"))
+    off = F.abs(F.col("approx_users") - F.col("total_monthly_active_users"))
+    near = off <= F.greatest(F.lit(1.0), 4 * distinct.sketch_error() * F.col("total_monthly_active_users"))
+    return exact.join(approx, ["source_relation", "date_month"]).select(
+        "source_relation", "date_month", "total_monthly_active_users", near.alias("within_bound"))
+
+
+def q_mau_bitmaps(spark, sf):
+    """Exact monthly active users by merging day bitmaps."""
+    target = _built(spark, td.raw_from_orders(spark, sf), ORDERS_CFG, "user_bitmaps")
+    month = F.trunc("date_day", "month").alias("date_month")
+    return distinct.bitmap_users(target.read(spark, "user_bitmaps"), "source_relation", month).withColumnRenamed(
+        "number_of_users", "total_monthly_active_users")
+
+
+def q_funnel_bitmaps(spark, sf):
+    """The segmented funnel with its users from stored bitmaps."""
+    raw = td.raw_from_events_two_sources(spark, sf)
+    target = _built(spark, raw, EVENTS_CFG, "user_bitmaps", "user_sketches")
+    step = F.col("event_type").isin(FUNNEL_STEPS)
+    seg = ["source_relation", "event_type"]
+    users = distinct.bitmap_users(target.read(spark, "user_bitmaps").where(step), *seg)
+    counts = target.read(spark, "user_sketches").where(step).groupBy(*seg).agg(F.sum("number_of_events").alias("number_of_events"))
+    both = counts.join(users, seg, "left").fillna(0, ["number_of_users"])
+    return funnel_rates(both, ["source_relation"])
+
+
+# ---- SQL, catalog, other inputs ----------------------------------------------
+
+def q_funnel_function(spark, sf):
+    """The funnel called from SQL as a table function."""
+    name = register_funnel(spark, _events_ev(spark, sf, columns=FUNNEL_COLUMNS), "eventlens_funnel")
+    steps = ", ".join(f"'{s}'" for s in FUNNEL_STEPS)
+    return spark.sql(f"SELECT * FROM {name}(array({steps}))").drop("segment")
+
+
+def q_catalog_event(spark, sf):
+    """The event table and the sessions read by their catalog names, joined in SQL."""
+    target = _built(spark, td.raw_from_events(spark, sf), EVENTS_CFG, "sessions")
+    publish(spark, target, "eventlens_check")
+    publish_view(spark, "eventlens_check", "session_days", "SELECT session_started_on_day AS date_day, source_relation, count(*) AS number_of_sessions, "
+                 "sum(total_number_of_events) AS session_events FROM eventlens_check.sessions GROUP BY ALL")
+    return spark.sql("SELECT e.date_day, e.source_relation, e.number_of_events, s.number_of_sessions, s.session_events "
+                     "FROM (SELECT date_day, source_relation, count(*) AS number_of_events FROM eventlens_check.event GROUP BY ALL) e "
+                     "JOIN eventlens_check.session_days s ON e.date_day = s.date_day AND e.source_relation = s.source_relation")
+
+
+def q_staged_view(spark, sf):
+    """The staged rows through a persisted view over raw files."""
+    path = _work(spark, "raw")
+    td.raw_from_events(spark, sf).write.parquet(path)
+    return spark.table(staged_view(spark, "eventlens_check", path, EVENTS_CFG))
+
+
+def q_csv_events(spark, sf):
+    """Raw events through a typed CSV export."""
+    path = _work(spark, "csv")
+    raw = td.raw_from_events(spark, sf).drop("event_id", "value")
+    at = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    raw.write.options(header=True, quote='"', escape='"', timestampFormat=at, timestampNTZFormat=at).csv(path)
+    return stage_events(read_events_csv(spark, path), EVENTS_CFG)
+
+
+def q_source_case(spark, sf):
+    """Connection names in their own case."""
+    raw = td.raw_from_events(spark, sf)
+    both = union_connections({"Test.Events_A": raw.where("event_id % 2 = 0"), "test.Events_B": raw.where("event_id % 2 = 1")}, preserve_case=True)
+    stg = stage_events(both, EVENTS_CFG.with_(preserve_source_case=True))
+    return stg.select("source_relation", "loader_row_id", "date_day")
+
+
+def q_pivot_variant(spark, sf):
+    """Twenty properties from one parse of each text."""
+    names = [f"p{i}" for i in range(1, 20)]
+    raw = td.raw_from_events(spark, sf)
+    made = F.to_json(F.struct(*[(F.col("event_id") % (i + 1)).alias(n) for i, n in enumerate(names)], F.concat(F.lit("a b"), F.col("event_id")).alias("Text Of.It")))
+    cfg = EVENTS_CFG.with_(properties_to_pivot=(*names, "Text Of.It"), pivot_method="variant")
+    ev = dedupe_events(stage_events(raw.withColumn("properties", made), cfg), cfg)
+    return ev.select("unique_event_id", *names, "text_of_it")
+
+
+def q_partition_compare(spark, sf):
+    """Two versions of the event table that differ on late days, found by checksums;
+    the run's own columns are left out."""
+    raw = td.raw_from_events(spark, sf)
+    sides = [dedupe_events(stage_events(raw, c), c) for c in (EVENTS_CFG, EVENTS_CFG.with_(event_filter=LATE_FILTER, as_of_date="2024-02-01"))]
+    return quality.compare_partitions(*sides, "date_day", exclude=["run_date", "loaded_at"]).select("unique_event_id", "date_day", "source")
+
+
+def q_row_set_compare_except(spark, sf):
+    """Row sets without the columns that differ from run to run."""
+    raw = td.raw_from_events(spark, sf)
+    sides = [dedupe_events(stage_events(raw, c), c) for c in (EVENTS_CFG, EVENTS_CFG.with_(event_filter=DEV_FILTER, as_of_date="2024-02-01"))]
+    return quality.compare_row_sets(*sides, exclude=["run_date"]).select("unique_event_id", "event_type", "source")
+
+
+def _landed(spark, raw, parts=3):
+    """Raw rows as files of a landing folder, out of order; its path."""
+    path = _work(spark, "landing")
+    for i in (1, 0, *range(2, parts)):
+        raw.where(F.col("event_id") % parts == i).write.parquet(f"{path}/part{i}")
+    return path
+
+
+def q_streaming_incremental(spark, sf):
+    """Micro-batches that feed the incremental run."""
+    raw, root = td.raw_from_events(spark, sf), _work(spark, "stream")
+    path = _landed(spark, raw, 2)
+    start_ingest(spark, f"{path}/*", raw.schema, EVENTS_CFG, f"{root}/out", f"{root}/progress").awaitTermination()
+    return spark.read.parquet(f"{root}/out/daily_events")
+
+
+def q_streaming_dedupe(spark, sf):
+    """Repeated deliveries, de-duplicated by a stateful stream."""
+    raw, root = td.raw_from_events_redelivered(spark, sf), _work(spark, "stream")
+    path = _landed(spark, raw)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 8).parquet(f"{path}/*")
+    start_dedupe(spark, stream, EVENTS_CFG, f"{root}/out", f"{root}/progress", delay="60 days").awaitTermination()
+    return spark.read.parquet(f"{root}/out/event")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_events": q_stage_events,
     "custom_columns": q_custom_columns,
@@ -448,6 +620,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count_compare": q_row_count_compare,
     "row_set_compare": q_row_set_compare,
     "lookback_incremental_events": q_lookback_incremental_events,
+    "daily_from_masks": q_daily_from_masks,
+    "daily_masks_advanced": q_daily_masks_advanced,
+    "monthly_from_state": q_monthly_from_state,
+    "mau_sketches": q_mau_sketches,
+    "mau_bitmaps": q_mau_bitmaps,
+    "funnel_bitmaps": q_funnel_bitmaps,
+    "funnel_function": q_funnel_function,
+    "catalog_event": q_catalog_event,
+    "staged_view": q_staged_view,
+    "csv_events": q_csv_events,
+    "source_case": q_source_case,
+    "pivot_variant": q_pivot_variant,
+    "partition_compare": q_partition_compare,
+    "row_set_compare_except": q_row_set_compare_except,
+    "streaming_incremental": q_streaming_incremental,
+    "streaming_dedupe": q_streaming_dedupe,
     "incremental_event": q_incremental_event,
     "incremental_daily": q_incremental_daily,
     "incremental_monthly": q_incremental_monthly,

@@ -407,6 +407,38 @@ def oracle_queries() -> dict[str, str]:
         + ev_ctes("prev_", as_of),
         f"SELECT * FROM ev WHERE date_day >= (SELECT CAST(least(max(date_day), DATE '{as_of}') "
         f"- INTERVAL {C.EVENTS_CFG.lookback_days} DAY AS DATE) FROM prev_ev)")
+    q["mau_sketches"] = with_(monthly, "SELECT *, true AS within_bound FROM month_totals")
+    q["mau_bitmaps"] = q["month_totals_mau"]
+    q["funnel_bitmaps"] = q["funnel_segmented"]
+    q["funnel_function"] = q["funnel"]
+    q["catalog_event"] = with_(sess, (
+        "SELECT * FROM (SELECT date_day, source_relation, count(*) AS number_of_events FROM ev GROUP BY ALL) "
+        "JOIN (SELECT session_started_on_day AS date_day, source_relation, count(*) AS number_of_sessions, "
+        "CAST(sum(total_number_of_events) AS BIGINT) AS session_events FROM sessions GROUP BY ALL) USING (date_day, source_relation)"))
+    q["staged_view"] = q["csv_events"] = q["stage_events"]
+    q["source_case"] = (
+        f"SELECT CASE WHEN event_id % 2 = 0 THEN 'Test.Events_A' ELSE 'test.Events_B' END AS source_relation, loader_row_id, "
+        f"CAST(\"time\" AS DATE) AS date_day FROM ({RAW_EVENTS})")
+    q["pivot_variant"] = with_(events_base(), (
+        "SELECT unique_event_id, " + ", ".join(f"CAST(CAST(insert_id AS BIGINT) % {i + 1} AS VARCHAR) AS p{i + 1}" for i in range(19))
+        + ", 'a b' || insert_id AS text_of_it FROM ev"))
+    late_dev = stg_ctes("d_", RAW_EVENTS, RAW_EVENTS_COLS, td.EVENTS_SOURCE, C.LATE_FILTER.replace("timestamp'", "TIMESTAMP '")) + ev_ctes("d_", as_of)
+    q["partition_compare"] = with_(
+        events_base() + late_dev, "SELECT unique_event_id, date_day, 'from prod' AS source FROM ev WHERE NOT EXISTS "
+        "(SELECT 1 FROM d_ev WHERE d_ev.unique_event_id = ev.unique_event_id)")
+    some_dev = stg_ctes("d_", RAW_EVENTS, RAW_EVENTS_COLS, td.EVENTS_SOURCE, C.DEV_FILTER) + ev_ctes("d_", as_of)
+    q["row_set_compare_except"] = with_(
+        events_base() + some_dev, "SELECT unique_event_id, event_type, 'from prod' AS source FROM ev WHERE NOT EXISTS "
+        "(SELECT 1 FROM d_ev WHERE d_ev.unique_event_id = ev.unique_event_id)")
+    q["streaming_incremental"] = q["daily_events"]
+    q["streaming_dedupe"] = q["dedupe_events"]
+    q["daily_from_masks"] = with_(daily, f"SELECT * FROM daily WHERE date_day > DATE '{C.STATE_DAY}'")
+    q["daily_masks_advanced"] = with_(
+        events_base(),
+        "SELECT source_relation, people_id, event_type, CAST(sum(1 << d) AS BIGINT) AS mask FROM (SELECT DISTINCT source_relation, people_id, "
+        f"event_type, date_diff('day', date_day, DATE '{C.STATE_DAY}') AS d FROM ev WHERE people_id IS NOT NULL AND event_type IS NOT NULL) "
+        "WHERE d BETWEEN 0 AND 27 GROUP BY ALL")
+    q["monthly_from_state"] = with_(monthly, f"SELECT * FROM monthly WHERE date_month >= DATE '{C.STATE_MONTH}'")
     late = (f"SELECT * REPLACE (CASE WHEN event_id % 50 = 7 THEN greatest(loaded_at, TIMESTAMP '{C.LATE_CUT}') ELSE loaded_at END AS loaded_at) "
             f"FROM ({RAW_EVENTS})")
     stored = stg_ctes("", late, RAW_EVENTS_COLS, td.EVENTS_SOURCE) + ev_ctes("", as_of)

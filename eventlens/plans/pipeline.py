@@ -1,52 +1,82 @@
-"""Full-refresh and incremental runs over a target folder.
+"""Full-refresh and incremental runs over a target.
 
-Layout under ``target_root``: ``event/`` (partitioned by date_day),
+Layout under the target's root: ``event/`` (partitioned by date_day),
 ``daily_events/`` (date_day), ``monthly_events/`` (date_month), ``sessions/``
-(session_started_on_day).  The event table is written first and read back
-by the other three models, so dedupe runs once and later stages start from
-a materialised table (lineage cut without ``localCheckpoint``).
-
-Incremental runs find the days that new rows belong to (``load_mark`` keeps,
-per connection and day, the number of rows and their last load time: a day with
-more rows than before is touched, and so is one of rows loaded since the
-connection's own last load time), add the lookback window, and rewrite only
-what those days reach, so that an incremental run gives exactly the
-full-refresh result (N6, N7):
-
-* event, sessions: the touched days (sessions never cross midnight);
-* first events: the stored minimum merged with the touched days' rows;
-* daily: from the earliest touched day on, reading 27 days before it for
-  repeat and trailing users; of the first events only those inside that range
-  and one anchor per type are needed;
-* monthly: touched months of the stored person-months are replaced, and the
-  metrics read those, so first and previous month keep their whole history.
-
-Rows that vanish upstream are noticed in the window only.
+(session_started_on_day), and what incremental runs go on from:
+``user_first_event/`` (first_event_day), ``person_months/`` (date_month),
+``activity_state/<day>`` and ``month_state/<month>`` (the snapshots described in
+``eventlens.operators.activity_state`` and ``month_state``), and ``file_ledger/``
+or ``load_mark/``.  The event table is written first and read back by the other
+models, so dedupe runs once and later stages start from a materialised table
+(lineage cut without ``localCheckpoint``).
+
+An incremental run finds the days that new rows belong to, and rewrites only
+what those days reach, so that it gives exactly the full-refresh result (N6, N7):
+
+* raw **files** (``RawFiles``): the ledger tells new files from those taken in,
+  and only new ones are read.  The stored events of a touched day compete with
+  the new rows: a stored row is its group's winner so far, and the winner of
+  winners is the group's.  Files that vanished or changed have their days
+  rebuilt from the other files that hold such days.
+* a raw **frame** (a view, a query): ``load_mark`` keeps, per connection and day,
+  the number of rows and their last load time.  Days with more rows than before
+  and days of rows loaded since the connection's own last load time are touched,
+  and so is the lookback window; they are recomputed from the frame.  Rows that
+  vanish upstream are noticed in the window only, and a late row without a load
+  time is missed where another row of its day and connection vanished.
+
+What touched days reach:
+
+* event, sessions: those days (sessions never cross midnight);
+* first events: keys that are new or began earlier, and the partitions they move
+  between;
+* daily: from the earliest touched day on, from the masks of the day before;
+* monthly: from the earliest touched month on, from the state of the months
+  before.  A day or month before the snapshot rebuilds the snapshot, from 28 days
+  of events or the stored person-months.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.config import Config
-from eventlens.functions.timeutil import lit_date, shift_date, sql_filter
+from eventlens.functions.timeutil import lit_date, shift_date
+from eventlens.operators.activity_state import MAX_RANGE, advance, daily_from_state, state_at
 from eventlens.operators.daily import daily_events, daily_events_from_staged
 from eventlens.operators.dedupe import date_range_filtered, dedupe_events
+from eventlens.operators.distinct import day_bitmaps, day_sketches, number_persons
+from eventlens.operators.month_state import advance_months, month_state, monthly_from_state
 from eventlens.operators.monthly import EVENT_COLUMNS as MONTHLY_COLUMNS
 from eventlens.operators.monthly import monthly_events, monthly_from_person_months, person_months
+from eventlens.operators.quality import not_null_check, union_all, unique_check
 from eventlens.operators.sessions import session_columns, sessions
 from eventlens.operators.staging import missing_columns, stage_events, user_first_events
-from eventlens.operators.quality import not_null_check, union_all, unique_check
 from eventlens.plans.docs import with_descriptions
+from eventlens.sources.ledger import (
+    RawFiles,
+    days_of_files,
+    gone_files,
+    ledger_entries,
+    new_files,
+    paths_by_connection,
+    settings_of,
+    stage_files,
+)
 from eventlens.sources.sinks import (
+    NULL_PARTITION,
     delete_insert,
     high_water_mark,
+    overwrite_values,
     overwrite_window,
+    partition_values,
+    remove,
     replace_table,
     staged_beside,
     table_exists,
@@ -64,7 +94,40 @@ TABLES = {
     "sessions": ("session_started_on_day", ["source_relation", "session_id"]),
 }
 PERSON_MONTH_CLUSTER = ["event_type", "source_relation", "people_id"]
-LOAD_MARK = "load_mark"
+MODELS = ("daily_events", "monthly_events", "sessions")
+SKETCHES, BITMAPS, NUMBERS = "user_sketches", "user_bitmaps", "person_numbers"
+LOAD_MARK, LEDGER = "load_mark", "file_ledger"
+FIRST_EVENTS = "user_first_event"
+FIRST_CLUSTER = ["event_type", "source_relation", "people_id"]
+ACTIVITY_STATE, MONTH_STATE = "activity_state", "month_state"
+
+
+@dataclass(frozen=True)
+class Target:
+    """Where tables are stored, in which format, and which models beside the event table.
+
+    Models on demand: ``user_sketches`` and ``user_bitmaps`` (with ``person_numbers``),
+    the mergeable parts of ``eventlens.operators.distinct``."""
+
+    root: str
+    fmt: str = "parquet"
+    models: tuple[str, ...] = MODELS
+
+    @staticmethod
+    def of(target: "str | Target") -> "Target":
+        return target if isinstance(target, Target) else Target(target)
+
+    def path(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{table}"
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        return spark.read.format(self.fmt).load(self.path(table))
+
+    def has(self, spark: SparkSession, table: str) -> bool:
+        return table_exists(spark, self.path(table), self.fmt)
+
+    def write_full(self, df: DataFrame, table: str, partition_col: str, cluster_by: list[str]) -> None:
+        write_full(with_descriptions(df, table), self.path(table), partition_col, cluster_by, fmt=self.fmt)
 
 
 @dataclass
@@ -104,13 +167,6 @@ def build(raw: DataFrame, cfg: Config, events: DataFrame | None = None) -> Model
     )
 
 
-def _path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
-
-
-FIRST_EVENTS = "user_first_event"
-
-
 def since(stg: DataFrame, start: dt.date) -> DataFrame:
     """Staged rows on or after ``start``, written on ``occurred_at`` so the
     bound reaches the raw scan as ``time >= ts`` (pushed down to Parquet row
@@ -132,12 +188,11 @@ def load_state(stg: DataFrame, now: dt.datetime) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("loaded_at").isNotNull(), seen)).alias("loaded_at")))
 
 
-def stored_state(spark: SparkSession, target_root: str) -> DataFrame | None:
+def stored_state(spark: SparkSession, target: Target) -> DataFrame | None:
     """What earlier runs have seen; None if it was never stored in this form."""
-    path = _path(target_root, LOAD_MARK)
-    if not table_exists(spark, path):
+    if not target.has(spark, LOAD_MARK):
         return None
-    df = spark.read.parquet(path)
+    df = target.read(spark, LOAD_MARK)
     return df if {"source_relation", "date_day", "n", "loaded_at"} <= set(df.columns) else None
 
 
@@ -171,40 +226,91 @@ def first_events_of_range(first: DataFrame, read_from: dt.date) -> DataFrame:
     return inside.unionByName(anchors.withColumn("people_id", F.lit(None).cast("string")))
 
 
-def run_full(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str) -> None:
-    stg = stage_events(raw, cfg)
-    # taken before the rows are read: those that arrive meanwhile count as new next time
-    with staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), _path(target_root, LOAD_MARK)) as (state, _):
-        _rebuild(spark, raw, stg, cfg, target_root)
-        replace_table(spark, state, _path(target_root, LOAD_MARK))
-
-
-def _rebuild(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target_root: str) -> None:
-    user_first_events(stg).write.mode("overwrite").parquet(_path(target_root, FIRST_EVENTS))
-    part, cluster = TABLES["event"]
+# ---- full refresh ------------------------------------------------------------
+
+def run_full(spark: SparkSession, raw: DataFrame | RawFiles, cfg: Config, target: str | Target) -> None:
+    target = Target.of(target)
+    with ExitStack() as stack:
+        # what the run takes in is noted before the rows are read: those that arrive meanwhile count as new next time
+        if isinstance(raw, RawFiles):
+            listing, _ = stack.enter_context(staged_beside(spark, raw.listing(spark), target.path(LEDGER), fmt=target.fmt))
+            rows = raw.read(spark, cfg, paths_by_connection(listing))
+            if rows is None:
+                raise ValueError("no raw files")
+            _rebuild(spark, rows, stage_events(rows, cfg), cfg, target)
+            replace_table(spark, ledger_entries(listing, days_of_files(stage_files(rows, cfg)), settings_of(cfg)), target.path(LEDGER), target.fmt)
+        else:
+            stg = stage_events(raw, cfg)
+            state, _ = stack.enter_context(staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), target.path(LOAD_MARK), fmt=target.fmt))
+            _rebuild(spark, raw, stg, cfg, target)
+            replace_table(spark, state, target.path(LOAD_MARK), target.fmt)
+
+
+def _rebuild(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target: Target) -> None:
+    target.write_full(user_first_events(stg), FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
     fresh = dedupe_events(stg, cfg, absent=missing_columns(raw, cfg.raw_names))
-    write_full(with_descriptions(fresh, "event"), _path(target_root, "event"), part, cluster)
-    ev = spark.read.parquet(_path(target_root, "event"))
-    # static overwrite (write_full): the stored table gets its _SUCCESS marker,
-    # which incremental runs check before merging into it
-    write_full(person_months(ev.select(*MONTHLY_COLUMNS)), _path(target_root, PERSON_MONTHS), "date_month",
-               PERSON_MONTH_CLUSTER)
-    m = build(raw, cfg, events=ev)
-    monthly = monthly_from_person_months(spark.read.parquet(_path(target_root, PERSON_MONTHS)), cfg,
-                                         spark.read.parquet(_path(target_root, FIRST_EVENTS)))
-    for name, df in (("daily_events", m.daily), ("monthly_events", monthly), ("sessions", m.sessions)):
-        part, cluster = TABLES[name]
-        write_full(with_descriptions(df, name), _path(target_root, name), part, cluster)
-
-
-def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_root: str,
+    target.write_full(fresh, "event", *TABLES["event"])
+    ev = target.read(spark, "event")
+    # static overwrite (write_full): the stored tables get their _SUCCESS marker,
+    # which incremental runs check before merging into them
+    m, hwm = build(raw, cfg, events=ev), _mark(spark, cfg, target)
+    if "daily_events" in target.models:
+        target.write_full(m.daily, "daily_events", *TABLES["daily_events"])
+        if hwm is not None:
+            day = shift_date(hwm, days=-cfg.lookback_days - 1)
+            _put_snapshot(spark, state_at(ev, day), ACTIVITY_STATE, day, target)
+    if "monthly_events" in target.models:
+        target.write_full(person_months(ev.select(*MONTHLY_COLUMNS)), PERSON_MONTHS, "date_month", PERSON_MONTH_CLUSTER)
+        pm = target.read(spark, PERSON_MONTHS)
+        monthly = monthly_from_person_months(pm, cfg, target.read(spark, FIRST_EVENTS))
+        target.write_full(monthly, "monthly_events", *TABLES["monthly_events"])
+        if hwm is not None:
+            month = shift_date(hwm, days=-cfg.lookback_days).replace(day=1)
+            _put_snapshot(spark, month_state(pm, month), MONTH_STATE, month, target)
+    if "sessions" in target.models:
+        target.write_full(m.sessions, "sessions", *TABLES["sessions"])
+    if SKETCHES in target.models:
+        target.write_full(day_sketches(ev), SKETCHES, "date_day", ["event_type", "source_relation"])
+    if BITMAPS in target.models:
+        number_persons(ev).write.format(target.fmt).mode("overwrite").save(target.path(NUMBERS))
+        target.write_full(day_bitmaps(ev, target.read(spark, NUMBERS)), BITMAPS, "date_day", ["event_type", "source_relation", "bucket"])
+
+
+def _mark(spark: SparkSession, cfg: Config, target: Target) -> dt.date | None:
+    return high_water_mark(spark, target.path("event"), "date_day", cfg.as_of_date, target.fmt)
+
+
+# ---- snapshots -----------------------------------------------------------------
+
+def _snapshot_day(spark: SparkSession, table: str, target: Target) -> dt.date | None:
+    """Day of the stored snapshot (the last one whose write ended)."""
+    days = sorted(partition_values(spark, target.path(table), "as_of"))
+    done = [d for d in days if table_exists(spark, f"{target.path(table)}/as_of={d}", target.fmt)]
+    return dt.date.fromisoformat(done[-1]) if done else None
+
+
+def _snapshot(spark: SparkSession, table: str, day: dt.date, target: Target) -> DataFrame:
+    return spark.read.format(target.fmt).load(f"{target.path(table)}/as_of={day}")
+
+
+def _put_snapshot(spark: SparkSession, df: DataFrame, table: str, day: dt.date, target: Target) -> None:
+    """Store a snapshot, then remove the others: a failure between leaves one to go on from.
+
+    ``df`` may read the snapshot of another day, never that of its own."""
+    df.write.format(target.fmt).mode("overwrite").save(f"{target.path(table)}/as_of={day}")
+    for other in partition_values(spark, target.path(table), "as_of") - {day.isoformat()}:
+        remove(spark, f"{target.path(table)}/as_of={other}")
+
+
+# ---- incremental runs ------------------------------------------------------------
+
+def run_incremental(spark: SparkSession, raw: DataFrame | RawFiles, cfg: Config, target: str | Target,
                     touched: Iterable[dt.date] = (), strategy: str = "insert_overwrite") -> dt.date | None:
-    """Recompute what new rows and the lookback window reach.
+    """Recompute what new rows reach; see the module's text.
 
-    Touched days are those of the rows not seen by the last run, those that
-    the caller names (e.g. a streaming micro-batch's), and the lookback window:
-    high-water mark minus ``lookback_days`` and later.  Returns the first
-    rewritten day, None after a full refresh (no event table yet).
+    ``touched`` names further days to recompute from a raw frame (e.g. a streaming
+    micro-batch's).  Returns the first rewritten day, None after a full refresh (no
+    event table yet, or one staged under other settings) or where nothing is new.
 
     ``strategy`` is how the event table takes the recomputed rows:
     ``insert_overwrite`` replaces the touched date partitions (rows that
@@ -213,80 +319,237 @@ def run_incremental(spark: SparkSession, raw: DataFrame, cfg: Config, target_roo
     """
     if strategy not in ("insert_overwrite", "delete+insert"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    event_path = _path(target_root, "event")
-    hwm = high_water_mark(spark, event_path, "date_day", cfg.as_of_date)
+    target = Target.of(target)
+    hwm = _mark(spark, cfg, target)
+    if isinstance(raw, RawFiles):
+        if hwm is None or not target.has(spark, LEDGER) or not target.read(spark, LEDGER).where(F.col("settings") != settings_of(cfg)).isEmpty():
+            run_full(spark, raw, cfg, target)
+            return None
+        return _from_files(spark, raw, cfg, target, strategy)
     if hwm is None:
-        run_full(spark, raw, cfg, target_root)
+        run_full(spark, raw, cfg, target)
         return None
     window = shift_date(hwm, days=-cfg.lookback_days)
     stg = stage_events(raw, cfg)
     # taken before the rows are read: those that arrive meanwhile count as new next time
-    with staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), _path(target_root, LOAD_MARK)) as (state, _):
-        days = set(touched) | _new_days(stg, state, stored_state(spark, target_root), cfg)
-        start = _rewrite(spark, raw, stg, cfg, target_root, days, window, strategy)
-        replace_table(spark, state, _path(target_root, LOAD_MARK))
+    with staged_beside(spark, load_state(date_range_filtered(stg, cfg), dt.datetime.now()), target.path(LOAD_MARK), fmt=target.fmt) as (state, _):
+        days = set(touched) | _new_days(stg, state, stored_state(spark, target), cfg)
+        start = _from_frame(spark, raw, stg, cfg, target, days, window, strategy)
+        replace_table(spark, state, target.path(LOAD_MARK), target.fmt)
     return start
 
 
-def _rewrite(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target_root: str,
-             days: set[dt.date], window: dt.date, strategy: str) -> dt.date:
-    """Recompute what ``days`` and the lookback window reach."""
-    event_path = _path(target_root, "event")
+def _from_frame(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target: Target,
+                days: set[dt.date], window: dt.date, strategy: str) -> dt.date:
+    """Recompute ``days`` and the lookback window from a raw frame."""
     old = sorted(d for d in days if d < window)  # days before the window: a bounded list
     start = min([window, *old])
+    lo = F.col("date_day") >= lit_date(window)
+    in_reach = lo | F.col("date_day").isin(old) if old else lo
+    recent = since(stg, start).where(in_reach)
+    stored = {dt.date.fromisoformat(v) for v in partition_values(spark, target.path("event"), "date_day", target.fmt) if v != NULL_PARTITION}
+    days = {*old, *(d for d in stored if d >= window), *window_days(date_range_filtered(recent, cfg))}
+    fresh = dedupe_events(recent, cfg, absent=missing_columns(raw, cfg.raw_names))
+    first = user_first_events(recent if target.has(spark, FIRST_EVENTS) else stg)
+    _rewrite(spark, fresh, first, days, start, cfg, target, strategy)
+    return start
 
-    def in_reach(df: DataFrame) -> DataFrame:
-        lo = F.col("date_day") >= lit_date(window)
-        return df.where(lo | F.col("date_day").isin(old)) if old else df.where(lo)
 
-    recent = in_reach(since(stg, start))
+def _from_files(spark: SparkSession, raw: RawFiles, cfg: Config, target: Target, strategy: str) -> dt.date | None:
+    """Take in the files that the ledger lacks, and rebuild the days of those that are gone."""
+    with ExitStack() as stack:
+        listing, _ = stack.enter_context(staged_beside(spark, raw.listing(spark), target.path(LEDGER), fmt=target.fmt))
+        ledger = target.read(spark, LEDGER)
+        fresh_paths = paths_by_connection(new_files(listing, ledger))
+        gone = {r["d"] for r in gone_files(listing, ledger).select(F.explode("days").alias("d")).distinct().collect()}
+        rows = raw.read(spark, cfg, fresh_paths)
+        entries = ledger.join(listing.select("connection", "file", "modified", "length"), ["connection", "file", "modified", "length"], "left_semi")
+        days, start = set(gone), None
+        if rows is not None:
+            stg = stage_files(rows, cfg)
+            # the rows' days and files: two narrow columns of the new files
+            held, _ = stack.enter_context(staged_beside(spark, days_of_files(stg), target.path("new_days"), fmt=target.fmt))
+            entries = entries.unionByName(ledger_entries(new_files(listing, ledger), held, settings_of(cfg)))
+            days |= set(window_days(date_range_filtered(stg, cfg)))
+        days = {d for d in days if d is not None}
+        end_moved = "daily_events" in target.models and max(partition_values(spark, target.path("daily_events"), "date_day", target.fmt), default="") != cfg.spine_end.isoformat()
+        if days or rows is not None or end_moved:
+            fresh, first = _merged(spark, raw, rows, listing, ledger, days - gone, gone, cfg, target)
+            start = min(days, default=None)
+            if gone and first is not None:  # minima may have lost rows: stored anew
+                target.write_full(first, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+                first = None
+            _rewrite(spark, fresh, first, days, start, cfg, target, strategy)
+        replace_table(spark, entries, target.path(LEDGER), target.fmt)
+    return start
+
+
+def _merged(spark: SparkSession, raw: RawFiles, rows: DataFrame | None, listing: DataFrame, ledger: DataFrame, merge: set[dt.date], rebuild: set[dt.date],
+            cfg: Config, target: Target) -> tuple[DataFrame, DataFrame | None]:
+    """De-duplicated events of the touched days, and first events of the rows read.
+
+    Days of ``merge``: the stored winners compete with the new rows.  Days of
+    ``rebuild``: all files that hold one of them are read, and first events come
+    from all files."""
+    ev = target.read(spark, "event")
+    stg = stage_events(rows, cfg) if rows is not None else None
+    columns = (stg if stg is not None else stage_events(raw.read(spark, cfg), cfg)).columns
+    parts = [ev.where(F.col("date_day").isin(sorted(merge))).select(*columns)]
+    if stg is not None:
+        parts.append(stg.where(F.col("date_day").isin(sorted(merge))))
+    first = user_first_events(stg) if stg is not None else None
+    if rebuild:
+        days = F.array(*[lit_date(d) for d in sorted(rebuild)])
+        holders = listing.join(ledger.where(~F.arrays_overlap("days", days)).select("connection", "file", "modified", "length"),
+                               ["connection", "file", "modified", "length"], "left_anti")
+        again = raw.read(spark, cfg, paths_by_connection(holders))
+        if again is not None:
+            parts.append(stage_events(again, cfg).select(*columns).where(F.col("date_day").isin(sorted(rebuild))))
+        everything = raw.read(spark, cfg, paths_by_connection(listing))
+        first = user_first_events(stage_events(everything, cfg)) if everything is not None else target.read(spark, FIRST_EVENTS).limit(0)
+    return dedupe_events(union_all(parts), cfg), first
+
+
+def _rewrite(spark: SparkSession, fresh: DataFrame, first: DataFrame | None, days: set[dt.date], start: dt.date | None,
+             cfg: Config, target: Target, strategy: str) -> None:
+    """Write the touched ``days`` of the event table and what they reach.  ``first``
+    are the first events of the rows read."""
+    values = {d.isoformat() for d in days}
     part, cluster = TABLES["event"]
-    fresh = with_descriptions(dedupe_events(recent, cfg, absent=missing_columns(raw, cfg.raw_names)), "event")
-    if strategy == "delete+insert":
-        delete_insert(spark, fresh, event_path, "unique_event_id", part, cluster)
-    else:
-        # the slice's days from a narrow pushed-down scan, so it is written once
-        present = window_days(date_range_filtered(recent, cfg))
-        overwrite_window(spark, fresh, event_path, part, window, cluster, present=present)
-
-    first_path = _path(target_root, FIRST_EVENTS)
-    if table_exists(spark, first_path):
-        # raw is append-only and the first day is a min, so the stored table
-        # merged with the new rows' days equals a rescan of all history
-        keys = ["people_id", "source_relation", "event_type"]
-        merged = (spark.read.parquet(first_path).unionByName(user_first_events(recent))
-                  .groupBy(*keys).agg(F.min("first_event_day").alias("first_event_day")))
+    fresh = with_descriptions(fresh, "event")
+    if days and strategy == "delete+insert":
+        delete_insert(spark, fresh, target.path("event"), "unique_event_id", part, cluster, fmt=target.fmt)
+    elif days:
+        overwrite_values(spark, fresh, target.path("event"), part, values, cluster, fmt=target.fmt)
+    ev = target.read(spark, "event")
+    # a key that begins earlier than stored is no longer new on its old day
+    moved = _merge_first(spark, first, target) if first is not None else None
+    hwm = _mark(spark, cfg, target)
+    if "daily_events" in target.models:
+        _rewrite_daily(spark, ev, min([d for d in (start, moved) if d is not None], default=None), hwm, cfg, target)
+    if "monthly_events" in target.models and (days or (moved is not None and cfg.true_new_users)):
+        _rewrite_monthly(spark, ev, days, moved if cfg.true_new_users else None, hwm, cfg, target)
+    touched = ev.where(F.col("date_day").isin(sorted(days)))
+    if days and "sessions" in target.models:
+        part, cluster = TABLES["sessions"]
+        overwrite_values(spark, with_descriptions(sessions(touched, cfg), "sessions"), target.path("sessions"), part, values, cluster, fmt=target.fmt)
+    if days and SKETCHES in target.models:
+        overwrite_values(spark, day_sketches(touched), target.path(SKETCHES), "date_day", values, ["event_type", "source_relation"], fmt=target.fmt)
+    if days and BITMAPS in target.models:
+        # numbers are given once: a rerun finds those of a failed run
+        number_persons(touched, target.read(spark, NUMBERS)).write.format(target.fmt).mode("append").save(target.path(NUMBERS))
+        bits = day_bitmaps(touched, target.read(spark, NUMBERS))
+        overwrite_values(spark, bits, target.path(BITMAPS), "date_day", values, ["event_type", "source_relation", "bucket"], fmt=target.fmt)
+
+
+def _merge_first(spark: SparkSession, new: DataFrame, target: Target) -> dt.date | None:
+    """Merge first events into the stored ones, whose partitions are the first days:
+    only partitions that a key enters or leaves are written.  Returns the earliest of these.
+
+    Rows read are all of a day's, or come beside all of it (stored winners), and a
+    first day is a minimum, so this equals a scan of all history."""
+    keys = ["people_id", "source_relation", "event_type"]
+    path = target.path(FIRST_EVENTS)
+    if not target.has(spark, FIRST_EVENTS):
+        target.write_full(new, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+        return None
+    stored = target.read(spark, FIRST_EVENTS)
+    cand = new.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("first_event_day").alias("new_day"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    held = stored.withColumn("held", F.lit(True)).withColumnRenamed("first_event_day", "old_day")
+    met = cand.join(held, same, "left")
+    moved = met.where(F.col("held").isNull() | (F.col("new_day") < F.coalesce("old_day", F.date_add("new_day", 1))))
+    changed = moved.select(*[F.col(f"_{k}").alias(k) for k in keys], F.col("new_day").alias("first_event_day"), "old_day", "held")
+    with staged_beside(spark, changed, path, fmt=target.fmt) as (changed, _):
+        entered = {r["d"] for r in changed.select(F.col("first_event_day").alias("d")).distinct().collect()}
+        left = {r["d"] for r in changed.where("held").select(F.col("old_day").alias("d")).distinct().collect()}
+        days = entered | left  # bounded by the calendar
+        if not days:
+            return None
+        hit = F.col("first_event_day").isin(sorted(d for d in days if d is not None))
+        if None in days:
+            hit = hit | F.col("first_event_day").isNull()
+        gone = changed.where("held").select(*[F.col(k).alias(f"_{k}") for k in keys])
+        kept = stored.where(hit).join(gone, same, "left_anti")
+        both = kept.select(*keys, "first_event_day").unionByName(changed.select(*keys, "first_event_day"))
+        values = {NULL_PARTITION if d is None else d.isoformat() for d in days}
+        overwrite_values(spark, both, path, "first_event_day", values, FIRST_CLUSTER, fmt=target.fmt)
+    return min((d for d in days if d is not None), default=None)
+
+
+def _rewrite_daily(spark: SparkSession, ev: DataFrame, start: dt.date | None, hwm: dt.date, cfg: Config, target: Target) -> None:
+    """Daily rows from ``start`` (or where the stored calendar ends, if earlier) on,
+    and the mask snapshot of the day before the next lookback window."""
+    path = target.path("daily_events")
+    ends = [shift_date(dt.date.fromisoformat(v), days=1) for v in partition_values(spark, path, "date_day", target.fmt) if v != NULL_PARTITION]
+    start = min([d for d in (start, max(ends, default=None), shift_date(cfg.spine_end, days=1)) if d is not None])
+    base, state = _state_before(spark, ev, start, target)
+    days = (cfg.spine_end - base).days
+    first = target.read(spark, FIRST_EVENTS)
+    clamped = cfg.date_range_start is not None and cfg.date_range_start > base
+    if days > MAX_RANGE or clamped:
+        read_from = shift_date(start, days=-27)
+        daily = daily_events(ev.where(F.col("date_day") >= lit_date(read_from)), first_events_of_range(first, read_from), cfg)
+    elif days > 0:
+        types = target.read(spark, "daily_events").where(F.col("date_day") == lit_date(base)).select("source_relation", "event_type")
+        daily = daily_from_state(state, ev, first, types, base, cfg)
     else:
-        merged = user_first_events(stg)
-    first = replace_table(spark, merged, first_path)
-
-    ev = spark.read.parquet(event_path)
-    read_from = shift_date(start, days=-27)
-    daily = daily_events(ev.where(F.col("date_day") >= lit_date(read_from)), first_events_of_range(first, read_from), cfg)
+        daily = None
     part, cluster = TABLES["daily_events"]
-    overwrite_window(spark, with_descriptions(daily.where(F.col("date_day") >= lit_date(start)), "daily_events"),
-                     _path(target_root, "daily_events"), part, start, cluster)
-
-    month_first_day = start.replace(day=1)
-    month_start = lit_date(month_first_day)
-    pm_path = _path(target_root, PERSON_MONTHS)
-    if table_exists(spark, pm_path):
-        fresh_pm = person_months(ev.where(F.col("date_day") >= month_start).select(*MONTHLY_COLUMNS))
-        overwrite_window(spark, fresh_pm, pm_path, "date_month", month_first_day, PERSON_MONTH_CLUSTER)
+    if daily is not None:
+        rows = daily.where(F.col("date_day") >= lit_date(start))
+        overwrite_window(spark, with_descriptions(rows, "daily_events"), path, part, start, cluster, fmt=target.fmt)
+    day = shift_date(hwm, days=-cfg.lookback_days - 1) if hwm is not None else base
+    if day > base and (day - base).days <= MAX_RANGE:
+        _put_snapshot(spark, advance(state, ev, base, day), ACTIVITY_STATE, day, target)
+    elif day > base:
+        _put_snapshot(spark, state_at(ev, day), ACTIVITY_STATE, day, target)
+    elif base != _snapshot_day(spark, ACTIVITY_STATE, target):
+        _put_snapshot(spark, state, ACTIVITY_STATE, base, target)
+
+
+def _state_before(spark: SparkSession, ev: DataFrame, start: dt.date, target: Target) -> tuple[dt.date, DataFrame]:
+    """Masks of a day before ``start``, and that day: the snapshot's, or where a day up to
+    the snapshot's is touched, the day before it, from 28 days of events."""
+    day = _snapshot_day(spark, ACTIVITY_STATE, target)
+    if day is not None and day < start:
+        return day, _snapshot(spark, ACTIVITY_STATE, day, target)
+    day = shift_date(start, days=-1)
+    return day, state_at(ev, day)
+
+
+def _rewrite_monthly(spark: SparkSession, ev: DataFrame, days: set[dt.date], moved: dt.date | None, hwm: dt.date, cfg: Config, target: Target) -> None:
+    """Person-months of the touched months, monthly rows from the earliest of them (and
+    of ``moved``) on, and the month snapshot of the next lookback window's month."""
+    months = sorted({d.replace(day=1) for d in days})
+    start = min([*months, *([moved.replace(day=1)] if moved else [])])
+    pm_path = target.path(PERSON_MONTHS)
+    if target.has(spark, PERSON_MONTHS) and months:
+        touched = F.lit(False)
+        for m in months:
+            touched = touched | F.col("date_day").between(lit_date(m), lit_date(shift_date(m, months=1, days=-1)))
+        fresh = person_months(ev.where(touched).select(*MONTHLY_COLUMNS))
+        overwrite_values(spark, fresh, pm_path, "date_month", {m.isoformat() for m in months}, PERSON_MONTH_CLUSTER, fmt=target.fmt)
+    elif months:
+        target.write_full(person_months(ev.select(*MONTHLY_COLUMNS)), PERSON_MONTHS, "date_month", PERSON_MONTH_CLUSTER)
+    pm = target.read(spark, PERSON_MONTHS)
+    base = _snapshot_day(spark, MONTH_STATE, target)
+    if base is not None and base <= start:
+        state = _snapshot(spark, MONTH_STATE, base, target)
     else:
-        write_full(person_months(ev.select(*MONTHLY_COLUMNS)), pm_path, "date_month", PERSON_MONTH_CLUSTER)
-    monthly = monthly_from_person_months(spark.read.parquet(pm_path), cfg, first)
+        base, state = start, month_state(pm, start)
+    first = target.read(spark, FIRST_EVENTS) if cfg.true_new_users else None
+    monthly = monthly_from_state(state, pm, target.read(spark, "monthly_events"), base, cfg, first)
     part, cluster = TABLES["monthly_events"]
-    overwrite_window(spark, with_descriptions(monthly.where(F.col("date_month") >= month_start), "monthly_events"),
-                     _path(target_root, "monthly_events"), part, month_first_day, cluster)
-
-    part, cluster = TABLES["sessions"]
-    cond = sql_filter(cfg.session_filter)
-    reached = in_reach(ev.where(F.col("date_day") >= lit_date(start)))
-    present = window_days(reached.where(cond) if cond is not None else reached)
-    path = _path(target_root, "sessions")
-    overwrite_window(spark, with_descriptions(sessions(reached, cfg), "sessions"), path, part, window, cluster, present=present)
-    return start
+    rows = monthly.where(F.col("date_month") >= lit_date(start))
+    overwrite_window(spark, with_descriptions(rows, "monthly_events"), target.path("monthly_events"), part, start, cluster, fmt=target.fmt)
+    month = shift_date(hwm, days=-cfg.lookback_days).replace(day=1) if hwm is not None else base
+    if month > base:
+        _put_snapshot(spark, advance_months(state, pm, base, month), MONTH_STATE, month, target)
+    elif base != _snapshot_day(spark, MONTH_STATE, target):
+        _put_snapshot(spark, state, MONTH_STATE, base, target)
 
 
 # key of every stored table, tested to be unique and not null
@@ -294,11 +557,14 @@ TABLE_KEYS = {"event": "unique_event_id", "daily_events": "unique_key", "monthly
               "sessions": "session_id"}
 
 
-def run_checks(spark: SparkSession, target_root: str) -> DataFrame:
+def run_checks(spark: SparkSession, target: str | Target) -> DataFrame:
     """Unique and not-null checks of every stored table's key (Q1, Q2): one
     summary row per check, each a scan of the key column only."""
     frames = []
+    target = Target.of(target)
     for table, key in TABLE_KEYS.items():
-        df = spark.read.parquet(_path(target_root, table)).select(key)
+        if table != "event" and table not in target.models:
+            continue
+        df = target.read(spark, table).select(key)
         frames += [unique_check(df, key, table), not_null_check(df, key, table)]
     return union_all(frames)

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from eventlens.functions.timeutil import shift_date
 
 
+#: Folder value of rows whose partition column is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _jvm_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -25,9 +29,16 @@ def _jvm_path(spark: SparkSession, path: str):
     return fs, jpath
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether a write to ``path`` has ended: its marker file, or a Delta log."""
+    fs, jpath = _jvm_path(spark, path)
+    marker = "_delta_log" if fmt == "delta" else "_SUCCESS"
+    return fs.exists(jpath) and fs.exists(_jvm_path(spark, f"{path.rstrip('/')}/{marker}")[1])
+
+
+def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = _jvm_path(spark, path)
-    return fs.exists(jpath) and fs.exists(_jvm_path(spark, path.rstrip("/") + "/_SUCCESS")[1])
+    fs.delete(jpath, True)
 
 
 def clustered(df: DataFrame, partition_col: str, cluster_by: list[str] | None = None) -> DataFrame:
@@ -60,11 +71,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, cluster_b
      .partitionBy(partition_col).save(path))
 
 
-def _partition_values(spark: SparkSession, path: str, partition_col: str) -> set[str]:
-    """Partition values present under ``path`` (a directory listing, no job)."""
+def partition_values(spark: SparkSession, path: str, partition_col: str, fmt: str = "parquet") -> set[str]:
+    """Partition values present under ``path`` (a directory listing, no job;
+    of a Delta table, whose folders say nothing, the distinct values)."""
     fs, jpath = _jvm_path(spark, path)
     if not fs.exists(jpath):
         return set()
+    if fmt == "delta":
+        rows = spark.read.format(fmt).load(path).select(F.col(partition_col).cast("string").alias("v")).distinct().collect()
+        return {r["v"] if r["v"] is not None else NULL_PARTITION for r in rows}
     prefix = f"{partition_col}="
     return {st.getPath().getName()[len(prefix):] for st in fs.listStatus(jpath)
             if st.isDirectory() and st.getPath().getName().startswith(prefix)}
@@ -81,15 +96,37 @@ def staged_beside(spark: SparkSession, df: DataFrame, path: str, partition_col:
         (writer.partitionBy(partition_col) if partition_col else writer).save(staging)
         yield spark.read.format(fmt).schema(df.schema).load(staging), staging
     finally:
-        fs, jpath = _jvm_path(spark, staging)
-        fs.delete(jpath, True)
+        remove(spark, staging)
+
 
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values: set[str], fmt: str = "parquet") -> None:
+    if fmt == "delta":
+        cond = F.col(partition_col).cast("string").isin(sorted(values))
+        if values:
+            from delta.tables import DeltaTable  # the Delta package ships it
 
-def _drop_partitions(spark: SparkSession, path: str, partition_col: str, start: dt.date, keep: set[str]) -> None:
+            DeltaTable.forPath(spark, path).delete(cond)
+        return
     fs, _ = _jvm_path(spark, path)
-    for value in _partition_values(spark, path, partition_col) - keep:
-        if value >= start.isoformat():
-            fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
+    for value in values:
+        fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
+
+
+def overwrite_values(spark: SparkSession, df: DataFrame, path: str, partition_col: str, values: set[str],
+                     cluster_by: list[str] | None = None, fmt: str = "parquet") -> None:
+    """Replace the partitions ``values`` (date strings, or ``NULL_PARTITION``) with ``df``,
+    whose rows belong to them; those without rows now are deleted after the write.
+
+    ``df`` may read the table: it is staged beside it first."""
+    with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
+        fresh = partition_values(spark, staging, partition_col, fmt)
+        if fresh:
+            overwrite_partitions(slice_, path, partition_col, cluster_by, fmt=fmt)
+        drop_partitions(spark, path, partition_col, (values & partition_values(spark, path, partition_col, fmt)) - fresh, fmt)
+
+
+def _from(spark: SparkSession, path: str, partition_col: str, start: dt.date, fmt: str) -> set[str]:
+    return {v for v in partition_values(spark, path, partition_col, fmt) if v != NULL_PARTITION and v >= start.isoformat()}
 
 
 def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
@@ -105,13 +142,14 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
     """
     if present is not None:
         overwrite_partitions(df, path, partition_col, cluster_by, fmt=fmt)
-        _drop_partitions(spark, path, partition_col, start, {v if isinstance(v, str) else v.isoformat() for v in present})
+        kept = {v if isinstance(v, str) else v.isoformat() for v in present}
+        drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - kept, fmt)
         return
     with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
-        fresh = _partition_values(spark, staging, partition_col)
+        fresh = partition_values(spark, staging, partition_col, fmt)
         if fresh:
             overwrite_partitions(slice_, path, partition_col, cluster_by, fmt=fmt)
-        _drop_partitions(spark, path, partition_col, start, fresh)
+        drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - fresh, fmt)
 
 
 def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, partition_col: str,
@@ -125,7 +163,7 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
     read and overwritten by one job) and swapped in.
     """
     with staged_beside(spark, df, path, partition_col, fmt=fmt) as (fresh, staging):
-        days = sorted(_partition_values(spark, staging, partition_col))
+        days = sorted(partition_values(spark, staging, partition_col, fmt))
         if not days:
             return
         existing = spark.read.format(fmt).load(path)
@@ -151,9 +189,9 @@ def high_water_mark(spark: SparkSession, path: str, column: str, as_of: dt.date
     forward and silently skip late data (N15).  A partition column makes
     this a directory listing, no job over file footers.
     """
-    if not table_exists(spark, path):
+    if not table_exists(spark, path, fmt):
         return None
-    listed = [v for v in _partition_values(spark, path, column) if not v.startswith("__")]
+    listed = [v for v in partition_values(spark, path, column, fmt) if v != NULL_PARTITION]
     if listed:
         value = dt.date.fromisoformat(max(listed)[:10])
     else:
