@@ -1,11 +1,12 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-A text is read once.  ``best[i]`` holds, for each boundary i inside a window,
-where the last piece of the best path to i begins; a new boundary looks back at
-most the longest piece's length.  As soon as the paths of all boundaries that a
-later piece can still start from run through one common boundary, everything
-before it is final: its ids are committed and the window moves there, so memory
-is bounded by the distance to that boundary and not by the text.
+A text is read once, slice by slice.  A ``Window`` holds, for each boundary since
+the last commit, where the last piece of the best path to it begins; a new
+boundary looks back at most the longest piece's length.  As soon as the paths of
+all boundaries that a later piece can still start from run through one common
+boundary, everything before it is final: its pieces are committed and the
+window moves there, so memory is bounded by the distance to that boundary and
+not by the text.
 
 Two kinds of model differ in which arcs of the lattice survive:
 
@@ -15,8 +16,12 @@ Two kinds of model differ in which arcs of the lattice survive:
   Every adjacent pair of a BPE encoding passes that test, and a sequence whose
   pairs all pass is the encoding, so one arc survives at each boundary.
 
-Where no piece holds a character pair (a word's end before a space mark, say),
-all paths meet; texts are cut there first, and a cut's ids are remembered.
+Some convergence points need no search: where no piece of the vocabulary holds
+the two characters at a boundary (a word's end before a space mark, say), every
+path runs through it.  A regular expression finds these in each slice; the
+stretch between two of them is one committed window, whose ids are remembered
+by its text.  A stretch that a slice ends in goes on in the next one, through a
+``Window`` of its own if it is long.
 
 Unknown characters become byte pieces if the model has them, else one unknown
 id per run.  Decoding inverts pieces and bytes and drops the dummy prefix.
@@ -24,8 +29,11 @@ id per run.  Decoding inverts pieces and bytes and drops the dummy prefix.
 
 from __future__ import annotations
 
+import codecs
+import hashlib
+import itertools
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +43,10 @@ from pyspark.sql import functions as F
 
 
 MARK = "▁"
-#: Remembered cuts per worker; the store is emptied when full.
-MEMORY = 1 << 19
+#: Characters of a text that are read at a time.
+SLICE = 1 << 16
+#: Remembered stretches, and pairs of pieces, per worker; a store is emptied when full.
+MEMORY = 1 << 17
 #: Below the lowest score of a piece: that of a character without one, in unigram models.
 UNKNOWN_SCORE = -10.0
 
@@ -71,6 +81,8 @@ class PieceModel:
         ends = re.escape("".join(c for c in ".,!?;:#%*$&|\"" if c not in after_letter))
         forms = [f"[{breaks}]"] * bool(breaks) + [f"{MARK}*[{letters}]++(?=[{ends}])"] * bool(ends) + [f"{MARK}*[^{MARK}{breaks}]+", f"{MARK}+"]
         self._cut = re.compile("|".join(forms))
+        # a boundary (between the two characters of a match) that no piece spans
+        self._meets = re.compile(f"(?<=[^{MARK}]){MARK}" + (f"|[{breaks}]" if breaks else ""))
 
     def __getstate__(self) -> dict:  # what is remembered stays with its worker
         return self.__dict__ | {"memory": {}, "pairs": {}, "spines": {}}
@@ -119,47 +131,31 @@ class PieceModel:
                     score = self.scores.get(x + y)
                     if score is not None and x_up < score and y_up <= score:
                         known = False
-            if len(self.pairs) >= 4 * MEMORY:
+            if len(self.pairs) >= MEMORY:
                 self.pairs.clear()
             self.pairs[key] = known
         return known
 
     def stream(self, text: str) -> Iterator[str]:
         """The pieces of ``text``, each as soon as it is final."""
-        back: list[int] = [0]  # back[i - base]: start of the last piece of the path to i
-        total: list[float] = [0.0]
-        base, before, longest, n = 0, "", self.longest, len(text)  # base: the committed boundary
-        for i in range(1, n + 1):
-            arcs, j, first = [], i - 1, max(base, i - longest)
-            while j >= first and text[j:i] in self.tails:
-                if text[j:i] in self.ids:
-                    arcs.append(j)
-                j -= 1
-            start, best = (self._bpe_arc if self.bpe else self._unigram_arc)(text, arcs, i, base, back, total, before)
-            back.append(start)
-            total.append(best)
-            if i - base >= 4 * longest and i < n:
-                meet = self._meeting_point(back, base, i)
-                if meet > base:
-                    final = self._path(text, back, base, meet)
-                    yield from final
-                    before = final[-1]
-                    back, total, base = back[meet - base :], total[meet - base :], meet
-        yield from self._path(text, back, base, n)
-
-    def _unigram_arc(self, text: str, arcs: list[int], i: int, base: int, back: list[int], total: list[float], before: str) -> tuple[int, float]:
+        window = Window(self)
+        for at in range(0, len(text), self.longest):
+            yield from window.feed(text[at : at + self.longest])
+        yield from window.flush()
+
+    def _unigram_arc(self, text: str, arcs: list[int], i: int, back: list[int], total: list[float], before: str) -> tuple[int, float]:
         if not arcs or arcs[0] < i - 1:
             arcs = [i - 1, *arcs]  # an unknown character
-        scored = [(total[j - base] + self.scores.get(text[j:i], UNKNOWN_SCORE + self.lowest), j) for j in arcs]
+        scored = [(total[j] + self.scores.get(text[j:i], UNKNOWN_SCORE + self.lowest), j) for j in arcs]
         best = max(s for s, _ in scored)
         return next(j for s, j in reversed(scored) if s == best), best  # the longest piece on ties
 
-    def _bpe_arc(self, text: str, arcs: list[int], i: int, base: int, back: list[int], total: list[float], before: str) -> tuple[int, float]:
+    def _bpe_arc(self, text: str, arcs: list[int], i: int, back: list[int], total: list[float], before: str) -> tuple[int, float]:
         for j in reversed(arcs):
             right = text[j:i]
             if self.spine(right) is None:
                 continue
-            left = text[back[j - base] : j] if j > base else before
+            left = text[back[j] : j] if j else before
             if not left or left not in self.ids or self.follows(left, right):
                 return j, 0.0
         return i - 1, 0.0  # an unknown character
@@ -168,58 +164,136 @@ class PieceModel:
     def lowest(self) -> float:
         return min(self.scores.values(), default=0.0)
 
-    def _meeting_point(self, back: list[int], base: int, i: int) -> int:
-        """The last boundary that the paths to all of the newest ``longest`` boundaries share."""
-        alive = set(range(max(base, i - self.longest + 1), i + 1))
-        while len(alive) > 1:
-            last = max(alive)
-            alive.remove(last)
-            alive.add(max(back[last - base], base))
-        return alive.pop()
-
-    def _path(self, text: str, back: list[int], base: int, stop: int) -> list[str]:
-        out = []
-        while stop > base:
-            out.append(text[back[stop - base] : stop])
-            stop = back[stop - base]
-        return out[::-1]
-
     # -- ids -----------------------------------------------------------------
 
     def encode_cut(self, text: str) -> bytes:
-        """Ids of a cut, as 32-bit integers."""
+        """Ids of a stretch between two convergence points, as 32-bit integers."""
         got = self.memory.get(text)
         if got is not None:
             return got
+        window = Window(self)
+        ids = self._ids([*window.feed(text), *window.flush()], window).tobytes()
+        if len(text) <= 64:
+            if len(self.memory) >= MEMORY:
+                self.memory.clear()
+            self.memory[text] = ids
+        return ids
+
+    def _ids(self, pieces: list[str], window: Window) -> np.ndarray:
         out: list[int] = []
-        unknown_run = False
-        for piece in self.stream(text):
+        for piece in pieces:
             own = self.ids.get(piece)
             if own is not None:
                 out.append(own)
             elif self.bytes_at:
                 out += [self.bytes_at[b] for b in piece.encode("utf-8", "surrogatepass")]
-            elif not unknown_run:
+            elif not window.unknown_run:
                 out.append(self.unknown)
-            unknown_run = own is None
-        ids = np.array(out, dtype=np.int32).tobytes()
-        if len(text) <= 64:
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            self.memory[text] = ids
-        return ids
+            window.unknown_run = own is None
+        return np.array(out, dtype=np.int32)
+
+    def encode_stream(self, text: str) -> Iterator[np.ndarray]:
+        """The ids of ``text``, committed part by part."""
+        known = self.mark_starts_cut and bool(self.bytes_at)
+        held = MARK if self.dummy_prefix and text else ""
+        window = None if known else Window(self)
+        get, slow = self.memory.get, self.encode_cut
+        for at in range(0, len(text), SLICE):
+            part, held = held + text[at : at + SLICE].replace(" ", MARK), ""
+            if window is not None:  # inside a long stretch
+                meet = self._meets.search(window.last + part, 1) if known else None
+                stop = len(part) if meet is None else meet.start() - 1
+                yield self._ids(window.feed(part[:stop]), window)
+                if meet is None:
+                    continue
+                yield self._ids(window.flush(), window)
+                part, window = part[stop:], None
+            cuts = self._cut.findall(part)
+            if at + SLICE < len(text):
+                held = cuts.pop()
+            yield np.frombuffer(b"".join([get(c) or slow(c) for c in cuts]), dtype=np.int32)
+            if len(held) > 4 * self.longest:
+                window = Window(self)
+                yield self._ids(window.feed(held), window)
+                held = ""
+        if window is not None:
+            yield self._ids(window.flush(), window)
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        marked = (MARK if self.dummy_prefix else "") + text.replace(" ", MARK)
-        cuts = self._cut.findall(marked) if self.mark_starts_cut and self.bytes_at else [marked]
-        get, slow = self.memory.get, self.encode_cut
-        return np.frombuffer(b"".join([get(c) or slow(c) for c in cuts]), dtype=np.int32)
+        return np.concatenate([np.zeros(0, dtype=np.int32), *self.encode_stream(text)])
+
+    def decode_stream(self, parts: Iterable[Sequence[int]]) -> Iterator[str]:
+        """The text of ids that come part by part."""
+        reader, first = codecs.getincrementaldecoder("utf-8")("replace"), self.dummy_prefix
+        for ids in itertools.chain(parts, [None]):
+            raw = b"" if ids is None else b"".join(map(self.plain.__getitem__, ids))
+            text = reader.decode(raw, final=ids is None).replace(MARK, " ")
+            if first and text:
+                text, first = text.removeprefix(" "), False
+            yield text
 
     def decode(self, ids: Sequence[int]) -> str:
-        text = b"".join(map(self.plain.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if self.dummy_prefix and text[:1] == " " else text
+        return "".join(self.decode_stream([ids]))
+
+
+class Window:
+    """The lattice between the last commit and the newest character."""
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model, self.text, self.before = model, "", ""
+        self.back: list[int] = [0]  # start of the last piece of the path to each boundary
+        self.total: list[float] = [0.0]
+        self.due, self.commits, self.unknown_run, self.last = 4 * model.longest, 0, False, ""
+
+    def feed(self, more: str) -> list[str]:
+        """Read ``more``; the pieces that are final now."""
+        model, out, i = self.model, [], len(self.back)
+        arc, longest, tails, ids = model._bpe_arc if model.bpe else model._unigram_arc, model.longest, model.tails, model.ids
+        self.text += more
+        self.last = self.text[-1:] or self.last
+        while i <= len(self.text):
+            text, arcs, j, first = self.text, [], i - 1, max(0, i - longest)
+            while j >= first and text[j:i] in tails:
+                if text[j:i] in ids:
+                    arcs.append(j)
+                j -= 1
+            start, best = arc(text, arcs, i, self.back, self.total, self.before)
+            self.back.append(start)
+            self.total.append(best)
+            if i >= self.due:
+                meet = self.meeting_point()
+                if meet:
+                    out += self._commit(meet)
+                    i -= meet
+                self.due = i + longest
+            i += 1
+        return out
+
+    def flush(self) -> list[str]:
+        """The rest, its end being the text's or a sure convergence point."""
+        return self._commit(len(self.text)) if self.text else []
+
+    def meeting_point(self) -> int:
+        """The last boundary that the paths to all of the newest boundaries share."""
+        newest = len(self.back) - 1
+        alive = set(range(max(0, newest - self.model.longest + 1), newest + 1))
+        while len(alive) > 1:
+            last = max(alive)
+            alive.remove(last)
+            alive.add(self.back[last])
+        return alive.pop()
+
+    def _commit(self, meet: int) -> list[str]:
+        pieces, stop = [], meet
+        while stop:
+            pieces.append(self.text[self.back[stop] : stop])
+            stop = self.back[stop]
+        pieces.reverse()
+        self.before, self.text, self.commits = pieces[-1], self.text[meet:], self.commits + 1
+        # no live path runs through a boundary whose piece begins before the meeting point
+        self.back = [max(b - meet, 0) for b in self.back[meet:]]
+        self.total = self.total[meet:]
+        return pieces
 
 
 def load_model(path: str, unigram: bool = False) -> PieceModel:
@@ -291,10 +365,42 @@ def round_trip(docs: DataFrame, model: PieceModel, text_col: str = "text") -> Da
     """``docs`` encoded and decoded: ``ids, n_ids, decoded_sha256`` (of the decoded
     text's UTF-8) and ``round_trip``, whether that text is the input.
 
-    A text with the mark's own character gives a space in its place, so it isn't.
-    A null text has null ids and hash and is its own round trip.  Columns of
-    these names are replaced.
+    A text's ids are decoded as they are committed, so no decoded text is held.  A
+    text with the mark's own character gives a space in its place, so it isn't its own
+    round trip.  A null text has null ids and hash and is one.  Columns of these
+    names are replaced.
     """
-    back = decode_documents(encode_documents(docs, model, text_col, "ids"), model, "ids", "_decoded")
-    back = back.withColumns({"n_ids": F.size("ids").cast("long"), "decoded_sha256": F.sha2(F.col("_decoded").cast("binary"), 256), "round_trip": F.col("_decoded").eqNullSafe(F.col(text_col).cast("string"))})
-    return back.drop("_decoded")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = "struct<ids: array<int>, decoded_sha256: string, round_trip: boolean>"
+
+    @F.arrow_udf(kinds)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value
+        for column in batches:
+            ends, flat = np.zeros(len(column) + 1, dtype=np.int32), []
+            hashes: list[str | None] = []
+            same: list[bool] = []
+            for i, cell in enumerate(column):
+                text = cell.as_py()
+                size, at, equal, digest = 0, 0, True, hashlib.sha256()
+
+                def parts(text: str) -> Iterator[np.ndarray]:
+                    nonlocal size
+                    for ids in own.encode_stream(text):
+                        flat.append(ids)
+                        size += len(ids)
+                        yield ids
+
+                for back in own.decode_stream(parts(text or "")):
+                    equal = equal and (text or "").startswith(back, at)
+                    at += len(back)
+                    digest.update(back.encode("utf-8", "surrogatepass"))
+                ends[i + 1] = ends[i] + size
+                hashes.append(None if text is None else digest.hexdigest())
+                same.append(equal and at == len(text or ""))
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *flat])), mask=column.is_null())
+            yield pa.StructArray.from_arrays([ids, pa.array(hashes, pa.string()), pa.array(same, pa.bool_())], ["ids", "decoded_sha256", "round_trip"])
+
+    kept = [c for c in docs.columns if c.lower() not in ("ids", "n_ids", "decoded_sha256", "round_trip", "_trip")]
+    tripped = docs.withColumn("_trip", run(F.col(text_col).cast("string")))
+    return tripped.select(*kept, "_trip.ids", F.size("_trip.ids").cast("long").alias("n_ids"), "_trip.decoded_sha256", "_trip.round_trip")

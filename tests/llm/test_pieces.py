@@ -7,7 +7,7 @@ import sentencepiece
 from helpers_llm import docs, rows, with_clashes
 from sentencepiece import sentencepiece_model_pb2
 
-from eventlens.llm.pieces import decode_documents, encode_documents, load_model
+from eventlens.llm.pieces import Window, decode_documents, encode_documents, load_model
 from eventlens.llm.queries import PIECE_MODEL, QUERIES
 
 TEXTS = ["Hello  world\n\tthis is 😀 a test  ", " ", "   ", "a", "▁x ▁", "日本語テキスト", "<unk> <s> </s>", "a" * 1000, "ab" * 777, " " * 100, "x" + " " * 50 + "y", "the,end.of\"it", "a\x00b", "²., x²."]
@@ -43,6 +43,29 @@ def test_stream_without_cuts_is_the_same_and_commits_early(model):
     assert next(iter(model.stream("▁the" * 100_000))) == "▁the"
 
 
+def test_slices_of_any_length_give_the_same_ids(model, library, monkeypatch):
+    texts = TEXTS + random_texts(60, 5) + ["x" * 300 + " the end, " + " " * 90 + "y" * 200, "a\n" * 100 + "b" * 400 + "\n c"]
+    for size in (1, 2, 7, 50, 129):
+        monkeypatch.setattr("eventlens.llm.pieces.SLICE", size)
+        for t in texts:
+            assert model.encode(t).tolist() == library.encode(t), (size, t)
+            assert "".join(model.decode_stream(model.encode_stream(t))) == t.replace("▁", " ")
+
+
+def test_windows_commit_and_stay_small(model):
+    """Over a document's whole text the paths meet at every word, and the lattice stays short."""
+    t = next(d[1] for d in rows(33, 80) if d[1] and len(d[1]) > 3000)
+    window, widest = Window(model), 0
+    pieces = []
+    for c in "▁" + t.replace(" ", "▁"):
+        pieces += window.feed(c)
+        widest = max(widest, len(window.back))
+    assert window.commits > len(t) / (8 * model.longest) and widest <= 6 * model.longest
+    assert [model.ids[p] for p in pieces + window.flush() if p in model.ids] == [i for i in model.encode(t).tolist() if i not in model.byte_of]
+    parts = list(model.encode_stream("word and word, " * 50_000))
+    assert len(parts) > 10 and max(map(len, parts)) < 40_000
+
+
 def test_unigram_paths_equal_the_library(tmp_path):
     proto = sentencepiece_model_pb2.ModelProto()
     with open(PIECE_MODEL, "rb") as f:
