@@ -440,6 +440,13 @@ def _work(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _kept(df, name):
+    """``df`` stored and read back."""
+    path = _work(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _built(spark, raw, cfg, *models):
     """A target with the event table and ``models`` of a raw frame."""
     target = Target(_work(spark, "built"), models=models)
@@ -450,10 +457,10 @@ def _built(spark, raw, cfg, *models):
 def q_mau_sketches(spark, sf):
     """Monthly active users estimated from day sketches, beside the exact number:
     whether the estimate lies within four standard errors."""
-    target = _built(spark, td.raw_from_orders(spark, sf), ORDERS_CFG, "user_sketches")
+    ev = _orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS)
     month = F.trunc("date_day", "month").alias("date_month")
-    approx = distinct.sketched_users(target.read(spark, "user_sketches"), "source_relation", month)
-    exact = monthly_ops.month_totals(target.read(spark, "event"))
+    approx = distinct.sketched_users(_kept(distinct.day_sketches(ev), "sketches"), "source_relation", month)
+    exact = monthly_ops.month_totals(ev)
     off = F.abs(F.col("approx_users") - F.col("total_monthly_active_users"))
     near = off <= F.greatest(F.lit(1.0), 4 * distinct.sketch_error() * F.col("total_monthly_active_users"))
     return exact.join(approx, ["source_relation", "date_month"]).select(
@@ -462,10 +469,10 @@ def q_mau_sketches(spark, sf):
 
 def q_mau_bitmaps(spark, sf):
     """Exact monthly active users by merging day bitmaps."""
-    target = _built(spark, td.raw_from_orders(spark, sf), ORDERS_CFG, "user_bitmaps")
+    ev = _orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS)
+    bitmaps = _kept(distinct.day_bitmaps(ev, _kept(distinct.number_persons(ev), "numbers")), "bitmaps")
     month = F.trunc("date_day", "month").alias("date_month")
-    return distinct.bitmap_users(target.read(spark, "user_bitmaps"), "source_relation", month).withColumnRenamed(
-        "number_of_users", "total_monthly_active_users")
+    return distinct.bitmap_users(bitmaps, "source_relation", month).withColumnRenamed("number_of_users", "total_monthly_active_users")
 
 
 def q_funnel_bitmaps(spark, sf):
