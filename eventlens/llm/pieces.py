@@ -45,8 +45,31 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Characters of a text that are read at a time.
 SLICE = 1 << 16
-#: Remembered stretches, and pairs of pieces, per worker; a store is emptied when full.
-MEMORY = 1 << 17
+#: Entries of each of the two generations of a worker's stores: ids of stretches, pairs of pieces.
+MEMORY, PAIRS = 1 << 18, 1 << 16
+
+
+class Memory(dict):
+    """Remembers what was used of late: when this generation is full it becomes the
+    old one, and what is asked for again moves over from there."""
+
+    def __init__(self, size: int) -> None:
+        super().__init__()
+        self.old: dict = {}
+        self.size = size
+
+    def recall(self, key: object) -> object:
+        """The value that the old generation has, or None."""
+        got = self.old.get(key)
+        if got is not None:
+            self.keep(key, got)
+        return got
+
+    def keep(self, key: object, value: object) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
 #: Below the lowest score of a piece: that of a character without one, in unigram models.
 UNKNOWN_SCORE = -10.0
 
@@ -67,11 +90,12 @@ class PieceModel:
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.ids), default=1)
-        self.tails = {p[i:] for p in self.ids for i in range(len(p))}
         self.plain = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else t.encode() for i, t in enumerate(self.texts)]
-        self.memory: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.memory, self.pairs = Memory(MEMORY), Memory(PAIRS)
         self.spines: dict[str, tuple[list, list] | None] = {}
+        # every end of a piece, and whether it is a piece that a path may take
+        self.tails = {p[i:]: False for p in self.ids for i in range(len(p))}
+        self.tails |= {p: True for p in self.ids if not self.bpe or self.spine(p) is not None}
         inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.mark_starts_cut = not any(x[1] == MARK and x[0] != MARK for x in inside)
         alphabet = {c for p in self.ids for c in p}
@@ -85,7 +109,7 @@ class PieceModel:
         self._meets = re.compile(f"(?<=[^{MARK}]){MARK}" + (f"|[{breaks}]" if breaks else ""))
 
     def __getstate__(self) -> dict:  # what is remembered stays with its worker
-        return self.__dict__ | {"memory": {}, "pairs": {}, "spines": {}}
+        return self.__dict__ | {"memory": Memory(MEMORY), "pairs": Memory(PAIRS), "spines": {}}
 
     # -- the lattice ---------------------------------------------------------
 
@@ -122,18 +146,17 @@ class PieceModel:
         the left side must not be taken up earlier or, being further left, at
         the same score; the right side not earlier.
         """
-        key = (left, right)
-        known = self.pairs.get(key)
+        known = self.pairs.recall((left, right))
         if known is None:
-            known = True
-            for x, x_up in self.spine(left)[1]:
-                for y, y_up in self.spine(right)[0]:
-                    score = self.scores.get(x + y)
-                    if score is not None and x_up < score and y_up <= score:
-                        known = False
-            if len(self.pairs) >= MEMORY:
-                self.pairs.clear()
-            self.pairs[key] = known
+            known = left not in self.ids  # an unknown character is held by no merge
+            if not known:
+                known, scores, right_edge = True, self.scores, self.spine(right)[0]
+                for x, x_up in self.spine(left)[1]:
+                    for y, y_up in right_edge:
+                        score = scores.get(x + y)
+                        if score is not None and x_up < score and y_up <= score:
+                            known = False
+            self.pairs.keep((left, right), known)
         return known
 
     def stream(self, text: str) -> Iterator[str]:
@@ -151,15 +174,50 @@ class PieceModel:
         return next(j for s, j in reversed(scored) if s == best), best  # the longest piece on ties
 
     def _bpe_arc(self, text: str, arcs: list[int], i: int, back: list[int], total: list[float], before: str) -> tuple[int, float]:
+        pairs = self.pairs
         for j in reversed(arcs):
-            right = text[j:i]
-            if self.spine(right) is None:
-                continue
             left = text[back[j] : j] if j else before
-            if not left or left not in self.ids or self.follows(left, right):
-                return j, 0.0
+            if left:
+                right = text[j:i]
+                ok = pairs.get((left, right))
+                if not (self.follows(left, right) if ok is None else ok):
+                    continue
+            return j, 0.0
         return i - 1, 0.0  # an unknown character
 
+    def short_path(self, text: str) -> list[str]:
+        """The surviving BPE path over a stretch that is one window, no longer than a piece:
+        the window's search without its bookkeeping."""
+        n, tail, pairs, follows = len(text), self.tails.get, self.pairs.get, self.follows
+        back, last = [0] * (n + 1), [""] * (n + 1)  # each boundary's surviving arc: its start and piece
+        for i in range(1, n + 1):
+            j = i - 1
+            piece = text[j:i]
+            back[i], last[i] = j, piece  # an unknown character, if nothing else survives
+            arcs, takes = [], tail(piece)
+            while takes is not None:
+                if takes:
+                    arcs.append((j, piece))
+                j -= 1
+                if j < 0:
+                    break
+                piece = text[j:i]
+                takes = tail(piece)
+            while arcs:
+                j, piece = arcs.pop()
+                if j:
+                    left = last[j]
+                    ok = pairs((left, piece))
+                    if not (follows(left, piece) if ok is None else ok):
+                        continue
+                back[i], last[i] = j, piece
+                break
+        out = []
+        while n:
+            out.append(last[n])
+            n = back[n]
+        return out[::-1]
+
     @property
     def lowest(self) -> float:
         return min(self.scores.values(), default=0.0)
@@ -168,15 +226,14 @@ class PieceModel:
 
     def encode_cut(self, text: str) -> bytes:
         """Ids of a stretch between two convergence points, as 32-bit integers."""
-        got = self.memory.get(text)
+        got = self.memory.recall(text) if text not in self.memory else self.memory[text]
         if got is not None:
             return got
         window = Window(self)
-        ids = self._ids([*window.feed(text), *window.flush()], window).tobytes()
+        pieces = self.short_path(text) if self.bpe and len(text) <= self.longest else [*window.feed(text), *window.flush()]
+        ids = self._ids(pieces, window).tobytes()
         if len(text) <= 64:
-            if len(self.memory) >= MEMORY:
-                self.memory.clear()
-            self.memory[text] = ids
+            self.memory.keep(text, ids)
         return ids
 
     def _ids(self, pieces: list[str], window: Window) -> np.ndarray:
@@ -248,22 +305,27 @@ class Window:
     def feed(self, more: str) -> list[str]:
         """Read ``more``; the pieces that are final now."""
         model, out, i = self.model, [], len(self.back)
-        arc, longest, tails, ids = model._bpe_arc if model.bpe else model._unigram_arc, model.longest, model.tails, model.ids
+        arc, longest, tail = model._bpe_arc if model.bpe else model._unigram_arc, model.longest, model.tails.get
         self.text += more
         self.last = self.text[-1:] or self.last
-        while i <= len(self.text):
-            text, arcs, j, first = self.text, [], i - 1, max(0, i - longest)
-            while j >= first and text[j:i] in tails:
-                if text[j:i] in ids:
+        text, back, total = self.text, self.back, self.total
+        while i <= len(text):
+            arcs, j, first = [], i - 1, i - longest if i > longest else 0
+            while j >= first:
+                takes = tail(text[j:i])
+                if takes:
                     arcs.append(j)
+                elif takes is None:
+                    break
                 j -= 1
-            start, best = arc(text, arcs, i, self.back, self.total, self.before)
-            self.back.append(start)
-            self.total.append(best)
+            start, best = arc(text, arcs, i, back, total, self.before)
+            back.append(start)
+            total.append(best)
             if i >= self.due:
                 meet = self.meeting_point()
                 if meet:
                     out += self._commit(meet)
+                    text, back, total = self.text, self.back, self.total
                     i -= meet
                 self.due = i + longest
             i += 1
