@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import chunks, mix64, shingle_hashes, stored, texts_of
 from .components import connected_components
 
-#: Members of a bucket that one task holds against another such block.
-BLOCK = 512
+#: Members of a bucket, and about how many elements of their sets, that a task
+#: holds against another such block.
+BLOCK, BLOCK_ELEMENTS = 512, 1 << 20
 SIGMAS = 6.0
 
 
@@ -257,8 +258,10 @@ def near_duplicates(
         placed = stored(placed.join(split.select("key", "members"), "key"), "near-open")
 
     # what is left: members of different components, block by block
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_rows = open_members(placed, facts, sets)
+    held = placed.join(facts.select("node", "n_shingles"), "node").groupBy("key").agg(F.sum("n_shingles").alias("elements"))
+    open_rows = open_rows.join(held, "key")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("elements") / BLOCK_ELEMENTS)).cast("int")
     open_rows = open_rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int"))
     facts_of = ["node", "component", "n_shingles", "planes", "items"]
     low = open_rows.select("key", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), "own")).alias("j"), F.lit(0).alias("side"), *facts_of)

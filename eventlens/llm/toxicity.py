@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, stored, texts_of
+from .common import chunks, stored
 
 WINDOW = 31
 _WORD = re.compile(r"\w+")
@@ -113,7 +113,7 @@ class Tagger:
 
     def emission(self, word: str) -> float | None:
         if word not in self.known:
-            if len(self.known) > 200_000:
+            if len(self.known) >= 1 << 16:
                 self.known.clear()
             self.known[word] = self.crf.emission(word.lower())
         return self.known[word]
@@ -270,21 +270,23 @@ def toxicity(docs: DataFrame, crf: Crf, text_col: str = "text", out_col: str = "
     """
 
     @F.pandas_udf("score double, spans array<struct<start:int,stop:int,p:double>>")
-    def run(column: pd.Series) -> pd.DataFrame:
-        tagger = Tagger(crf)
-        scores, spans = [], []
-        for text in texts_of(column):
-            score, found = tagger.tag(text)
-            merged: list[tuple[int, int, float]] = []
-            for a, b, p in found:
-                if p < span_at:
-                    continue
-                if merged and not _WORD.search(text, merged[-1][1], a):
-                    merged[-1] = (merged[-1][0], b, max(merged[-1][2], p))
-                else:
-                    merged.append((a, b, p))
-            scores.append(score)
-            spans.append(merged)
-        return pd.DataFrame({"score": scores, "spans": spans})
+    def run(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tagger = Tagger(crf)  # one store of words for all of a task's batches
+        for column in columns:
+            scores, spans = [], []
+            for text in column:
+                text = text if isinstance(text, str) else ""
+                score, found = tagger.tag(text)
+                merged: list[tuple[int, int, float]] = []
+                for a, b, p in found:
+                    if p < span_at:
+                        continue
+                    if merged and not _WORD.search(text, merged[-1][1], a):
+                        merged[-1] = (merged[-1][0], b, max(merged[-1][2], p))
+                    else:
+                        merged.append((a, b, p))
+                scores.append(score)
+                spans.append(merged)
+            yield pd.DataFrame({"score": scores, "spans": spans})
 
     return docs.withColumn(out_col, run(F.col(text_col).cast("string")))

@@ -38,8 +38,25 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
         assert a[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
 
 
+def test_stages_take_empty_tables_and_clashing_names(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    data, labels = labelled(10, 40)
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    names = ["_toxicity", "_row", "_keep", "_group", "_alone", "_epochs", "_copy", "_trip", "level0", "component", "base", "score"]
+    wide = docs(spark, [*data, (900, None, None, None, None), (901, "", "en", "s", 0)]).select("*", *[F.lit("x").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, wide.limit(0), str(tmp_path)).collect() == [], name
+        out = stage(spark, wide, str(tmp_path))
+        if name != "pieces":
+            assert out.columns == wide.columns, name
+            assert {tuple(r[n] for n in names) for r in out.collect()} == {("x",) * len(names)}, name
+        else:
+            assert out.count() == wide.count()
+
+
 def test_every_operator_has_its_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_oracle_statements(spark, duck):
