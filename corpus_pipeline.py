@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on everything that the stage
 before it kept; ``run`` writes each stage's rows as Parquet and reads them back
 as the next one's documents.  All stages but the last return the columns of
 ``documents``.
+
+Every stage takes further columns, whatever their names, and gives them back (the
+last one drops them); of an empty table it makes an empty one.  What nulls,
+empty texts and repeated rows give is said per stage; very long texts are handled
+whole.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import pii, toxicity
-from eventlens.llm.common import read_table, stored
+from eventlens.llm.common import free_name, read_table, stored
 from eventlens.llm.near_dup import near_duplicates
 from eventlens.llm.pieces import load_model, round_trip
 from eventlens.llm.queries import PIECE_MODEL, TOXIC_AT, learnable, mix_documents
@@ -25,8 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     evidence, null and empty ones too, stay.
     """
     crf = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(learnable(F.col("doc_id"))))
-    scored = toxicity.toxicity(docs, crf, out_col="_toxicity")
-    return scored.where(F.col("_toxicity.score") < TOXIC_AT).select(*docs.columns)
+    found = free_name(docs, "_toxicity")
+    scored = toxicity.toxicity(docs, crf, out_col=found)
+    return scored.where(F.col(f"{found}.score") < TOXIC_AT).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +46,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     group = F.coalesce(F.col("component"), F.col("row_key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
     keep = groups.groupBy(group.alias("_group"), F.col("component").isNull().alias("_alone")).agg(F.min_by("row_key", order).alias("_keep")).select("_keep").distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    return keyed.join(keep, keyed["_row"] == keep["_keep"], "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    row = free_name(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    return keyed.join(keep.withColumnRenamed("_keep", row), row, "left_semi").dropDuplicates([row]).select(*docs.columns)
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +59,9 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed documents; one taken for several epochs is that many rows."""
-    mixed = mix_documents(docs, out_col="_epochs")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int")))).select(*docs.columns)
+    epochs = free_name(docs, "_epochs")
+    mixed = mix_documents(docs, out_col=epochs)
+    return mixed.withColumn(free_name(mixed, "_copy"), F.explode(F.sequence(F.lit(1), F.col(epochs).cast("int")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

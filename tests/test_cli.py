@@ -19,7 +19,8 @@ def test_cli_full_then_incremental(spark, tmp_path):
     target = str(tmp_path / "out")
     args = ["--source", landing, "--target", target, "--as-of", "2024-01-30", "--config", str(cfg)]
     main(args + ["--mode", "full"], spark=spark)
-    main(args + ["--mode", "incremental", "--check"], spark=spark)
+    main(args + ["--mode", "incremental", "--check", "--database", "cli_db"], spark=spark)
+    assert spark.table("cli_db.event").count() == raw.count()
     expected = str(tmp_path / "expected")
     run_full(spark, raw, EVENTS_CFG, expected)
     for table in TABLES:
