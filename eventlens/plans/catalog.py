@@ -299,16 +299,16 @@ def q_funnel_criteria(spark, sf):
 # ---- data quality ----------------------------------------------------------
 
 def _key_models(spark, sf):
-    # each check reads one key column, so every model gets only the columns it needs
+    # one stored event table, of the columns the models read, feeds them all
     stg = _events_stg(spark, sf)
     first = user_first_events(stg)
+    ev = _kept(dedupe_events(stg, EVENTS_CFG, columns=[*session_columns(EVENTS_CFG), *daily_ops.EVENT_COLUMNS]), "event")
     return [
-        ("event", dedupe_events(stg, EVENTS_CFG, columns=[]), "unique_event_id"),
-        ("daily_events", daily_ops.daily_events_from_staged(stg, EVENTS_CFG), "unique_key"),
+        ("event", ev, "unique_event_id"),
+        ("daily_events", daily_ops.daily_events(ev, first, EVENTS_CFG), "unique_key"),
         ("monthly_events", monthly_ops.monthly_events(
             _orders_ev(spark, sf, columns=monthly_ops.EVENT_COLUMNS), ORDERS_CFG), "unique_key"),
-        ("sessions", sessions(dedupe_events(stg, EVENTS_CFG, columns=session_columns(EVENTS_CFG)), EVENTS_CFG),
-         "session_id"),
+        ("sessions", sessions(ev, EVENTS_CFG), "session_id"),
         ("user_event_date_spine", user_event_spine(first, EVENTS_CFG), "unique_key"),
     ]
 
@@ -331,12 +331,13 @@ def _prod_dev(spark, sf):
     out = {}
     for label, cfg in (("prod", EVENTS_CFG), ("dev", EVENTS_CFG.with_(event_filter=DEV_FILTER))):
         stg = stage_events(raw, cfg)
+        columns = {*session_columns(cfg), *daily_ops.EVENT_COLUMNS, *monthly_ops.EVENT_COLUMNS}
+        ev = _kept(dedupe_events(stg, cfg, columns=sorted(columns)), f"event-{label}")
         out[label] = {
-            "event": dedupe_events(stg, cfg),
-            "daily_events": daily_ops.daily_events_from_staged(stg, cfg),
-            "monthly_events": monthly_ops.monthly_events(
-                dedupe_events(stg, cfg, columns=monthly_ops.EVENT_COLUMNS), cfg),
-            "sessions": sessions(dedupe_events(stg, cfg, columns=session_columns(cfg)), cfg),
+            "event": ev,
+            "daily_events": daily_ops.daily_events(ev, user_first_events(stg), cfg),
+            "monthly_events": monthly_ops.monthly_events(ev, cfg),
+            "sessions": sessions(ev, cfg),
         }
     return out
 

@@ -374,9 +374,9 @@ def _from_files(spark: SparkSession, raw: RawFiles, cfg: Config, target: Target,
         days = {d for d in days if d is not None}
         end_moved = "daily_events" in target.models and max(partition_values(spark, target.path("daily_events"), "date_day", target.fmt), default="") != cfg.spine_end.isoformat()
         if days or rows is not None or end_moved:
-            fresh, first = _merged(spark, raw, rows, listing, ledger, days - gone, gone, cfg, target)
+            fresh, first, whole = _merged(spark, raw, rows, listing, ledger, days - gone, gone, cfg, target)
             start = min(days, default=None)
-            if gone and first is not None:  # minima may have lost rows: stored anew
+            if whole:  # minima may have lost rows, or none are stored
                 target.write_full(first, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
                 first = None
             _rewrite(spark, fresh, first, days, start, cfg, target, strategy)
@@ -385,12 +385,12 @@ def _from_files(spark: SparkSession, raw: RawFiles, cfg: Config, target: Target,
 
 
 def _merged(spark: SparkSession, raw: RawFiles, rows: DataFrame | None, listing: DataFrame, ledger: DataFrame, merge: set[dt.date], rebuild: set[dt.date],
-            cfg: Config, target: Target) -> tuple[DataFrame, DataFrame | None]:
-    """De-duplicated events of the touched days, and first events of the rows read.
+            cfg: Config, target: Target) -> tuple[DataFrame, DataFrame | None, bool]:
+    """De-duplicated events of the touched days, first events, and whether these are of all files.
 
     Days of ``merge``: the stored winners compete with the new rows.  Days of
-    ``rebuild``: all files that hold one of them are read, and first events come
-    from all files."""
+    ``rebuild``: all files that hold one of them are read.  First events are those of
+    the new rows; where files are gone or none are stored, of all files."""
     ev = target.read(spark, "event")
     stg = stage_events(rows, cfg) if rows is not None else None
     columns = (stg if stg is not None else stage_events(raw.read(spark, cfg), cfg)).columns
@@ -405,9 +405,11 @@ def _merged(spark: SparkSession, raw: RawFiles, rows: DataFrame | None, listing:
         again = raw.read(spark, cfg, paths_by_connection(holders))
         if again is not None:
             parts.append(stage_events(again, cfg).select(*columns).where(F.col("date_day").isin(sorted(rebuild))))
+    whole = bool(rebuild) or not target.has(spark, FIRST_EVENTS)
+    if whole:
         everything = raw.read(spark, cfg, paths_by_connection(listing))
-        first = user_first_events(stage_events(everything, cfg)) if everything is not None else target.read(spark, FIRST_EVENTS).limit(0)
-    return dedupe_events(union_all(parts), cfg), first
+        first = user_first_events(stage_events(everything, cfg) if everything is not None else ev.limit(0))
+    return dedupe_events(union_all(parts), cfg), first, whole
 
 
 def _rewrite(spark: SparkSession, fresh: DataFrame, first: DataFrame | None, days: set[dt.date], start: dt.date | None,

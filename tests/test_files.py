@@ -129,6 +129,18 @@ def test_files_that_vanish_or_change(spark, tmp_path):
     equals_full(spark, files, EVENTS_CFG, tmp_path, inc)
 
 
+def test_missing_state_is_rebuilt(spark, tmp_path):
+    raw, inc = td.raw_from_events(spark, SF_SMALL), str(tmp_path / "inc")
+    files = files_of(tmp_path)
+    load(raw.where(~unseen()), tmp_path, "first")
+    run_full(spark, files, EVENTS_CFG, inc)
+    for marker in [*(tmp_path / "inc").glob("user_first_event/_SUCCESS"), *(tmp_path / "inc").glob("*_state/*/_SUCCESS"), tmp_path / "inc" / "person_months" / "_SUCCESS"]:
+        marker.unlink()
+    load(raw.where(unseen()), tmp_path, "second")
+    run_incremental(spark, files, EVENTS_CFG, inc)
+    equals_full(spark, files, EVENTS_CFG, tmp_path, inc)
+
+
 def test_first_days_before_the_date_range(spark, tmp_path):
     raw, inc = td.raw_from_events(spark, SF_SMALL), str(tmp_path / "inc")
     cfg = EVENTS_CFG.with_(date_range_start="2024-01-10")
