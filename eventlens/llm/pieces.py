@@ -186,15 +186,20 @@ class PieceModel:
         return i - 1, 0.0  # an unknown character
 
     def short_path(self, text: str) -> list[str]:
-        """The surviving BPE path over a stretch that is one window, no longer than a piece:
-        the window's search without its bookkeeping."""
-        n, tail, pairs, follows = len(text), self.tails.get, self.pairs.get, self.follows
-        back, last = [0] * (n + 1), [""] * (n + 1)  # each boundary's surviving arc: its start and piece
-        for i in range(1, n + 1):
-            j = i - 1
+        """The surviving BPE path over a short stretch that is one window.
+
+        The same search without the window's bookkeeping, and from its end: a
+        boundary's surviving arc is looked for when a later arc asks for it."""
+        tail, pairs, follows = self.tails.get, self.pairs.get, self.follows
+        last: dict[int, str] = {}  # the piece of each boundary's surviving arc
+
+        def survivor(i: int) -> str:
+            piece = last.get(i)
+            if piece is not None:
+                return piece
+            j, arcs = i - 1, []
             piece = text[j:i]
-            back[i], last[i] = j, piece  # an unknown character, if nothing else survives
-            arcs, takes = [], tail(piece)
+            takes = tail(piece)
             while takes is not None:
                 if takes:
                     arcs.append((j, piece))
@@ -206,16 +211,19 @@ class PieceModel:
             while arcs:
                 j, piece = arcs.pop()
                 if j:
-                    left = last[j]
+                    left = survivor(j)
                     ok = pairs((left, piece))
                     if not (follows(left, piece) if ok is None else ok):
                         continue
-                back[i], last[i] = j, piece
-                break
-        out = []
+                last[i] = piece
+                return piece
+            last[i] = text[i - 1 : i]  # an unknown character
+            return last[i]
+
+        out, n = [], len(text)
         while n:
-            out.append(last[n])
-            n = back[n]
+            out.append(survivor(n))
+            n -= len(out[-1])
         return out[::-1]
 
     @property
@@ -230,7 +238,7 @@ class PieceModel:
         if got is not None:
             return got
         window = Window(self)
-        pieces = self.short_path(text) if self.bpe and len(text) <= self.longest else [*window.feed(text), *window.flush()]
+        pieces = self.short_path(text) if self.bpe and len(text) <= 64 else [*window.feed(text), *window.flush()]
         ids = self._ids(pieces, window).tobytes()
         if len(text) <= 64:
             self.memory.keep(text, ids)
@@ -283,6 +291,7 @@ class PieceModel:
         """The text of ids that come part by part."""
         reader, first = codecs.getincrementaldecoder("utf-8")("replace"), self.dummy_prefix
         for ids in itertools.chain(parts, [None]):
+            ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
             raw = b"" if ids is None else b"".join(map(self.plain.__getitem__, ids))
             text = reader.decode(raw, final=ids is None).replace(MARK, " ")
             if first and text:
