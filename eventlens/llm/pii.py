@@ -19,8 +19,10 @@ The counts cover all candidates of all documents; the classifier is fitted on
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -112,11 +114,14 @@ def candidates(text: str, base: list[Span]) -> list[Span]:
     for m in _SECRET.finditer(text):
         found.append((m.start(1), m.end(1), "secret"))
     out: list[Span] = []
-    taken = [(a, b) for a, b, _ in base]
+    starts = sorted(a for a, _, _ in base)
+    reach = list(accumulate((b for _, b in sorted((a, b) for a, b, _ in base)), max))  # the furthest end up to each start
+    last = 0  # the end of the last one taken
     for a, b, kind in sorted(found, key=lambda s: (s[0], -s[1], KINDS.index(s[2]))):
-        if all(b <= c or a >= d for c, d in taken):
+        before = bisect_left(starts, b)
+        if a >= last and (not before or reach[before - 1] <= a):
             out.append((a, b, kind))
-            taken.append((a, b))
+            last = b
     return out
 
 

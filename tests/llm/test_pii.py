@@ -86,3 +86,20 @@ def test_digest_of_the_query(spark, tmp_path):
     got = {r["doc_id"]: r for r in op1_weak_supervision_pii(spark, str(tmp_path)).collect()}
     assert got[1]["base_sha256"] == hashlib.sha256(b"email:2:7,ip:10:17").hexdigest() and got[1]["spans"] == "email:2:7,ip:10:17"
     assert got[2]["base_sha256"] == hashlib.sha256(b"").hexdigest() and got[1]["n_email"] == 1 and got[2]["n_ip"] == 0
+
+
+def test_candidates_of_long_texts():
+    import random
+    import time
+
+    r = random.Random(8)
+    text = " ".join(r.choice(["12 34 56", "+49 30 1234567", "call", "a.b (at) c.org", "token = abcdef0123456789abcdef0123456789", "10.0.0.1", "4111 1111 1111 1111", "7-77-777-7777,"]) for _ in range(60_000))
+    start = time.perf_counter()
+    base = pii.base_spans(text)
+    found = pii.candidates(text, base)
+    assert time.perf_counter() - start < 10 and len(text) > 900_000 and len(found) > 1000
+    every = sorted([(a, b, 1) for a, b, _ in found] + [(a, b, 0) for a, b, _ in base])
+    ends = [0, 0]  # of the base spans, of the candidates
+    for a, b, mine in every:  # candidates touch nothing; base spans of different kinds may
+        assert a >= ends[1] and (a >= ends[0] or not mine)
+        ends[mine] = max(ends[mine], b)
