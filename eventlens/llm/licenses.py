@@ -236,6 +236,8 @@ class Template:
         out, left, cores = [], 0, self.cores(words)
         for c, core in enumerate(cores):
             right = cores[c + 1][0][0] if c + 1 < len(cores) else len(words)
+            if c:  # a head lies after the core before began, so each word is looked at a few times only
+                left = max(left, cores[c - 1][0][0])
             (x0, i0), (x1, i1) = core[0], core[-1]
             head = [(x0 - 1 - x, i0 - 1 - i) for x, i in nearest_chain(words[left:x0][::-1], self.words[:i0][::-1])][::-1]
             tail = [(x1 + 1 + x, i1 + 1 + i) for x, i in nearest_chain(words[x1 + 1 : right], self.words[i1 + 1 :])]

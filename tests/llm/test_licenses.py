@@ -119,3 +119,22 @@ def test_other_templates_and_templates_without_anchors():
     assert names("a b", {"z": ""}) == []
     far = "released " + "other " * 500 + TEMPLATES["MIT"] + " other" * 500 + " license"
     assert [far[a:b] for _, _, a, b in Scanner(TEMPLATES).scan(far)] == [TEMPLATES["MIT"]]
+
+
+def test_copies_that_fail_cost_time_in_proportion():
+    import time
+
+    words = [f"w{i}x" for i in range(40)]
+    scanner = Scanner({"T": " ".join([*words[:20], "left", "right", *words[20:]])}, required={"T": ["left right"]})
+
+    def seconds(copies):
+        body = " ".join(" ".join([*words[:20], "right", "left", *words[20:]]) for _ in range(copies))
+        start = time.perf_counter()
+        assert scanner.scan(body) == []
+        return time.perf_counter() - start
+
+    seconds(50)
+    assert seconds(3200) < 16 * max(seconds(400), 0.02)  # eight times the text; quadratic is 64 times
+    good = " ".join([*words[:20], "left", "right", *words[20:]])
+    bad = good.replace("left right", "right left")
+    assert len(scanner.scan(" . ".join([bad, good, bad, bad, good, good]))) == 3
