@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+#: Levels of paths that one plan joins.
+PATH_STEP = 6
+
 
 def field_text(value: Column) -> Column:
     """``-`` of a null, else the value's UTF-8 length, a colon and the value."""
@@ -106,7 +109,8 @@ def descend(levels: list[DataFrame], ends: DataFrame, arity: int) -> DataFrame:
             entry = F.array(F.struct("slot", "sibs"))
             met = own.where("n > 1").withColumn("_up", F.expr(f"idx div {arity}")).join(up, ["g", "_up"])
             here = here.unionByName(met.withColumn("path", F.concat(entry, F.col("_path"))).drop("_up", "_path"))
-        above = here
+        # upper levels are small: storing one now and then keeps the plans short
+        above = stored(here, "merkle-paths") if i and i % PATH_STEP == 0 else here
     return above
 
 

@@ -63,7 +63,8 @@ def manifest(df, arity):
 
 
 @pytest.mark.parametrize(("arity", "clash"), [(2, False), (3, True)])
-def test_brute_force(spark, arity, clash):
+def test_brute_force(spark, arity, clash, monkeypatch):
+    monkeypatch.setattr("eventlens.llm.merkle.PATH_STEP", 2)
     df = docs(spark, DATA)
     got = verified(manifest(with_clashes(df) if clash else df, arity), "doc_id").collect()
     assert Counter(map(tuple, got)) == expected(DATA, arity, tampered)
