@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here,
     and a lost executor costs no more than a read."""
     path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    for held in _OPEN:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``stored`` wrote inside, also after an error.
+
+    For jobs: results that read stored tables must be written before the end."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, longer where ``df`` has a column of it."""
     taken = {c.lower() for c in df.columns}

@@ -55,6 +55,29 @@ def test_stages_take_empty_tables_and_clashing_names(spark, tmp_path):
             assert out.count() == wide.count()
 
 
+def test_intermediates_go(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from eventlens.llm.common import intermediates, stored, work_dir
+
+    def held():
+        return set(os.listdir(work_dir(spark).removeprefix("file:")))
+
+    before = held()
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        assert stored(spark.range(3), "x").count() == 3
+        assert len(held() - before) == 1
+        1 / 0
+    assert held() == before
+    data, labels = labelled(12, 60)
+    docs(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert {n.rsplit("-", 1)[0] for n in held() - before} == {f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES}
+
+
 def test_every_operator_has_its_query():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
