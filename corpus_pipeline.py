@@ -13,11 +13,13 @@ whole.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.llm import pii, toxicity
-from eventlens.llm.common import free_name, read_table, stored
+from eventlens.llm.common import free_name, intermediates, read_table, stored, work_dir
 from eventlens.llm.near_dup import near_duplicates
 from eventlens.llm.pieces import load_model, round_trip
 from eventlens.llm.queries import PIECE_MODEL, TOXIC_AT, learnable, mix_documents
@@ -83,7 +85,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  What a stage's operators stored goes when its rows are written."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = f"{work_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        with intermediates(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
