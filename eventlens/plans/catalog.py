@@ -26,7 +26,7 @@ from eventlens.operators.month_state import advance_months, month_state, monthly
 from eventlens.operators.sessions import recent_actor_events, session_columns, sessionized_events, sessions
 from eventlens.operators.spine import date_spine, spine_start, user_event_spine
 from eventlens.operators.staging import missing_columns, stage_events, user_first_events
-from eventlens.plans.pipeline import Target, run_full, run_incremental
+from eventlens.plans.pipeline import MODELS, Target, run_full, run_incremental
 from eventlens.plans.publish import publish, publish_view, staged_view
 from eventlens.session import ensure_checkpoint_dir
 from eventlens.sources import testdata as td
@@ -369,7 +369,7 @@ def q_lookback_incremental_events(spark, sf):
     return dedupe_events(stg.where(F.col("date_day") >= F.lit(start)), EVENTS_CFG)
 
 
-def _incremental(spark, sf, table, strategy="insert_overwrite"):
+def _incremental(spark, sf, table, strategy="insert_overwrite", state_buckets=0):
     """A stored table after a full run over a first load of raw files and an
     incremental one that finds a second load beside it.
 
@@ -381,7 +381,7 @@ def _incremental(spark, sf, table, strategy="insert_overwrite"):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
     seen = F.coalesce(F.col("loaded_at") < F.lit(LATE_CUT), F.lit(False))
     files = RawFiles({td.EVENTS_SOURCE: FileSource(f"{root}/raw")})
-    target = Target(f"{root}/out", models=() if table == "event" else (table,))
+    target = Target(f"{root}/out", models=(table,) if table in MODELS else (), state_buckets=state_buckets)
     raw.where(seen).write.parquet(f"{root}/raw/first")
     run_full(spark, files, EVENTS_CFG, target)
     raw.where(~seen).write.parquet(f"{root}/raw/second")
@@ -409,6 +409,11 @@ def q_incremental_delete_insert(spark, sf):
     return _incremental(spark, sf, "event", strategy="delete+insert")
 
 
+def q_incremental_first_events(spark, sf):
+    """First events merged through their bucketed keys."""
+    return _incremental(spark, sf, "user_first_event", state_buckets=4)
+
+
 def q_daily_from_masks(spark, sf):
     """The daily table after ``STATE_DAY`` from the day masks of that day and later events."""
     stg = _events_stg(spark, sf)
@@ -648,5 +653,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_daily": q_incremental_daily,
     "incremental_monthly": q_incremental_monthly,
     "incremental_sessions": q_incremental_sessions,
+    "incremental_first_events": q_incremental_first_events,
     "incremental_delete_insert": q_incremental_delete_insert,
 }

@@ -443,6 +443,7 @@ def oracle_queries() -> dict[str, str]:
             f"FROM ({RAW_EVENTS})")
     stored = stg_ctes("", late, RAW_EVENTS_COLS, td.EVENTS_SOURCE) + ev_ctes("", as_of)
     q["incremental_event"] = q["incremental_delete_insert"] = with_(stored, "SELECT * FROM ev")
+    q["incremental_first_events"] = q["user_first_event"]
     q["incremental_daily"] = with_(daily_full("", stored, as_of), "SELECT * FROM daily")
     q["incremental_monthly"] = with_(stored + monthly_ctes("", as_of), "SELECT * FROM monthly")
     q["incremental_sessions"] = with_(stored + session_ctes("", as_of), "SELECT * FROM sessions")

@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.config import Config
+from eventlens.functions.keys import surrogate_key
 from eventlens.functions.timeutil import lit_date, shift_date
 from eventlens.operators.activity_state import MAX_RANGE, advance, daily_from_state, state_at
 from eventlens.operators.daily import daily_events, daily_events_from_staged
@@ -69,6 +70,7 @@ from eventlens.sources.ledger import (
     settings_of,
     stage_files,
 )
+from eventlens.sources.keyed import KeyedTable
 from eventlens.sources.sinks import (
     NULL_PARTITION,
     delete_insert,
@@ -97,7 +99,7 @@ PERSON_MONTH_CLUSTER = ["event_type", "source_relation", "people_id"]
 MODELS = ("daily_events", "monthly_events", "sessions")
 SKETCHES, BITMAPS, NUMBERS = "user_sketches", "user_bitmaps", "person_numbers"
 LOAD_MARK, LEDGER = "load_mark", "file_ledger"
-FIRST_EVENTS = "user_first_event"
+FIRST_EVENTS, FIRST_KEYS = "user_first_event", "first_event_keys"
 FIRST_CLUSTER = ["event_type", "source_relation", "people_id"]
 ACTIVITY_STATE, MONTH_STATE = "activity_state", "month_state"
 
@@ -107,11 +109,16 @@ class Target:
     """Where tables are stored, in which format, and which models beside the event table.
 
     Models on demand: ``user_sketches`` and ``user_bitmaps`` (with ``person_numbers``),
-    the mergeable parts of ``eventlens.operators.distinct``."""
+    the mergeable parts of ``eventlens.operators.distinct``.
+
+    With ``state_buckets`` the first events are also kept by key, in a table of so
+    many buckets (``eventlens.sources.keyed``), so that merging new ones does not
+    shuffle the stored ones."""
 
     root: str
     fmt: str = "parquet"
     models: tuple[str, ...] = MODELS
+    state_buckets: int = 0
 
     @staticmethod
     def of(target: "str | Target") -> "Target":
@@ -123,6 +130,11 @@ class Target:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path(table))
 
+    def keyed(self, spark: SparkSession) -> KeyedTable | None:
+        if not self.state_buckets:
+            return None
+        return KeyedTable(spark, self.path(f"{FIRST_KEYS}/buckets={self.state_buckets}"), self.state_buckets, fmt=self.fmt)
+
     def has(self, spark: SparkSession, table: str) -> bool:
         return table_exists(spark, self.path(table), self.fmt)
 
@@ -247,7 +259,7 @@ def run_full(spark: SparkSession, raw: DataFrame | RawFiles, cfg: Config, target
 
 
 def _rebuild(spark: SparkSession, raw: DataFrame, stg: DataFrame, cfg: Config, target: Target) -> None:
-    target.write_full(user_first_events(stg), FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+    _store_first(spark, user_first_events(stg), target)
     fresh = dedupe_events(stg, cfg, absent=missing_columns(raw, cfg.raw_names))
     target.write_full(fresh, "event", *TABLES["event"])
     ev = target.read(spark, "event")
@@ -377,7 +389,7 @@ def _from_files(spark: SparkSession, raw: RawFiles, cfg: Config, target: Target,
             fresh, first, whole = _merged(spark, raw, rows, listing, ledger, days - gone, gone, cfg, target)
             start = min(days, default=None)
             if whole:  # minima may have lost rows, or none are stored
-                target.write_full(first, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+                _store_first(spark, first, target)
                 first = None
             _rewrite(spark, fresh, first, days, start, cfg, target, strategy)
         replace_table(spark, entries, target.path(LEDGER), target.fmt)
@@ -444,6 +456,42 @@ def _rewrite(spark: SparkSession, fresh: DataFrame, first: DataFrame | None, day
         overwrite_values(spark, bits, target.path(BITMAPS), "date_day", values, ["event_type", "source_relation", "bucket"], fmt=target.fmt)
 
 
+def _first_key(df: DataFrame) -> DataFrame:
+    """``key, value`` of first events."""
+    return df.select(surrogate_key("people_id", "source_relation", "event_type").alias("key"), F.col("first_event_day").alias("value"))
+
+
+def _store_first(spark: SparkSession, first: DataFrame, target: Target) -> None:
+    target.write_full(first, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+    keyed = target.keyed(spark)
+    if keyed is not None:
+        keyed.replace(_first_key(target.read(spark, FIRST_EVENTS)))
+
+
+def first_event_changes(new: DataFrame, stored: DataFrame | KeyedTable) -> DataFrame:
+    """First events among ``new`` that the stored ones lack or have later:
+    ``people_id, source_relation, event_type, first_event_day, old_day, held``."""
+    keys = ["people_id", "source_relation", "event_type"]
+    if isinstance(stored, KeyedTable):
+        cand = new.select(*keys, F.col("first_event_day").alias("new_day"), surrogate_key(*keys).alias("key"))
+        held = stored.rows().select("key", F.col("value").alias("old_day"), F.lit(True).alias("held"))
+        met = cand.join(held, "key", "left")
+    else:
+        cand = new.select(*keys, F.col("first_event_day").alias("new_day"))
+        held = stored.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("first_event_day").alias("old_day"), F.lit(True).alias("held"))
+        met = cand.join(held, _same_key(keys), "left")
+    moved = met.where(F.col("held").isNull() | (F.col("new_day") < F.coalesce("old_day", F.date_add("new_day", 1))))
+    return moved.select(*keys, F.col("new_day").alias("first_event_day"), "old_day", "held")
+
+
+def _same_key(keys: list[str]):
+    """Each key equal, null to null, to the column of its name with ``_`` before."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return same
+
+
 def _merge_first(spark: SparkSession, new: DataFrame, target: Target) -> dt.date | None:
     """Merge first events into the stored ones, whose partitions are the first days:
     only partitions that a key enters or leaves are written.  Returns the earliest of these.
@@ -453,17 +501,12 @@ def _merge_first(spark: SparkSession, new: DataFrame, target: Target) -> dt.date
     keys = ["people_id", "source_relation", "event_type"]
     path = target.path(FIRST_EVENTS)
     if not target.has(spark, FIRST_EVENTS):
-        target.write_full(new, FIRST_EVENTS, "first_event_day", FIRST_CLUSTER)
+        _store_first(spark, new, target)
         return None
-    stored = target.read(spark, FIRST_EVENTS)
-    cand = new.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("first_event_day").alias("new_day"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    held = stored.withColumn("held", F.lit(True)).withColumnRenamed("first_event_day", "old_day")
-    met = cand.join(held, same, "left")
-    moved = met.where(F.col("held").isNull() | (F.col("new_day") < F.coalesce("old_day", F.date_add("new_day", 1))))
-    changed = moved.select(*[F.col(f"_{k}").alias(k) for k in keys], F.col("new_day").alias("first_event_day"), "old_day", "held")
+    stored, keyed = target.read(spark, FIRST_EVENTS), target.keyed(spark)
+    if keyed is not None and not keyed.exists():  # kept by key from now on
+        keyed.replace(_first_key(stored))
+    changed = first_event_changes(new, stored if keyed is None else keyed)
     with staged_beside(spark, changed, path, fmt=target.fmt) as (changed, _):
         entered = {r["d"] for r in changed.select(F.col("first_event_day").alias("d")).distinct().collect()}
         left = {r["d"] for r in changed.where("held").select(F.col("old_day").alias("d")).distinct().collect()}
@@ -474,10 +517,12 @@ def _merge_first(spark: SparkSession, new: DataFrame, target: Target) -> dt.date
         if None in days:
             hit = hit | F.col("first_event_day").isNull()
         gone = changed.where("held").select(*[F.col(k).alias(f"_{k}") for k in keys])
-        kept = stored.where(hit).join(gone, same, "left_anti")
+        kept = stored.where(hit).join(gone, _same_key(keys), "left_anti")
         both = kept.select(*keys, "first_event_day").unionByName(changed.select(*keys, "first_event_day"))
         values = {NULL_PARTITION if d is None else d.isoformat() for d in days}
         overwrite_values(spark, both, path, "first_event_day", values, FIRST_CLUSTER, fmt=target.fmt)
+        if keyed is not None:  # last: a failure before it finds the same changes again
+            keyed.upsert(_first_key(changed))
     return min((d for d in days if d is not None), default=None)
 
 

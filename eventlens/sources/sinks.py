@@ -41,6 +41,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files in a folder (not in its subfolders)."""
+    fs, jpath = _jvm_path(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return [str(st.getPath()) for st in fs.listStatus(jpath) if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+
+
 def clustered(df: DataFrame, partition_col: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Cluster rows before a date-partitioned write.
 
