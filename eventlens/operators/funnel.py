@@ -92,7 +92,7 @@ def register_funnel(spark: SparkSession, events: DataFrame | str, name: str = "a
       overall_event_pct_conversion DOUBLE, overall_user_pct_conversion DOUBLE, relative_event_pct_conversion DOUBLE, relative_user_pct_conversion DOUBLE)
     RETURN WITH persons AS (
         SELECT CAST({segment} AS STRING) AS segment, event_type, people_id, count(*) AS n FROM {events}
-        JOIN (SELECT explode(array_distinct(transform(steps, s -> lower(s)))) AS step) ON lower(event_type) = step
+        JOIN (SELECT DISTINCT lower(name) AS step FROM (SELECT explode(steps) AS name)) ON lower(event_type) = step
         GROUP BY ALL),
       counts AS (SELECT segment, event_type, sum(n) AS number_of_events, count(people_id) AS number_of_users
         FROM persons WHERE n >= least_events GROUP BY segment, event_type)
