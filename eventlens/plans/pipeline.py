@@ -382,8 +382,8 @@ def _from_files(spark: SparkSession, raw: RawFiles, cfg: Config, target: Target,
             # the rows' days and files: two narrow columns of the new files
             held, _ = stack.enter_context(staged_beside(spark, days_of_files(stg), target.path("new_days"), fmt=target.fmt))
             entries = entries.unionByName(ledger_entries(new_files(listing, ledger), held, settings_of(cfg)))
-            days |= set(window_days(date_range_filtered(stg, cfg)))
-        days = {d for d in days if d is not None}
+            found = {r["d"] for r in held.select(F.explode("days").alias("d")).distinct().collect()}
+            days |= {d for d in found if d is not None and (cfg.date_range_start is None or d >= cfg.date_range_start)}
         end_moved = "daily_events" in target.models and max(partition_values(spark, target.path("daily_events"), "date_day", target.fmt), default="") != cfg.spine_end.isoformat()
         if days or rows is not None or end_moved:
             fresh, first, whole = _merged(spark, raw, rows, listing, ledger, days - gone, gone, cfg, target)
@@ -508,9 +508,9 @@ def _merge_first(spark: SparkSession, new: DataFrame, target: Target) -> dt.date
         keyed.replace(_first_key(stored))
     changed = first_event_changes(new, stored if keyed is None else keyed)
     with staged_beside(spark, changed, path, fmt=target.fmt) as (changed, _):
-        entered = {r["d"] for r in changed.select(F.col("first_event_day").alias("d")).distinct().collect()}
-        left = {r["d"] for r in changed.where("held").select(F.col("old_day").alias("d")).distinct().collect()}
-        days = entered | left  # bounded by the calendar
+        entered = changed.select(F.col("first_event_day").alias("d"))
+        left = changed.where("held").select(F.col("old_day").alias("d"))
+        days = {r["d"] for r in entered.union(left).distinct().collect()}  # bounded by the calendar
         if not days:
             return None
         hit = F.col("first_event_day").isin(sorted(d for d in days if d is not None))

@@ -79,6 +79,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, cluster_b
      .partitionBy(partition_col).save(path))
 
 
+def _from_staged(staged: DataFrame, path: str, partition_col: str, fmt: str) -> None:
+    """Overwrite the partitions of a staged copy.  It was clustered when it was staged,
+    so its files are copied as they are, without another shuffle."""
+    (staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).save(path))
+
+
 def partition_values(spark: SparkSession, path: str, partition_col: str, fmt: str = "parquet") -> set[str]:
     """Partition values present under ``path`` (a directory listing, no job;
     of a Delta table, whose folders say nothing, the distinct values)."""
@@ -129,7 +136,7 @@ def overwrite_values(spark: SparkSession, df: DataFrame, path: str, partition_co
     with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
         fresh = partition_values(spark, staging, partition_col, fmt)
         if fresh:
-            overwrite_partitions(slice_, path, partition_col, cluster_by, fmt=fmt)
+            _from_staged(slice_, path, partition_col, fmt)
         drop_partitions(spark, path, partition_col, (values & partition_values(spark, path, partition_col, fmt)) - fresh, fmt)
 
 
@@ -156,7 +163,7 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
     with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
         fresh = partition_values(spark, staging, partition_col, fmt)
         if fresh:
-            overwrite_partitions(slice_, path, partition_col, cluster_by, fmt=fmt)
+            _from_staged(slice_, path, partition_col, fmt)
         drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - fresh, fmt)
 
 
@@ -179,7 +186,7 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
                 .join(fresh.select(key), key, "left_anti"))
         merged = kept.unionByName(fresh.select(*existing.columns), allowMissingColumns=True)
         with staged_beside(spark, merged, path, partition_col, cluster_by, fmt) as (both, _):
-            overwrite_partitions(both, path, partition_col, cluster_by, fmt=fmt)
+            _from_staged(both, path, partition_col, fmt)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
