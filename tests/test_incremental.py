@@ -96,7 +96,7 @@ def test_one_old_row_rewrites_its_own_day_of_events_only(spark, tmp_path):
 def test_emptied_month(spark, tmp_path):
     from eventlens.plans.catalog import ORDERS_CFG
 
-    raw = td.raw_from_orders(spark, SF_SMALL)
+    raw = td.raw_from_orders(spark, SF_SMALL).where("time >= timestamp'1999-08-01'")  # two years: each date is a folder
     last = raw.agg(F.date_trunc("month", F.max("time")).cast("date")).first()[0]
     cfg = ORDERS_CFG.with_(lookback_days=40)
     inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
@@ -159,7 +159,7 @@ def test_config_validation():
 def test_incremental_equals_full_on_long_history(spark, tmp_path):
     from eventlens.plans.catalog import ORDERS_CFG
 
-    raw = td.raw_from_orders(spark, SF_SMALL)
+    raw = td.raw_from_orders(spark, SF_SMALL).where("time >= timestamp'1999-08-01'")  # two years: each date is a folder
     inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
     run_full(spark, raw.where(F.col("time") < F.lit(dt.datetime(2001, 7, 15))), ORDERS_CFG, inc)
     start = run_incremental(spark, raw, ORDERS_CFG, inc)
