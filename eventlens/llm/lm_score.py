@@ -9,7 +9,8 @@ corpus that was counted; a word seen nowhere else counts as one occurrence.
 
 The relational plan, with packed columns in place of a row per n-gram:
 
-1. Documents are dealt to blocks of about ``block_bytes`` of text by a hash.
+1. Documents are dealt to blocks of about ``block_bytes`` of text by a hash, their
+   texts deflated.
 2. A block explodes its n-grams, counts them, and sends each hash partition
    its sorted distinct n-gram hashes and counts as one row.  A frequent n-gram
    is one entry per block, however many documents have it.
@@ -23,12 +24,14 @@ n**2 / 2**65.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, texts_of, word_hashes
+from .common import mix64, word_hashes
 from .mixing import word_count
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -47,29 +50,65 @@ def ngram_hashes(words: np.ndarray, starts: np.ndarray, order: int) -> list[np.n
     return out
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as gaps of the fewest whole bytes that hold them all."""
-    gaps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
-    return bytes([width]) + gaps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The ``width`` low bytes of 64-bit numbers, one place after the other, the highest
+    first.  That of gaps and of counts is uneven and so deflated, and while it shrinks
+    to a quarter the next one too; the others are as good as random.  Each place
+    begins with its length, 0 for bytes as they are."""
+    places, out, uneven = values.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), [len(values).to_bytes(4, "little"), bytes([width])], True
+    for i in reversed(range(width)):
+        raw = places[:, i].tobytes()
+        if uneven:
+            coder = zlib.compressobj(1, zlib.DEFLATED, -15, 8, zlib.Z_RLE)
+            coded = coder.compress(raw) + coder.flush()
+            uneven = 4 * len(coded) < len(raw)
+            if len(coded) < len(raw):
+                out += [len(coded).to_bytes(4, "little"), coded]
+                continue
+        out += [bytes(4), raw]
+    return b"".join(out)
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    n, width, at = int.from_bytes(raw[:4], "little"), raw[4], 5
+    wide = np.zeros((n, 8), dtype=np.uint8)
+    for i in reversed(range(width)):
+        size = int.from_bytes(raw[at : at + 4], "little")
+        body = raw[at + 4 : at + 4 + (size or n)]
+        wide[:, i] = np.frombuffer(zlib.decompress(body, -15) if size else body, dtype=np.uint8)
+        at += 4 + len(body)
+    return wide.reshape(-1).view("<u8")
+
+
+def _bytes_of(values: np.ndarray) -> int:
+    return max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+
 
+def pack(values: np.ndarray, base: int = 0) -> bytes:
+    """Sorted 64-bit numbers from ``base`` on as gaps of the fewest whole bytes that hold them all."""
+    gaps = np.diff(values, prepend=np.uint64(base))
+    return _planes(gaps, _bytes_of(gaps))
 
-def unpack(raw: bytes) -> np.ndarray:
-    width = raw[0]
-    body = np.frombuffer(raw, dtype=np.uint8, offset=1).reshape(-1, width)
-    wide = np.zeros((len(body), 8), dtype=np.uint8)
-    wide[:, :width] = body
-    return np.cumsum(wide.reshape(-1).view("<u8"), dtype=np.uint64)
+
+def unpack(raw: bytes, base: int = 0) -> np.ndarray:
+    return np.cumsum(_from_planes(raw), dtype=np.uint64) + np.uint64(base)
 
 
 def pack_counts(values: np.ndarray) -> bytes:
-    """Counts in the smallest integer type that holds them all, named by its size."""
-    size = next(s for s in (1, 2, 4, 8) if len(values) == 0 or int(values.max()) < 1 << (8 * s))
-    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+    """Counts in the fewest bytes that hold them all."""
+    return _planes(values.astype(np.uint64), _bytes_of(values))
 
 
 def unpack_counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).astype(np.int64)
+    return _from_planes(raw).astype(np.int64)
+
+
+def _deflated(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: zlib.compress(t.encode("utf-8", "surrogatepass"), 1))
+
+
+def _inflated(column: pd.Series) -> list[str]:
+    return [zlib.decompress(x).decode("utf-8", "surrogatepass") for x in column]
 
 
 def _block_grams(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
@@ -123,23 +162,23 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tokens = size["tokens"] or 0
     bits = max(3, (blocks - 1).bit_length())  # 2 ** bits partitions of the count table
     source = docs.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
-    source = source.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    source = source.select("id", F.pandas_udf(_deflated, "binary")("text").alias("text"), F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block"))
     dealt = source.repartition(int(min(blocks, 1 << 16)), "block")
 
     def explode(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, _, tables = _block_grams(texts_of(pdf["text"]), order)
         rows = []
-        for n, (distinct, _, counts) in enumerate(tables, 1):
+        for n, grams in enumerate(ngram_hashes(*word_hashes(_inflated(pdf["text"])), order), 1):
+            distinct, counts = np.unique(grams, return_counts=True)
             cuts = np.searchsorted(distinct, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             for part, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(distinct)], strict=True)):
                 if a < b:
-                    rows.append((part, n, pdf["block"].iloc[0], pack(distinct[a:b]), pack_counts(counts[a:b])))
+                    rows.append((part, n, pdf["block"].iloc[0], pack(distinct[a:b], part << (64 - bits)), pack_counts(counts[a:b])))
         return pd.DataFrame(rows, columns=["part", "n", "block", "grams", "counts"])
 
     entries = dealt.groupBy("block").applyInPandas(explode, "part int, n int, block long, grams binary, counts binary")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        grams = [unpack(x) for x in pdf["grams"]]
+        grams = [unpack(x, int(pdf["part"].iloc[0]) << (64 - bits)) for x in pdf["grams"]]
         _, index = np.unique(np.concatenate(grams), return_inverse=True)
         total = np.zeros(index.max() + 1, dtype=np.int64)
         np.add.at(total, index, np.concatenate([unpack_counts(x) for x in pdf["counts"]]))
@@ -149,7 +188,7 @@ def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table = entries.groupBy("part", "n").applyInPandas(merge, "block long, n int, part int, totals binary")
 
     def score(_key, docs_of: pd.DataFrame, totals_of: pd.DataFrame) -> pd.DataFrame:
-        texts = texts_of(docs_of["text"])
+        texts = _inflated(docs_of["text"])
         starts, grams, tables = _block_grams(texts, order)
         totals = [np.concatenate([np.zeros(0, dtype=np.int64), *[unpack_counts(x) for x in same.sort_values("part")["totals"]]]) for same in (totals_of[totals_of["n"] == n] for n in range(1, order + 1))]
         if any(len(t) != len(d) for t, (d, _, _) in zip(totals, tables, strict=True)):

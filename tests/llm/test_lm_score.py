@@ -67,3 +67,14 @@ def test_the_query_backs_off_from_trigrams(spark):
     got = {r["doc_id"]: r["log2_score"] for r in QUERIES["op6_stupid_backoff"](spark, sf).collect()}
     for i, _, s in brute(data, 3, 0.4):
         assert abs(got[i] - s) < 1e-6 * max(1, abs(s))
+
+
+def test_gaps_of_a_range_take_little_more_than_their_bits():
+    # 2,000 numbers of a range of 2**56: gaps of about 45 bits
+    base = 0xAB << 56
+    values = np.unique(np.random.default_rng(3).integers(0, 1 << 56, 2000).astype(np.uint64)) + np.uint64(base)
+    assert np.array_equal(unpack(pack(values, base), base), values)
+    assert len(pack(values, base)) < 6.1 * len(values)
+    counts = np.where(np.arange(2000) % 50 == 0, 3, 1)
+    assert np.array_equal(unpack_counts(pack_counts(counts)), counts) and len(pack_counts(counts)) < 600
+    assert len(unpack(pack(values[:0]))) == 0
