@@ -29,20 +29,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix64, shingle_hashes, stored
+from .common import _M1, _M2, chunks, mix64, shingle_hashes, stored
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 #: Weighted terms looked at together.
 TERM_BLOCK = 1 << 16
 #: Of those, terms whose draws are made at once, so that they stay in the cache.
-DRAW_BLOCK = 1 << 9
+DRAW_BLOCK = 1 << 8
 
 
-def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two uniforms in (0, 1) of 32 bits each."""
-    parts = x.view(np.uint32)
-    return tuple((parts[:, i::2] + 0.5) * 2.0**-32 for i in (0, 1))
+def _mix(x: np.ndarray, spare: np.ndarray) -> None:
+    """``mix64`` in place."""
+    for shift, factor in ((30, _M1), (27, _M2), (31, None)):
+        np.right_shift(x, np.uint64(shift), out=spare)
+        x ^= spare
+        if factor is not None:
+            x *= factor
 
 
 def term_draws(terms: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
@@ -50,20 +53,33 @@ def term_draws(terms: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarr
     out = np.empty((len(terms), samples))
     with np.errstate(over="ignore"):
         seeds = mix64(np.arange(1, samples + 1, dtype=np.uint64) * _STEP)
+        x, spare = np.empty((2, DRAW_BLOCK, samples), dtype=np.uint64)
+        first, second = np.empty((2, DRAW_BLOCK, samples))
         for i in range(0, len(terms), DRAW_BLOCK):
-            x = mix64(terms[i : i + DRAW_BLOCK, None] ^ seeds[None, :])
-            u1, u2 = _halves(x)
-            u3, u4 = _halves(mix64(x + _STEP))
-            u3 *= u4
-            np.log(u3, out=u3)
-            np.multiply(u3, u1, out=out[i : i + DRAW_BLOCK])  # for weight 1, t is 0
-            w = weights[i : i + DRAW_BLOCK]
+            n = min(DRAW_BLOCK, len(terms) - i)
+            w = weights[i : i + n]
             heavy = np.flatnonzero(w > 1)
+            x, spare, first, second = x[:n], spare[:n], first[:n], second[:n]
+            halves = x.view(np.uint32)
+            # uniforms in (0, 1) of 32 bits each, times 2**32
+            np.bitwise_xor(terms[i : i + n, None], seeds[None, :], out=x)
+            _mix(x, spare)
+            np.add(halves[:, 0::2], 0.5, out=out[i : i + n])
             if len(heavy):
-                e2 = -np.log(u2[heavy])
-                r = e2 - np.log(u1[heavy])
+                u1, u2 = ((halves[heavy, k::2] + 0.5) * 2.0**-32 for k in (0, 1))
+            x += _STEP
+            _mix(x, spare)
+            np.add(halves[:, 0::2], 0.5, out=first)
+            np.add(halves[:, 1::2], 0.5, out=second)
+            first *= 2.0**-64
+            first *= second
+            np.log(first, out=first)
+            first *= -(2.0**-32)
+            out[i : i + n] *= first  # for weight 1, t is 0
+            if len(heavy):
+                e2 = -np.log(u2)
+                r = e2 - np.log(u1)
                 out[i + heavy] *= np.exp(-r * np.floor((np.log(w[heavy])[:, None] + e2) / r))
-    np.negative(out, out=out)
     return out
 
 
@@ -86,7 +102,9 @@ def signatures(texts: list[str], samples: int) -> np.ndarray:
                 _, first, back = np.unique(mix64(h) + w.astype(np.uint64), return_index=True, return_inverse=True)
             draws = term_draws(h[first], w[first], samples)
             heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            low = np.minimum.reduceat(draws[back], heads, axis=0)
+            low = np.empty((len(heads), samples))
+            for k, (x, y) in enumerate(zip(heads.tolist(), [*heads[1:].tolist(), len(part)], strict=True)):
+                np.minimum.reduce(draws[back[x:y]], axis=0, out=low[k])  # a text at a time: its draws stay in the cache
             if carried and part[0] == carried[0]:  # a text that goes on from the last block
                 low[0] = np.minimum(low[0], carried[1])
             out[a + part[heads]] = (mix64(low.view(np.uint64)) >> np.uint64(48)).astype(np.uint16)

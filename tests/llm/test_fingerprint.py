@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -90,3 +91,29 @@ def test_one_document_follows_itself_and_empty_table(spark):
     assert len(got) == 1 and got[0]["near_next"] == 1.0
     assert got[0]["edited_sha256"] == hashlib.sha256(edit_text("a b c d e f", "a b c d e f").encode()).hexdigest()
     assert fingerprints_with_next(docs(spark, [])).collect() == []
+
+
+def test_draws_are_gathered_a_text_at_a_time():
+    # 60,000 terms of 120 texts, few different ones
+    texts = [" ".join(f"w{i}" for i in range(501))] * 120
+    signatures(texts[:1], 64)
+    tracemalloc.start()
+    got = signatures(texts, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == signatures(texts[:1], 64)).all()
+    assert peak < 25e6  # the gathered draws of all would take 31 MB
+
+
+def test_draws_by_the_formula():
+    from eventlens.llm.common import mix64
+
+    terms, weights = mix64(np.arange(1, 700, dtype=np.uint64)), np.arange(1, 700) % 4 + 1
+    step = np.uint64(0x9E3779B97F4A7C15)
+    with np.errstate(over="ignore"):
+        x = mix64(terms[:, None] ^ mix64(np.arange(1, 6, dtype=np.uint64) * step)[None, :])
+        y = mix64(x + step)
+    u1, u2, u3, u4 = (((z >> np.uint64(s) & np.uint64(0xFFFFFFFF)).astype(float) + 0.5) * 2.0**-32 for z in (x, y) for s in (0, 32))
+    r = -np.log(u1 * u2)
+    t = np.floor(np.log(weights)[:, None] / r + np.log(u2) / np.log(u1 * u2))
+    assert np.allclose(term_draws(terms, weights, 5), -np.log(u3 * u4) * u1 * np.exp(-r * t))
