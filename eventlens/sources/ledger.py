@@ -64,6 +64,10 @@ class RawFiles:
 
     sources: dict[str, FileSource]
 
+    def count(self) -> int:
+        """Rows of all files."""
+        return sum(s.read(SparkSession.active()).count() for s in self.sources.values())
+
     def listing(self, spark: SparkSession) -> DataFrame:
         frames = [s.listing(spark).select(F.lit(name).alias("connection"), "*") for name, s in self.sources.items()]
         return reduce(DataFrame.unionByName, frames)

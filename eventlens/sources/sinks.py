@@ -167,6 +167,12 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
         drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - fresh, fmt)
 
 
+def without_keys(rows: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key ``fresh`` lacks.  Always by a sort-merge join: the keys of
+    many small batches, each broadcast, would all pass through the driver."""
+    return rows.join(fresh.select(key).hint("merge"), key, "left_anti")
+
+
 def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, partition_col: str,
                   cluster_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Incremental ``delete+insert`` by unique key.
@@ -182,8 +188,7 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
         if not days:
             return
         existing = spark.read.format(fmt).load(path)
-        kept = (existing.where(F.col(partition_col).cast("string").isin(days))
-                .join(fresh.select(key), key, "left_anti"))
+        kept = without_keys(existing.where(F.col(partition_col).cast("string").isin(days)), fresh, key)
         merged = kept.unionByName(fresh.select(*existing.columns), allowMissingColumns=True)
         with staged_beside(spark, merged, path, partition_col, cluster_by, fmt) as (both, _):
             _from_staged(both, path, partition_col, fmt)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from eventlens.plans.catalog import EVENTS_CFG
 from eventlens.plans.pipeline import TABLES, run_full
 from eventlens.sources import testdata as td
+from eventlens.sources.sinks import without_keys
 from eventlens.streaming import start_ingest
 from tests.conftest import SF_SMALL
 from tests.helpers import assert_frames_equal
@@ -26,3 +27,12 @@ def test_stream_batches_equal_full_refresh(spark, tmp_path):
     run_full(spark, raw, EVENTS_CFG, full)
     for table in TABLES:
         assert_frames_equal(spark.read.parquet(f"{target}/{table}"), spark.read.parquet(f"{full}/{table}"))
+
+
+def test_a_batch_s_keys_do_not_pass_through_the_driver(spark):
+    stored = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4)], "k string, v int")
+    fresh = spark.createDataFrame([("b", 9), ("c", 9), (None, 9)], "k string, v int")
+    kept = without_keys(stored, fresh, "k")
+    assert sorted(r["v"] for r in kept.collect()) == [1, 4]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
