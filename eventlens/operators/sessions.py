@@ -34,7 +34,8 @@ from eventlens.config import Config
 from eventlens.functions.keys import surrogate_key
 from eventlens.functions.timeutil import lit_date, sql_filter
 
-PART = ["source_relation", "user_id", "date_day"]
+# the actor first: sorts compare the first key's prefix, and few connections share it
+PART = ["user_id", "date_day", "source_relation"]
 
 
 def session_columns(cfg: Config, extra: list[str] = ()) -> list[str]:
@@ -104,16 +105,21 @@ def sessions(ev: DataFrame, cfg: Config) -> DataFrame:
     st = session_type_counts(m)
     per_type = F.struct("event_type", F.concat("event_type", F.lit(": "), F.col("number_of_events").cast("string"))
                         .alias("text"))
+    # the type rows lie sorted by session and type: a window over them needs no
+    # sort, where an aggregate that collects lists sorts them twice again
+    w = Window.partitionBy(*PART, "session_number").orderBy("event_type")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     aggs = [
-        F.min("first").alias("first"),
-        F.sum("number_of_events").alias("total_number_of_events"),
-        F.sort_array(F.collect_list(per_type)).alias("pairs"),
-        F.count("event_type").alias("n_types"),
+        F.min("first").over(whole).alias("first"),
+        F.sum("number_of_events").over(whole).alias("total_number_of_events"),
+        F.sort_array(F.collect_list(per_type).over(whole)).alias("pairs"),
+        F.count("event_type").over(whole).alias("n_types"),
+        F.row_number().over(w).alias("rank"),
     ]
     if cfg.event_frequency_map:
         known = F.when(F.col("event_type").isNotNull(), F.struct("event_type", "number_of_events"))
-        aggs.append(F.map_from_entries(F.collect_list(known)).alias("event_frequency_map"))
-    s = st.groupBy(*PART, "session_number").agg(*aggs)
+        aggs.append(F.map_from_entries(F.collect_list(known).over(whole)).alias("event_frequency_map"))
+    s = st.select(*PART, "session_number", *aggs).where("rank = 1")
     return s.select(
         "source_relation",
         surrogate_key("user_id", "session_number", "date_day", "source_relation").alias("session_id"),

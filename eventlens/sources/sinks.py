@@ -52,14 +52,14 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 def clustered(df: DataFrame, partition_col: str, cluster_by: list[str] | None = None) -> DataFrame:
     """Cluster rows before a date-partitioned write.
 
-    A range shuffle on (date, cluster keys), then a local sort: each task
-    holds a contiguous key range, so it writes into one or two date folders
-    (few files) sorted for min/max skipping.  The boundaries are sampled and
-    can't split equal keys, so the last cluster key should be a row's own (an
-    id): then a big date is spread over many tasks.
+    Dates are dealt whole to the writing tasks (few files), and each task sorts
+    its rows by date and cluster keys for min/max skipping.  AQE joins small
+    dates and splits a big one over many tasks by its shuffled bytes, so no key
+    is sampled: a sample would compute all of ``df`` after its last shuffle
+    (the final aggregates and windows of a model) a second time.
     """
     keys = [partition_col, *(cluster_by or [])]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return df.hint("rebalance", F.col(partition_col)).sortWithinPartitions(*keys)
 
 
 def write_full(df: DataFrame, path: str, partition_col: str, cluster_by: list[str] | None = None,
@@ -79,13 +79,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str, cluster_b
      .partitionBy(partition_col).save(path))
 
 
-def _from_staged(staged: DataFrame, path: str, partition_col: str, fmt: str) -> None:
-    """Overwrite the partitions of a staged copy.  It was clustered when it was staged,
-    so its files are copied as they are, without another shuffle."""
-    (staged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).save(path))
-
-
 def partition_values(spark: SparkSession, path: str, partition_col: str, fmt: str = "parquet") -> set[str]:
     """Partition values present under ``path`` (a directory listing, no job;
     of a Delta table, whose folders say nothing, the distinct values)."""
@@ -127,17 +120,34 @@ def drop_partitions(spark: SparkSession, path: str, partition_col: str, values:
         fs.delete(_jvm_path(spark, f"{path.rstrip('/')}/{partition_col}={value}")[1], True)
 
 
+def _replaced(spark: SparkSession, df: DataFrame, path: str, partition_col: str, old: set[str],
+              cluster_by: list[str] | None, fmt: str) -> set[str]:
+    """Overwrite the partitions of ``df``'s rows; of the stored partitions ``old``,
+    those that were replaced.
+
+    ``df`` may read the table: a dynamic overwrite writes beside it and moves its
+    folders in after the last task, so the rows are written once.  An old partition
+    that holds the same files as before has no rows in ``df``."""
+    if fmt == "delta":  # its folders say nothing: a staged copy tells the dates
+        with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
+            fresh = partition_values(spark, staging, partition_col, fmt)
+            if fresh:
+                overwrite_partitions(slice_, path, partition_col, cluster_by, fmt)
+        return old & fresh
+    folder = f"{path.rstrip('/')}/{partition_col}="
+    before = {v: set(list_files(spark, folder + v)) for v in old}
+    overwrite_partitions(df, path, partition_col, cluster_by, fmt)
+    return {v for v, files in before.items() if set(list_files(spark, folder + v)) - files}
+
+
 def overwrite_values(spark: SparkSession, df: DataFrame, path: str, partition_col: str, values: set[str],
                      cluster_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Replace the partitions ``values`` (date strings, or ``NULL_PARTITION``) with ``df``,
     whose rows belong to them; those without rows now are deleted after the write.
 
-    ``df`` may read the table: it is staged beside it first."""
-    with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
-        fresh = partition_values(spark, staging, partition_col, fmt)
-        if fresh:
-            _from_staged(slice_, path, partition_col, fmt)
-        drop_partitions(spark, path, partition_col, (values & partition_values(spark, path, partition_col, fmt)) - fresh, fmt)
+    ``df`` may read the table."""
+    old = values & partition_values(spark, path, partition_col, fmt)
+    drop_partitions(spark, path, partition_col, old - _replaced(spark, df, path, partition_col, old, cluster_by, fmt), fmt)
 
 
 def _from(spark: SparkSession, path: str, partition_col: str, start: dt.date, fmt: str) -> set[str]:
@@ -153,18 +163,15 @@ def overwrite_window(spark: SparkSession, df: DataFrame, path: str, partition_co
     filter excluded all of it); such partitions are deleted after the write,
     so a failure in between leaves old rows and no hole.  When the caller knows
     the slice's dates (``present``: a bounded list, the days of the window),
-    the slice is written once; otherwise a staged copy tells them.
+    they are taken from it; otherwise the written folders tell them.
     """
     if present is not None:
         overwrite_partitions(df, path, partition_col, cluster_by, fmt=fmt)
         kept = {v if isinstance(v, str) else v.isoformat() for v in present}
         drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - kept, fmt)
         return
-    with staged_beside(spark, df, path, partition_col, cluster_by, fmt) as (slice_, staging):
-        fresh = partition_values(spark, staging, partition_col, fmt)
-        if fresh:
-            _from_staged(slice_, path, partition_col, fmt)
-        drop_partitions(spark, path, partition_col, _from(spark, path, partition_col, start, fmt) - fresh, fmt)
+    old = _from(spark, path, partition_col, start, fmt)
+    drop_partitions(spark, path, partition_col, old - _replaced(spark, df, path, partition_col, old, cluster_by, fmt), fmt)
 
 
 def without_keys(rows: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
@@ -180,8 +187,8 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
     Rows of the target whose key appears in ``df`` are replaced; other rows of
     the touched partitions are kept.  ``df`` is computed once, into a staged
     copy whose folders name the touched dates, so the target's scan is pruned
-    by literals; the merged partitions are staged too (the target cannot be
-    read and overwritten by one job) and swapped in.
+    by literals; the merged partitions replace the old ones when all of them
+    are written (a dynamic overwrite may read the table it writes).
     """
     with staged_beside(spark, df, path, partition_col, fmt=fmt) as (fresh, staging):
         days = sorted(partition_values(spark, staging, partition_col, fmt))
@@ -190,8 +197,7 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
         existing = spark.read.format(fmt).load(path)
         kept = without_keys(existing.where(F.col(partition_col).cast("string").isin(days)), fresh, key)
         merged = kept.unionByName(fresh.select(*existing.columns), allowMissingColumns=True)
-        with staged_beside(spark, merged, path, partition_col, cluster_by, fmt) as (both, _):
-            _from_staged(both, path, partition_col, fmt)
+        overwrite_partitions(merged, path, partition_col, cluster_by, fmt)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
