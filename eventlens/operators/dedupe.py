@@ -18,6 +18,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlens.config import Config, PivotProperty
 from eventlens.functions.json_props import json_property_sql, variant_property_sql
@@ -47,19 +48,49 @@ def _q(name: str) -> str:
 ORDER_SQL = ["isnull(mp_processing_time_ms)", "mp_processing_time_ms", "loader_row_id", "occurred_at"]
 
 
-def keep_first(df: DataFrame, keys: list[str], order_sql: list[str]) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order_sql`` tuple."""
-    payload = [f for f in df.schema.fields if f.name not in keys]
+def _order(payload: list[T.StructField], order_sql: list[str]) -> str:
+    """The order as fields of a struct, full ties broken by a hash of ``payload``."""
     # a map has no hash of its own; its JSON does
     hashed = ", ".join(f"to_json(named_struct('v', {_q(f.name)}))" if "map<" in f.dataType.simpleString() else _q(f.name)
                        for f in payload)
-    order = ", ".join(f"'_o{i}', {o}" for i, o in enumerate([*order_sql, f"xxhash64({hashed})"]))
+    return ", ".join(f"'_o{i}', {o}" for i, o in enumerate([*order_sql, f"xxhash64({hashed})"]))
+
+
+def keep_first(df: DataFrame, keys: list[str], order_sql: list[str]) -> DataFrame:
+    """One row per ``keys``: the row with the smallest ``order_sql`` tuple."""
+    payload = [f for f in df.schema.fields if f.name not in keys]
+    order = _order(payload, order_sql)
     row = ", ".join(f"'{f.name}', {_q(f.name)}" for f in payload)
     winner = F.expr(f"min_by(named_struct({row}), named_struct({order}))").alias("_w")
     return (df.groupBy(*keys).agg(winner)
               .selectExpr(*[_q(k) for k in keys], *[f"_w.{_q(f.name)} AS {_q(f.name)}" for f in payload]))
 
 
+def packed(df: DataFrame, keys: list[str], order_sql: list[str], sparse: Iterable[str] = (), made: Iterable[str] = (),
+           tags: Iterable[str] = ()) -> tuple[DataFrame, list[str]] | None:
+    """``keep_first`` for state that is kept: ``keys`` and a struct ``_w`` whose smallest
+    value is the first row, and the SQL that takes the row's columns from it.
+
+    A column of the order is held once, ``made`` ones (a function of the keys) not at all, and the
+    ``sparse`` ones together as one null where a row has none of them.  ``tags`` (SQL) are
+    held as ``_w._t0`` and so on; of fully equal rows, the one with the smallest tags comes first.
+    None where a column has no order (a map)."""
+    payload = [f for f in df.schema.fields if f.name not in keys]
+    if any(kind in f.dataType.simpleString() for f in payload for kind in ("map<", "variant", "interval")):
+        return None
+    at = {o: f"_w._o{i}" for i, o in enumerate(order_sql)}
+    names = [f.name for f in payload if f.name not in at and f.name not in set(made)]
+    rare = [n for n in names if n in set(sparse)]
+    held = [n for n in names if n not in rare]
+    row = "".join(f", '_t{i}', {t}" for i, t in enumerate(tags)) + "".join(f", '_v{i}', {_q(n)}" for i, n in enumerate(held))
+    if rare:
+        some = " OR ".join(f"{_q(n)} IS NOT NULL" for n in rare)
+        row += f", '_r', CASE WHEN {some} THEN named_struct({', '.join(f"'_v{i}', {_q(n)}" for i, n in enumerate(rare))}) END"
+    at |= {n: f"_w._v{i}" for i, n in enumerate(held)} | {n: f"_w._r._v{i}" for i, n in enumerate(rare)}
+    taken = [f"{at[f.name]} AS {_q(f.name)}" for f in payload if f.name in at]
+    return df.selectExpr(*[_q(k) for k in keys], f"named_struct({_order(payload, order_sql)}{row}) AS _w"), taken
+
+
 def dedupe_events(stg: DataFrame, cfg: Config, apply_date_range: bool = True,
                   columns: list[str] | None = None, absent: Iterable[str] = ()) -> DataFrame:
     """De-duplicated events.  ``columns`` narrows the payload to what the

@@ -8,11 +8,13 @@ Only the high-water mark (one scalar) ever reaches the driver.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
+import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import closing, contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.timeutil import shift_date
@@ -200,6 +202,106 @@ def delete_insert(spark: SparkSession, df: DataFrame, path: str, key: str, parti
         overwrite_partitions(merged, path, partition_col, cluster_by, fmt)
 
 
+#: Files under this size are small; a partition with so many of them has them joined.
+SMALL_FILE, MANY_FILES = 32 << 20, 16
+#: A table's upsert whose files are complete but may not all be in place.
+PENDING = "_upsert.json"
+
+
+def _sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and bytes of the data files in a folder."""
+    fs, jpath = _jvm_path(spark, path)
+    if not fs.exists(jpath):
+        return {}
+    found = {st.getPath().getName(): st.getLen() for st in fs.listStatus(jpath) if st.isFile()}
+    return {name: size for name, size in found.items() if not name.startswith(("_", "."))}
+
+
+def _day_text(partition_col: str) -> Column:
+    """The folder value of a row's partition."""
+    return F.coalesce(F.col(partition_col).cast("string"), F.lit(NULL_PARTITION))
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Put the files of an upsert that was broken off in place, and remove those they replace."""
+    path = path.rstrip("/")
+    fs, pending = _jvm_path(spark, f"{path}/{PENDING}")
+    if not fs.exists(pending):
+        return
+    with closing(fs.open(pending)) as stream:
+        todo = json.loads(bytes(stream.readAllBytes()))
+    for file in todo["new"]:
+        source, to = _jvm_path(spark, f"{todo['staging']}/{file}")[1], _jvm_path(spark, f"{path}/{file}")[1]
+        if fs.exists(source):  # else moved before
+            fs.mkdirs(to.getParent())
+            if not fs.rename(source, to):
+                raise OSError(f"cannot move {source} to {to}")
+    for file in todo["old"]:
+        remove(spark, f"{path}/{file}")
+    fs.delete(pending, False)
+    remove(spark, todo["staging"])
+
+
+def upsert_files(spark: SparkSession, fresh: DataFrame, path: str, key: str, partition_col: str,
+                 cluster_by: list[str] | None = None, fmt: str = "parquet", changed: str | None = None) -> None:
+    """``delete_insert`` for many small batches: of the touched partitions, only the files
+    that hold a key of ``fresh`` are rewritten (found by the key column alone), the
+    other rows are written beside them.  Small files that add up in a partition are
+    rewritten with it, so a row is rewritten a few times, not once a batch.
+
+    ``fresh`` is stored and not read from the table.  Where ``changed`` (a flag of ``fresh``)
+    is false, a row that has its key stored is taken to be stored as it is.
+    The merged rows are written beside the table and a list of what is to move in and
+    what to go is left in it, then that is done; a later call ends one that broke off."""
+    path = path.rstrip("/")
+    finish_upsert(spark, path)
+    days = sorted(r["day"] for r in fresh.select(_day_text(partition_col).alias("day")).distinct().collect())
+    if not days:
+        return
+    existing = spark.read.format(fmt).load(path)
+    flag = F.col(changed) if changed else F.lit(True)
+    # of a stored row, no more than numbers is shuffled; a chance hit costs a rewrite
+    hashed = F.xxhash64(key).alias("_h")
+    held = (existing.where(_day_text(partition_col).isin(days) & F.col(key).isNotNull())
+            .select(hashed, F.col(partition_col).alias("_d"), F.crc32(F.col("_metadata.file_name")).alias("_f")))
+    found = (fresh.select(hashed, flag.alias("new")).join(held.hint("merge"), "_h", "left")
+             .where(F.col("new") == F.col("_f").isNotNull()).select("new", "_d", "_f").distinct()
+             .select("new", _day_text("_d").alias("day"), "_f").collect())  # at most the number of files
+    hit = {(r["day"], r["_f"]) for r in found if r["new"]}
+    rows = fresh
+    if changed:
+        rows = fresh.where(flag)
+        if not all(r["new"] for r in found):  # unchanged rows that the table has lost
+            gone = existing.where(_day_text(partition_col).isin(days)).select(key)
+            rows = rows.unionByName(without_keys(fresh.where(~flag), gone, key))
+    old = []
+    for day in days:
+        sizes = _sizes(spark, f"{path}/{partition_col}={day}")
+        many = sum(size < SMALL_FILE for size in sizes.values()) >= MANY_FILES
+        old += [f"{partition_col}={day}/{name}" for name, size in sorted(sizes.items())
+                if (day, zlib.crc32(name.encode())) in hit or many and size < SMALL_FILE]
+    merged = rows.select(*existing.columns)
+    if old:
+        stored = spark.read.format(fmt).schema(existing.schema).option("basePath", path).load([f"{path}/{f}" for f in old])
+        merged = without_keys(stored, rows, key).unionByName(merged, allowMissingColumns=True)
+    staging = f"{path}__staging-{uuid.uuid4().hex}"
+    fs, pending = _jvm_path(spark, f"{path}/{PENDING}")
+    try:
+        clustered(merged, partition_col, cluster_by).write.format(fmt).partitionBy(partition_col).save(staging)
+        folders = [f"{partition_col}={value}" for value in partition_values(spark, staging, partition_col)]
+        new = [f"{folder}/{name}" for folder in folders for name in _sizes(spark, f"{staging}/{folder}")]
+        part = _jvm_path(spark, f"{staging}/{PENDING}")[1]
+        with closing(fs.create(part, True)) as stream:
+            stream.write(json.dumps({"staging": staging, "new": new, "old": old}).encode())
+        if not fs.rename(part, pending):
+            raise OSError(f"cannot write {pending}")
+    except BaseException:
+        if not fs.exists(pending):
+            remove(spark, staging)
+        raise
+    finish_upsert(spark, path)
+
+
 def replace_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Rewrite a table that may also be an input of ``df``."""
     with staged_beside(spark, df, path, fmt=fmt) as (copy, _):
